@@ -14,12 +14,18 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .joins import can_broadcast
 
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a small fitted state to the shared checkpoint folder and cut its lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
 # Columns encoded by label mean and by frequency.
 TARGET_ENCODE_COLS = ["P_emaildomain", "R_emaildomain", "DeviceInfo", "id_30", "id_31"]
 FREQ_ENCODE_COLS = ["card1", "card2", "card3", "id_20"]
@@ -114,7 +120,8 @@ def fit_target_encoding(df: DataFrame, cols: Sequence[str], label: str = "isFrau
     mean = F.col("s") / F.col("n")
     state = stats.select("col", "category", "n", "s",
                          ((F.col("n") * mean + F.lit(smoothing * g)) / (F.col("n") + F.lit(smoothing)))
-                         .alias("value")).persist(StorageLevel.MEMORY_AND_DISK)
+                         .alias("value"))
+    state = materialize(state)
     rows = state.count()
     return TargetEncoding(list(cols), g, smoothing, state, rows)
 
@@ -131,8 +138,8 @@ def target_encode_out_of_fold(df: DataFrame, enc: TargetEncoding, label: str, fo
     tot = per_fold.groupBy("col", "category").agg(F.sum("n").alias("n_all"), F.sum("s").alias("s_all"))
     n_other, s_other = F.col("n_all") - F.col("n"), F.col("s_all") - F.col("s")
     other = (per_fold.join(tot, ["col", "category"])
-             .select("col", "category", fold, F.when(n_other > 0, s_other / n_other).alias("value"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
+             .select("col", "category", fold, F.when(n_other > 0, s_other / n_other).alias("value")))
+    other = materialize(other)
     rows = other.count()
     return _apply_state(df, other, enc.cols, enc.global_mean, rows, key_cols=[fold])
 
@@ -169,7 +176,7 @@ def fit_frequency_encoding(df: DataFrame, cols: Sequence[str], normalize: bool =
             "col", "category", "n", (F.col("n") / F.col("_tot")).alias("value"))
     else:
         value = counts.select("col", "category", "n", F.col("n").cast("double").alias("value"))
-    state = value.persist(StorageLevel.MEMORY_AND_DISK)
+    state = materialize(value)
     return FrequencyEncoding(list(cols), normalize, state, state.count())
 
 

@@ -16,14 +16,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.scalar import portable_hash
+from ..session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33
 _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
@@ -41,23 +40,30 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "rn
                    partitions: int | None = None) -> tuple[DataFrame, int]:
     """Return ``(df + name, total_rows)``; ``name`` is the 1-based position.
 
-    The range-partitioned frame is persisted between the counting pass and
-    the indexing pass, so both see the same partition bounds; a lost cached
-    block is recomputed from the same shuffle dependency (same bounds).
+    The range-partitioned, tagged frame is checkpointed (reliable, in the
+    shared ``spark.checkpoint.dir``) before it is used twice: range bounds
+    are sampled per execution, so the counting pass and the indexing pass
+    must read the same materialised partitions.  The checkpoint also makes
+    positions survive executor loss and keeps downstream plans shallow.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     cols = _as_cols(order)
     tagged = (df.repartitionByRange(_partitions(df, partitions), *cols)
               .sortWithinPartitions(*cols)
               .withColumn("_mid", F.monotonically_increasing_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+              .checkpoint(eager=True))
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
-    counts = tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: a single-partition window and a broadcast are bounded.
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        "_n").cache()
-    total = offsets.agg(F.sum("_n")).first()[0] or 0
-    out = (tagged.join(F.broadcast(offsets.select("_pid", "_off")), pid == F.col("_pid"))
+    # One row per partition: collecting and broadcasting the offsets is bounded
+    # by the partition count, never by the data.
+    counts = sorted((r["_pid"], r["_n"]) for r in
+                    tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).collect())
+    rows, acc = [], 0
+    for p, c in counts:
+        rows.append((int(p), int(acc)))
+        acc += c
+    offsets = df.sparkSession.createDataFrame(rows or [(0, 0)], "_pid bigint, _off bigint")
+    total = acc
+    out = (tagged.join(F.broadcast(offsets), pid == F.col("_pid"))
            .withColumn(name, F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)) + 1)
            .drop("_mid", "_pid", "_off"))
     return out, int(total)
@@ -87,7 +93,8 @@ def prefix_sums(df: DataFrame, order: Sequence[str], values: Sequence[str], asce
                 carry[i] = cs[-1]
             yield pdf
 
-    local = ranged.mapInPandas(local_cumsum, schema).persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(df.sparkSession)
+    local = ranged.mapInPandas(local_cumsum, schema).checkpoint(eager=True)
     totals = local.groupBy("_pid").agg(*[F.sum(F.col(v).cast("double")).alias(f"_t_{v}") for v in values])
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{v}").over(w), F.lit(0.0)).alias(f"_o_{v}")

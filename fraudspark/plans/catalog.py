@@ -45,4 +45,4 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 # Query modules register themselves on import.
-from . import queries_core, queries_encode, queries_quality  # noqa: E402,F401
+from . import queries_core, queries_encode, queries_features, queries_quality  # noqa: E402,F401

@@ -11,7 +11,7 @@ from ..sources import tables as tb
 from .catalog import r6, register, s6
 
 _H = "((floor(TransactionDT / 3600) % 24 + 24) % 24)"
-_D = "((floor(TransactionDT / 86400) + 3) % 7 + 7) % 7"
+_D = "(((floor(TransactionDT / 86400) + 3) % 7 + 7) % 7)"
 
 
 @register("time_features", tb.with_views(f"""
