@@ -142,3 +142,39 @@ def seeded_fraction(df: DataFrame, fraction: float, seed: int, key: str,
     ranked, n = with_row_index(df.withColumn("_h", h), ["_h", key], name="_r")
     k = int(n * fraction)
     return ranked.withColumn(flag, F.col("_r") <= k).drop("_h", "_r")
+
+
+def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float],
+                    group_cols: Sequence[str] = ()) -> DataFrame:
+    """Exact quantiles with linear interpolation, ``(group..., q, quantile)``.
+
+    Distributed: values get their global position by ``with_row_index`` over
+    (group, value); the two positions around ``(n - 1) * q`` of each group
+    are picked by a join against a table bounded by groups x quantiles, so
+    no group is ever gathered into one task.
+    """
+    g = list(group_cols)
+    base = df.where(F.col(value).isNotNull()).select(*g, F.col(value).cast("double").alias("_v"))
+    idx, _ = with_row_index(base, g + ["_v"], name="_rn")
+    spans = idx.groupBy(*g).agg(F.min("_rn").alias("_start"), F.count(F.lit(1)).alias("_n")).collect()
+    rows = []
+    for r in spans:
+        n, start = int(r["_n"]), int(r["_start"])
+        for q in quantiles:
+            h = (n - 1) * float(q)
+            lo = int(np.floor(h))
+            hi = min(lo + 1, n - 1)
+            rows.append(tuple(r[k] for k in g) + (float(q), start + lo, start + hi, h - lo))
+    spark = df.sparkSession
+    gschema = "".join(f"`{k}` {base.schema[k].dataType.simpleString()}, " for k in g)
+    want = spark.createDataFrame(rows, f"{gschema}q double, _lo bigint, _hi bigint, _frac double")
+    pos = want.select(*g, "q", "_frac", F.explode(F.array(
+        F.struct(F.lit("lo").alias("side"), F.col("_lo").alias("_rn")),
+        F.struct(F.lit("hi").alias("side"), F.col("_hi").alias("_rn")))).alias("w")) \
+        .select(*g, "q", "_frac", "w.side", "w._rn")
+    # groups x quantiles x 2 rows: a bounded broadcast
+    picked = idx.select("_rn", "_v").join(F.broadcast(pos), "_rn")
+    agg = picked.groupBy(*g, "q", "_frac").agg(
+        F.max(F.when(F.col("side") == "lo", F.col("_v"))).alias("_a"),
+        F.max(F.when(F.col("side") == "hi", F.col("_v"))).alias("_b"))
+    return agg.select(*g, "q", (F.col("_a") + F.col("_frac") * (F.col("_b") - F.col("_a"))).alias("quantile"))

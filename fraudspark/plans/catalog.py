@@ -29,13 +29,21 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+# Both engines round the same nudged value: a true tie at the last place
+# (means of 3-decimal scores over 16 rows, say) is pushed the same way on both
+# sides instead of depending on the last bit of each engine's summation order.
+_ABS_NUDGE, _REL_NUDGE = 1e-12, 1e-11
+
+
 def r6(c: Column | str, places: int = 6) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("double"), places) + F.lit(0.0)
+    c = (F.col(c) if isinstance(c, str) else c).cast("double")
+    nudged = c + F.signum(c) * (F.lit(_ABS_NUDGE) + F.abs(c) * F.lit(_REL_NUDGE))
+    return F.round(nudged, places) + F.lit(0.0)
 
 
 def s6(expr: str, places: int = 6) -> str:
-    return f"(round(cast({expr} as double), {places}) + 0.0)"
+    x = f"cast({expr} as double)"
+    return f"(round({x} + sign({x}) * ({_ABS_NUDGE} + abs({x}) * {_REL_NUDGE}), {places}) + 0.0)"
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
@@ -45,4 +53,4 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 # Query modules register themselves on import.
-from . import queries_core, queries_encode, queries_features, queries_quality  # noqa: E402,F401
+from . import queries_core, queries_encode, queries_eval, queries_features, queries_quality  # noqa: E402,F401
