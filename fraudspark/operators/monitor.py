@@ -88,7 +88,12 @@ def drift_alarm(log: DataFrame, prob: str = "fraud_probability", batch: str = "b
     Running moments come from ``prefix_sums`` over the batch-mean table, so
     the rule holds for any number of batches without a single-task window.
     """
-    means = mean_score_by_batch(log, prob, batch).withColumn("_one", F.lit(1.0)) \
+    return drift_alarm_from_means(mean_score_by_batch(log, prob, batch), batch)
+
+
+def drift_alarm_from_means(batch_means: DataFrame, batch: str = "batch") -> DataFrame:
+    """The drift rule over a (batch, mean_score) table (a stream's running table, say)."""
+    means = batch_means.withColumn("_one", F.lit(1.0)) \
         .withColumn("_m2", F.col("mean_score") * F.col("mean_score"))
     cum = prefix_sums(means, [batch], ["_one", "mean_score", "_m2"])
     base = cum.where(F.col("_one_cum") <= BASELINE_BATCHES).agg(

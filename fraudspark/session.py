@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -57,11 +59,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def _local_path(uri: str) -> str | None:
+    """The local file-system path of ``uri``, or None for a remote store."""
+    parsed = urlparse(uri)
+    if parsed.scheme in ("", "file"):
+        return parsed.path if parsed.scheme else uri
+    return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
+    """A fresh, uniquely named folder under the shared checkpoint folder for
+    tables a job writes and reads back (never a machine-local temp folder
+    unless the session itself points there)."""
     base = ensure_checkpoint_dir(spark)
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
-    import uuid
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    local = _local_path(base)
+    unique = f"{name}-{uuid.uuid4().hex[:12]}"
+    if local is not None:
+        os.makedirs(local, exist_ok=True)
+        return os.path.join(local, unique)
+    return f"{base.rstrip('/')}/{unique}"

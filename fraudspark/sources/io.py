@@ -61,18 +61,20 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
     w.parquet(path)
 
 
-def request_json(df: DataFrame) -> DataFrame:
-    """Serialise request fields of each row as one JSON text (nulls omitted)."""
+def request_json(df: DataFrame, id_field: str = "TransactionID") -> DataFrame:
+    """Serialise request fields of each row (and its id, when present) as one
+    JSON text; null fields are omitted."""
     names = [n for n, _ in REQUEST_FIELDS if n in df.columns]
-    keep = [c for c in ("TransactionID",) if c in df.columns]
-    return df.select(*keep, F.to_json(F.struct(*names)).alias("value"))
+    ident = [id_field] if id_field in df.columns else []
+    return df.select(*ident, F.to_json(F.struct(*ident, *names)).alias("value"))
 
 
-def parse_requests(df: DataFrame, text_col: str = "value") -> DataFrame:
+def parse_requests(df: DataFrame, text_col: str = "value", id_field: str = "TransactionID") -> DataFrame:
     """Parse JSON request records: unknown fields are ignored, numbers sent as
     strings are coerced, and each field that was sent but does not parse gets
-    a ``_bad_<field>`` marker for the contract check."""
-    as_text = T.StructType([T.StructField(n, T.StringType()) for n, _ in REQUEST_FIELDS])
+    a ``_bad_<field>`` marker for the contract check.  The optional id field
+    is carried through (taken from the record unless the frame already has it)."""
+    as_text = T.StructType([T.StructField(n, T.StringType()) for n, _ in [(id_field, None)] + REQUEST_FIELDS])
     parsed = df.select("*", F.from_json(F.col(text_col), as_text, {"mode": "PERMISSIVE"}).alias("_r"))
     cols, bad = [], []
     for n, t in REQUEST_FIELDS:
@@ -85,7 +87,8 @@ def parse_requests(df: DataFrame, text_col: str = "value") -> DataFrame:
             cols.append(val.alias(n))
             bad.append((raw.isNotNull() & typed.isNull()).alias(f"_bad_{n}"))
     keep = [c for c in df.columns if c != text_col]
-    return parsed.select(*keep, *cols, *bad)
+    ident = [] if id_field in keep else [F.col(f"_r.{id_field}").try_cast("bigint").alias(id_field)]
+    return parsed.select(*keep, *ident, *cols, *bad)
 
 
 def write_manifest(spark: SparkSession, manifest: dict, path: str) -> None:
