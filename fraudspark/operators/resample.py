@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.scalar import portable_hash
+from .ordering import with_row_index
+
 # Fixed value: the fixed positive-class weight of the second booster preset.
 FIXED_POSITIVE_WEIGHT = 30.0
 
@@ -27,3 +34,108 @@ def add_class_weight(df: DataFrame, label: str = "isFraud", mode: str = "balance
     t = class_weight_table(df, label, positive_weight)
     col = "balanced_weight" if mode == "balanced" else "fixed_weight"
     return df.join(F.broadcast(t.select(label, F.col(col).alias(weight_col))), label, "left")
+
+
+# ---------------------------------------------------------------- exact k-NN
+# Fixed value: neighbours per minority row.
+K_NEIGHBOURS = 5
+
+
+def _dist(a, b):
+    sq = F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
+    return F.sqrt(sq)
+
+
+def _unit_direction(dim: int, seed: int) -> list[float]:
+    rng = np.random.default_rng(seed)
+    u = rng.normal(size=dim)
+    return list(map(float, u / np.linalg.norm(u)))
+
+
+def knn(points: DataFrame, key: str, vec: str, k: int = K_NEIGHBOURS, seed: int = 42) -> DataFrame:
+    """Exact k nearest neighbours (Euclidean) of every point among the others:
+    ``(key, neighbour, rank, distance)``, ties broken by neighbour key.
+
+    No all-pairs product: points are ordered by their projection on a unit
+    vector u (|u.a - u.b| <= |a - b|).  Round 1 takes the k predecessors and k
+    successors in that order, which bounds each point's k-th distance r.
+    Round 2 joins every point with the points whose projection lies within
+    r of its own (an equi-join on projection buckets plus a range filter);
+    every true neighbour is inside that band, so the result is exact.
+    """
+    dim = len(points.select(vec).first()[0])
+    u = F.array(*[F.lit(x) for x in _unit_direction(dim, seed)])
+    proj = F.aggregate(F.zip_with(F.col(vec), u, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
+    base = points.select(F.col(key).alias("_id"), F.col(vec).cast("array<double>").alias("_x"), proj.alias("_s"))
+    idx, n = with_row_index(base, ["_s", "_id"], name="_rn")
+    idx = idx.persist(StorageLevel.MEMORY_AND_DISK)
+    if n <= 1:
+        return points.sparkSession.createDataFrame([], f"{key} bigint, neighbour bigint, rank int, distance double")
+    # round 1: 2k positional partners -> an upper bound of the k-th distance
+    offs = [d for d in range(-k, k + 1) if d != 0]
+    near = idx.select("_id", "_x", "_rn", F.explode(F.array(*[F.lit(d) for d in offs])).alias("_d")) \
+        .withColumn("_prn", F.col("_rn") + F.col("_d"))
+    other = idx.select(F.col("_rn").alias("_prn"), F.col("_x").alias("_y"))
+    d1 = near.join(other, "_prn").select("_id", _dist(F.col("_x"), F.col("_y")).alias("_dd"))
+    # at most 2k values per point are collected here: bounded
+    span = idx.agg(F.max("_s") - F.min("_s")).first()[0] or 0.0
+    bound = d1.groupBy("_id").agg(F.sort_array(F.collect_list("_dd")).alias("_ds")) \
+        .select("_id", F.when(F.size("_ds") >= k, F.element_at("_ds", k))
+                .otherwise(F.lit(float(span))).alias("_r"))
+    width = bound.agg(F.percentile_approx("_r", 0.5)).first()[0] or 1.0
+    width = max(float(width), 1e-9)
+    q = idx.join(bound, "_id").select(
+        F.col("_id").alias("_qid"), F.col("_x").alias("_qx"), F.col("_s").alias("_qs"), "_r",
+        F.explode(F.sequence(F.floor((F.col("_s") - F.col("_r")) / width),
+                             F.floor((F.col("_s") + F.col("_r")) / width))).alias("_bucket"))
+    pts = idx.select("_id", "_x", "_s", F.floor(F.col("_s") / width).alias("_bucket"))
+    cand = (q.join(pts, "_bucket")
+            .where((F.col("_id") != F.col("_qid")) & (F.abs(F.col("_s") - F.col("_qs")) <= F.col("_r")))
+            .select("_qid", "_id", _dist(F.col("_qx"), F.col("_x")).alias("_dd")))
+    w = Window.partitionBy("_qid").orderBy("_dd", "_id")
+    top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return top.select(F.col("_qid").alias(key), F.col("_id").alias("neighbour"), F.col("rank").cast("int"),
+                      F.col("_dd").alias("distance"))
+
+
+def smote(train: DataFrame, feature_columns: Sequence[str], label: str = "isFraud", key: str = "TransactionID",
+          k: int = K_NEIGHBOURS, seed: int = 42) -> DataFrame:
+    """Add synthetic minority rows until both classes have the same count.
+
+    Each synthetic row j picks (base row, neighbour rank) and a step in [0, 1)
+    from portable hashes of j, and lies on the segment base -> neighbour:
+    ``x + step * (x_nn - x)``.  Synthetic keys are negative.
+    """
+    counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(counts) < 2:
+        return train
+    minority = min(counts, key=lambda c: (counts[c], c))
+    n_min, n_maj = counts[minority], max(counts.values())
+    n_new = n_maj - n_min
+    if n_new == 0 or n_min < 2:
+        return train
+    cols = list(feature_columns)
+    vec = F.array(*[F.col(c).cast("double") for c in cols])
+    mino = train.where(F.col(label) == minority).select(F.col(key), vec.alias("_x"))
+    ranked, _ = with_row_index(mino, [key], name="_r")
+    nn = knn(ranked.select(key, "_x"), key, "_x", k, seed)
+    kk = min(k, n_min - 1)
+    pairs = (nn.join(ranked.select(F.col(key), F.col("_r"), F.col("_x")), key)
+             .join(ranked.select(F.col(key).alias("neighbour"), F.col("_x").alias("_y")), "neighbour")
+             .select((F.col("_r") - 1).alias("_base"), (F.col("rank") - 1).alias("_j"), "_x", "_y"))
+    spark = train.sparkSession
+    syn = spark.range(n_new).select(
+        F.col("id").alias("_sid"),
+        F.pmod(portable_hash(F.col("id"), seed), F.lit(n_min * kk)).alias("_pick"),
+        (portable_hash(F.col("id"), seed + 1) / F.lit(4294967296.0)).alias("_step"))
+    syn = syn.select("_sid", "_step", F.floor(F.col("_pick") / kk).alias("_base"),
+                     F.pmod(F.col("_pick"), F.lit(kk)).alias("_j"))
+    made = syn.join(pairs, ["_base", "_j"]).select(
+        (-(F.col("_sid") + 1)).alias(key),
+        F.zip_with("_x", "_y", lambda a, b: a + F.col("_step") * (b - a)).alias("_v"))
+    new_rows = made.select(F.col(key).cast(train.schema[key].dataType),
+                           F.lit(minority).cast(train.schema[label].dataType).alias(label),
+                           *[F.col("_v")[i].cast(train.schema[c].dataType).alias(c) for i, c in enumerate(cols)])
+    new_rows = new_rows.select(*[F.col(c) if c in new_rows.columns else F.lit(None).cast(train.schema[c].dataType)
+                                 .alias(c) for c in train.columns])
+    return train.unionByName(new_rows)

@@ -53,4 +53,4 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 # Query modules register themselves on import.
-from . import queries_core, queries_encode, queries_eval, queries_features, queries_quality, queries_stream  # noqa: E402,F401,I001
+from . import queries_core, queries_encode, queries_eval, queries_features, queries_models, queries_quality, queries_stream  # noqa: E402,F401,I001
