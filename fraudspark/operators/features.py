@@ -66,8 +66,9 @@ def add_card_features(df: DataFrame, key: str = "card1", amount: str = "Transact
                                                             "TransactionID" if has_id else None)
     joined = attach(df, prof, key, known_rows=profile_rows)
     amt = F.col(amount)
-    # Without an id column every row counts as one transaction of its card.
-    count_col = F.col("_card_count") if has_id else F.lit(1)
+    # Batch mode without an id column: every row counts as one transaction of
+    # its card (a single scoring row).  A fitted profile always supplies counts.
+    count_col = F.col("_card_count") if (has_id or profile is not None) else F.lit(1)
     out = joined.select(
         *[F.col(c) for c in df.columns],
         F.log1p(amt).alias("log_amount"),
