@@ -176,3 +176,29 @@ def q_numeric_coerce(spark, sf):
                                  F.concat(F.col("card1").cast("string"), F.lit(".5")).alias("card1_text"),
                                  "TransactionAmt")
     return fe.coerce_all_numeric(t, keep=["TransactionID"])
+
+
+# Feature order of a fitted model; hour_sin is absent from the frame being scored.
+_ALIGN_LIST = ["TransactionAmt", "dist1", "hour_sin", "card5", "V5"]
+
+
+def _aligned(spark, sf):
+    t = tb.txn(spark, sf).select("TransactionID", "TransactionAmt", "dist1", "card5", "V5", "ProductCD")
+    return fe.align_features(t, _ALIGN_LIST, keep=["TransactionID"])
+
+
+@register("align_features", tb.with_views("""
+SELECT TransactionID, TransactionAmt, dist1, CAST(NULL AS double) AS hour_sin, card5, V5 FROM txn
+""", "txn"))
+def q_align(spark, sf):
+    """Absent features added as null, extra columns dropped, manifest order imposed."""
+    return _aligned(spark, sf)
+
+
+@register("fill_sentinel", tb.with_views("""
+SELECT TransactionID, coalesce(TransactionAmt, -999.0) AS TransactionAmt, coalesce(dist1, -999.0) AS dist1,
+       -999.0 AS hour_sin, coalesce(card5, -999.0) AS card5, coalesce(V5, -999.0) AS V5 FROM txn
+""", "txn"))
+def q_fill(spark, sf):
+    """Nulls (and NaN) of the aligned features replaced by -999."""
+    return fe.fill_sentinel(_aligned(spark, sf), _ALIGN_LIST)
