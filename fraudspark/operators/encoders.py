@@ -17,14 +17,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize as _write_back
 from .joins import can_broadcast
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write a small fitted state to the shared checkpoint folder and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return _write_back(df, "state")
 
 # Columns encoded by label mean and by frequency.
 TARGET_ENCODE_COLS = ["P_emaildomain", "R_emaildomain", "DeviceInfo", "id_30", "id_31"]

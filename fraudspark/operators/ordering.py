@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.scalar import portable_hash
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 _LOCAL_BITS = 33
 _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
@@ -40,18 +40,16 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "rn
                    partitions: int | None = None) -> tuple[DataFrame, int]:
     """Return ``(df + name, total_rows)``; ``name`` is the 1-based position.
 
-    The range-partitioned, tagged frame is checkpointed (reliable, in the
-    shared ``spark.checkpoint.dir``) before it is used twice: range bounds
-    are sampled per execution, so the counting pass and the indexing pass
-    must read the same materialised partitions.  The checkpoint also makes
-    positions survive executor loss and keeps downstream plans shallow.
+    The range-partitioned, tagged frame is written once as Parquet under the
+    shared ``spark.checkpoint.dir`` before it is used twice: range bounds are
+    sampled per execution, so the counting pass and the indexing pass must
+    read the same materialised rows.  The written table also makes positions
+    survive executor loss and keeps downstream plans shallow.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     cols = _as_cols(order)
-    tagged = (df.repartitionByRange(_partitions(df, partitions), *cols)
-              .sortWithinPartitions(*cols)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    tagged = materialize(df.repartitionByRange(_partitions(df, partitions), *cols)
+                         .sortWithinPartitions(*cols)
+                         .withColumn("_mid", F.monotonically_increasing_id()), "row_index")
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
     # One row per partition: collecting and broadcasting the offsets is bounded
     # by the partition count, never by the data.
@@ -93,8 +91,7 @@ def prefix_sums(df: DataFrame, order: Sequence[str], values: Sequence[str], asce
                 carry[i] = cs[-1]
             yield pdf
 
-    ensure_checkpoint_dir(df.sparkSession)
-    local = ranged.mapInPandas(local_cumsum, schema).checkpoint(eager=True)
+    local = materialize(ranged.mapInPandas(local_cumsum, schema), "prefix_sums")
     totals = local.groupBy("_pid").agg(*[F.sum(F.col(v).cast("double")).alias(f"_t_{v}") for v in values])
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{v}").over(w), F.lit(0.0)).alias(f"_o_{v}")

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from ..operators import features as fe
 from ..operators import prune
+from ..operators import split as sp
 from ..sources import tables as tb
 from .catalog import r6, register, rounded, s6
 from .feature_model import FeaturePipeline
-from .queries_encode import _SPLIT_CTE, _train_apply
+from .queries_encode import _SPLIT_CTE
 
 _V = tb.V_COLUMNS
 
@@ -152,10 +153,10 @@ FROM tr LEFT JOIN cs ON tr.card1 = cs.card1
 
 def _fit(spark, sf):
     t = tb.txn(spark, sf).drop("p")
-    train, _ = _train_apply(spark, sf, t)
-    train = train.select(*t.columns)
+    s, n = sp.time_split(t)
+    train = s.where(F.col("split") == "train").select(*t.columns, "rn")
     # the V-column gate is a parameter; the fixture has six V columns
-    return FeaturePipeline(min_v_cols=5).fit_transform(train)
+    return FeaturePipeline(min_v_cols=5).fit_transform(train, position="rn", n_rows=int(n * sp.TRAIN_FRAC))
 
 
 @register("feature_matrix", _feature_matrix_sql())

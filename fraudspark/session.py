@@ -78,3 +78,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         os.makedirs(local, exist_ok=True)
         return os.path.join(local, unique)
     return f"{base.rstrip('/')}/{unique}"
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` as Parquet to a fresh folder under the shared checkpoint
+    folder and return a DataFrame reading it back.
+
+    This cuts lineage like ``checkpoint()`` (the result survives executor loss
+    and is never recomputed), but stores columnar, compressed files, so later
+    scans get column pruning and filter pushdown.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
