@@ -61,7 +61,11 @@ def q_knn(spark, sf):
     return nn.select("vec_id", "neighbour", "rank", r6("distance").alias("distance"))
 
 
-@register("smote_balance")
+@register("smote_balance", tb.with_views(f"""
+WITH {_SPLIT_CTE},
+c AS (SELECT isFraud, count(*) AS cnt FROM tr GROUP BY isFraud)
+SELECT isFraud, (SELECT max(cnt) FROM c) AS n, (SELECT max(cnt) FROM c) - cnt AS synthetic FROM c
+""", "txn"))
 def q_smote(spark, sf):
     """Class counts of the training features after oversampling (equal by construction)."""
     prep = _prepared(spark, sf)

@@ -31,7 +31,16 @@ def q_required(spark, sf):
             .unionByName(dq.required_columns_report(spark, i, dq.IDENTITY_REQUIRED, "identity")))
 
 
-@register("dq_dtypes")
+def _dtypes_sql() -> str:
+    fam = ("CASE WHEN column_type IN ('BIGINT','INTEGER','SMALLINT','TINYINT') THEN 'int' "
+           "WHEN column_type IN ('DOUBLE','FLOAT') THEN 'float' ELSE lower(column_type) END")
+    exp = " UNION ALL ".join(f"SELECT '{c}' AS c, '{f}' AS f" for c, f in dq.EXPECTED_TYPES.items())
+    parts = [f"""SELECT '{t}' AS "table", e.c AS column_name, e.f AS expected, {fam} AS actual, {fam} = e.f AS passed
+FROM ({exp}) e JOIN (DESCRIBE SELECT * FROM {t}) d ON d.column_name = e.c""" for t in ("transactions", "identity")]
+    return tb.with_views("\nUNION ALL\n".join(parts), "transactions", "identity")
+
+
+@register("dq_dtypes", _dtypes_sql())
 def q_dtypes(spark, sf):
     rows = dq.dtype_report(tb.transactions(spark, sf), "transactions") + dq.dtype_report(
         tb.identity(spark, sf), "identity")
