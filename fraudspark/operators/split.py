@@ -21,8 +21,16 @@ def time_split(df: DataFrame, dt: str = "TransactionDT", key: str = "Transaction
 def test_tail(df: DataFrame, dt: str = "TransactionDT", key: str = "TransactionID",
               start_frac: float = TRAIN_FRAC + VAL_FRAC) -> DataFrame:
     """The last part of the time order: positions after ``int(n * start_frac)``."""
+    return test_tail_positions(df, dt, key, start_frac)[0]
+
+
+def test_tail_positions(df: DataFrame, dt: str = "TransactionDT", key: str = "TransactionID",
+                        start_frac: float = TRAIN_FRAC + VAL_FRAC) -> tuple[DataFrame, int]:
+    """``(tail, start)``: tail rows keep their global position ``rn``; the
+    position inside the tail is ``rn - start``."""
     indexed, n = with_row_index(df, [dt, key])
-    return indexed.where(F.col("rn") > int(n * start_frac))
+    start = int(n * start_frac)
+    return indexed.where(F.col("rn") > start), start
 
 
 def add_folds(df: DataFrame, k: int = 5, dt: str = "TransactionDT", key: str = "TransactionID",

@@ -72,9 +72,8 @@ FROM sp WHERE rn > floor(n * 0.85::double)
 """, "txn"))
 def q_batch_index(spark, sf):
     """Test tail replayed in fixed batches of 500 rows."""
-    tail = sp.test_tail(tb.txn(spark, sf).select("TransactionID", "TransactionDT"))
-    pos, _ = od.with_row_index(tail, ["rn"], name="pos")
-    return pos.select("TransactionID", od.batch_index(F.col("pos"), 500).alias("batch"))
+    tail, start = sp.test_tail_positions(tb.txn(spark, sf).select("TransactionID", "TransactionDT"))
+    return tail.select("TransactionID", od.batch_index(F.col("rn") - start, 500).alias("batch"))
 
 
 # --------------------------------------------------------- target encoding

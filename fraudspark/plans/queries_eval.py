@@ -180,8 +180,9 @@ lg AS (SELECT TransactionID, TransactionDT, TransactionAmt, isFraud, p AS fraud_
 
 
 def _log(spark, sf):
-    tail = sp.test_tail(tb.txn(spark, sf).select("TransactionID", "TransactionDT", "TransactionAmt", "isFraud", "p"))
-    pos, _ = od.with_row_index(tail, ["rn"], name="_pos")
+    tail, start = sp.test_tail_positions(
+        tb.txn(spark, sf).select("TransactionID", "TransactionDT", "TransactionAmt", "isFraud", "p"))
+    pos = tail.withColumn("_pos", F.col("rn") - start)
     return pos.select("TransactionID", "TransactionDT", "TransactionAmt", "isFraud",
                       F.bround("p", 4).alias("fraud_probability"),
                       sc.decide(F.col("p")).alias("decision"),
