@@ -46,51 +46,77 @@ def _dist(a, b):
     return F.sqrt(sq)
 
 
-def _unit_direction(dim: int, seed: int) -> list[float]:
-    rng = np.random.default_rng(seed)
-    u = rng.normal(size=dim)
-    return list(map(float, u / np.linalg.norm(u)))
-
-
-def knn(points: DataFrame, key: str, vec: str, k: int = K_NEIGHBOURS, seed: int = 42) -> DataFrame:
+def _directions(points: DataFrame, vec: str, dim: int, m: int, seed: int) -> list[list[float]]:
+    """Up to ``m`` orthonormal directions: the leading principal components of
+    the points (a distributed covariance, p x p on the driver), or one seeded
+    random unit vector when that is not available."""
+    try:
+        from pyspark.ml.feature import PCA
+        from pyspark.ml.functions import array_to_vector
+        model = PCA(k=min(m, dim), inputCol="_v", outputCol="_p").fit(
+            points.select(array_to_vector(F.col(vec).cast("array<double>")).alias("_v")))
+        pcs = model.pc.toArray()            # dim x m, orthonormal columns
+        return [list(map(float, pcs[:, j])) for j in range(pcs.shape[1])]
+    except Exception:                       # degenerate input: fall back to a random direction
+        rng = np.random.default_rng(seed)
+        u = rng.normal(size=dim)
+        return [list(map(float, u / np.linalg.norm(u)))]
+
+
+def _dot(x, u: list[float]):
+    return F.aggregate(F.zip_with(x, F.array(*[F.lit(v) for v in u]), lambda a, b: a * b),
+                       F.lit(0.0), lambda acc, v: acc + v)
+
+
+def knn(points: DataFrame, key: str, vec: str, k: int = K_NEIGHBOURS, seed: int = 42,
+        n_directions: int = 8) -> DataFrame:
     """Exact k nearest neighbours (Euclidean) of every point among the others:
     ``(key, neighbour, rank, distance)``, ties broken by neighbour key.
 
-    No all-pairs product: points are ordered by their projection on a unit
-    vector u (|u.a - u.b| <= |a - b|).  Round 1 takes the k predecessors and k
-    successors in that order, which bounds each point's k-th distance r.
-    Round 2 joins every point with the points whose projection lies within
-    r of its own (an equi-join on projection buckets plus a range filter);
-    every true neighbour is inside that band, so the result is exact.
+    No all-pairs product.  Points are projected on up to ``n_directions``
+    orthonormal principal directions; the distance between projections is a
+    lower bound of the true distance.  Round 1 orders points along the first
+    direction and measures the 2k predecessors and 2k successors, which
+    bounds each point's k-th distance r.  Round 2 joins each point with the
+    points whose first projection lies within r (an equi-join on projection
+    buckets plus a range filter), drops pairs whose projected distance
+    exceeds r, and only then computes full distances.  Every true neighbour
+    passes both filters, so the result is exact.
     """
     dim = len(points.select(vec).first()[0])
-    u = F.array(*[F.lit(x) for x in _unit_direction(dim, seed)])
-    proj = F.aggregate(F.zip_with(F.col(vec), u, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
-    base = points.select(F.col(key).alias("_id"), F.col(vec).cast("array<double>").alias("_x"), proj.alias("_s"))
+    dirs = _directions(points, vec, dim, n_directions, seed)
+    x = F.col(vec).cast("array<double>")
+    base = points.select(F.col(key).alias("_id"), x.alias("_x")).select(
+        "_id", "_x", F.array(*[_dot(F.col("_x"), u) for u in dirs]).alias("_p"))
+    base = base.withColumn("_s", F.col("_p")[0])
     idx, n = with_row_index(base, ["_s", "_id"], name="_rn")
     idx = idx.persist(StorageLevel.MEMORY_AND_DISK)
     if n <= 1:
         return points.sparkSession.createDataFrame([], f"{key} bigint, neighbour bigint, rank int, distance double")
-    # round 1: 2k positional partners -> an upper bound of the k-th distance
-    offs = [d for d in range(-k, k + 1) if d != 0]
+    # round 1: 4k positional partners along the first direction -> upper bound of the k-th distance
+    offs = [d for d in range(-2 * k, 2 * k + 1) if d != 0]
     near = idx.select("_id", "_x", "_rn", F.explode(F.array(*[F.lit(d) for d in offs])).alias("_d")) \
         .withColumn("_prn", F.col("_rn") + F.col("_d"))
     other = idx.select(F.col("_rn").alias("_prn"), F.col("_x").alias("_y"))
     d1 = near.join(other, "_prn").select("_id", _dist(F.col("_x"), F.col("_y")).alias("_dd"))
-    # at most 2k values per point are collected here: bounded
+    # at most 4k values per point are collected here: bounded
     span = idx.agg(F.max("_s") - F.min("_s")).first()[0] or 0.0
     bound = d1.groupBy("_id").agg(F.sort_array(F.collect_list("_dd")).alias("_ds")) \
         .select("_id", F.when(F.size("_ds") >= k, F.element_at("_ds", k))
-                .otherwise(F.lit(float(span))).alias("_r"))
+                .otherwise(F.lit(float(span) * 2 + 1.0)).alias("_r"))
     width = bound.agg(F.percentile_approx("_r", 0.5)).first()[0] or 1.0
     width = max(float(width), 1e-9)
     q = idx.join(bound, "_id").select(
-        F.col("_id").alias("_qid"), F.col("_x").alias("_qx"), F.col("_s").alias("_qs"), "_r",
-        F.explode(F.sequence(F.floor((F.col("_s") - F.col("_r")) / width),
-                             F.floor((F.col("_s") + F.col("_r")) / width))).alias("_bucket"))
-    pts = idx.select("_id", "_x", "_s", F.floor(F.col("_s") / width).alias("_bucket"))
+        F.col("_id").alias("_qid"), F.col("_x").alias("_qx"), F.col("_p").alias("_qp"),
+        F.col("_s").alias("_qs"), "_r",
+        F.explode(F.sequence(F.floor((F.col("_s") - F.col("_r") * (1 + 1e-9) - 1e-9) / width),
+                             F.floor((F.col("_s") + F.col("_r") * (1 + 1e-9) + 1e-9) / width))).alias("_bucket"))
+    pts = idx.select("_id", "_x", "_p", "_s", F.floor(F.col("_s") / width).alias("_bucket"))
+    # projections carry rounding error: compare against r with a small slack
+    r = F.col("_r") * (1 + 1e-9) + 1e-9
     cand = (q.join(pts, "_bucket")
-            .where((F.col("_id") != F.col("_qid")) & (F.abs(F.col("_s") - F.col("_qs")) <= F.col("_r")))
+            .where((F.col("_id") != F.col("_qid")) & (F.abs(F.col("_s") - F.col("_qs")) <= r))
+            .where(_dist(F.col("_qp"), F.col("_p")) <= r)
             .select("_qid", "_id", _dist(F.col("_qx"), F.col("_x")).alias("_dd")))
     w = Window.partitionBy("_qid").orderBy("_dd", "_id")
     top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
