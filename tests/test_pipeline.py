@@ -1,6 +1,5 @@
 """Feature pipeline integration and train/apply parity on the fixture tables."""
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudspark.plans.feature_model import FeatureModel, FeaturePipeline
