@@ -38,28 +38,13 @@ def curve_table(df: DataFrame, score: str = "p", label: str = "isFraud",
               .groupBy(*g, F.col(score).alias("threshold"))
               .agg(F.sum(F.col(label).cast("double")).alias("pos"),
                    F.sum((1 - F.col(label)).cast("double")).alias("neg")))
-    if not g:
-        keyed = groups.withColumn("_grp", F.lit(0))
-        g_key = ["_grp"]
-    else:
-        keyed, g_key = groups, g
-    # sort by group ascending and score descending: encode the descending score as its negation
-    keyed = keyed.withColumn("_neg_t", -F.col("threshold"))
-    cum = prefix_sums(keyed, g_key + ["_neg_t"], ["pos", "neg"])
-    # totals per group are bounded by the number of groups: collect and broadcast
-    totals = keyed.groupBy(*g_key).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    rows = sorted(totals.collect(), key=lambda r: tuple((r[k] is None, r[k]) for k in g_key))
-    spark = df.sparkSession
-    before, acc_p, acc_n = [], 0.0, 0.0
-    for r in rows:
-        before.append(tuple(r[k] for k in g_key) + (acc_p, acc_n, float(r["P"]), float(r["N"])))
-        acc_p += r["P"]
-        acc_n += r["N"]
-    schema = ", ".join(f"`{k}` {keyed.schema[k].dataType.simpleString()}" for k in g_key)
-    offs = spark.createDataFrame(before, f"{schema}, _bp double, _bn double, P double, N double")
-    out = cum.join(F.broadcast(offs), g_key)
-    tp = F.col("pos_cum") - F.col("_bp")
-    fp = F.col("neg_cum") - F.col("_bn")
+    # descending score as the ascending order of its negation; sums restart per group
+    keyed = groups.withColumn("_neg_t", -F.col("threshold"))
+    cum = prefix_sums(keyed, ["_neg_t"], ["pos", "neg"], partition_by=g)
+    # group totals: one row per group (bounded by the number of groups)
+    totals = groups.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    out = cum.join(F.broadcast(totals), g) if g else _one_row_join(cum, totals)
+    tp, fp = F.col("pos_cum"), F.col("neg_cum")
     res = out.select(*g, "threshold", "pos", "neg", tp.alias("tp"), fp.alias("fp"), "P", "N")
     return res.select("*", F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
                       F.when(F.col("P") > 0, F.col("tp") / F.col("P")).otherwise(F.lit(1.0)).alias("recall"))

@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 from ..functions.scalar import coerce_numeric, match_flag, ordinal_code
 from ..functions.time import time_feature_columns
 from .joins import attach
+from .ordering import prefix_sums
 
 # Low-cardinality categories and their code order.
 ORDINAL_COLS = {
@@ -80,26 +81,47 @@ def add_card_features(df: DataFrame, key: str = "card1", amount: str = "Transact
     return out
 
 
+# Largest (card, time bucket) group a single task may hold in the window plan.
+HOT_GROUP_ROWS = 2_000_000
+
+
 def add_point_in_time_velocity(df: DataFrame, seconds: int, suffix: str, key: str = "card1",
-                               dt: str = "TransactionDT", amount: str = "TransactionAmt") -> DataFrame:
+                               dt: str = "TransactionDT", amount: str = "TransactionAmt",
+                               id_col: str = "TransactionID", method: str = "auto",
+                               hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Count and spend of the same card in [t - seconds, t - 1], past rows only.
 
-    Exact and skew-resistant: rows are grouped by (card, time bucket of width
-    ``seconds``); each row is also copied once, narrowed to the three columns
-    needed, into the next bucket as a "past" row.  A target row therefore sees
-    every earlier row that can fall in its range, one shuffle carries the
-    whole computation, and no task ever holds a card's full history.
-    Null card or time gives null results.
+    Two exact plans:
+
+    * ``bucket``: one exchange on (card, time bucket of width ``seconds``);
+      each row is also copied once, narrowed to three columns, into the next
+      bucket as a "past" row, so a window over the bucket sees every earlier
+      row of the range.  A card's history is spread over its buckets.
+    * ``prefix``: per-card running count and spend along time
+      (``ordering.prefix_sums``, range-partitioned, so even one (card, hour)
+      holding a third of all rows is split over many tasks); the window value
+      is the running value just before ``t`` minus the one just before
+      ``t - seconds``, read at two marker rows per transaction.
+
+    ``auto`` measures the largest (card, bucket) group with one narrow
+    aggregation and uses ``bucket`` unless that group is hot.  Null card or
+    time gives null results.
     """
+    valid = F.col(key).isNotNull() & F.col(dt).isNotNull()
+    if method == "auto":
+        biggest = (df.where(valid).groupBy(key, F.floor(F.col(dt) / seconds))
+                   .agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0)
+        method = "bucket" if 2 * biggest <= hot_rows else "prefix"
+    if method == "prefix":
+        return _pit_prefix(df, seconds, suffix, key, dt, amount, id_col)
     b = F.floor(F.col(dt) / seconds)
     own = df.select("*", b.alias("_b"), F.lit(True).alias("_target"))
-    prev = df.where(F.col(key).isNotNull() & F.col(dt).isNotNull()).select(
+    prev = df.where(valid).select(
         *[F.col(c) if c in (key, dt, amount) else F.lit(None).cast(df.schema[c].dataType).alias(c)
           for c in df.columns],
         (b + 1).alias("_b"), F.lit(False).alias("_target"))
     both = own.unionByName(prev)
     w = Window.partitionBy(key, "_b").orderBy(F.col(dt)).rangeBetween(-seconds, -1)
-    valid = F.col(key).isNotNull() & F.col(dt).isNotNull()
     cnt_name, sum_name = f"card_count_{suffix}", f"card_spend_{suffix}"
     return (both.select(*df.columns, "_target",
                         F.when(valid, F.count(F.lit(1)).over(w)).alias(cnt_name),
@@ -107,6 +129,30 @@ def add_point_in_time_velocity(df: DataFrame, seconds: int, suffix: str, key: st
             .where("_target").drop("_target"))
 
 
+def _pit_prefix(df: DataFrame, seconds: int, suffix: str, key: str, dt: str, amount: str,
+                id_col: str) -> DataFrame:
+    valid = F.col(key).isNotNull() & F.col(dt).isNotNull()
+    v = df.where(valid)
+    # kind orders rows at equal time: "before t - seconds" marker, data, "up to t - 1" marker
+    data = v.select(key, F.col(dt).cast("double").alias("_x"), F.lit(1).alias("_kind"), id_col,
+                    F.lit(1.0).alias("_one"), F.coalesce(F.col(amount).cast("double"), F.lit(0.0)).alias("_amt"))
+    lo = v.select(key, (F.col(dt) - seconds).cast("double").alias("_x"), F.lit(0).alias("_kind"), id_col,
+                  F.lit(0.0).alias("_one"), F.lit(0.0).alias("_amt"))
+    hi = v.select(key, (F.col(dt) - 1).cast("double").alias("_x"), F.lit(2).alias("_kind"), id_col,
+                  F.lit(0.0).alias("_one"), F.lit(0.0).alias("_amt"))
+    cum = prefix_sums(data.unionByName(lo).unionByName(hi), ["_x", "_kind", id_col], ["_one", "_amt"],
+                      partition_by=[key])
+    at = cum.where(F.col("_kind") != 1)
+    hi_v = lambda c: F.max(F.when(F.col("_kind") == 2, F.col(c)))
+    lo_v = lambda c: F.max(F.when(F.col("_kind") == 0, F.col(c)))
+    m = at.groupBy(id_col).agg((hi_v("_one_cum") - lo_v("_one_cum")).alias("_c"),
+                               (hi_v("_amt_cum") - lo_v("_amt_cum")).alias("_s"))
+    cnt_name, sum_name = f"card_count_{suffix}", f"card_spend_{suffix}"
+    out = df.join(m, id_col, "left")
+    return out.select(*df.columns, F.when(valid, F.round(F.col("_c")).cast("bigint")).alias(cnt_name),
+                      F.when(valid, F.col("_s")).alias(sum_name))
+
+
 def add_null_indicators(df: DataFrame, cols: Sequence[str] = NULL_FLAG_COLS) -> DataFrame:
     """`<c>_was_null` (0/1) for each listed column that is present; NaN counts as null."""
     extra = []

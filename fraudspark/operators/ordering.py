@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,36 +69,86 @@ def with_row_index(df: DataFrame, order: Sequence[str | Column], name: str = "rn
 
 
 def prefix_sums(df: DataFrame, order: Sequence[str], values: Sequence[str], ascending: bool = True,
-                suffix: str = "_cum", partitions: int | None = None) -> DataFrame:
-    """Inclusive running sums of ``values`` along a total order.
-
-    ``order`` must be unique per row (aggregate ties first).  Running sums are
-    exact for integer-valued inputs.
+                suffix: str = "_cum", partitions: int | None = None,
+                partition_by: Sequence[str] = ()) -> DataFrame:
+    """Inclusive running sums of ``values`` along a total order, restarting for
+    every value of ``partition_by`` (like ``sum() OVER (PARTITION BY ... ORDER BY ...)``).
+
+    ``partition_by + order`` must be unique per row.  Range partitioning on it
+    splits even a key that holds a third of all rows over many tasks: each
+    task runs vectorised per-key cumulative sums, and the sums a key carries
+    in from earlier tasks are added from a per-task summary (one row per
+    task, collected and broadcast).  Sums restart per key, so their magnitude
+    is bounded by the key's own total.
     """
-    ocols = [F.col(c) if ascending else F.col(c).desc() for c in order]
-    ranged = (df.repartitionByRange(_partitions(df, partitions), *ocols).sortWithinPartitions(*ocols)
+    keys = list(partition_by)
+    kcols = keys or ["_k0"]
+    base = df if keys else df.withColumn("_k0", F.lit(0))
+    ocols = [F.col(k) for k in kcols] + [F.col(c) if ascending else F.col(c).desc() for c in order]
+    ranged = (base.repartitionByRange(_partitions(df, partitions), *ocols).sortWithinPartitions(*ocols)
               .withColumn("_pid", F.spark_partition_id()))
-    out_fields = ranged.schema.fields + [T.StructField(v + suffix, T.DoubleType()) for v in values]
-    schema = T.StructType(out_fields)
+    cum_names = [v + suffix for v in values]
+    schema = T.StructType(ranged.schema.fields + [T.StructField(c, T.DoubleType()) for c in cum_names]
+                          + [T.StructField("_lp", T.LongType()), T.StructField("_first", T.BooleanType())])
+
+    def key_of(pdf, i):
+        return tuple(None if pd.isna(v) else v for v in pdf[kcols].iloc[i].tolist())
 
     def local_cumsum(batches):
-        carry = np.zeros(len(values))
+        carry, last_key, first_key, pos, only_first = None, None, None, 0, True
         for pdf in batches:
             if pdf.empty:
                 continue
-            for i, v in enumerate(values):
-                cs = pdf[v].astype("float64").fillna(0.0).to_numpy().cumsum() + carry[i]
-                pdf[v + suffix] = cs
-                carry[i] = cs[-1]
+            n = len(pdf)
+            run = pdf.groupby(kcols, sort=False, dropna=False).ngroup().to_numpy()
+            vals = pdf[list(values)].astype("float64").fillna(0.0)
+            cums = vals.groupby(run).cumsum().to_numpy()
+            head = key_of(pdf, 0)
+            if first_key is None:
+                first_key = head
+            in_first_run = run == run[0]
+            if carry is not None and head == last_key:
+                cums[in_first_run] += carry
+            first_flag = np.zeros(n, dtype=bool)
+            if only_first and head == first_key:
+                first_flag[in_first_run] = True
+            if run[-1] != run[0]:
+                only_first = False
+            for j, c in enumerate(cum_names):
+                pdf[c] = cums[:, j]
+            pdf["_lp"] = np.arange(pos, pos + n, dtype="int64")
+            pdf["_first"] = first_flag
+            pos += n
+            last_key, carry = key_of(pdf, n - 1), cums[-1].copy()
             yield pdf
 
     local = materialize(ranged.mapInPandas(local_cumsum, schema), "prefix_sums")
-    totals = local.groupBy("_pid").agg(*[F.sum(F.col(v).cast("double")).alias(f"_t_{v}") for v in values])
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{v}").over(w), F.lit(0.0)).alias(f"_o_{v}")
-                                      for v in values])
-    res = local.join(F.broadcast(offsets), "_pid")
-    return res.select(*df.columns, *[(F.col(v + suffix) + F.col(f"_o_{v}")).alias(v + suffix) for v in values])
+    # one summary row per task: first key, last key and the sums of the last key's run
+    summary = local.groupBy("_pid").agg(
+        F.min_by(F.struct(*kcols), "_lp").alias("fk"),
+        F.max_by(F.struct(*kcols, *cum_names), "_lp").alias("lk")).collect()
+    summary.sort(key=lambda r: r["_pid"])
+    nk = len(kcols)
+    rows = []
+    for i, r in enumerate(summary):
+        fk = tuple(r["fk"])
+        off = np.zeros(len(values))
+        for q in range(i - 1, -1, -1):
+            lk = tuple(summary[q]["lk"])
+            if lk[:nk] != fk:
+                break
+            off += np.asarray(lk[nk:], dtype="float64")
+            if tuple(summary[q]["fk"]) != lk[:nk]:
+                break                          # that task started with another key
+        rows.append((int(r["_pid"]), *map(float, off)))
+    offs = df.sparkSession.createDataFrame(
+        rows or [(0, *([0.0] * len(values)))],
+        T.StructType([T.StructField("_pid", T.IntegerType())]
+                     + [T.StructField(f"_o_{v}", T.DoubleType()) for v in values]))
+    res = local.join(F.broadcast(offs), "_pid", "left")
+    return res.select(*df.columns, *[
+        (F.col(c) + F.when(F.col("_first"), F.coalesce(F.col(f"_o_{v}"), F.lit(0.0))).otherwise(F.lit(0.0)))
+        .alias(c) for v, c in zip(values, cum_names)])
 
 
 def contiguous_fold(rn: Column, n: int, k: int) -> Column:

@@ -80,3 +80,19 @@ def test_smote_balances_and_stays_on_segments(spark):
     lo, hi = mino.min(0), mino.max(0)
     assert ((syn[["a", "b"]].to_numpy() >= lo - 1e-9) & (syn[["a", "b"]].to_numpy() <= hi + 1e-9)).all()
     assert len(pd.unique(syn.TransactionID)) == len(syn)
+
+
+def test_point_in_time_plans_agree(spark):
+    from fraudspark.operators import features as fe
+    t = tb.txn(spark, MEDIUM).select("TransactionID", "card1", "TransactionDT", "TransactionAmt")
+    a = fe.add_point_in_time_velocity(t, 3600, "1h", method="bucket").toPandas().sort_values("TransactionID")
+    b = fe.add_point_in_time_velocity(t, 3600, "1h", method="prefix").toPandas().sort_values("TransactionID")
+    assert (a["card_count_1h"].to_numpy() == b["card_count_1h"].to_numpy()).all()
+    assert np.allclose(a["card_spend_1h"], b["card_spend_1h"], atol=1e-9)
+
+
+def test_grouped_prefix_sums_with_hot_key(spark):
+    df = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 > 0, F.lit(1)).otherwise(F.col("id") % 11)
+                                  .alias("k"), (F.col("id") % 5).cast("double").alias("v"))
+    out = od.prefix_sums(df, ["id"], ["v"], partition_by=["k"], partitions=7).toPandas().sort_values(["k", "id"])
+    assert np.allclose(out["v_cum"], out.groupby("k")["v"].cumsum())
