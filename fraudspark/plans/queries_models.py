@@ -46,7 +46,8 @@ def _trained(spark, sf):
 
 
 @register("knn_minority", """
-WITH m AS (SELECT vec_id, cast(embedding AS DOUBLE[]) AS x FROM embeddings WHERE label = 0),
+WITH mc AS (SELECT label FROM embeddings GROUP BY label ORDER BY count(*), label LIMIT 1),
+m AS (SELECT vec_id, cast(embedding AS DOUBLE[]) AS x FROM embeddings WHERE label = (SELECT label FROM mc)),
 d AS (SELECT a.vec_id, b.vec_id AS neighbour,
              list_distance(a.x, b.x) AS distance
       FROM m a JOIN m b ON a.vec_id <> b.vec_id)
@@ -55,8 +56,10 @@ SELECT vec_id, neighbour, cast(rank AS int) AS rank, """ + s6("distance") + """
 WHERE rank <= 5
 """)
 def q_knn(spark, sf):
-    """Exact 5 nearest neighbours inside one class of the embedding table."""
-    e = tb.read_table(spark, sf, "embeddings").where(F.col("label") == 0).select("vec_id", "embedding")
+    """Exact 5 nearest neighbours inside the minority (least frequent) class of the embedding table."""
+    emb = tb.read_table(spark, sf, "embeddings")
+    minority = emb.groupBy("label").count().orderBy("count", "label").first()["label"]
+    e = emb.where(F.col("label") == minority).select("vec_id", "embedding")
     nn = rs.knn(e, "vec_id", "embedding", 5)
     return nn.select("vec_id", "neighbour", "rank", r6("distance").alias("distance"))
 
