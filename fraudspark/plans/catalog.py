@@ -31,18 +31,20 @@ def register(name: str, sql: str | None = None):
 # Both engines round the same nudged value: a true tie at the last place
 # (means of 3-decimal scores over 16 rows, say) is pushed the same way on both
 # sides instead of depending on the last bit of each engine's summation order.
-_ABS_NUDGE, _REL_NUDGE = 1e-12, 1e-11
+# The nudge stays far below half a unit of the last place (capped at 1e-8).
+_ABS_NUDGE, _REL_NUDGE, _MAX_NUDGE = 1e-12, 1e-11, 1e-8
 
 
 def r6(c: Column | str, places: int = 6) -> Column:
     c = (F.col(c) if isinstance(c, str) else c).cast("double")
-    nudged = c + F.signum(c) * (F.lit(_ABS_NUDGE) + F.abs(c) * F.lit(_REL_NUDGE))
-    return F.round(nudged, places) + F.lit(0.0)
+    nudge = F.least(F.lit(_ABS_NUDGE) + F.abs(c) * F.lit(_REL_NUDGE), F.lit(_MAX_NUDGE))
+    return F.round(c + F.signum(c) * nudge, places) + F.lit(0.0)
 
 
 def s6(expr: str, places: int = 6) -> str:
     x = f"cast({expr} as double)"
-    return f"(round({x} + sign({x}) * ({_ABS_NUDGE} + abs({x}) * {_REL_NUDGE}), {places}) + 0.0)"
+    nudge = f"least({_ABS_NUDGE} + abs({x}) * {_REL_NUDGE}, {_MAX_NUDGE})"
+    return f"(round({x} + sign({x}) * {nudge}, {places}) + 0.0)"
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:

@@ -112,12 +112,12 @@ m AS (SELECT CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p1, CASE
              cast(tp + fn AS double) AS s1, cast(tn + fp AS double) AS s0, tp, tn FROM cf),
 f AS (SELECT *, CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0.0 END AS f1,
              CASE WHEN p0 + r0 > 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f0 FROM m)
-SELECT 'Legitimate' AS label, {s6('p0')} AS precision, {s6('r0')} AS recall, {s6('f0')} AS f1, s0 AS support FROM f
-UNION ALL SELECT 'Fraud', {s6('p1')}, {s6('r1')}, {s6('f1')}, s1 FROM f
-UNION ALL SELECT 'accuracy', NULL, NULL, {s6('(tp + tn) / (s0 + s1)')}, s0 + s1 FROM f
-UNION ALL SELECT 'macro avg', {s6('(p0 + p1) / 2')}, {s6('(r0 + r1) / 2')}, {s6('(f0 + f1) / 2')}, s0 + s1 FROM f
+SELECT 'Legitimate' AS label, {s6('p0')} AS precision, {s6('r0')} AS recall, {s6('f0')} AS f1, {s6('s0')} AS support FROM f
+UNION ALL SELECT 'Fraud', {s6('p1')}, {s6('r1')}, {s6('f1')}, {s6('s1')} FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, {s6('(tp + tn) / (s0 + s1)')}, {s6('s0 + s1')} FROM f
+UNION ALL SELECT 'macro avg', {s6('(p0 + p1) / 2')}, {s6('(r0 + r1) / 2')}, {s6('(f0 + f1) / 2')}, {s6('s0 + s1')} FROM f
 UNION ALL SELECT 'weighted avg', {s6('(p0 * s0 + p1 * s1) / (s0 + s1)')}, {s6('(r0 * s0 + r1 * s1) / (s0 + s1)')},
-                 {s6('(f0 * s0 + f1 * s1) / (s0 + s1)')}, s0 + s1 FROM f
+                 {s6('(f0 * s0 + f1 * s1) / (s0 + s1)')}, {s6('s0 + s1')} FROM f
 """, "scored"))
 def q_report(spark, sf):
     return rounded(ev.classification_report(_scored(spark, sf)))
