@@ -111,8 +111,15 @@ class TrainedModel:
 
 
 def fit_model(name: str, train: DataFrame, feature_columns: Sequence[str], label: str = "isFraud",
-              n_trees: int = PRESET_TREES, key: str = "TransactionID") -> TrainedModel:
-    """Fit one candidate on a filled feature table (label column ``label``)."""
+              n_trees: int = PRESET_TREES, key: str = "TransactionID",
+              calibrate_on_real_rows: bool = True) -> TrainedModel:
+    """Fit one candidate on a filled feature table (label column ``label``).
+
+    ``calibrate_on_real_rows``: the isotonic maps of ``calibrated`` are fitted
+    on held-out rows that are not synthetic (negative keys mark oversampled
+    rows), so probabilities keep the real class prior; ``False`` calibrates on
+    the rebalanced rows as the original did.
+    """
     data = train.withColumn("label", F.col(label).cast("double"))
     asm = assemble(feature_columns)
     if name == "gbt_a":
@@ -136,8 +143,10 @@ def fit_model(name: str, train: DataFrame, feature_columns: Sequence[str], label
         boosters, isos = [], []
         for k in range(CALIBRATION_FOLDS):
             b = Pipeline(stages=[asm, _gbt(n_trees, "w", 1)]).fit(data.where(F.col("_cfold") != k))
-            held = positive_probability(b.transform(data.where(F.col("_cfold") == k)), out="_raw") \
-                .select("_raw", "label")
+            held_rows = data.where(F.col("_cfold") == k)
+            if calibrate_on_real_rows:
+                held_rows = held_rows.where(F.col(key) >= 0)
+            held = positive_probability(b.transform(held_rows), out="_raw").select("_raw", "label")
             iso = IsotonicRegression(featuresCol="_raw", labelCol="label").fit(held)
             boosters.append(b)
             isos.append(iso)

@@ -219,3 +219,19 @@ def q_leaderboard(spark, sf):
 def q_champion(spark, sf):
     ch = mdl.champion(_formula_runs(spark, sf), list(_FORMULAS))
     return rounded(ch.select("model", "val_pr_auc", "test_pr_auc"))
+
+
+@register("stream_score_model")
+def q_stream_score_model(spark, sf):
+    """The champion scoring a stream: fitted features with the frozen card profile
+    (static state joined to each micro-batch), aligned, filled, scored, decided."""
+    from ..streaming import jobs as sj
+    res = _trained(spark, sf)
+    fm, model, manifest = load_champion(spark, res["out_dir"])
+    src_df = tb.txn(spark, sf).drop("p", "isFraud")
+    src = scratch_path(spark, "score_stream_src")
+    src_df.repartitionByRange(6, "TransactionDT").write.mode("overwrite").parquet(src)
+    stream = sj.transaction_stream(spark, src, src_df.schema, 2)
+    out, ck = scratch_path(spark, "score_stream_out"), scratch_path(spark, "score_stream_ck")
+    sj.run_scoring(stream, lambda s: score_table(s, fm, model, manifest, frozen_profile=True), out, ck)
+    return spark.read.parquet(out)
