@@ -39,9 +39,14 @@ def event_timestamp(dt: Column) -> Column:
 
 
 def transaction_stream(spark: SparkSession, path: str, schema: T.StructType,
-                       max_files_per_trigger: int = 1, fmt: str = "parquet") -> DataFrame:
-    return (spark.readStream.schema(schema).format(fmt)
-            .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
+                       max_files_per_trigger: int = 1, fmt: str = "parquet",
+                       glob: str | None = None) -> DataFrame:
+    """File source with a fixed schema; ``glob`` reads only matching file names
+    (one table out of a shared landing folder)."""
+    r = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files_per_trigger)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return r.load(path)
 
 
 def _run(writer) -> None:

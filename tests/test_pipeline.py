@@ -36,3 +36,26 @@ def test_frozen_profile_scoring_single_row(spark):
     out = fm.transform(one, frozen_profile=True).first()
     assert out["card_txn_count"] >= 1       # profile from training, not the single row
     assert out["amount_zscore"] is not None
+
+
+def test_ingest_refuses_before_writing(spark):
+    import os
+
+    import pytest
+
+    from fraudspark.operators.quality import DataQualityError
+    from fraudspark.plans.ingest import ingest
+    out = scratch_path(spark, "ingest_fail")
+    bad = tb.transactions(spark, SMALL).drop("isFraud")
+    with pytest.raises(DataQualityError, match="Missing required columns"):
+        ingest(spark, bad, tb.identity(spark, SMALL), out)
+    assert not os.path.exists(out.replace("file:", ""))
+
+
+def test_ingest_join_keeps_every_transaction(spark):
+    from fraudspark.plans.ingest import ingest
+    t = tb.transactions(spark, SMALL)
+    res = ingest(spark, t, tb.identity(spark, SMALL), scratch_path(spark, "ingest_ok"))
+    merged = spark.read.parquet(res.merged_path)
+    assert merged.count() == t.count()
+    assert merged.where("DeviceInfo IS NOT NULL").count() > 0
