@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from ..functions.scalar import coerce_numeric, match_flag, ordinal_code
 from ..functions.time import time_feature_columns
+from ..session import materialize
 from .joins import attach
 from .ordering import prefix_sums
 
@@ -63,8 +64,14 @@ def add_card_features(df: DataFrame, key: str = "card1", amount: str = "Transact
     with frozen statistics (streams, single rows).
     """
     has_id = "TransactionID" in df.columns
-    prof = profile if profile is not None else card_profile(df, key, amount,
-                                                            "TransactionID" if has_id else None)
+    prof = profile
+    if prof is None:
+        # Batch mode: build the profile first (a narrow aggregation, written
+        # once) and count it, so the join can broadcast it when it is small
+        # instead of shuffling the full-width frame; a large profile falls back
+        # to a skew-aware sort-merge join.
+        prof = materialize(card_profile(df, key, amount, "TransactionID" if has_id else None), "card_profile")
+        profile_rows = prof.count()
     joined = attach(df, prof, key, known_rows=profile_rows)
     amt = F.col(amount)
     # Batch mode without an id column: every row counts as one transaction of

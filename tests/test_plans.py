@@ -26,10 +26,13 @@ def test_scan_is_pruned_and_filtered(spark):
 
 
 def test_card_statistics_use_aggregate_not_window(spark):
-    df = fe.add_card_features(tb.txn(spark, SMALL).select("TransactionID", "card1", "TransactionAmt"))
-    plan = _initial(df)
+    t = tb.txn(spark, SMALL).select("TransactionID", "card1", "TransactionAmt")
+    prof_plan = _initial(fe.card_profile(t))
+    assert "partial_avg" in prof_plan                        # map-side partial aggregation
+    plan = _plan(fe.add_card_features(t))
     assert "Window" not in plan
-    assert "HashAggregate" in plan and "partial_avg" in plan     # map-side partial aggregation
+    # the counted profile is broadcast: the full-width frame is never shuffled
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
 def test_point_in_time_velocity_single_shuffle(spark):
