@@ -75,8 +75,10 @@ def eval_metrics(df: DataFrame, score: str = "p", label: str = "isFraud", thresh
     P, N = F.first("P"), F.first("N")
     hit = F.col("recall") >= recall_target
     curve = cv.groupBy(*g).agg(
-        F.sum(F.col("pos") / F.col("P") * F.col("precision")).alias("pr_auc"),
-        (F.sum(F.col("pos") * (F.col("N") - F.col("fp") + F.col("neg") / 2)) / (P * N)).alias("roc_auc"),
+        F.sum(F.try_divide(F.col("pos"), F.col("P")) * F.col("precision")).alias("pr_auc"),
+        # undefined with a single class: null instead of a divide error
+        F.try_divide(F.sum(F.col("pos") * (F.col("N") - F.col("fp") + F.col("neg") / 2)),
+                     F.when(P * N > 0, P * N)).alias("roc_auc"),
         F.coalesce(F.max(F.when(hit, F.col("precision"))), F.lit(0.0)).alias("precision_at_80_rec"),
         F.coalesce(F.min(F.when(hit, F.col("threshold"))), F.lit(1.0)).alias("threshold_at_80_rec"))
     cm = confusion(df, score, label, threshold, g).select(

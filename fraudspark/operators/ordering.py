@@ -207,6 +207,8 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float],
     spans = idx.groupBy(*g).agg(F.min("_rn").alias("_start"), F.count(F.lit(1)).alias("_n")).collect()
     rows = []
     for r in spans:
+        if not r["_n"] or r["_start"] is None:     # empty input: no quantiles
+            continue
         n, start = int(r["_n"]), int(r["_start"])
         for q in quantiles:
             h = (n - 1) * float(q)
