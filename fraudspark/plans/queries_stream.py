@@ -15,6 +15,7 @@ from ..operators.encoders import materialize
 from ..operators.score import decide
 from ..session import _local_path, scratch_path
 from ..sources import tables as tb
+from ..functions.time import event_time
 from ..streaming import jobs as sj
 from .catalog import r6, register, rounded, s6
 from .queries_encode import _SPLIT_CTE
@@ -130,7 +131,9 @@ def _window_stream(spark, sf, name, duration, slide):
         s = stream.withColumnRenamed("p", "fraud_probability")
         sj.run_window_metrics(s, out, ck, "event_time", duration, slide, "1 hour")
     out = _run_stream(spark, sf, name, build)
-    return rounded(out.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+    # format the window start in UTC whatever the session time zone is
+    start = event_time(F.unix_seconds(F.col("window_start")) - F.lit(sj.REFERENCE_EPOCH))
+    return rounded(out.select(F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                               "n_transactions", "pct_approve", "pct_review", "pct_decline", "score_mean",
                               "actual_fraud_rate"))
 
