@@ -122,10 +122,16 @@ def prune_list(df: DataFrame, threshold: float = PRUNE_THRESHOLD, min_cols: int
 
 
 def label_correlation(df: DataFrame, label: str, cols: Sequence[str] | None = None) -> DataFrame:
-    """|corr(c, label)| for every numeric column except the label, long form."""
+    """|corr(c, label)| for every numeric column except the label, long form.
+
+    The columns are unpivoted to (column_name, x, y) inside each task and
+    grouped by column name: three small aggregates whatever the column count
+    (partial aggregation before the shuffle, so the shuffle carries one row
+    per column per task), instead of one very wide aggregate.
+    """
     cols = [f.name for f in df.schema.fields
             if isinstance(f.dataType, T.NumericType) and f.name != label] if cols is None else list(cols)
-    lab = F.col(label).cast("double")
-    wide = df.agg(*[F.abs(_pair_corr(F.col(c).cast("double"), lab)).alias(c) for c in cols])
-    stack = ", ".join(f"'{c}', `{c}`" for c in cols)
-    return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, abs_corr)")
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("x")) for c in cols])
+    long = df.select(F.col(label).cast("double").alias("y"), F.explode(pairs).alias("p")) \
+        .select("p.column_name", "p.x", "y")
+    return long.groupBy("column_name").agg(F.abs(_pair_corr(F.col("x"), F.col("y"))).alias("abs_corr"))
