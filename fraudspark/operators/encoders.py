@@ -107,22 +107,34 @@ def category_label_stats(df: DataFrame, cols: Sequence[str], label: str,
             .agg(F.count(label).alias("n"), F.sum(F.col(label).cast("double")).alias("s")))
 
 
+_ALL = "__all_rows__"
+
+
 def fit_target_encoding(df: DataFrame, cols: Sequence[str], label: str = "isFraud",
                         smoothing: float = 1.0) -> TargetEncoding:
-    """Smoothed mean: (n * mean + smoothing * g) / (n + smoothing), g = label mean."""
+    """Smoothed mean: (n * mean + smoothing * g) / (n + smoothing), g = label mean.
+
+    One pass over the data: the global label mean rides along in the same
+    aggregation as one extra pseudo-category; the smoothing is then applied to
+    the small per-category table.
+    """
     if label not in df.columns:
         raise ValueError("target encoding needs the label column")
     cols = [c for c in cols if c in df.columns]
-    g = df.agg(F.avg(label)).first()[0]
-    g = float(g) if g is not None else 0.0
-    stats = category_label_stats(df, cols, label)
+    pairs = F.array(F.struct(F.lit(_ALL).alias("col"), F.lit(_ALL).alias("category")),
+                    *[F.struct(F.lit(c).alias("col"), _cat(c).alias("category")) for c in cols])
+    stats = materialize(
+        df.select(label, F.explode(pairs).alias("_p"))
+        .where(F.col("_p.category").isNotNull())
+        .groupBy(F.col("_p.col").alias("col"), F.col("_p.category").alias("category"))
+        .agg(F.count(label).alias("n"), F.sum(F.col(label).cast("double")).alias("s")))
+    tot = stats.where(F.col("col") == _ALL).first()
+    g = float(tot["s"] / tot["n"]) if tot is not None and tot["n"] else 0.0
     mean = F.col("s") / F.col("n")
-    state = stats.select("col", "category", "n", "s",
-                         ((F.col("n") * mean + F.lit(smoothing * g)) / (F.col("n") + F.lit(smoothing)))
-                         .alias("value"))
-    state = materialize(state)
-    rows = state.count()
-    return TargetEncoding(list(cols), g, smoothing, state, rows)
+    state = materialize(stats.where(F.col("col") != _ALL).select(
+        "col", "category", "n", "s",
+        ((F.col("n") * mean + F.lit(smoothing * g)) / (F.col("n") + F.lit(smoothing))).alias("value")))
+    return TargetEncoding(list(cols), g, smoothing, state, state.count())
 
 
 def target_encode_out_of_fold(df: DataFrame, enc: TargetEncoding, label: str, fold: str) -> DataFrame:
