@@ -123,13 +123,15 @@ class FeaturePipeline:
             x = x.withColumn("_fold", contiguous_fold(F.col(position), n_rows, self.n_splits)).drop(position)
         else:
             x = add_folds(x, self.n_splits, self.dt, self.key, fold="_fold")
-        x = x.persist(StorageLevel.MEMORY_AND_DISK)
+        base = x = x.persist(StorageLevel.MEMORY_AND_DISK)
         te = enc.fit_target_encoding(x, self.target_cols, self.label, self.smoothing)
         x = enc.target_encode_out_of_fold(x, te, self.label, "_fold").drop("_fold")
         fq = enc.fit_frequency_encoding(x, self.freq_cols, self.normalize_freq)
         x = fq.transform(x)
         model = FeatureModel(self.key, self.label, self.dt, self.fold_case, te, fq, [])
         x = model._finish(x).persist(StorageLevel.MEMORY_AND_DISK)
+        x.count()              # materialise the features, then release the intermediate copy
+        base.unpersist()
         vc = prune.v_columns(x)
         if len(vc) > self.min_v_cols:
             model.dropped_v = prune.prune_list(x, self.prune_threshold, self.min_v_cols)
