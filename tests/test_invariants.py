@@ -96,3 +96,16 @@ def test_grouped_prefix_sums_with_hot_key(spark):
                                   .alias("k"), (F.col("id") % 5).cast("double").alias("v"))
     out = od.prefix_sums(df, ["id"], ["v"], partition_by=["k"], partitions=7).toPandas().sort_values(["k", "id"])
     assert np.allclose(out["v_cum"], out.groupby("k")["v"].cumsum())
+
+
+def test_auto_velocity_switches_plan_for_hot_groups(spark):
+    from fraudspark.operators import features as fe
+    t = tb.txn(spark, SMALL).select("TransactionID", "card1", "TransactionDT", "TransactionAmt")
+    normal = fe.add_point_in_time_velocity(t, 86400, "24h")                 # small groups: bucket plan
+    hot = fe.add_point_in_time_velocity(t, 86400, "24h", hot_rows=2)        # every group "hot": prefix plan
+    assert "Window" in normal._jdf.queryExecution().analyzed().toString()
+    assert "Window" not in hot._jdf.queryExecution().analyzed().toString()
+    a = normal.toPandas().sort_values("TransactionID")
+    b = hot.toPandas().sort_values("TransactionID")
+    assert (a["card_count_24h"].to_numpy() == b["card_count_24h"].to_numpy()).all()
+    assert np.allclose(a["card_spend_24h"], b["card_spend_24h"], atol=1e-9)
