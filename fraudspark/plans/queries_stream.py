@@ -173,3 +173,18 @@ def q_stream_alarm(spark, sf):
     sj.run_batch_means(stream, out, ck)
     sums = spark.read.parquet(out).groupBy("batch").agg((F.sum("s") / F.sum("n")).alias("mean_score"))
     return rounded(mo.drift_alarm_from_means(sums))
+
+
+@register("stream_glob_source", tb.with_views(
+    "SELECT TransactionID, TransactionAmt, isFraud FROM txn", "txn"))
+def q_stream_glob_source(spark, sf):
+    """A shared landing folder holding two tables in two formats; the stream
+    reads only the transaction files, selected by a file-name glob."""
+    land = scratch_path(spark, "landing")
+    tb.identity(spark, sf).write.mode("overwrite").json(land)
+    src_df = tb.txn(spark, sf).select("TransactionID", "TransactionAmt", "isFraud")
+    src_df.repartition(4).write.mode("append").parquet(land)
+    stream = sj.transaction_stream(spark, land, src_df.schema, 2, glob="*.parquet")
+    out, ck = scratch_path(spark, "landing_out"), scratch_path(spark, "landing_ck")
+    sj.run_to_parquet(stream, out, ck)
+    return spark.read.parquet(out)
