@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, licenses, secrets
+from . import exact_dedup, licenses, secrets, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,8 @@ SELECT ranked.doc_id, best.keep_id, ranked.group_size, ranked.doc_id IS NOT DIST
        sha256(ranked.norm) AS text_sha256
 FROM ranked JOIN best ON ranked.norm = best.norm
 """
+
+
+@query
+def op3_simhash(spark, sf_dir):
+    return simhash.components_of(table(spark, sf_dir, "documents"))

@@ -38,8 +38,8 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 REACH = 48
 #: Text around a candidate that the compressor has seen before it.
 CONTEXT = 2048
-#: A candidate is reported when it adds at least so many bytes per character (random hex adds 0.5 to 1).
-NOVELTY = 0.42
+#: A candidate is reported when it adds at least so many bytes per character (random hex adds 1 and more, identifiers with digits up to 0.9).
+NOVELTY = 0.95
 #: Longer strings are measured piece by piece, so a measurement stays small.
 PIECE = 256
 
