@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, licenses, secrets, simhash
+from . import exact_dedup, licenses, secrets, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ FROM ranked JOIN best ON ranked.norm = best.norm
 @query
 def op3_simhash(spark, sf_dir):
     return simhash.components_of(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

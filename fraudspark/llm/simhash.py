@@ -180,7 +180,7 @@ def join_nodes(keys: np.ndarray, side: np.ndarray, same: bool, depth: int, diffe
     if n1 and (same or n1 < len(keys)):
         for most in sorted({1, 2, budget}):  # near links first: what they connect is skipped later
             if differing <= most <= budget:
-                _walk(keys, forest, start, 63 - depth, most, min(half, most))
+                _walk(keys, forest, start, 63 - depth, most, min(half, max(1, most // 2)))
     out = np.empty(len(keys), dtype=np.int64)
     out[order] = order[forest.root]
     return out
