@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, licenses, secrets, simhash, toxicity
+from . import exact_dedup, licenses, lm_score, secrets, simhash, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op3_simhash(spark, sf_dir):
 @query
 def op4_toxicity(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_lm_score(spark, sf_dir):
+    return lm_score.score(table(spark, sf_dir, "documents"))
