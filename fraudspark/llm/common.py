@@ -45,7 +45,7 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def lookup(big: DataFrame, small: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+def lookup(big: DataFrame, small: DataFrame, key: str | list[str], hot: DataFrame) -> DataFrame:
     """Left join of ``big`` with ``small`` (one row per ``key``) that survives hot keys.
 
     ``hot`` holds the keys of ``small`` that own so many rows of ``big`` that they are few by

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, licenses, lm_score, secrets, simhash, toxicity
+from . import exact_dedup, licenses, lm_score, secrets, simhash, substring_dedup, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op4_toxicity(spark, sf_dir):
 @query
 def op9_lm_score(spark, sf_dir):
     return lm_score.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_substring_dedup(spark, sf_dir):
+    return substring_dedup.changed(table(spark, sf_dir, "documents"))
