@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, licenses, lm_score, secrets, simhash, substring_dedup, toxicity
+from . import decontaminate, exact_dedup, licenses, lm_score, secrets, simhash, substring_dedup, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op9_lm_score(spark, sf_dir):
 @query
 def op10_substring_dedup(spark, sf_dir):
     return substring_dedup.changed(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
