@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, licenses, lm_score, secrets, simhash, substring_dedup, toxicity
+from . import decontaminate, exact_dedup, licenses, lm_score, secrets, simhash, substring_dedup, toxicity, warc_revisit
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +73,49 @@ def op10_substring_dedup(spark, sf_dir):
 @query
 def op8_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def page_captures(pages):
+    """A capture log over the pages: every page is a full response; a page whose id is no multiple of
+    three is asked for again later under another spelling of its URL and answered with a 304, every
+    seventh of them with another entity tag."""
+    n = F.col("page_id")
+    # ids follow each other in time, a repeat comes when the next pages have been fetched
+    response = pages.select(
+        (2 * n).alias("record_id"), "url", (10 * n).alias("captured_at"), F.lit(200).alias("status"),
+        F.create_map(F.lit("ETag"), F.md5("html"), F.lit("Content-Length"), F.length("html").cast("string"), F.lit("Date"), (10 * n).cast("string"),
+                     F.lit("Cache-Control"), F.lit("max-age=60")).alias("headers"))
+    revisit = pages.filter(n % 3 != 0).select(
+        (2 * n + 1).alias("record_id"), F.concat(F.col("url"), F.lit("#again")).alias("url"), (10 * n + 10 * (1 + n % 50) + 5).alias("captured_at"), F.lit(304).alias("status"),
+        F.create_map(F.lit("etag"), F.when(n % 7 == 0, F.lit("other")).otherwise(F.md5("html")), F.lit("content-length"), F.lit("0"),
+                     F.lit("date"), (10 * n + 10 * (1 + n % 50) + 5).cast("string")).alias("headers"))
+    return response.unionByName(revisit)
+
+
+@query
+def op7_warc_revisit(spark, sf_dir):
+    found = warc_revisit.resolve(page_captures(table(spark, sf_dir, "pages")))
+    return found.select("record_id", "canonical_url", "response_id", "outcome",
+                        F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat_ws("=", e["key"], e["value"]))), ";").alias("headers"))
+
+
+ORACLE["op7_warc_revisit"] = r"""
+WITH u AS (
+  SELECT page_id, html, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS u FROM pages),
+c AS (
+  SELECT page_id, html,
+    regexp_replace(regexp_replace(lower(regexp_extract(u, '^([^/?]*)', 1)), ':(80|443)$', ''), '^www\.', '') ||
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_extract(u, '^[^/?]*(.*)$', 1),
+      '([?&])(utm_[a-z]+|ref|fbclid|gclid)=[^&]*', '\1', 'g'), '&+', '&', 'g'), '\?&', '?', 'g'), '[?&]+$', ''), '/+$', '') AS canon
+  FROM u),
+r AS (
+  SELECT 2 * page_id + 1 AS record_id, canon, 10 * page_id + 10 * (1 + page_id % 50) + 5 AS t,
+         CASE WHEN page_id % 7 = 0 THEN 'other' ELSE md5(html) END AS etag
+  FROM c WHERE page_id % 3 <> 0),
+f AS (SELECT 2 * page_id AS response_id, canon, 10 * page_id AS t, md5(html) AS etag, length(html) AS n FROM c),
+m AS (SELECT r.*, f.response_id AS stored, f.etag AS stored_etag, f.n FROM r ASOF LEFT JOIN f ON r.canon = f.canon AND r.t > f.t)
+SELECT record_id, canon AS canonical_url, CASE WHEN etag = stored_etag THEN stored END AS response_id,
+       CASE WHEN stored IS NULL THEN 'missing' WHEN etag = stored_etag THEN 'resolved' ELSE 'changed' END AS outcome,
+       CASE WHEN etag = stored_etag THEN 'cache-control=max-age=60;content-length=' || n || ';date=' || t || ';etag=' || etag END AS headers
+FROM m
+"""
