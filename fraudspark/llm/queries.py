@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, licenses, lm_score, secrets, simhash, substring_dedup, toxicity, warc_revisit
+from . import decontaminate, exact_dedup, licenses, lm_score, mixing, secrets, simhash, substring_dedup, toxicity, warc_revisit
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,8 @@ SELECT record_id, canon AS canonical_url, CASE WHEN etag = stored_etag THEN stor
        CASE WHEN etag = stored_etag THEN 'cache-control=max-age=60;content-length=' || n || ';date=' || t || ';etag=' || etag END AS headers
 FROM m
 """
+
+
+@query
+def op6_mixing(spark, sf_dir):
+    return mixing.rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
