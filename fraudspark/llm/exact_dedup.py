@@ -33,7 +33,8 @@ def normalised(text: Column) -> Column:
 
 def _collided(docs: DataFrame, repeated: DataFrame) -> DataFrame:
     """Hashes under which different normalised texts meet (none, unless the hash collides)."""
-    texts = docs.join(repeated.select("h"), "h", "left_semi")
+    # a merge join at every size: whether the repeated hashes fit a broadcast must not decide the plan
+    texts = docs.join(repeated.select("h").hint("merge"), "h", "left_semi")
     return (texts.groupBy("h").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
             .filter("lo <> hi").select("h", F.lit(True).alias("collided")))
 
