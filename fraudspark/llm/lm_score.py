@@ -80,48 +80,44 @@ class Lattice:
     """Recursions over the segmentations of a word.
 
     The forward value of a position is kept as a mantissa and a count of raises, that is in log space
-    with one logarithm at the end, whatever the word's length.
+    with one logarithm at the end, whatever the word's length.  It depends on the letters before the
+    position only, so words that come in order share the values of their common start.
     """
 
     def __init__(self, probability: dict[str, float]):
         self.p = {p: w for p, w in probability.items() if p != END}
-        self.prefixes = {p[:k] for p in self.p for k in range(1, len(p) + 1)}
-        self.reach = max(map(len, self.p))
-
-    def _spelt(self, c: str) -> float:
-        return math.prod(self.p[f"<0x{b:02X}>"] for b in c.encode("utf-8", "replace"))
-
-    def forward(self, s: str, arcs: list | None = None) -> tuple[list[float], list[int]]:
-        """Forward values and raises of every position; ``arcs`` gets (from, to, piece, probability)."""
-        n, probability, prefixes = len(s), self.p, self.prefixes
-        f, raised, up = [0.0] * (n + 1), [0] * (n + 1), 0
-        f[0] = 1.0
-        for i in range(n):
-            if f[i] < TINY:
-                up += 1
-                for k in range(i, min(n, i + self.reach) + 1):
-                    f[k] /= TINY
-            raised[i] = up
-            here, j, known = f[i], i + 1, False
-            while j <= n and (piece := s[i:j]) in prefixes:
-                if (w := probability.get(piece)) is not None:
-                    f[j] += here * w
-                    known |= j == i + 1
-                    if arcs is not None:
-                        arcs.append((i, j, piece, w))
-                j += 1
-            if not known:
-                w = self._spelt(s[i])
-                f[i + 1] += here * w
-                if arcs is not None:
-                    arcs.append((i, i + 1, s[i], w))
-        raised[n] = up
-        return f, raised
+        self.suffixes = {p[k:] for p in self.p for k in range(len(p))}
+        self.last, self.f, self.raised, self.arcs = "", [1.0], [0], [[]]
+
+    def forward(self, s: str) -> None:
+        """Fill f, raised and arcs, the arcs (from, piece, probability) that end at a position."""
+        common, last = 0, self.last
+        while common < len(s) and common < len(last) and s[common] == last[common]:
+            common += 1
+        f, raised, arcs, get, suffixes = self.f, self.raised, self.arcs, self.p.get, self.suffixes
+        del f[common + 1:], raised[common + 1:], arcs[common + 1:]
+        for j in range(common + 1, len(s) + 1):
+            total, up, here, i = 0.0, raised[-1], [], j - 1
+            while i >= 0 and (piece := s[i:j]) in suffixes:
+                if (w := get(piece)) is not None:
+                    here.append((i, piece, w))
+                    total += f[i] * w if raised[i] == up else f[i] * w / TINY ** (up - raised[i])
+                i -= 1
+            if not here or here[0][0] != j - 1:  # the character is no piece: spell it
+                w = math.prod(self.p[f"<0x{b:02X}>"] for b in s[j - 1].encode("utf-8", "replace"))
+                here.append((j - 1, s[j - 1], w))
+                total += f[j - 1] * w
+            if total < TINY:
+                total, up = total / TINY, up + 1
+            f.append(total)
+            raised.append(up)
+            arcs.append(here)
+        self.last = s
 
     def score(self, word: bytes) -> float:
         """Natural log of the word's marginal probability."""
-        f, raised = self.forward(MARK + word.decode("utf-8", "replace"))
-        return math.log(f[-1]) + raised[-1] * math.log(TINY)
+        self.forward(MARK + word.decode("utf-8", "replace"))
+        return math.log(self.f[-1]) + self.raised[-1] * math.log(TINY)
 
     def expect(self, word: bytes, weight: float, into: dict[str, float]) -> None:
         """Add the expected piece counts of ``weight`` occurrences of the word.
@@ -129,23 +125,24 @@ class Lattice:
         Backwards from the end, a position's posterior mass is dealt to the arcs that end there in
         proportion to what they brought to its forward value.
         """
-        arcs: list[tuple[int, int, str, float]] = []
-        s = MARK + word.decode("utf-8", "replace")
-        f, raised = self.forward(s, arcs)
-        mass = [0.0] * len(s) + [weight]
-        for i, j, piece, w in reversed(arcs):  # every arc from j is dealt before the arcs to j
+        self.forward(MARK + word.decode("utf-8", "replace"))
+        f, raised, mass = self.f, self.raised, [0.0] * len(self.f)
+        mass[-1] = weight
+        for j in range(len(f) - 1, 0, -1):
             if not mass[j]:
                 continue
-            x = mass[j] * f[i] * w / f[j]
-            if raised[i] != raised[j]:
-                x /= TINY ** (raised[j] - raised[i])
-            mass[i] += x
-            if piece in self.p:
-                into[piece] = into.get(piece, 0.0) + x
-            else:
-                for byte in piece.encode("utf-8", "replace"):
-                    part = f"<0x{byte:02X}>"
-                    into[part] = into.get(part, 0.0) + x
+            m = mass[j] / f[j]
+            for i, piece, w in self.arcs[j]:
+                x = m * f[i] * w
+                if raised[i] != raised[j]:
+                    x /= TINY ** (raised[j] - raised[i])
+                mass[i] += x
+                if piece in self.p:
+                    into[piece] = into.get(piece, 0.0) + x
+                else:
+                    for byte in piece.encode("utf-8", "replace"):
+                        part = f"<0x{byte:02X}>"
+                        into[part] = into.get(part, 0.0) + x
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:
@@ -199,8 +196,10 @@ def score(documents: DataFrame, vocabulary_path: str = VOCABULARY, rounds: int =
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every row."""
     spark = documents.sparkSession
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), held_out("doc_id", FOLDS).alias("held_out"))
-    # dealt out by number: the rows are few bytes and much work, which sizes by bytes would put into few tasks
-    counted = materialize(_word_counts(docs).repartition(partitions(spark), "word"), "lm_counts")
+    # in order, so that neighbours share work, and dealt out by number: the rows are few bytes and much
+    # work, which sizes by bytes would put into few tasks
+    counted = materialize(_word_counts(docs), "lm_counts")
+    counted = materialize(counted.repartitionByRange(partitions(spark), "word").sortWithinPartitions("word"), "lm_sorted")
     train_docs = docs.filter(~F.col("held_out")).count()
     sums = counted.agg(F.sum("c"), F.count(F.when(F.col("c") > 0, 1))).first()
     total, distinct = (sums[0] or 0) + train_docs, sums[1] + (train_docs > 0)
@@ -214,34 +213,29 @@ def score(documents: DataFrame, vocabulary_path: str = VOCABULARY, rounds: int =
 
     table = materialize(counted.mapInPandas(walk, "word binary, c long, n long, lp double"), "lm_words")
     frequent = table.filter(F.length("word") <= HEAD_BYTES).orderBy(F.col("n").desc(), "word").limit(HEAD_WORDS).select("word", "c", "lp").collect()
-    head = spark.sparkContext.broadcast({bytes(r["word"]): (r["c"], math.log10(r["c"] + ALPHA), r["lp"]) for r in frequent})
+    counts = np.array([r["c"] for r in frequent] + [0], dtype=np.int64)  # one place more: -1 is never counted
+    head = spark.sparkContext.broadcast(({bytes(r["word"]): i for i, r in enumerate(frequent)}, counts, np.log10(counts + ALPHA), np.array([r["lp"] for r in frequent] + [0.0])))
 
     def per_document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """One row of sums over frequent words for each document, keyed by a text that is no word (a
         space and its number), and one row for each of its other distinct words."""
-        known = head.value
+        place, c, base, lp = head.value
+        get = place.get
         for batch in batches:
-            owner, rare, times, sums = [], [], [], []
-            for rid, text in zip(batch["rid"].tolist(), batch["text"], strict=True):
-                words = words_of(text)
-                n_known, base, lp = 0, 0.0, 0.0
-                for w, n in Counter(words).items():
-                    if (k := known.get(w)) is None:
-                        owner.append(rid)
-                        rare.append(w)
-                        times.append(n)
-                    else:
-                        n_known += n * (k[0] > 0)
-                        base += n * k[1]
-                        lp += n * k[2]
-                sums.append((b" %d" % rid, len(words) + 1, n_known, base, lp))
-            key, n_tokens, n_known, base, lp = zip(*sums, strict=True) if sums else ((),) * 5
-            own = pd.DataFrame({"rid": batch["rid"], "word": key, "times": 0, "n_tokens": n_tokens, "n_known": n_known, "base": base, "lp": lp,
+            rids, texts = batch["rid"].tolist(), [words_of(t) for t in batch["text"]]
+            size = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+            at = np.fromiter((get(w, -1) for words in texts for w in words), dtype=np.int64, count=int(size.sum()))
+            doc = np.repeat(np.arange(len(texts)), size)
+            add = lambda x: np.bincount(doc, weights=np.where(at >= 0, x[at], 0.0), minlength=len(texts))
+            yield pd.DataFrame({"rid": batch["rid"], "word": [b" %d" % r for r in rids], "times": 0, "n_tokens": size + 1,
+                                "n_known": add((c > 0).astype(float)).astype(np.int64), "base": add(base), "lp": add(lp),
                                 "doc_id": batch["doc_id"].astype("Int64"), "held_out": batch["held_out"].astype("boolean")})
-            yield own
-            if owner:
-                yield pd.DataFrame({"rid": owner, "word": rare, "times": times, "n_tokens": 0, "n_known": 0, "base": 0.0, "lp": 0.0,
-                                    "doc_id": pd.array([None] * len(owner), dtype="Int64"), "held_out": pd.array([None] * len(owner), dtype="boolean")})
+            starts = np.cumsum(size) - size
+            far = np.flatnonzero(at < 0)
+            rare = Counter((d, texts[d][k]) for d, k in zip(doc[far].tolist(), (far - starts[doc[far]]).tolist(), strict=True))
+            if rare:
+                yield pd.DataFrame({"rid": [rids[d] for d, _ in rare], "word": [w for _, w in rare], "times": list(rare.values()), "n_tokens": 0, "n_known": 0,
+                                    "base": 0.0, "lp": 0.0, "doc_id": pd.array([None] * len(rare), dtype="Int64"), "held_out": pd.array([None] * len(rare), dtype="boolean")})
 
     parts = docs.withColumn("rid", F.monotonically_increasing_id()).mapInPandas(
         per_document, "rid long, word binary, times long, n_tokens long, n_known long, base double, lp double, doc_id long, held_out boolean")
