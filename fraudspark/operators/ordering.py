@@ -129,18 +129,13 @@ def prefix_sums(df: DataFrame, order: Sequence[str], values: Sequence[str], asce
         F.max_by(F.struct(*kcols, *cum_names), "_lp").alias("lk")).collect()
     summary.sort(key=lambda r: r["_pid"])
     nk = len(kcols)
-    rows = []
-    for i, r in enumerate(summary):
-        fk = tuple(r["fk"])
-        off = np.zeros(len(values))
-        for q in range(i - 1, -1, -1):
-            lk = tuple(summary[q]["lk"])
-            if lk[:nk] != fk:
-                break
-            off += np.asarray(lk[nk:], dtype="float64")
-            if tuple(summary[q]["fk"]) != lk[:nk]:
-                break                          # that task started with another key
+    rows, carry_key, carry = [], None, np.zeros(len(values))
+    for r in summary:                          # one forward pass over one row per task
+        fk, lk = tuple(r["fk"]), tuple(r["lk"])
+        off = carry if carry_key == fk else np.zeros(len(values))
         rows.append((int(r["_pid"]), *map(float, off)))
+        own = np.asarray(lk[nk:], dtype="float64")
+        carry_key, carry = lk[:nk], (off + own if fk == lk[:nk] else own)
     offs = df.sparkSession.createDataFrame(
         rows or [(0, *([0.0] * len(values)))],
         T.StructType([T.StructField("_pid", T.IntegerType())]

@@ -216,7 +216,7 @@ def validate_requests(df: DataFrame, amount: str = "TransactionAmt") -> DataFram
     """
     checks = [
         F.when(F.col(amount).isNull(), F.lit(f"{amount}: field required")),
-        F.when(F.col(amount) <= 0, F.lit(f"{amount} must be positive")),
+        F.when((F.col(amount) <= 0) | F.isnan(F.col(amount).cast("double")), F.lit(f"{amount} must be positive")),
     ]
     bad_cols = [c for c in df.columns if c.startswith("_bad_")]
     checks += [F.when(F.col(c), F.lit(f"{c[5:]}: invalid value")) for c in bad_cols]

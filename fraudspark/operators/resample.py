@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.scalar import portable_hash
 from .ordering import with_row_index
 
 # Fixed value: the fixed positive-class weight of the second booster preset.
@@ -129,31 +128,34 @@ def smote(train: DataFrame, feature_columns: Sequence[str], label: str = "isFrau
     """Add synthetic minority rows until both classes have the same count.
 
     Each synthetic row j picks (base row, neighbour rank) and a step in [0, 1)
-    from portable hashes of j, and lies on the segment base -> neighbour:
-    ``x + step * (x_nn - x)``.  Synthetic keys are negative.
+    from two independent 64-bit hashes of j, and lies on the segment base -> neighbour:
+    ``x + step * (x_nn - x)``.  Synthetic keys are negative.  A table with one
+    class, or with no more than ``k`` minority rows, is refused.
     """
     counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
-        return train
+        raise ValueError("oversampling needs two classes")
     minority = min(counts, key=lambda c: (counts[c], c))
     n_min, n_maj = counts[minority], max(counts.values())
     n_new = n_maj - n_min
-    if n_new == 0 or n_min < 2:
+    if n_new == 0:
         return train
+    if n_min <= k:
+        raise ValueError(f"oversampling with {k} neighbours needs more than {k} minority rows, found {n_min}")
     cols = list(feature_columns)
     vec = F.array(*[F.col(c).cast("double") for c in cols])
     mino = train.where(F.col(label) == minority).select(F.col(key), vec.alias("_x"))
     ranked, _ = with_row_index(mino, [key], name="_r")
     nn = knn(ranked.select(key, "_x"), key, "_x", k, seed)
-    kk = min(k, n_min - 1)
+    kk = k
     pairs = (nn.join(ranked.select(F.col(key), F.col("_r"), F.col("_x")), key)
              .join(ranked.select(F.col(key).alias("neighbour"), F.col("_x").alias("_y")), "neighbour")
              .select((F.col("_r") - 1).alias("_base"), (F.col("rank") - 1).alias("_j"), "_x", "_y"))
     spark = train.sparkSession
     syn = spark.range(n_new).select(
         F.col("id").alias("_sid"),
-        F.pmod(portable_hash(F.col("id"), seed), F.lit(n_min * kk)).alias("_pick"),
-        (portable_hash(F.col("id"), seed + 1) / F.lit(4294967296.0)).alias("_step"))
+        F.pmod(F.xxhash64("id", F.lit(seed), F.lit("pick")), F.lit(n_min * kk)).alias("_pick"),
+        (F.pmod(F.xxhash64("id", F.lit(seed), F.lit("step")), F.lit(1 << 53)) / F.lit(float(1 << 53))).alias("_step"))
     syn = syn.select("_sid", "_step", F.floor(F.col("_pick") / kk).alias("_base"),
                      F.pmod(F.col("_pick"), F.lit(kk)).alias("_j"))
     made = syn.join(pairs, ["_base", "_j"]).select(

@@ -10,6 +10,7 @@ cluster has not named one.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from urllib.parse import urlparse
@@ -46,13 +47,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (tests, a laptop) is a private scratch folder created and registered.
+    (tests, a laptop) is a private scratch folder created and registered, and
+    only for a local master: on a cluster executors do not share it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not conf_dir and re.match(r"local(\[|$)", sc.master) is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="fraudspark-ckpt-")
     sc.setCheckpointDir(conf_dir)

@@ -83,9 +83,10 @@ def parse_requests(df: DataFrame, text_col: str = "value", id_field: str = "Tran
             cols.append(raw.alias(n))
         else:
             typed = raw.try_cast("double") if isinstance(t, T.LongType) else raw.try_cast(t)
-            val = typed.cast(t) if isinstance(t, T.LongType) else typed
+            # ids: a fraction or a number out of range does not parse
+            val = F.when(F.rint(typed) == typed, typed.try_cast(t)) if isinstance(t, T.LongType) else typed
             cols.append(val.alias(n))
-            bad.append((raw.isNotNull() & typed.isNull()).alias(f"_bad_{n}"))
+            bad.append((raw.isNotNull() & val.isNull()).alias(f"_bad_{n}"))
     keep = [c for c in df.columns if c != text_col]
     ident = [] if id_field in keep else [F.col(f"_r.{id_field}").try_cast("bigint").alias(id_field)]
     return parsed.select(*keep, *ident, *cols, *bad)
