@@ -142,7 +142,7 @@ def fit_model(name: str, train: DataFrame, feature_columns: Sequence[str], label
         data = data.withColumn("_cfold", fold)
         boosters, isos = [], []
         for k in range(CALIBRATION_FOLDS):
-            b = Pipeline(stages=[asm, _gbt(n_trees, "w", 1)]).fit(data.where(F.col("_cfold") != k))
+            b = Pipeline(stages=[asm, _gbt(n_trees, "w", MIN_LEAF_ROWS)]).fit(data.where(F.col("_cfold") != k))
             held_rows = data.where(F.col("_cfold") == k)
             if calibrate_on_real_rows:
                 held_rows = held_rows.where(F.col(key) >= 0)

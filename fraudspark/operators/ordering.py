@@ -171,7 +171,7 @@ def split_label(rn: Column, n: int, train_frac: float = 0.70, val_frac: float =
 
 def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     """Exactly ``n`` rows (or all, if fewer), repeatable for a seed."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    return df.orderBy(portable_hash(F.col(key), seed), F.col(key)).limit(n)
 
 
 def seeded_fraction(df: DataFrame, fraction: float, seed: int, key: str,

@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from ..functions.scalar import portable_hash, portable_hash_sql
+from ..functions.scalar import portable_hash_sql
 from ..operators import evaluate as ev
 from ..operators import explore as ex
 from ..operators import monitor as mo
@@ -170,23 +170,22 @@ def q_dq_decisions(spark, sf):
 
 
 # ------------------------------------------------------------ prediction log
-# The monitor replays the last 15 % of the time order in batches of 500.
+# The log holds every scored transaction, in batches of 500 along the time order.
 _LOG_CTE = """
 lg AS (SELECT TransactionID, TransactionDT, TransactionAmt, isFraud, p AS fraud_probability,
               CASE WHEN p < 0.3 THEN 'APPROVE' WHEN p > 0.7 THEN 'DECLINE' ELSE 'REVIEW' END AS decision,
-              cast(floor((rn - floor(n * 0.85::double) - 1) / 500) AS bigint) AS batch
-       FROM sp WHERE rn > floor(n * 0.85::double))
+              cast(floor((rn - 1) / 500) AS bigint) AS batch
+       FROM sp)
 """
 
 
 def _log(spark, sf):
-    tail, start = sp.test_tail_positions(
-        tb.txn(spark, sf).select("TransactionID", "TransactionDT", "TransactionAmt", "isFraud", "p"))
-    pos = tail.withColumn("_pos", F.col("rn") - start)
+    pos, _ = od.with_row_index(tb.txn(spark, sf).select("TransactionID", "TransactionDT", "TransactionAmt", "isFraud", "p"),
+                               ["TransactionDT", "TransactionID"])
     return pos.select("TransactionID", "TransactionDT", "TransactionAmt", "isFraud",
                       F.bround("p", 4).alias("fraud_probability"),
                       sc.decide(F.col("p")).alias("decision"),
-                      od.batch_index(F.col("_pos"), 500).alias("batch"))
+                      od.batch_index(F.col("rn"), 500).alias("batch"))
 
 
 def _log_sql(body: str, ctes: str = "") -> str:
@@ -295,23 +294,23 @@ SELECT TransactionID, isFraud FROM txn ORDER BY {portable_hash_sql('TransactionI
 def q_sample_n(spark, sf):
     """Exactly 500 rows, repeatable for the seed (a sampling operator: the limit is the feature)."""
     t = tb.txn(spark, sf).select("TransactionID", "isFraud")
-    return t.orderBy(portable_hash(F.col("TransactionID"), 42), "TransactionID").limit(500)
+    return od.sample_n(t, 500, 42, "TransactionID")
 
 
 @register("log_union", tb.with_views(f"""
 WITH {_SPLIT_CTE}
 SELECT TransactionID, CASE WHEN p < 0.3 THEN 'APPROVE' WHEN p > 0.7 THEN 'DECLINE' ELSE 'REVIEW' END AS decision,
-       CASE WHEN rn <= floor(n * 0.85::double) THEN 'val' ELSE 'test' END AS part
-FROM sp WHERE rn > floor(n * 0.7::double)
+       CASE WHEN rn <= floor(n * 0.7::double) THEN 'train' WHEN rn <= floor(n * 0.85::double) THEN 'val' ELSE 'test' END AS part
+FROM sp
 """, "txn"))
 def q_log_union(spark, sf):
-    """Two separately scored slices appended into one log (bag union by name)."""
+    """Three separately scored slices appended into one log (bag union by name)."""
     s, _ = sp.time_split(_scored(spark, sf))
     parts = [sc.decision_records(s.where(F.col("split") == name), prob="p",
                                  keep=("TransactionID",)).select("TransactionID", "decision",
                                                                  F.lit(name).alias("part"))
-             for name in ("val", "test")]
-    return parts[0].unionByName(parts[1])
+             for name in ("train", "val", "test")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 # ---------------------------------------------------------------- exploration
