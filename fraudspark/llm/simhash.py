@@ -29,7 +29,6 @@ Defined results
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
