@@ -20,7 +20,6 @@ from ..functions.scalar import coerce_numeric, match_flag, ordinal_code
 from ..functions.time import time_feature_columns
 from ..session import materialize
 from .joins import attach
-from .ordering import prefix_sums
 
 # Low-cardinality categories and their code order.
 ORDINAL_COLS = {
@@ -88,76 +87,54 @@ def add_card_features(df: DataFrame, key: str = "card1", amount: str = "Transact
     return out
 
 
-# Largest (card, time bucket) group a single task may hold in the window plan.
-HOT_GROUP_ROWS = 2_000_000
-
-
 def add_point_in_time_velocity(df: DataFrame, seconds: int, suffix: str, key: str = "card1",
-                               dt: str = "TransactionDT", amount: str = "TransactionAmt",
-                               id_col: str = "TransactionID", method: str = "auto",
-                               hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                               dt: str = "TransactionDT", amount: str = "TransactionAmt") -> DataFrame:
     """Count and spend of the same card in [t - seconds, t - 1], past rows only.
 
-    Two exact plans:
-
-    * ``bucket``: one exchange on (card, time bucket of width ``seconds``);
-      each row is also copied once, narrowed to three columns, into the next
-      bucket as a "past" row, so a window over the bucket sees every earlier
-      row of the range.  A card's history is spread over its buckets.
-    * ``prefix``: per-card running count and spend along time
-      (``ordering.prefix_sums``, range-partitioned, so even one (card, hour)
-      holding a third of all rows is split over many tasks); the window value
-      is the running value just before ``t`` minus the one just before
-      ``t - seconds``, read at two marker rows per transaction.
-
-    ``auto`` measures the largest (card, bucket) group with one narrow
-    aggregation and uses ``bucket`` unless that group is hot.  Null card or
-    time gives null results.
+    One plan for every size, independent of the row id.  Rows are first summed
+    per (card, second), with partial aggregation, so a hot card shrinks before
+    the shuffle and a (card, bucket of ``seconds``) group has at most
+    2 * ``seconds`` rows however many transactions it stands for.  Every second
+    is also entered ``seconds`` later as a "past" entry; a range [t - seconds,
+    t - 1] is then the end of the previous bucket (past entries at t or later,
+    summed backwards) plus the start of the own bucket (entries before t, summed
+    forwards): two linear running sums, nothing is subtracted.  The result is
+    joined back on (card, second), where AQE splits a hot card's rows.
+
+    Times must be whole seconds (an integer column).  Rows with a null card or
+    time get null results and take no part in the join; null amounts add
+    nothing to the spend; a NaN amount makes the spend of the ranges that hold
+    it NaN; repeated or null ids make no difference.
     """
+    if not isinstance(df.schema[dt].dataType, T.IntegralType):
+        raise TypeError(f"{dt} must hold whole seconds in an integer column")
     valid = F.col(key).isNotNull() & F.col(dt).isNotNull()
-    if method == "auto":
-        biggest = (df.where(valid).groupBy(key, F.floor(F.col(dt) / seconds))
-                   .agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0)
-        method = "bucket" if 2 * biggest <= hot_rows else "prefix"
-    if method == "prefix":
-        return _pit_prefix(df, seconds, suffix, key, dt, amount, id_col)
-    b = F.floor(F.col(dt) / seconds)
-    own = df.select("*", b.alias("_b"), F.lit(True).alias("_target"))
-    prev = df.where(valid).select(
-        *[F.col(c) if c in (key, dt, amount) else F.lit(None).cast(df.schema[c].dataType).alias(c)
-          for c in df.columns],
-        (b + 1).alias("_b"), F.lit(False).alias("_target"))
-    both = own.unionByName(prev)
-    w = Window.partitionBy(key, "_b").orderBy(F.col(dt)).rangeBetween(-seconds, -1)
-    cnt_name, sum_name = f"card_count_{suffix}", f"card_spend_{suffix}"
-    return (both.select(*df.columns, "_target",
-                        F.when(valid, F.count(F.lit(1)).over(w)).alias(cnt_name),
-                        F.when(valid, F.coalesce(F.sum(amount).over(w), F.lit(0.0))).alias(sum_name))
-            .where("_target").drop("_target"))
-
-
-def _pit_prefix(df: DataFrame, seconds: int, suffix: str, key: str, dt: str, amount: str,
-                id_col: str) -> DataFrame:
-    valid = F.col(key).isNotNull() & F.col(dt).isNotNull()
-    v = df.where(valid)
-    # kind orders rows at equal time: "before t - seconds" marker, data, "up to t - 1" marker
-    data = v.select(key, F.col(dt).cast("double").alias("_x"), F.lit(1).alias("_kind"), id_col,
-                    F.lit(1.0).alias("_one"), F.coalesce(F.col(amount).cast("double"), F.lit(0.0)).alias("_amt"))
-    lo = v.select(key, (F.col(dt) - seconds).cast("double").alias("_x"), F.lit(0).alias("_kind"), id_col,
-                  F.lit(0.0).alias("_one"), F.lit(0.0).alias("_amt"))
-    hi = v.select(key, (F.col(dt) - 1).cast("double").alias("_x"), F.lit(2).alias("_kind"), id_col,
-                  F.lit(0.0).alias("_one"), F.lit(0.0).alias("_amt"))
-    cum = prefix_sums(data.unionByName(lo).unionByName(hi), ["_x", "_kind", id_col], ["_one", "_amt"],
-                      partition_by=[key])
-    at = cum.where(F.col("_kind") != 1)
-    hi_v = lambda c: F.max(F.when(F.col("_kind") == 2, F.col(c)))
-    lo_v = lambda c: F.max(F.when(F.col("_kind") == 0, F.col(c)))
-    m = at.groupBy(id_col).agg((hi_v("_one_cum") - lo_v("_one_cum")).alias("_c"),
-                               (hi_v("_amt_cum") - lo_v("_amt_cum")).alias("_s"))
+    t = F.col(dt).cast("bigint")
+    secs = df.where(valid).groupBy(F.col(key).alias("_k"), t.alias("_t")).agg(
+        F.count(F.lit(1)).alias("_n"), F.coalesce(F.sum(F.col(amount).cast("double")), F.lit(0.0)).alias("_s"))
+    entries = secs.select("_k", "_n", "_s", F.explode(F.array(
+        F.struct(F.col("_t").alias("x"), F.lit(True).alias("own")),
+        F.struct((F.col("_t") + seconds).alias("x"), F.lit(False).alias("own")))).alias("e"))
+    own = F.col("e.own")
+    x = F.col("e.x")
+    line = entries.select(
+        "_k", x.alias("_x"), F.floor(x / F.lit(seconds)).alias("_b"), own.alias("_own"),
+        F.when(own, F.col("_n")).otherwise(0).alias("_on"), F.when(own, F.col("_s")).otherwise(0.0).alias("_os"),
+        F.when(own, 0).otherwise(F.col("_n")).alias("_pn"), F.when(own, 0.0).otherwise(F.col("_s")).alias("_ps"))
+    bucket = Window.partitionBy("_k", "_b")
+    before = bucket.orderBy(F.col("_x")).rangeBetween(Window.unboundedPreceding, -1)
+    after = bucket.orderBy(F.col("_x").desc()).rangeBetween(Window.unboundedPreceding, 0)
     cnt_name, sum_name = f"card_count_{suffix}", f"card_spend_{suffix}"
-    out = df.join(m, id_col, "left")
-    return out.select(*df.columns, F.when(valid, F.round(F.col("_c")).cast("bigint")).alias(cnt_name),
-                      F.when(valid, F.col("_s")).alias(sum_name))
+    none = F.lit(0), F.lit(0.0)
+    value = (line.select(
+        "_k", "_x", "_own",
+        (F.coalesce(F.sum("_on").over(before), none[0]) + F.sum("_pn").over(after)).cast("bigint").alias(cnt_name),
+        (F.coalesce(F.sum("_os").over(before), none[1]) + F.sum("_ps").over(after)).alias(sum_name))
+        .where("_own").drop("_own"))
+    found = df.where(valid).join(value, (F.col(key) == F.col("_k")) & (t == F.col("_x")), "left")
+    rest = df.where(~valid).select(*df.columns, F.lit(None).cast("bigint").alias(cnt_name),
+                                   F.lit(None).cast("double").alias(sum_name))
+    return found.select(*df.columns, cnt_name, sum_name).unionByName(rest)
 
 
 def add_null_indicators(df: DataFrame, cols: Sequence[str] = NULL_FLAG_COLS) -> DataFrame:

@@ -1,16 +1,11 @@
 """Pairwise-complete Pearson correlation and correlation pruning.
 
-Two plans for the same numbers:
-
-* up to ``AGG_LIMIT`` columns: built-in aggregates per pair
-  (``covar_samp`` over rows where both values exist, divided by the two
-  pairwise-complete standard deviations with ``try_divide``; a constant
-  column gives null instead of an ANSI divide error);
-* above it: per-partition Gram partials in ``mapInPandas`` (n, sums, sums of
-  squares and cross products over rows where both values exist, computed
-  as masked matrix products on data centred by the column means), summed by
-  a group-by on the pair.  Shuffle volume is p^2 x 6 doubles per task,
-  independent of the row count.
+One plan for any number of columns: per-partition Gram partials in
+``mapInPandas`` (n, sums, sums of squares and cross products over rows where
+both values exist, as masked matrix products on data centred by the column
+means), summed by a group-by on the pair.  Shuffle volume is p^2 x 6 doubles
+per task, independent of the row count.  A column that is constant on the
+rows of a pair gives a null correlation.
 """
 
 from __future__ import annotations
@@ -23,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-AGG_LIMIT = 50
 # Fixed values: |r| above which a later column is dropped, and the number of
 # V columns needed before pruning runs.
 PRUNE_THRESHOLD = 0.95
@@ -37,22 +31,8 @@ def _pair_corr(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_samp(xs, ys), F.when(denom > 0, denom))
 
 
-def _pairs(cols: Sequence[str]) -> list[tuple[int, int]]:
-    return [(i, j) for j in range(len(cols)) for i in range(j)]
-
-
-def corr_pairs_agg(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Long form (i, j, col_i, col_j, r) for i < j with built-in aggregates."""
-    cols = list(cols)
-    aggs = [_pair_corr(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")).alias(f"r_{i}_{j}")
-            for i, j in _pairs(cols)]
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"{i}, {j}, '{cols[i]}', '{cols[j]}', r_{i}_{j}" for i, j in _pairs(cols))
-    return wide.selectExpr(f"stack({len(_pairs(cols))}, {stack}) AS (i, j, col_i, col_j, r)")
-
-
-def corr_pairs_gram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Same result as ``corr_pairs_agg`` for many columns, from Gram partials."""
+def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Long form (i, j, col_i, col_j, r) for i < j."""
     cols = list(cols)
     p = len(cols)
     means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
@@ -93,12 +73,6 @@ def corr_pairs_gram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                        F.when(ok, F.try_divide(cxy, denom)).alias("r"))
 
 
-def corr_pairs(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
-    if method == "gram" or (method == "auto" and len(cols) > AGG_LIMIT):
-        return corr_pairs_gram(df, cols)
-    return corr_pairs_agg(df, cols)
-
-
 def columns_to_prune(pairs: DataFrame, threshold: float = PRUNE_THRESHOLD) -> DataFrame:
     """Column j is dropped when ANY earlier column i < j has |r| > threshold
     (even one that is itself dropped).  Null r never triggers."""
@@ -111,13 +85,13 @@ def v_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c.startswith("V")]
 
 
-def prune_list(df: DataFrame, threshold: float = PRUNE_THRESHOLD, min_cols: int = MIN_V_COLS,
-               method: str = "auto") -> list[str]:
+def prune_list(df: DataFrame, threshold: float = PRUNE_THRESHOLD,
+               min_cols: int = MIN_V_COLS) -> list[str]:
     """Names of V columns to drop (empty when there are ``min_cols`` or fewer)."""
     vc = v_columns(df)
     if len(vc) <= min_cols:
         return []
-    rows = columns_to_prune(corr_pairs(df, vc, method), threshold).orderBy("j").collect()
+    rows = columns_to_prune(corr_pairs(df, vc), threshold).orderBy("j").collect()
     return [r["column_name"] for r in rows]
 
 

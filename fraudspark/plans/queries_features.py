@@ -30,16 +30,15 @@ def _pairs_sql(source: str = "txn") -> str:
 
 @register("corr_matrix", tb.with_views(_pairs_sql(), "txn"))
 def q_corr_matrix(spark, sf):
-    """|r| of every pair of V columns, pairwise-complete (built-in aggregate plan)."""
-    pairs = prune.corr_pairs(tb.txn(spark, sf).select(*_V), _V, method="agg")
+    """|r| of every pair of V columns, pairwise-complete, long form."""
+    pairs = prune.corr_pairs(tb.txn(spark, sf).select(*_V), _V)
     return pairs.select("col_i", "col_j", r6(F.abs("r")).alias("abs_r"))
 
 
 @register("corr_matrix_gram", tb.with_views(_pairs_sql(), "txn"))
 def q_corr_matrix_gram(spark, sf):
-    """The same matrix from per-partition Gram partials (the plan used for hundreds of columns)."""
-    pairs = prune.corr_pairs(tb.txn(spark, sf).select(*_V), _V, method="gram")
-    return pairs.select("col_i", "col_j", r6(F.abs("r")).alias("abs_r"))
+    """Earlier second name of ``corr_matrix`` (one plan serves every width)."""
+    return q_corr_matrix(spark, sf)
 
 
 def _prune_sql(source: str = "txn") -> str:

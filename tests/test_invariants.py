@@ -45,8 +45,21 @@ def test_contiguous_folds_like_kfold(spark):
 
 def test_gram_correlation_matches_pandas(spark):
     t = tb.txn(spark, MEDIUM).select(*tb.V_COLUMNS)
-    g = prune.corr_pairs(t, tb.V_COLUMNS, method="gram").toPandas()
+    _same_correlations(t, tb.V_COLUMNS)
+
+
+def test_gram_correlation_of_more_than_fifty_columns(spark):
+    t = tb.txn(spark, SMALL)
+    wide = t.select(*[(F.col(tb.V_COLUMNS[i % 6]) * (i + 1) + F.pmod(F.xxhash64("TransactionID", F.lit(i)), F.lit(97)))
+                      .alias(f"V{i}") if i % 10 else F.when(F.col("TransactionID") % 3 > 0, F.col("V3")).alias(f"V{i}")
+                      for i in range(60)])
+    _same_correlations(wide, wide.columns)
+
+
+def _same_correlations(t, cols):
+    g = prune.corr_pairs(t, cols).toPandas()
     ref = t.toPandas().corr()
+    assert len(g) == len(cols) * (len(cols) - 1) // 2
     for _, r in g.iterrows():
         expect = ref.loc[r["col_i"], r["col_j"]]
         if np.isnan(expect):
@@ -82,13 +95,57 @@ def test_smote_balances_and_stays_on_segments(spark):
     assert len(pd.unique(syn.TransactionID)) == len(syn)
 
 
-def test_point_in_time_plans_agree(spark):
+def _velocity_by_hand(pdf, seconds):
+    counts, spend = [], []
+    for r in pdf.itertuples():
+        if pd.isna(r.card1) or pd.isna(r.TransactionDT):
+            counts.append(None)
+            spend.append(None)
+            continue
+        past = pdf[(pdf.card1 == r.card1) & (pdf.TransactionDT >= r.TransactionDT - seconds)
+                   & (pdf.TransactionDT < r.TransactionDT)]
+        counts.append(len(past))
+        amounts = [0.0 if a is None else a for a in past.amt]
+        spend.append(float(sum(amounts)))
+    return counts, spend
+
+
+def test_velocity_against_brute_force(spark):
+    """Repeated and null ids, null and NaN amounts, null cards and times, a third of the rows in one
+    (card, hour), negative times, and ranges that begin on a bucket border."""
     from fraudspark.operators import features as fe
-    t = tb.txn(spark, MEDIUM).select("TransactionID", "card1", "TransactionDT", "TransactionAmt")
-    a = fe.add_point_in_time_velocity(t, 3600, "1h", method="bucket").toPandas().sort_values("TransactionID")
-    b = fe.add_point_in_time_velocity(t, 3600, "1h", method="prefix").toPandas().sort_values("TransactionID")
-    assert (a["card_count_1h"].to_numpy() == b["card_count_1h"].to_numpy()).all()
-    assert np.allclose(a["card_spend_1h"], b["card_spend_1h"], atol=1e-9)
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(600):
+        hot = i % 3 == 0
+        card = 1 if hot else (None if i % 17 == 0 else int(rng.integers(2, 6)))
+        dt = int(rng.integers(7200, 10800)) if hot else int(rng.integers(-8000, 20000))
+        amt = None if i % 13 == 0 else (float("nan") if i == 100 else float(i % 7) + 0.25)
+        rows.append((None if i % 5 == 0 else i // 2, card, None if i % 41 == 0 else dt, amt))
+    rows += [(9, 7, 0, 1.0), (9, 7, 3600, 2.0), (9, 7, 7200, 4.0), (9, 7, 7201, 8.0), (9, 7, 7201, 16.0)]
+    schema = "TransactionID long, card1 long, TransactionDT long, TransactionAmt double, extra string"
+    df = spark.createDataFrame([(*r, str(n)) for n, r in enumerate(rows)], schema)
+    pdf = pd.DataFrame({"card1": [r[1] for r in rows], "TransactionDT": [r[2] for r in rows]}, dtype="Int64")
+    pdf["amt"] = pd.Series([r[3] for r in rows], dtype=object)
+    pdf = pdf.assign(card1=pdf.card1.astype("float64"), TransactionDT=pdf.TransactionDT.astype("float64"))
+    for seconds in (3600, 86400):
+        got = {int(r["extra"]): r for r in fe.add_point_in_time_velocity(df, seconds, "w").collect()}
+        counts, spend = _velocity_by_hand(pdf, seconds)
+        assert len(got) == len(rows)
+        for i, (c, s) in enumerate(zip(counts, spend)):
+            assert got[i]["card_count_w"] == c
+            if s is None:
+                assert got[i]["card_spend_w"] is None
+            else:
+                assert np.isclose(got[i]["card_spend_w"], s, equal_nan=True)
+
+
+def test_velocity_refuses_fractional_times(spark):
+    import pytest
+    from fraudspark.operators import features as fe
+    df = spark.createDataFrame([(1, 0.5, 1.0)], "card1 long, TransactionDT double, TransactionAmt double")
+    with pytest.raises(TypeError):
+        fe.add_point_in_time_velocity(df, 3600, "1h")
 
 
 def test_grouped_prefix_sums_with_hot_key(spark):
@@ -96,16 +153,3 @@ def test_grouped_prefix_sums_with_hot_key(spark):
                                   .alias("k"), (F.col("id") % 5).cast("double").alias("v"))
     out = od.prefix_sums(df, ["id"], ["v"], partition_by=["k"], partitions=7).toPandas().sort_values(["k", "id"])
     assert np.allclose(out["v_cum"], out.groupby("k")["v"].cumsum())
-
-
-def test_auto_velocity_switches_plan_for_hot_groups(spark):
-    from fraudspark.operators import features as fe
-    t = tb.txn(spark, SMALL).select("TransactionID", "card1", "TransactionDT", "TransactionAmt")
-    normal = fe.add_point_in_time_velocity(t, 86400, "24h")                 # small groups: bucket plan
-    hot = fe.add_point_in_time_velocity(t, 86400, "24h", hot_rows=2)        # every group "hot": prefix plan
-    assert "Window" in normal._jdf.queryExecution().analyzed().toString()
-    assert "Window" not in hot._jdf.queryExecution().analyzed().toString()
-    a = normal.toPandas().sort_values("TransactionID")
-    b = hot.toPandas().sort_values("TransactionID")
-    assert (a["card_count_24h"].to_numpy() == b["card_count_24h"].to_numpy()).all()
-    assert np.allclose(a["card_spend_24h"], b["card_spend_24h"], atol=1e-9)

@@ -35,11 +35,13 @@ def test_card_statistics_use_aggregate_not_window(spark):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
-def test_point_in_time_velocity_single_shuffle(spark):
+def test_point_in_time_velocity_sums_seconds_before_the_window(spark):
     t = tb.txn(spark, SMALL).select("TransactionID", "card1", "TransactionDT", "TransactionAmt")
-    plan = _plan(fe.add_point_in_time_velocity(t, 3600, "1h"))
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "Window" in plan
+    plan = _initial(fe.add_point_in_time_velocity(t, 3600, "1h"))
+    # map-side partial sums per (card, second); windows only over (card, bucket) groups of bounded size
+    assert "partial_count" in plan and "partial_sum" in plan
+    window = plan[plan.index("Window"):]
+    assert "_k" in window and "_b" in window and "TransactionID" not in window[:window.index("\n")]
 
 
 def test_encoder_state_is_broadcast_when_small(spark):

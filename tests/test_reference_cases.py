@@ -1,7 +1,6 @@
 """The original project's unit cases, on Spark DataFrames."""
 
 import math
-import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,35 +9,20 @@ from fraudspark.operators import encoders as enc
 from fraudspark.operators import quality as dq
 from fraudspark.operators import score as sc
 from fraudspark.sources import io
+from fraudspark.sources import tables as tb
 
+from .conftest import SMALL
 
-def _transactions(spark, n=100, rate=0.035, seed=42):
-    rng = random.Random(seed)
-    pos = int(n * rate)
-    labels = [1] * pos + [0] * (n - pos)
-    rng.shuffle(labels)
-    rows = []
-    for i in range(n):
-        rows.append((i + 1, labels[i], rng.randrange(0, 15_000_000), rng.uniform(1, 1000),
-                     rng.choice("WHCSR"), rng.randrange(1000, 9999), rng.uniform(100, 600), rng.uniform(100, 200),
-                     rng.choice(["visa", "mastercard"]), rng.uniform(100, 250), rng.choice(["credit", "debit"]),
-                     rng.uniform(100, 500), rng.uniform(1, 100), rng.uniform(0, 5000), rng.uniform(0, 5000),
-                     rng.choice(["gmail.com", "yahoo.com", None]), rng.choice(["hotmail.com", None]),
-                     float(rng.randrange(0, 4000)), float(rng.randrange(0, 500)), float(rng.randrange(0, 30)),
-                     float(rng.randrange(0, 30)), rng.choice(["T", "F", None]), rng.choice(["T", "F", None]),
-                     rng.choice(["T", "F", None])))
-    schema = ("TransactionID long, isFraud int, TransactionDT long, TransactionAmt double, ProductCD string, "
-              "card1 long, card2 double, card3 double, card4 string, card5 double, card6 string, addr1 double, "
-              "addr2 double, dist1 double, dist2 double, P_emaildomain string, R_emaildomain string, C1 double, "
-              "C2 double, C3 double, C4 double, M1 string, M2 string, M3 string")
-    return spark.createDataFrame(rows, schema)
-
-
-def _identity(spark, n=60, seed=42):
-    rng = random.Random(seed)
-    rows = [(i + 1, rng.choice(["desktop", "mobile", None]), rng.choice(["Windows", "iOS Device", None]))
-            for i in range(n)]
-    return spark.createDataFrame(rows, "TransactionID long, DeviceType string, DeviceInfo string")
+
+def _transactions(spark):
+    """The transactions view of the smallest test tables."""
+    return tb.transactions(spark, SMALL)
+
+
+def _on_one_row(df, column, value):
+    """``df`` with ``column`` set to ``value`` in the row of the smallest id."""
+    first = df.agg(F.min("TransactionID")).first()[0]
+    return df.withColumn(column, F.when(F.col("TransactionID") == first, F.lit(value)).otherwise(F.col(column)))
 
 
 def test_valid_transactions_pass(spark):
@@ -53,39 +37,40 @@ def test_missing_label_column_raises(spark):
 
 
 def test_duplicate_id_raises(spark):
-    df = _transactions(spark).withColumn("TransactionID", F.when(F.col("TransactionID") == 6, 5)
-                                         .otherwise(F.col("TransactionID")))
+    df = _transactions(spark)
+    df = _on_one_row(df, "TransactionID", df.agg(F.max("TransactionID")).first()[0])
     with pytest.raises(dq.DataQualityError, match="duplicate"):
         dq.enforce(dq.transaction_report(spark, df))
 
 
 def test_bad_label_raises(spark):
-    df = _transactions(spark).withColumn("isFraud", F.when(F.col("TransactionID") == 1, 2).otherwise(F.col("isFraud")))
+    df = _on_one_row(_transactions(spark), "isFraud", 2)
     with pytest.raises(dq.DataQualityError, match="label_domain"):
         dq.enforce(dq.transaction_report(spark, df))
 
 
 def test_zero_rate_only_warns(spark):
-    df = _transactions(spark, rate=0.0)
+    df = _transactions(spark).withColumn("isFraud", F.lit(0))
     rep = dq.transaction_report(spark, df)
     dq.enforce(rep)  # soft rule: no exception
     assert rep.where("rule = 'label_rate'").first()["passed"] is False
 
 
 def test_negative_amount_only_warns(spark):
-    df = _transactions(spark).withColumn("TransactionAmt", F.when(F.col("TransactionID") == 1, -1.0)
-                                         .otherwise(F.col("TransactionAmt")))
+    df = _on_one_row(_transactions(spark).where("TransactionAmt >= 0"), "TransactionAmt", -1.0)
     rep = dq.transaction_report(spark, df)
     dq.enforce(rep)
     assert rep.where("rule = 'negative_amount'").first()["violations"] == 1
 
 
 def test_identity_rules(spark):
-    dq.enforce(dq.identity_report(spark, _identity(spark)))
+    side = tb.identity(spark, SMALL)
+    dq.enforce(dq.identity_report(spark, side))
     with pytest.raises(dq.DataQualityError, match="Missing required columns"):
-        dq.enforce(dq.identity_report(spark, _identity(spark).drop("TransactionID")))
+        dq.enforce(dq.identity_report(spark, side.drop("TransactionID")))
 
 
+# The frames and expected encodings of the published cases.
 def _email(spark):
     rows = [("gmail", 0), ("gmail", 1), ("yahoo", 1), ("yahoo", 1), ("yahoo", 0), ("rare", 0)]
     return spark.createDataFrame([(i, e, y) for i, (e, y) in enumerate(rows)], "id long, email string, y int")
