@@ -20,6 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import null_safe_join
 from .ordering import prefix_sums
 
 # Default decision threshold and the recall target of the SLA metric.
@@ -41,9 +42,9 @@ def curve_table(df: DataFrame, score: str = "p", label: str = "isFraud",
     # descending score as the ascending order of its negation; sums restart per group
     keyed = groups.withColumn("_neg_t", -F.col("threshold"))
     cum = prefix_sums(keyed, ["_neg_t"], ["pos", "neg"], partition_by=g)
-    # group totals: one row per group (bounded by the number of groups)
-    totals = groups.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    out = cum.join(F.broadcast(totals), g) if g else _one_row_join(cum, totals)
+    # group totals from the written running sums, so the scores are computed once
+    totals = cum.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    out = null_safe_join(cum, totals, g)
     tp, fp = F.col("pos_cum"), F.col("neg_cum")
     res = out.select(*g, "threshold", "pos", "neg", tp.alias("tp"), fp.alias("fp"), "P", "N")
     return res.select("*", F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
@@ -73,28 +74,25 @@ def eval_metrics(df: DataFrame, score: str = "p", label: str = "isFraud", thresh
     g = list(group_cols)
     cv = curve_table(df, score, label, g)
     P, N = F.first("P"), F.first("N")
-    hit = F.col("recall") >= recall_target
+    hit, flagged = F.col("recall") >= recall_target, F.col("threshold") >= threshold
     curve = cv.groupBy(*g).agg(
         F.sum(F.try_divide(F.col("pos"), F.col("P")) * F.col("precision")).alias("pr_auc"),
         # undefined with a single class: null instead of a divide error
         F.try_divide(F.sum(F.col("pos") * (F.col("N") - F.col("fp") + F.col("neg") / 2)),
                      F.when(P * N > 0, P * N)).alias("roc_auc"),
         F.coalesce(F.max(F.when(hit, F.col("precision"))), F.lit(0.0)).alias("precision_at_80_rec"),
-        F.coalesce(F.min(F.when(hit, F.col("threshold"))), F.lit(1.0)).alias("threshold_at_80_rec"))
-    cm = confusion(df, score, label, threshold, g).select(
-        *g, _f1(F.col("tp"), F.col("fp"), F.col("fn")).alias("f1"))
-    out = curve.join(cm, g) if g else _one_row_join(curve, cm)
+        F.coalesce(F.min(F.when(hit, F.col("threshold"))), F.lit(1.0)).alias("threshold_at_80_rec"),
+        F.coalesce(F.sum(F.when(flagged, F.col("pos"))), F.lit(0.0)).alias("_tp"),
+        F.coalesce(F.sum(F.when(flagged, F.col("neg"))), F.lit(0.0)).alias("_fp"), P.alias("_P"))
+    names = ("pr_auc", "roc_auc", "f1", "precision_at_80_rec", "threshold_at_80_rec")
+    # the confusion at the threshold is a part of the curve: no second pass over the scores
+    out = curve.select(*g, *[F.col(c) if c != "f1" else _f1(F.col("_tp"), F.col("_fp"), F.col("_P") - F.col("_tp"))
+                             .alias("f1") for c in names])
     if round_digits is not None:
-        out = out.select(*g, *[F.bround(c, round_digits).alias(c) for c in
-                               ("pr_auc", "roc_auc", "f1", "precision_at_80_rec", "threshold_at_80_rec")])
+        out = out.select(*g, *[F.bround(c, round_digits).alias(c) for c in names])
     return out
 
 
-def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Join two one-row aggregates on a constant key (both sides bounded to one row)."""
-    return a.withColumn("_one", F.lit(1)).join(F.broadcast(b.withColumn("_one", F.lit(1))), "_one").drop("_one")
-
-
 def optimal_threshold(df: DataFrame, score: str = "p", label: str = "isFraud",
                       target_recall: float = RECALL_TARGET, default: float = DEFAULT_THRESHOLD,
                       group_cols: Sequence[str] = ()) -> DataFrame:

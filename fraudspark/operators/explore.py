@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.time import hour_expr
+from .joins import null_safe_join
 from .ordering import exact_quantiles
 
 
@@ -26,8 +27,7 @@ def describe_by_class(df: DataFrame, value: str = "TransactionAmt", label: str =
     wide = q.groupBy(label).pivot("q", [0.25, 0.5, 0.75]).agg(F.first("quantile"))
     wide = wide.select(label, *[F.col(f"`{c}`").alias(n) for c, n in
                                 zip(("0.25", "0.5", "0.75"), ("p25", "p50", "p75"))])
-    # one row per class on each side: a bounded broadcast
-    return base.join(F.broadcast(wide), label, "left")
+    return null_safe_join(base, wide, [label], "left")
 
 
 def hourly_rate(df: DataFrame, dt: str = "TransactionDT", label: str = "isFraud") -> DataFrame:

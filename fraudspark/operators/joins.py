@@ -28,3 +28,17 @@ def attach(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str =
     """Left-join a state table onto ``big``; broadcast only with a checked size."""
     side = F.broadcast(small) if can_broadcast(known_rows) else small
     return big.join(side, on, how)
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equality join in which null keys match each other, keeping the left key columns.
+
+    Without keys the right side must be an aggregate of a few rows; every left
+    row then meets each of them.
+    """
+    if not on:
+        return left.withColumn("_one", F.lit(1)).join(F.broadcast(right.withColumn("_one", F.lit(1))), "_one", how) \
+            .drop("_one")
+    other = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    cond = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on]
+    return left.join(other, cond, how).drop(*[f"_r_{c}" for c in on])

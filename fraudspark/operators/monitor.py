@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import null_safe_join
 from .ordering import exact_quantiles, prefix_sums
 
 # The drift rule compares the batch mean with baseline + 2 sd,
@@ -43,10 +44,7 @@ def monitor_metrics(log: DataFrame, prob: str = "fraud_probability", decision: s
     g = list(group_cols)
     m = log.groupBy(*g).agg(*_metric_aggs(prob, decision, label)).where(F.col("n_transactions") > 0)
     p95 = exact_quantiles(log, prob, [0.95], g).select(*g, F.col("quantile").alias("score_p95"))
-    if g:
-        return m.join(p95, g, "left")
-    return m.withColumn("_one", F.lit(1)).join(F.broadcast(p95.withColumn("_one", F.lit(1))), "_one",
-                                                "left").drop("_one")
+    return null_safe_join(m, p95, g, "left")
 
 
 def monitor_by_window(log: DataFrame, ts: str, duration: str = "1 hour", **kw) -> DataFrame:

@@ -13,17 +13,18 @@ computed by vectorised numpy in ``mapInPandas`` (no extra shuffle).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.scalar import portable_hash
 from ..session import materialize
+from .joins import null_safe_join
 
 _LOCAL_BITS = 33
 _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
@@ -146,14 +147,41 @@ def prefix_sums(df: DataFrame, order: Sequence[str], values: Sequence[str], asce
         .alias(c) for v, c in zip(values, cum_names)])
 
 
-def contiguous_fold(rn: Column, n: int, k: int) -> Column:
-    """Fold of position ``rn`` (1-based) among ``n`` rows cut into ``k`` contiguous
-    folds, the first ``n % k`` one row longer (KFold without shuffling)."""
+def cut_keys(df: DataFrame, order: Sequence[str],
+             positions: Callable[[int], Sequence[int]]) -> tuple[list[Row | None], int]:
+    """The order keys at chosen positions, and the number of rows.
+
+    ``positions(n)`` names 1-based positions; a position outside the table has
+    the key None.  Only the order columns are indexed, and one row per position
+    comes to the driver; wide rows are then labelled by ``segment`` without a
+    shuffle.
+    """
+    idx, n = with_row_index(df.select(*order), order, name="_cut_rn")
+    at = [int(p) for p in positions(n)]
+    found = {r["_cut_rn"]: r for r in idx.where(F.col("_cut_rn").isin(sorted(set(at)))).collect()} if at else {}
+    return [found.get(p) for p in at], n
+
+
+def segment(df: DataFrame, order: Sequence[str], cuts: Sequence[Row | None]) -> Column:
+    """How many of the ascending cut keys lie before the row: 0 up to and with
+    the first cut, 1 up to the second, and so on (a cut of None lies before
+    every row).  Null order values come first, as in a sort; rows with equal
+    order keys fall into one segment."""
+    here = F.struct(*[F.col(c) for c in order])
+    out = F.lit(0)
+    for cut in cuts:
+        if cut is None:
+            out = out + F.lit(1)
+        else:
+            there = F.struct(*[F.lit(cut[c]).cast(df.schema[c].dataType).alias(c) for c in order])
+            out = out + (here > there).cast("int")
+    return out
+
+
+def fold_ends(n: int, k: int) -> list[int]:
+    """Last 1-based positions of all but the last of ``k`` contiguous folds of ``n`` rows."""
     base, rem = divmod(n, k)
-    big = (base + 1) * rem
-    first = F.floor((rn - 1) / F.lit(base + 1))
-    rest = F.lit(rem) + F.floor((rn - 1 - big) / F.lit(max(base, 1)))
-    return F.when(rn <= big, first).otherwise(rest).cast("int")
+    return [i * base + min(i, rem) for i in range(1, k)]
 
 
 def batch_index(rn: Column, size: int) -> Column:
@@ -161,14 +189,6 @@ def batch_index(rn: Column, size: int) -> Column:
     return F.floor((rn - 1) / size).cast("bigint")
 
 
-def split_label(rn: Column, n: int, train_frac: float = 0.70, val_frac: float = 0.15) -> Column:
-    """train / val / test by position, cut at ``int(n*train)`` and ``int(n*(train+val))``."""
-    train_end = int(n * train_frac)
-    val_end = int(n * (train_frac + val_frac))
-    return (F.when(rn <= train_end, F.lit("train")).when(rn <= val_end, F.lit("val"))
-            .otherwise(F.lit("test")))
-
-
 def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
     """Exactly ``n`` rows (or all, if fewer), repeatable for a seed."""
     return df.orderBy(portable_hash(F.col(key), seed), F.col(key)).limit(n)
@@ -178,48 +198,44 @@ def seeded_fraction(df: DataFrame, fraction: float, seed: int, key: str,
                     flag: str = "_selected") -> DataFrame:
     """Mark exactly ``floor(n * fraction)`` rows, chosen by a portable hash of the key.
 
-    Rows are ranked by ``(hash(key, seed), key)`` with ``with_row_index``;
-    the first ``floor(n*fraction)`` are flagged.  All rows are returned.
+    The rows up to the key at position ``floor(n*fraction)`` of the order
+    ``(hash(key, seed), key)`` are flagged; only that pair is indexed.  All rows
+    are returned; rows of a repeated key are flagged together.
     """
-    h = portable_hash(F.col(key), seed)
-    ranked, n = with_row_index(df.withColumn("_h", h), ["_h", key], name="_r")
-    k = int(n * fraction)
-    return ranked.withColumn(flag, F.col("_r") <= k).drop("_h", "_r")
+    order = ["_sample_h", key]
+    hashed = df.withColumn("_sample_h", portable_hash(F.col(key), seed))
+    cuts, _ = cut_keys(hashed, order, lambda n: [int(n * fraction)])
+    return hashed.withColumn(flag, segment(hashed, order, cuts) == 0).drop("_sample_h")
 
 
 def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float],
-                    group_cols: Sequence[str] = ()) -> DataFrame:
+                    group_cols: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation, ``(group..., q, quantile)``.
 
-    Distributed: values get their global position by ``with_row_index`` over
-    (group, value); the two positions around ``(n - 1) * q`` of each group
-    are picked by a join against a table bounded by groups x quantiles, so
-    no group is ever gathered into one task.
+    Rows are first counted per (group, value) with partial aggregation, so a
+    value held by most rows is one row afterwards; ``weight`` names a column of
+    counts when the table is counted already.  Running counts along the values
+    (``prefix_sums``, split over many tasks even for a hot group) give the two
+    values around ``(n - 1) * q``.  Group sizes stay in Spark, null is a group
+    like any other; a group without values gives no row.
     """
     g = list(group_cols)
-    base = df.where(F.col(value).isNotNull()).select(*g, F.col(value).cast("double").alias("_v"))
-    idx, _ = with_row_index(base, g + ["_v"], name="_rn")
-    spans = idx.groupBy(*g).agg(F.min("_rn").alias("_start"), F.count(F.lit(1)).alias("_n")).collect()
-    rows = []
-    for r in spans:
-        if not r["_n"] or r["_start"] is None:     # empty input: no quantiles
-            continue
-        n, start = int(r["_n"]), int(r["_start"])
-        for q in quantiles:
-            h = (n - 1) * float(q)
-            lo = int(np.floor(h))
-            hi = min(lo + 1, n - 1)
-            rows.append(tuple(r[k] for k in g) + (float(q), start + lo, start + hi, h - lo))
-    spark = df.sparkSession
-    gschema = "".join(f"`{k}` {base.schema[k].dataType.simpleString()}, " for k in g)
-    want = spark.createDataFrame(rows, f"{gschema}q double, _lo bigint, _hi bigint, _frac double")
-    pos = want.select(*g, "q", "_frac", F.explode(F.array(
-        F.struct(F.lit("lo").alias("side"), F.col("_lo").alias("_rn")),
-        F.struct(F.lit("hi").alias("side"), F.col("_hi").alias("_rn")))).alias("w")) \
-        .select(*g, "q", "_frac", "w.side", "w._rn")
-    # groups x quantiles x 2 rows: a bounded broadcast
-    picked = idx.select("_rn", "_v").join(F.broadcast(pos), "_rn")
-    agg = picked.groupBy(*g, "q", "_frac").agg(
-        F.max(F.when(F.col("side") == "lo", F.col("_v"))).alias("_a"),
-        F.max(F.when(F.col("side") == "hi", F.col("_v"))).alias("_b"))
-    return agg.select(*g, "q", (F.col("_a") + F.col("_frac") * (F.col("_b") - F.col("_a"))).alias("quantile"))
+    one = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counts = (df.where(F.col(value).isNotNull())
+              .groupBy(*g, F.col(value).cast("double").alias("_v")).agg(one.cast("double").alias("_c"))
+              .where(F.col("_c") > 0))
+    cum = prefix_sums(counts, ["_v"], ["_c"], partition_by=g)
+    total = cum.groupBy(*g).agg(F.max("_c_cum").alias("_n"))
+    h = (F.col("_n") - 1) * F.col("q")
+    want = (total.select(*g, "_n", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("q"))
+            .select(*g, "q", F.floor(h).alias("_lo"), F.least(F.floor(h) + 1, F.col("_n") - 1).alias("_hi"),
+                    (h - F.floor(h)).alias("_frac")))
+    first, end = F.col("_c_cum") - F.col("_c"), F.col("_c_cum")
+    at_lo = (F.col("_lo") >= first) & (F.col("_lo") < end)
+    at_hi = (F.col("_hi") >= first) & (F.col("_hi") < end)
+    picked = null_safe_join(cum, want, g).where(at_lo | at_hi)
+    agg = picked.groupBy(*g, "q", "_frac").agg(F.max(F.when(at_lo, F.col("_v"))).alias("_a"),
+                                               F.max(F.when(at_hi, F.col("_v"))).alias("_b"))
+    # no interpolation between equal values: infinities stay what they are
+    return agg.select(*g, "q", F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(
+        F.col("_a") + F.col("_frac") * (F.col("_b") - F.col("_a"))).alias("quantile"))

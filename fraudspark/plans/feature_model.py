@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from ..operators import encoders as enc
 from ..operators import features as fe
 from ..operators import prune
-from ..operators.ordering import contiguous_fold
 from ..operators.split import add_folds
 
 
@@ -107,20 +106,18 @@ class FeaturePipeline:
     target_cols: list[str] = field(default_factory=lambda: list(enc.TARGET_ENCODE_COLS))
     freq_cols: list[str] = field(default_factory=lambda: list(enc.FREQ_ENCODE_COLS))
 
-    def fit_transform(self, df: DataFrame, position: str | None = None,
-                      n_rows: int | None = None) -> tuple[FeatureModel, DataFrame]:
+    def fit_transform(self, df: DataFrame, fold: str | None = None) -> tuple[FeatureModel, DataFrame]:
         """Fit on training rows; return the model and the training features
         (out-of-fold target encoding, so no row sees its own label).
 
-        ``position`` / ``n_rows``: the rows' 1-based time positions when the
-        caller already has them (a time split does), which saves one
-        distributed indexing pass for the folds.
+        ``fold`` names the column of the rows' contiguous folds when the caller
+        has it already (a time split does), which saves one indexing pass.
         """
         if self.label not in df.columns:
             raise ValueError("fitting the feature pipeline needs the label column")
         x = base_features(df, self.dt, self.fold_case)
-        if position is not None and n_rows is not None:
-            x = x.withColumn("_fold", contiguous_fold(F.col(position), n_rows, self.n_splits)).drop(position)
+        if fold is not None:
+            x = x.withColumnRenamed(fold, "_fold")
         else:
             x = add_folds(x, self.n_splits, self.dt, self.key, fold="_fold")
         base = x = x.persist(StorageLevel.MEMORY_AND_DISK)

@@ -23,9 +23,8 @@ g AS (SELECT avg(isFraud) AS g FROM tr)
 def _train_apply(spark, sf, frame=None):
     """(train rows with fold, val+test rows) of the time split."""
     t = frame if frame is not None else tb.txn(spark, sf)
-    s, n = sp.time_split(t)
-    n_train = int(n * sp.TRAIN_FRAC)
-    train = s.where(F.col("split") == "train").withColumn("fold", od.contiguous_fold(F.col("rn"), n_train, 5))
+    s, _ = sp.time_split(t, folds=5)
+    train = s.where(F.col("split") == "train")
     rest = s.where(F.col("split") != "train")
     return train, rest
 
@@ -41,7 +40,8 @@ FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS
 def q_time_split(spark, sf):
     """Orders by date (2,399 distinct days for 15,000 rows at sf0.01: heavy ties, key breaks them)."""
     o = tb.read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    s, _ = sp.time_split(o, dt="o_orderdate", key="o_orderkey")
+    at, _ = od.with_row_index(o, ["o_orderdate", "o_orderkey"])
+    s, _ = sp.time_split(at, dt="o_orderdate", key="o_orderkey")
     return s.select("o_orderkey", "rn", "split")
 
 
@@ -62,7 +62,8 @@ WITH {_SPLIT_CTE}
 SELECT TransactionID, rn FROM sp WHERE rn > floor(n * 0.85::double)
 """, "txn"))
 def q_test_tail(spark, sf):
-    return sp.test_tail(tb.txn(spark, sf).select("TransactionID", "TransactionDT")).select("TransactionID", "rn")
+    tail, _ = sp.test_tail_positions(tb.txn(spark, sf).select("TransactionID", "TransactionDT"))
+    return tail.select("TransactionID", "rn")
 
 
 @register("batch_index", tb.with_views(f"""

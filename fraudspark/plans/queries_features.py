@@ -152,10 +152,10 @@ FROM tr LEFT JOIN cs ON tr.card1 = cs.card1
 
 def _fit(spark, sf):
     t = tb.txn(spark, sf).drop("p")
-    s, n = sp.time_split(t)
-    train = s.where(F.col("split") == "train").select(*t.columns, "rn")
+    s, _ = sp.time_split(t, folds=5)
+    train = s.where(F.col("split") == "train").drop("split")
     # the V-column gate is a parameter; the fixture has six V columns
-    return FeaturePipeline(min_v_cols=5).fit_transform(train, position="rn", n_rows=int(n * sp.TRAIN_FRAC))
+    return FeaturePipeline(min_v_cols=5).fit_transform(train, fold="fold")
 
 
 @register("feature_matrix", _feature_matrix_sql())

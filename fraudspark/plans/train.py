@@ -24,7 +24,7 @@ from ..operators import features as fe
 from ..operators import models as mdl
 from ..operators import score as sc
 from ..operators.resample import smote
-from ..operators.split import TRAIN_FRAC, time_split
+from ..operators.split import time_split
 from ..sources import io
 from .feature_model import FeatureModel, FeaturePipeline
 
@@ -40,10 +40,10 @@ class Prepared:
 def prepare(df: DataFrame, pipeline: FeaturePipeline | None = None) -> Prepared:
     """Split by time, fit features on the training rows, build filled feature tables."""
     pipeline = pipeline or FeaturePipeline()
-    s, n = time_split(df, pipeline.dt, pipeline.key)
-    raw = {k: s.where(F.col("split") == k).drop("rn", "split") for k in ("val", "test")}
+    s, _ = time_split(df, pipeline.dt, pipeline.key, folds=pipeline.n_splits)
+    raw = {k: s.where(F.col("split") == k).drop("fold", "split") for k in ("val", "test")}
     train = s.where(F.col("split") == "train").drop("split")
-    fm, x_train = pipeline.fit_transform(train, position="rn", n_rows=int(n * TRAIN_FRAC))
+    fm, x_train = pipeline.fit_transform(train, fold="fold")
     keep = [pipeline.key, pipeline.label]
 
     def finish(x):

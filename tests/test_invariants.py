@@ -37,10 +37,52 @@ def test_exact_quantiles_match_numpy(spark):
         assert abs(ref - r["quantile"]) < 1e-9
 
 
-def test_contiguous_folds_like_kfold(spark):
-    df = spark.range(1, 18).withColumnRenamed("id", "rn")
-    got = [r["f"] for r in df.select(od.contiguous_fold(F.col("rn"), 17, 5).alias("f")).orderBy("rn").collect()]
-    assert got == [0] * 4 + [1] * 4 + [2] * 3 + [3] * 3 + [4] * 3
+def test_exact_quantiles_of_a_hot_value_and_a_null_group(spark):
+    rows = [(None if i % 4 == 0 else i % 4, 0.5 if i % 5 else float(i)) for i in range(2000)]
+    rows += [(9, None), (8, float("inf")), (8, float("inf"))]
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {(r["g"], r["q"]): r["quantile"] for r in od.exact_quantiles(df, "v", [0.0, 0.3, 0.95, 1.0], ["g"]).collect()}
+    assert {g for g, _ in got} == {None, 1, 2, 3, 8}            # a group without values has no row
+    for (g, q), v in got.items():
+        assert np.isclose(v, np.inf if g == 8 else np.quantile([b for a, b in rows if a == g], q))
+    counted = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    again = {(r["g"], r["q"]): r["quantile"]
+             for r in od.exact_quantiles(counted, "v", [0.0, 0.3, 0.95, 1.0], ["g"], weight="n").collect()}
+    assert again == got
+    assert od.exact_quantiles(df.where("false"), "v", [0.5]).count() == 0
+
+
+def test_description_keeps_the_null_class(spark):
+    from fraudspark.operators import explore as ex
+    from fraudspark.operators import monitor as mo
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), (1, 5.0)], "isFraud int, TransactionAmt double")
+    got = {r["isFraud"]: r for r in ex.describe_by_class(df).collect()}
+    assert got[None]["p50"] == 2.0 and got[1]["p50"] == 5.0
+    log = spark.createDataFrame([(None, 0.2, "APPROVE", 0), ("a", 0.8, "DECLINE", 1)],
+                                "grp string, fraud_probability double, decision string, isFraud int")
+    m = {r["grp"]: r["score_p95"] for r in mo.monitor_metrics(log, group_cols=["grp"]).collect()}
+    assert m == {None: 0.2, "a": 0.8}
+
+
+def test_split_and_folds_by_cut_keys(spark):
+    from fraudspark.operators import split as sp
+    df = spark.createDataFrame([(None if i == 3 else i // 3, 100 - i, "x" * i) for i in range(25)],
+                               "TransactionDT long, TransactionID long, wide string")
+    order = sorted(df.collect(), key=lambda r: (r["TransactionDT"] is not None, r["TransactionDT"] or 0, r["TransactionID"]))
+    s, n = sp.time_split(df, folds=5)
+    got = {r["TransactionID"]: (r["split"], r["fold"]) for r in s.collect()}
+    assert n == 25
+    for rn, r in enumerate(order, 1):
+        want = "train" if rn <= 17 else "val" if rn <= 21 else "test"
+        # 17 rows in five folds: 4, 4, 3, 3, 3
+        fold = None if rn > 17 else 0 if rn <= 4 else 1 if rn <= 8 else 2 + (rn - 9) // 3
+        assert got[r["TransactionID"]] == (want, fold)
+    tail, start = sp.test_tail_positions(df)
+    assert start == 21 and {r["TransactionID"]: r["rn"] for r in tail.collect()} == {
+        r["TransactionID"]: i for i, r in enumerate(order, 1) if i > 21}
+    few, _ = sp.time_split(df.limit(3), folds=5)               # folds may be empty
+    assert few.where("split = 'train'").count() == 2
+    assert sp.time_split(df.where("false"), folds=5)[0].count() == 0
 
 
 def test_gram_correlation_matches_pandas(spark):

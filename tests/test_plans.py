@@ -44,6 +44,15 @@ def test_point_in_time_velocity_sums_seconds_before_the_window(spark):
     assert "_k" in window and "_b" in window and "TransactionID" not in window[:window.index("\n")]
 
 
+def test_split_and_sample_leave_wide_rows_where_they_are(spark):
+    from fraudspark.operators import ordering as od
+    from fraudspark.operators import split as sp
+    t = tb.txn(spark, SMALL)
+    for out in (sp.time_split(t, folds=5)[0], sp.test_tail(t)[0], sp.add_folds(t),
+                od.seeded_fraction(t, 0.1, 42, "TransactionID")):
+        assert "Exchange" not in _initial(out)
+
+
 def test_encoder_state_is_broadcast_when_small(spark):
     t = tb.txn(spark, SMALL)
     e = enc.fit_target_encoding(t, ["P_emaildomain", "R_emaildomain"], "isFraud")
