@@ -4,8 +4,6 @@ batch twin in DuckDB."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from ..operators import features as fe
@@ -13,32 +11,32 @@ from ..operators import monitor as mo
 from ..operators import split as sp
 from ..operators.encoders import materialize
 from ..operators.score import decide
-from ..session import _local_path, scratch_path
+from ..session import scratch_path
 from ..sources import tables as tb
 from ..functions.time import event_time
 from ..streaming import jobs as sj
 from .catalog import r6, register, rounded, s6
 from .queries_encode import _SPLIT_CTE
-from .queries_eval import _LOG_CTE, _log
+from .queries_eval import _LOG_CTE, _METRIC_NAMES, _METRICS_SQL, _log
 from .queries_quality import _requests
 
 
-def _order_files_by_name(path: str) -> None:
-    """Fixture prep: give part files increasing modification times in name order,
-    so the file source replays them in time order (local folders only)."""
-    local = _local_path(path)
-    if local is None:
-        return
-    parts = sorted(f for f in os.listdir(local) if f.startswith("part-"))
-    base = 1_700_000_000
-    for i, f in enumerate(parts):
-        os.utime(os.path.join(local, f), (base + i, base + i))
+#: Greatest number of rows of one file of a replay.
+FILE_ROWS = 1_000_000
 
 
 def _write_source(df, order_col: str, n_files: int, name: str, spark) -> str:
+    """Fixture prep: files that land one after the other along ``order_col``, as a
+    live feed writes them; the file source reads them in the order of arrival on
+    any file system.  The frame is cut once; each cut is one file of bounded size."""
+    cuts = max(n_files, -(-df.count() // FILE_ROWS))
+    parts = scratch_path(spark, f"{name}_parts")
+    (df.repartitionByRange(cuts, order_col).withColumn("_part", F.spark_partition_id())
+     .write.partitionBy("_part").parquet(parts))
     path = scratch_path(spark, name)
-    df.repartitionByRange(n_files, order_col).sortWithinPartitions(order_col).write.mode("overwrite").parquet(path)
-    _order_files_by_name(path)
+    for i in range(cuts):
+        spark.read.parquet(parts).where(F.col("_part") == i).select(*df.columns).coalesce(1) \
+            .write.mode("append").parquet(path)
     return path
 
 
@@ -47,13 +45,13 @@ def _stream_frame(spark, sf):
     return t.withColumn("event_time", sj.event_timestamp(F.col("TransactionDT")))
 
 
-def _run_stream(spark, sf, name, build, n_files=8, max_files=2):
+def _run_stream(spark, sf, name, build, n_files=8, max_files=2, read=None):
     src_df = _stream_frame(spark, sf)
     src = _write_source(src_df, "TransactionDT", n_files, f"{name}_src", spark)
     stream = sj.transaction_stream(spark, src, src_df.schema, max_files)
     out, ck = scratch_path(spark, f"{name}_out"), scratch_path(spark, f"{name}_ck")
     build(stream, out, ck)
-    return spark.read.parquet(out)
+    return read(spark, out) if read else spark.read.parquet(out)
 
 
 @register("stream_source", tb.with_views(
@@ -115,14 +113,8 @@ WITH b AS (SELECT TransactionDT, isFraud, p AS fraud_probability,
                   CASE WHEN p < 0.3 THEN 'APPROVE' WHEN p > 0.7 THEN 'DECLINE' ELSE 'REVIEW' END AS decision FROM txn),
 w AS (SELECT b.*, (floor(TransactionDT / {slide}) - j) * {slide} AS ws FROM b, ({starts}) js)
 SELECT strftime(timestamp '2017-11-30 00:00:00' + to_seconds(cast(ws AS bigint)), '%Y-%m-%d %H:%M:%S') AS window_start,
-       count(*) AS n_transactions,
-       {s6("avg(cast(decision = 'APPROVE' AS double))")} AS pct_approve,
-       {s6("avg(cast(decision = 'REVIEW' AS double))")} AS pct_review,
-       {s6("avg(cast(decision = 'DECLINE' AS double))")} AS pct_decline,
-       {s6('avg(fraud_probability)')} AS score_mean,
-       {s6('avg(cast(isFraud AS double))')} AS actual_fraud_rate
+       {_METRICS_SQL}
 FROM w GROUP BY ws
-HAVING ws + {size} <= (SELECT max(TransactionDT) FROM txn) - 3600
 """, "txn")
 
 
@@ -130,17 +122,16 @@ def _window_stream(spark, sf, name, duration, slide):
     def build(stream, out, ck):
         s = stream.withColumnRenamed("p", "fraud_probability")
         sj.run_window_metrics(s, out, ck, "event_time", duration, slide, "1 hour")
-    out = _run_stream(spark, sf, name, build)
+    out = _run_stream(spark, sf, name, build, read=sj.read_window_metrics)
     # format the window start in UTC whatever the session time zone is
     start = event_time(F.unix_seconds(F.col("window_start")) - F.lit(sj.REFERENCE_EPOCH))
     return rounded(out.select(F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                              "n_transactions", "pct_approve", "pct_review", "pct_decline", "score_mean",
-                              "actual_fraud_rate"))
+                              *_METRIC_NAMES))
 
 
 @register("stream_hourly", _window_sql(3600, 3600))
 def q_stream_hourly(spark, sf):
-    """Tumbling 1 h event-time windows, 1 h lateness bound, append output."""
+    """Tumbling 1 h event-time windows, 1 h lateness bound, the last windows included."""
     return _window_stream(spark, sf, "stream_hourly", "1 hour", None)
 
 
