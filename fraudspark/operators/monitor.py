@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .joins import null_safe_join
 from .ordering import exact_quantiles, prefix_sums
 
@@ -81,7 +82,7 @@ def mean_score_by_batch(log: DataFrame, prob: str = "fraud_probability", batch:
 def drift_alarm(log: DataFrame, prob: str = "fraud_probability", batch: str = "batch") -> DataFrame:
     """Per batch: mean score, baseline (mean of the first three batch means),
     running sample sd of all batch means so far (current included), the
-    2-sigma line and the alarm (needs more than 3 batches and a non-zero baseline).
+    2-sigma line and the alarm (needs more than 3 batches; a baseline of zero counts).
 
     Running moments come from ``prefix_sums`` over the batch-mean table, so
     the rule holds for any number of batches without a single-task window.
@@ -91,17 +92,19 @@ def drift_alarm(log: DataFrame, prob: str = "fraud_probability", batch: str = "b
 
 def drift_alarm_from_means(batch_means: DataFrame, batch: str = "batch") -> DataFrame:
     """The drift rule over a (batch, mean_score) table (a stream's running table, say)."""
-    means = batch_means.withColumn("_one", F.lit(1.0)) \
-        .withColumn("_m2", F.col("mean_score") * F.col("mean_score"))
-    cum = prefix_sums(means, [batch], ["_one", "mean_score", "_m2"])
-    base = cum.where(F.col("_one_cum") <= BASELINE_BATCHES).agg(
-        F.avg("mean_score").alias("baseline"), F.count(F.lit(1)).alias("_nb")).first()
-    baseline = base["baseline"] if base["_nb"] >= BASELINE_BATCHES else None
-    k, s, ss = F.col("_one_cum"), F.col("mean_score_cum"), F.col("_m2_cum")
+    means = materialize(batch_means.select(batch, "mean_score"), "batch_means")
+    first = [r["mean_score"] for r in means.orderBy(batch).limit(BASELINE_BATCHES).collect()]
+    known = [m for m in first if m is not None]
+    baseline = sum(known) / len(known) if len(first) == BASELINE_BATCHES and known else None
+    # sums of deviations from the baseline: no digits are lost to a large mean
+    dev = F.col("mean_score") - F.lit(baseline if baseline is not None else 0.0)
+    seen = F.col("mean_score").isNotNull().cast("double")
+    cum = prefix_sums(means.select("*", F.lit(1.0).alias("_one"), seen.alias("_k"), dev.alias("_d"),
+                                   (dev * dev).alias("_d2")), [batch], ["_one", "_k", "_d", "_d2"])
+    k, s, ss = F.col("_k_cum"), F.col("_d_cum"), F.col("_d2_cum")
     sd = F.when(k > 1, F.sqrt(F.greatest((ss - s * s / k) / (k - 1), F.lit(0.0))))
     bl = F.lit(baseline).cast("double")
     line = bl + SIGMAS * sd
-    alarm = (F.when(bl.isNull() | (bl == 0) | (k <= BASELINE_BATCHES), F.lit(False))
-             .otherwise(F.coalesce(F.col("mean_score") > line, F.lit(False))))
+    alarm = F.coalesce((F.col("_one_cum") > BASELINE_BATCHES) & (F.col("mean_score") > line), F.lit(False))
     return cum.select(batch, "mean_score", bl.alias("baseline"), sd.alias("running_sd"),
                       line.alias("alert_line"), alarm.alias("alarm"))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-from pyspark import StorageLevel
+from pyspark.ml.feature import PCA
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import materialize
 from .ordering import with_row_index
 
 # Fixed value: the fixed positive-class weight of the second booster preset.
@@ -45,21 +46,12 @@ def _dist(a, b):
     return F.sqrt(sq)
 
 
-def _directions(points: DataFrame, vec: str, dim: int, m: int, seed: int) -> list[list[float]]:
+def _directions(points: DataFrame, vec: str, dim: int, m: int) -> list[list[float]]:
     """Up to ``m`` orthonormal directions: the leading principal components of
-    the points (a distributed covariance, p x p on the driver), or one seeded
-    random unit vector when that is not available."""
-    try:
-        from pyspark.ml.feature import PCA
-        from pyspark.ml.functions import array_to_vector
-        model = PCA(k=min(m, dim), inputCol="_v", outputCol="_p").fit(
-            points.select(array_to_vector(F.col(vec).cast("array<double>")).alias("_v")))
-        pcs = model.pc.toArray()            # dim x m, orthonormal columns
-        return [list(map(float, pcs[:, j])) for j in range(pcs.shape[1])]
-    except Exception:                       # degenerate input: fall back to a random direction
-        rng = np.random.default_rng(seed)
-        u = rng.normal(size=dim)
-        return [list(map(float, u / np.linalg.norm(u)))]
+    the points (a distributed covariance, p x p on the driver)."""
+    model = PCA(k=min(m, dim), inputCol="_v", outputCol="_p").fit(points.select(array_to_vector(F.col(vec)).alias("_v")))
+    pcs = model.pc.toArray()            # dim x m, orthonormal columns
+    return [list(map(float, pcs[:, j])) for j in range(pcs.shape[1])]
 
 
 def _dot(x, u: list[float]):
@@ -67,60 +59,90 @@ def _dot(x, u: list[float]):
                        F.lit(0.0), lambda acc, v: acc + v)
 
 
-def knn(points: DataFrame, key: str, vec: str, k: int = K_NEIGHBOURS, seed: int = 42,
-        n_directions: int = 8) -> DataFrame:
+def knn(points: DataFrame, key: str, vec: str, k: int = K_NEIGHBOURS, n_directions: int = 8) -> DataFrame:
     """Exact k nearest neighbours (Euclidean) of every point among the others:
-    ``(key, neighbour, rank, distance)``, ties broken by neighbour key.
-
-    No all-pairs product.  Points are projected on up to ``n_directions``
-    orthonormal principal directions; the distance between projections is a
-    lower bound of the true distance.  Round 1 orders points along the first
-    direction and measures the 2k predecessors and 2k successors, which
-    bounds each point's k-th distance r.  Round 2 joins each point with the
-    points whose first projection lies within r (an equi-join on projection
-    buckets plus a range filter), drops pairs whose projected distance
-    exceeds r, and only then computes full distances.  Every true neighbour
-    passes both filters, so the result is exact.
+    ``(key, neighbour, rank, distance)``, ties broken by neighbour key; fewer
+    than k where there are not that many other points, none for a null vector.
+
+    Equal vectors are one node holding its k + 1 smallest keys (row_number with
+    a limit, which Spark applies before the shuffle as well), so a hot vector
+    is not paired with itself.  The k nearest other nodes and the node's own
+    keys hold the k nearest points of each of its members: a node further off
+    has k better keys before it.  Members read the node's list by a join on the
+    vector.
     """
-    dim = len(points.select(vec).first()[0])
-    dirs = _directions(points, vec, dim, n_directions, seed)
     x = F.col(vec).cast("array<double>")
-    base = points.select(F.col(key).alias("_id"), x.alias("_x")).select(
-        "_id", "_x", F.array(*[_dot(F.col("_x"), u) for u in dirs]).alias("_p"))
-    base = base.withColumn("_s", F.col("_p")[0])
-    idx, n = with_row_index(base, ["_s", "_id"], name="_rn")
-    idx = idx.persist(StorageLevel.MEMORY_AND_DISK)
-    if n <= 1:
-        return points.sparkSession.createDataFrame([], f"{key} bigint, neighbour bigint, rank int, distance double")
-    # round 1: 4k positional partners along the first direction -> upper bound of the k-th distance
+    base = materialize(points.where(F.col(vec).isNotNull()).select(F.col(key).alias("_id"), x.alias("_x")), "knn_points")
+    copy = Window.partitionBy("_x").orderBy("_id")
+    # at most k + 1 keys of a node are collected
+    nodes = materialize(base.withColumn("_c", F.row_number().over(copy)).where(F.col("_c") <= k + 1)
+                        .groupBy("_x").agg(F.min("_id").alias("_node"), F.sort_array(F.collect_list("_id")).alias("_ids")),
+                        "knn_nodes")
+    found = _node_neighbours(nodes.select("_node", "_x"), k, n_directions)
+    members = nodes.select("_node", "_ids")
+    near = found.join(members.select(F.col("_node").alias("_other"), "_ids"), "_other").select("_node", "_dd", "_ids") \
+        .unionByName(members.select("_node", F.lit(0.0).alias("_dd"), "_ids"))
+    # at most k + 1 nodes of k + 1 keys each
+    best = near.groupBy("_node").agg(F.slice(F.sort_array(F.flatten(F.collect_list(
+        F.transform("_ids", lambda i: F.struct(F.col("_dd"), i.alias("_n")))))), 1, k + 1).alias("_best"))
+    by_vector = nodes.select("_node", "_x").join(best, "_node").select("_x", "_best")
+    lists = base.join(by_vector, "_x").select(
+        "_id", F.slice(F.filter("_best", lambda e: e["_n"] != F.col("_id")), 1, k).alias("_best"))
+    return lists.select("_id", F.posexplode("_best").alias("_r", "_e")).select(
+        F.col("_id").alias(key), F.col("_e._n").alias("neighbour"), (F.col("_r") + 1).cast("int").alias("rank"),
+        F.col("_e._dd").alias("distance"))
+
+
+def _node_neighbours(nodes: DataFrame, k: int, n_directions: int) -> DataFrame:
+    """The k nearest other vectors of every distinct vector: ``(_node, _other, _dd)``.
+
+    No all-pairs product.  Vectors are projected on orthonormal principal
+    directions; the distance between projections is a lower bound of the true
+    distance.  Round 1 orders them along the first direction and measures the
+    2k predecessors and 2k successors, which bounds each k-th distance r.
+    Round 2 joins each vector with those whose first projection lies within r:
+    every vector has its own bucket width, the power of two at or above 2r, so
+    it looks into two buckets whatever the spread of radii; the others are
+    listed once for each width in use.  The projected distance is checked
+    before the full one.  Every true neighbour passes both, so the result is
+    exact.
+    """
+    dim = nodes.select(F.max(F.size("_x"))).first()[0]
+    several = nodes.limit(2).count() == 2
+    dirs = _directions(nodes, "_x", dim, n_directions) if several else [[1.0] * (dim or 1)]
+    norm = F.sqrt(F.aggregate("_x", F.lit(0.0), lambda acc, v: acc + v * v))
+    based = nodes.select("_node", "_x", F.array(*[_dot(F.col("_x"), u) for u in dirs]).alias("_p"), norm.alias("_norm"))
+    based = based.withColumn("_s", F.col("_p")[0])
+    idx, _ = with_row_index(based, ["_s", "_node"], name="_rn")
+    idx = materialize(idx, "knn_index")
+    longest = float(idx.agg(F.max("_norm")).first()[0] or 0.0)
     offs = [d for d in range(-2 * k, 2 * k + 1) if d != 0]
-    near = idx.select("_id", "_x", "_rn", F.explode(F.array(*[F.lit(d) for d in offs])).alias("_d")) \
+    near = idx.select("_node", "_x", "_rn", F.explode(F.array(*[F.lit(d) for d in offs])).alias("_d")) \
         .withColumn("_prn", F.col("_rn") + F.col("_d"))
     other = idx.select(F.col("_rn").alias("_prn"), F.col("_x").alias("_y"))
-    d1 = near.join(other, "_prn").select("_id", _dist(F.col("_x"), F.col("_y")).alias("_dd"))
-    # at most 4k values per point are collected here: bounded
-    span = idx.agg(F.max("_s") - F.min("_s")).first()[0] or 0.0
-    bound = d1.groupBy("_id").agg(F.sort_array(F.collect_list("_dd")).alias("_ds")) \
-        .select("_id", F.when(F.size("_ds") >= k, F.element_at("_ds", k))
-                .otherwise(F.lit(float(span) * 2 + 1.0)).alias("_r"))
-    width = bound.agg(F.percentile_approx("_r", 0.5)).first()[0] or 1.0
-    width = max(float(width), 1e-9)
-    q = idx.join(bound, "_id").select(
-        F.col("_id").alias("_qid"), F.col("_x").alias("_qx"), F.col("_p").alias("_qp"),
-        F.col("_s").alias("_qs"), "_r",
-        F.explode(F.sequence(F.floor((F.col("_s") - F.col("_r") * (1 + 1e-9) - 1e-9) / width),
-                             F.floor((F.col("_s") + F.col("_r") * (1 + 1e-9) + 1e-9) / width))).alias("_bucket"))
-    pts = idx.select("_id", "_x", "_p", "_s", F.floor(F.col("_s") / width).alias("_bucket"))
-    # projections carry rounding error: compare against r with a small slack
-    r = F.col("_r") * (1 + 1e-9) + 1e-9
-    cand = (q.join(pts, "_bucket")
-            .where((F.col("_id") != F.col("_qid")) & (F.abs(F.col("_s") - F.col("_qs")) <= r))
-            .where(_dist(F.col("_qp"), F.col("_p")) <= r)
-            .select("_qid", "_id", _dist(F.col("_qx"), F.col("_x")).alias("_dd")))
-    w = Window.partitionBy("_qid").orderBy("_dd", "_id")
-    top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.select(F.col("_qid").alias(key), F.col("_id").alias("neighbour"), F.col("rank").cast("int"),
-                      F.col("_dd").alias("distance"))
+    d1 = near.join(other, "_prn").select("_node", _dist(F.col("_x"), F.col("_y")).alias("_dd"))
+    # at most 4k values per vector are collected here: bounded
+    bound = d1.groupBy("_node").agg(F.sort_array(F.collect_list("_dd")).alias("_ds"))
+    # with fewer than k others every distance counts: none is above twice the longest vector
+    r = F.when(F.size("_ds") >= k, F.get("_ds", F.lit(k - 1))).otherwise(F.lit(2.0 * longest))
+    # projections carry rounding error: a small slack, relative to the data
+    reach = r * (1 + 1e-9) + F.lit(1e-9 * (longest + 1e-300))
+    level = F.ceil(F.log2(2 * F.greatest(F.col("_r"), F.lit(1e-300)))).cast("int")
+    q = materialize(idx.join(bound.select("_node", reach.alias("_r")), "_node").select(
+        "_node", "_x", "_p", "_s", "_r", level.alias("_level")), "knn_queries")
+    # widths between the slack and twice the longest vector: some tens of powers of two
+    levels = sorted(row["_level"] for row in q.select("_level").distinct().collect())
+    cell = lambda s: F.floor(s / F.pow(F.lit(2.0), F.col("_level")))
+    looks = q.select(F.col("_node").alias("_q"), F.col("_x").alias("_qx"), F.col("_p").alias("_qp"), "_r", "_level",
+                     F.explode(F.sequence(cell(F.col("_s") - F.col("_r")), cell(F.col("_s") + F.col("_r")))).alias("_b"))
+    listed = idx.select("_node", "_x", "_p", "_s", F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>"))
+                        .alias("_level")).withColumn("_b", cell(F.col("_s")))
+    cand = (looks.join(listed, ["_level", "_b"])
+            .where((F.col("_node") != F.col("_q")) & (_dist(F.col("_qp"), F.col("_p")) <= F.col("_r")))
+            .select("_q", "_node", _dist(F.col("_qx"), F.col("_x")).alias("_dd")))
+    order = Window.partitionBy("_q").orderBy("_dd", "_node")
+    top = cand.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
+    return top.select(F.col("_q").alias("_node"), F.col("_node").alias("_other"), "_dd")
 
 
 def smote(train: DataFrame, feature_columns: Sequence[str], label: str = "isFraud", key: str = "TransactionID",
@@ -146,7 +168,7 @@ def smote(train: DataFrame, feature_columns: Sequence[str], label: str = "isFrau
     vec = F.array(*[F.col(c).cast("double") for c in cols])
     mino = train.where(F.col(label) == minority).select(F.col(key), vec.alias("_x"))
     ranked, _ = with_row_index(mino, [key], name="_r")
-    nn = knn(ranked.select(key, "_x"), key, "_x", k, seed)
+    nn = knn(ranked.select(key, "_x"), key, "_x", k)
     kk = k
     pairs = (nn.join(ranked.select(F.col(key), F.col("_r"), F.col("_x")), key)
              .join(ranked.select(F.col(key).alias("neighbour"), F.col("_x").alias("_y")), "neighbour")

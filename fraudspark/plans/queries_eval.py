@@ -258,7 +258,7 @@ def q_mean_by_batch(spark, sf):
 @register("drift_alarm", _log_sql(f"""
 SELECT batch, {s6('mean_score')} AS mean_score, {s6('baseline')} AS baseline, {s6('sd')} AS running_sd,
        {s6('baseline + 2 * sd')} AS alert_line,
-       CASE WHEN baseline IS NULL OR baseline = 0 OR k <= 3 THEN false
+       CASE WHEN baseline IS NULL OR k <= 3 THEN false
             ELSE coalesce(mean_score > baseline + 2 * sd, false) END AS alarm
 FROM rs, bl
 """, """

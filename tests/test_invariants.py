@@ -110,17 +110,40 @@ def _same_correlations(t, cols):
             assert abs(expect - r["r"]) < 1e-9
 
 
+def _knn_by_hand(ids, x, k):
+    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
+    return {vid: [b for _, b in sorted((d[i, j], ids[j]) for j in range(len(ids)) if j != i)[:k]]
+            for i, vid in enumerate(ids)}
+
+
+def _same_neighbours(df, key, vec, k):
+    got = rs.knn(df, key, vec, k).toPandas().sort_values([key, "rank"])
+    pdf = df.toPandas()
+    x = np.stack(pdf[vec].map(lambda v: np.asarray(v, dtype="float64")))
+    want = _knn_by_hand(pdf[key].tolist(), x, k)
+    mine = got.groupby(key)["neighbour"].apply(list).to_dict()
+    assert mine == {i: w for i, w in want.items() if w}
+
+
 def test_knn_exact_against_brute_force(spark):
     e = tb.read_table(spark, MEDIUM, "embeddings").where("label = 3").select("vec_id", "embedding")
-    got = rs.knn(e, "vec_id", "embedding", 5).toPandas()
-    pdf = e.toPandas()
-    x = np.stack(pdf["embedding"].map(lambda v: np.asarray(v, dtype="float64")))
-    ids = pdf["vec_id"].to_numpy()
-    d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
-    for i, vid in enumerate(ids):
-        order = sorted((d[i, j], ids[j]) for j in range(len(ids)) if j != i)[:5]
-        mine = got[got.vec_id == vid].sort_values("rank")
-        assert list(mine["neighbour"]) == [b for _, b in order]
+    _same_neighbours(e, "vec_id", "embedding", 5)
+
+
+def test_knn_of_uneven_and_equal_points(spark):
+    rng = np.random.default_rng(5)
+    schema = "i long, v array<double>"
+    close = [(i, [i / 2 ** 23, 1.0]) for i in range(60)]                  # far below the others' spacing
+    far = [(100 + i, [float(x) for x in rng.integers(-2 ** 20, 2 ** 20, 2)]) for i in range(39)]
+    _same_neighbours(spark.createDataFrame(close + far, schema), "i", "v", 5)
+    copies = [(i, [3.0, 4.0]) for i in range(50)] + [(50 + i, [3.0, 4.0 + i]) for i in range(8)]
+    _same_neighbours(spark.createDataFrame(copies, schema), "i", "v", 5)
+    equal = spark.createDataFrame([(i, [1.0, 1.0]) for i in range(40)], schema)
+    _same_neighbours(equal, "i", "v", 5)
+    few = spark.createDataFrame([(1, [0.0, 0.0]), (2, [9.0, 1.0]), (3, [9.0, 1000.0])], schema)
+    _same_neighbours(few, "i", "v", 5)
+    _same_neighbours(few.limit(1), "i", "v", 5)
+    assert rs.knn(few.where("false"), "i", "v").count() == 0
 
 
 def test_smote_balances_and_stays_on_segments(spark):

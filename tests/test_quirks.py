@@ -59,11 +59,11 @@ def test_monitor_false_positive_rate_and_empty_log(spark):
     assert unlabelled["false_positive_rate"] is None and unlabelled["actual_fraud_rate"] is None
 
 
-def test_zero_baseline_disables_the_alarm(spark):
-    rows = [(b, 0.0) for b in range(3)] + [(3, 0.9), (4, 0.95)]
+def test_zero_baseline_is_a_baseline(spark):
+    rows = [(b, 0.0) for b in range(8)] + [(8, 0.9)]
     log = spark.createDataFrame(rows, "batch long, fraud_probability double")
     alarms = [r["alarm"] for r in mo.drift_alarm(log).orderBy("batch").collect()]
-    assert alarms == [False] * 5
+    assert alarms == [False] * 8 + [True]
     rows = [(b, 0.1) for b in range(3)] + [(3, 0.1), (4, 0.9)]
     alarms = [r["alarm"] for r in mo.drift_alarm(spark.createDataFrame(rows, "batch long, fraud_probability double"))
               .orderBy("batch").collect()]
