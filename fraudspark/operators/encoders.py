@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize as _write_back
 from .joins import can_broadcast
@@ -30,13 +31,23 @@ TARGET_ENCODE_COLS = ["P_emaildomain", "R_emaildomain", "DeviceInfo", "id_30", "
 FREQ_ENCODE_COLS = ["card1", "card2", "card3", "id_20"]
 
 
-def _cat(c: str) -> Column:
-    return F.col(c).cast("string")
+# Join keys that rows without a category are spread over.
+NULL_KEYS = 65_536
+
+
+def _cat(df: DataFrame, c: str) -> Column:
+    """The category as text; a whole number reads the same from an integer and a
+    floating column (9500 and 9500.0), so a state fits data of either type."""
+    col = F.col(c)
+    if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType)):
+        whole = (col == F.floor(col)) & (F.abs(col) < F.lit(2.0 ** 53))
+        return F.when(whole, col.cast("bigint").cast("string")).otherwise(col.cast("string"))
+    return col.cast("string")
 
 
 def _unpivot(df: DataFrame, cols: Sequence[str], extra: Sequence[str]) -> DataFrame:
     """Long form (col, category, *extra) with null categories dropped."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("col"), _cat(c).alias("category")) for c in cols])
+    pairs = F.array(*[F.struct(F.lit(c).alias("col"), _cat(df, c).alias("category")) for c in cols])
     return (df.select(*extra, F.explode(pairs).alias("_p"))
             .select(F.col("_p.col").alias("col"), F.col("_p.category").alias("category"), *extra)
             .where(F.col("category").isNotNull()))
@@ -48,6 +59,7 @@ def _apply_state(df: DataFrame, state: DataFrame, cols: Sequence[str], default:
     """Replace each column by its state value; unseen / null -> default; absent -> default."""
     out = df
     bc = can_broadcast(state_rows)
+    ids = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType) and f.name not in cols] or list(cols)
     for c in cols:
         if c not in df.columns:
             out = out.withColumn(c, F.lit(float(default)))
@@ -56,7 +68,11 @@ def _apply_state(df: DataFrame, state: DataFrame, cols: Sequence[str], default:
             F.col("category").alias("_cat"), *[F.col(k).alias(f"_k_{k}") for k in key_cols],
             F.col(value_col).alias("_val"))
         s = F.broadcast(s) if bc else s
-        cond = _cat(c) == F.col("_cat")
+        own = _cat(out, c)
+        if not bc:      # null categories match nothing: spread them instead of one join key for all
+            spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*[F.col(x) for x in ids]), F.lit(NULL_KEYS)))
+            own = F.coalesce(own, spread)
+        cond = own == F.col("_cat")
         for k in key_cols:
             cond = cond & (F.col(k) == F.col(f"_k_{k}"))
         out = (out.join(s, cond, "left")
@@ -122,7 +138,7 @@ def fit_target_encoding(df: DataFrame, cols: Sequence[str], label: str = "isFrau
         raise ValueError("target encoding needs the label column")
     cols = [c for c in cols if c in df.columns]
     pairs = F.array(F.struct(F.lit(_ALL).alias("col"), F.lit(_ALL).alias("category")),
-                    *[F.struct(F.lit(c).alias("col"), _cat(c).alias("category")) for c in cols])
+                    *[F.struct(F.lit(c).alias("col"), _cat(df, c).alias("category")) for c in cols])
     stats = materialize(
         df.select(label, F.explode(pairs).alias("_p"))
         .where(F.col("_p.category").isNotNull())

@@ -54,12 +54,24 @@ def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     return [c for c in required if c not in present]
 
 
+def with_value_counts(rows: DataFrame, df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Add ``n_values`` (non-null values, one pass over ``df``; 0 when absent) to
+    report rows keyed by ``column_name``."""
+    held = [F.struct(F.lit(c).alias("column_name"), F.count(F.col(c)).alias("n_values")) for c in cols]
+    if not held:
+        return rows.withColumn("n_values", F.lit(0).cast("bigint"))
+    counts = df.agg(F.array(*held).alias("v")).select(F.explode("v").alias("v")).select("v.*")
+    # one row per listed column: a bounded broadcast
+    return rows.join(F.broadcast(counts), "column_name", "left").withColumn("n_values", F.coalesce("n_values", F.lit(0)))
+
+
 def required_columns_report(spark: SparkSession, df: DataFrame, required: Sequence[str],
                             table: str) -> DataFrame:
-    """One row per required column with its presence (schema only, no job)."""
+    """One row per required column with its presence and number of values."""
     present = set(df.columns)
-    rows = [(table, c, c in present) for c in required]
-    return spark.createDataFrame(rows, "table string, column_name string, present boolean")
+    rows = spark.createDataFrame([(table, c, c in present) for c in required],
+                                 "table string, column_name string, present boolean")
+    return with_value_counts(rows, df, [c for c in required if c in present])
 
 
 def check_required_columns(df: DataFrame, required: Sequence[str], table: str) -> None:

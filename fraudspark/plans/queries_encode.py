@@ -160,7 +160,8 @@ def _fe_state_sql(cols, normalize=True) -> str:
     parts = []
     for c in cols:
         val = f"count(*) / sum(count(*)) OVER ()" if normalize else "cast(count(*) AS double)"
-        parts.append(f"SELECT '{c}' AS col, cast({c} AS varchar) AS category, count(*) AS n, {s6(val)} AS value "
+        # whole numbers read the same from integer and floating columns
+        parts.append(f"SELECT '{c}' AS col, cast(cast({c} AS bigint) AS varchar) AS category, count(*) AS n, {s6(val)} AS value "
                      f"FROM tr WHERE {c} IS NOT NULL GROUP BY {c}")
     return "\nUNION ALL\n".join(parts)
 

@@ -17,15 +17,17 @@ from .ingest import ingest, left_join_identity
 def _required_sql() -> str:
     def part(table, cols):
         lst = ", ".join(f"'{c}'" for c in cols)
+        values = " UNION ALL ".join(f"SELECT '{c}' AS v, count({c}) AS n_values FROM {table}" for c in cols)
         return (f"SELECT '{table}' AS \"table\", c AS column_name, "
-                f"c IN (SELECT column_name FROM (DESCRIBE SELECT * FROM {table})) AS present "
-                f"FROM (SELECT unnest([{lst}]) AS c)")
+                f"c IN (SELECT column_name FROM (DESCRIBE SELECT * FROM {table})) AS present, n_values "
+                f"FROM (SELECT unnest([{lst}]) AS c) JOIN ({values}) ON c = v")
     return tb.with_views(part("transactions", dq.TRANSACTION_REQUIRED) + "\nUNION ALL\n"
                          + part("identity", dq.IDENTITY_REQUIRED), "transactions", "identity")
 
 
 @register("dq_required_columns", _required_sql())
 def q_required(spark, sf):
+    """Presence of each required column and how many values it holds."""
     t, i = tb.transactions(spark, sf), tb.identity(spark, sf)
     return (dq.required_columns_report(spark, t, dq.TRANSACTION_REQUIRED, "transactions")
             .unionByName(dq.required_columns_report(spark, i, dq.IDENTITY_REQUIRED, "identity")))
@@ -35,20 +37,24 @@ def _dtypes_sql() -> str:
     fam = ("CASE WHEN column_type IN ('BIGINT','INTEGER','SMALLINT','TINYINT') THEN 'int' "
            "WHEN column_type IN ('DOUBLE','FLOAT') THEN 'float' ELSE lower(column_type) END")
     exp = " UNION ALL ".join(f"SELECT '{c}' AS c, '{f}' AS f" for c, f in dq.EXPECTED_TYPES.items())
-    parts = [f"""SELECT '{t}' AS "table", e.c AS column_name, e.f AS expected, {fam} AS actual, {fam} = e.f AS passed
-FROM ({exp}) e JOIN (DESCRIBE SELECT * FROM {t}) d ON d.column_name = e.c""" for t in ("transactions", "identity")]
+    parts = [f"""SELECT '{t}' AS "table", e.c AS column_name, e.f AS expected, {fam} AS actual, {fam} = e.f AS passed, v.n_values
+FROM ({exp}) e JOIN (DESCRIBE SELECT * FROM {t}) d ON d.column_name = e.c
+JOIN ({" UNION ALL ".join(f"SELECT '{c}' AS c, count({c}) AS n_values FROM {t}" for c in dq.EXPECTED_TYPES if c in held)}) v
+  ON v.c = e.c""" for t, held in (("transactions", dq.EXPECTED_TYPES), ("identity", dq.IDENTITY_REQUIRED))]
     return tb.with_views("\nUNION ALL\n".join(parts), "transactions", "identity")
 
 
 @register("dq_dtypes", _dtypes_sql())
 def q_dtypes(spark, sf):
-    rows = dq.dtype_report(tb.transactions(spark, sf), "transactions") + dq.dtype_report(
-        tb.identity(spark, sf), "identity")
-    return spark.createDataFrame(rows, "table string, column_name string, expected string, actual string, "
-                                       "passed boolean")
-
+    """Type family of each typed column and how many values it holds."""
+    out = None
+    for df, name in ((tb.transactions(spark, sf), "transactions"), (tb.identity(spark, sf), "identity")):
+        rows = spark.createDataFrame(dq.dtype_report(df, name), "table string, column_name string, expected string, "
+                                                                "actual string, passed boolean")
+        part = dq.with_value_counts(rows, df, [c for c in dq.EXPECTED_TYPES if c in df.columns])
+        out = part if out is None else out.unionByName(part)
+    return out
 
-# ------------------------------------------------------------ duplicate keys
 
 @register("dq_duplicate_keys", tb.with_views("""
 SELECT 'txn.TransactionID' AS table_key, sum(c) AS n_rows, sum(c - 1) AS n_duplicates
@@ -267,6 +273,31 @@ def q_csv(spark, sf):
     return io.read_csv(spark, path).select(*_RT_COLS)
 
 
+_BAD_CSV = {"TransactionAmt": ("cast(V3 as int) % 13 = 0", "xx"), "isFraud": ("cast(V3 as int) % 17 = 0", "abc")}
+
+
+def _csv_findings_sql() -> str:
+    parts = []
+    for c in _RT_COLS:
+        if c in io.DECLARED_TYPES and io.DECLARED_TYPES[c].typeName() != "string":
+            rule = _BAD_CSV.get(c, ("false", ""))[0]
+            parts.append(f"SELECT '{c}' AS column_name, count(CASE WHEN {rule} THEN 1 WHEN {c} IS NOT NULL THEN 1 END) "
+                         f"AS n_values, count(*) FILTER (WHERE {rule}) AS n_bad, "
+                         f"count(*) FILTER (WHERE {rule}) = 0 AS passed FROM txn")
+    return tb.with_views("\nUNION ALL\n".join(parts), "txn")
+
+
+@register("csv_type_findings", _csv_findings_sql())
+def q_csv_findings(spark, sf):
+    """Texts in a CSV file that do not read as their declared type, counted per column."""
+    path = scratch_path(spark, "csv_bad")
+    t = tb.txn(spark, sf)
+    cols = [F.when(F.expr(_BAD_CSV[c][0]), F.lit(_BAD_CSV[c][1])).otherwise(F.col(c).cast("string")).alias(c)
+            if c in _BAD_CSV else F.col(c) for c in _RT_COLS]
+    io.write_csv(t.select(*cols), path)
+    return io.csv_type_findings(spark, path)
+
+
 @register("parquet_roundtrip", _RT_SQL)
 def q_parquet(spark, sf):
     path = scratch_path(spark, "parquet")

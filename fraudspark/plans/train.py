@@ -68,15 +68,17 @@ def train_all(spark: SparkSession, df: DataFrame, out_dir: str | None = None, n_
     train = prep.train
     if oversample:
         train = smote(train, fm.feature_columns, label=fm.label, key=fm.key).persist(StorageLevel.MEMORY_AND_DISK)
+    n_train = float(train.count())
     rows, fitted = [], {}
-    for name in models:
+    for name in models:        # the model column of the run table is the model type
         m = mdl.fit_model(name, train, fm.feature_columns, fm.label, n_trees, fm.key)
         run_id = mdl.new_run_id()
         metrics = evaluate_model(m, prep, fm.label).collect()   # two rows: val, test
         for r in metrics:
             for k in ("pr_auc", "roc_auc", "f1", "precision_at_80_rec", "threshold_at_80_rec"):
                 rows.append((run_id, name, r["split"], k, float(r[k]) if r[k] is not None else None))
-        rows.append((run_id, name, "train", "train_size", float(train.count())))
+        rows.append((run_id, name, "train", "train_size", n_train))
+        rows.append((run_id, name, "train", "smote_applied", float(oversample)))
         rows.append((run_id, name, "train", "n_features", float(len(fm.feature_columns))))
         fitted[name] = (m, run_id)
     runs = mdl.runs_long(spark, rows)

@@ -6,7 +6,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,17 +36,38 @@ REQUEST_FIELDS: list[tuple[str, T.DataType]] = [
 ]
 
 
+def _csv_text(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+
+
+def _typed(raw: DataFrame, declared: dict[str, T.DataType]) -> dict[str, Column]:
+    """The typed value of every declared column that is not text already."""
+    return {c: F.col(f"`{c}`").try_cast(declared[c]) for c in raw.columns
+            if c in declared and declared[c] != T.StringType()}
+
+
 def read_csv(spark: SparkSession, path: str, declared: dict[str, T.DataType] = DECLARED_TYPES) -> DataFrame:
     """CSV scan with a header: declared columns are cast to their type
-    (``try_cast``: unparsable -> null), undeclared columns stay strings and are
-    coerced later by the numeric step.  No schema-inference pass over the data."""
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
-    cols = []
-    for c in raw.columns:
-        t = declared.get(c)
-        cols.append(F.col(f"`{c}`").try_cast(t).alias(c) if t is not None and t != T.StringType()
-                    else F.col(f"`{c}`"))
-    return raw.select(*cols)
+    (``try_cast``: unparsable -> null, counted by ``csv_type_findings``),
+    undeclared columns stay strings and are coerced later by the numeric step.
+    No schema-inference pass over the data."""
+    raw = _csv_text(spark, path)
+    typed = _typed(raw, declared)
+    return raw.select(*[typed[c].alias(c) if c in typed else F.col(f"`{c}`") for c in raw.columns])
+
+
+def csv_type_findings(spark: SparkSession, path: str,
+                      declared: dict[str, T.DataType] = DECLARED_TYPES) -> DataFrame:
+    """Per declared column of the file: values that are there, values that do not
+    read as the declared type, and whether the column passes, in one pass."""
+    raw = _csv_text(spark, path)
+    found = [F.struct(F.lit(c).alias("column_name"), F.count(F.col(f"`{c}`")).alias("n_values"),
+                      F.count_if(F.col(f"`{c}`").isNotNull() & v.isNull()).alias("n_bad"))
+             for c, v in _typed(raw, declared).items()]
+    kind = "array<struct<column_name:string,n_values:bigint,n_bad:bigint>>"
+    rows = F.array(*found) if found else F.array().cast(kind)
+    return (raw.agg(rows.alias("f")).select(F.explode("f").alias("f")).select("f.*")
+            .withColumn("passed", F.col("n_bad") == 0))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

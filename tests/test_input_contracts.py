@@ -30,3 +30,23 @@ def test_prefix_sums_carry_a_key_over_many_tasks(spark):
     got = ordering.prefix_sums(df, ["o"], ["x"], partitions=8, partition_by=["g"]).toPandas().sort_values(["g", "o"])
     name = [c for c in got.columns if c not in ("g", "o", "x")][0]
     assert (got.groupby("g").x.cumsum() == got[name]).all()
+
+
+def test_csv_findings_count_unreadable_texts(spark, tmp_path):
+    path = str(tmp_path / "t.csv")
+    spark.createDataFrame([("1", "abc", "3.5"), ("2", "1", "xx"), ("3", None, "4"), ("1e3x", "0", None)],
+                          "TransactionID string, isFraud string, TransactionAmt string") \
+        .coalesce(1).write.option("header", True).csv(path)
+    got = {r["column_name"]: (r["n_values"], r["n_bad"], r["passed"]) for r in io.csv_type_findings(spark, path).collect()}
+    assert got == {"TransactionID": (4, 1, False), "isFraud": (3, 1, False), "TransactionAmt": (3, 1, False)}
+
+
+def test_categories_meet_across_numeric_types(spark):
+    from fraudspark.operators import encoders as enc
+    fit = spark.createDataFrame([(9500,), (9500,), (7,)], "card1 long")
+    state = enc.fit_frequency_encoding(fit, ["card1"], normalize=False)
+    new = spark.createDataFrame([(1, 9500.0), (2, 7.5), (3, None)], "id long, card1 double")
+    assert {r["id"]: r["card1"] for r in state.transform(new).collect()} == {1: 2.0, 2: 0.0, 3: 0.0}
+    # without a broadcast null categories are spread and still read as unseen
+    state.state_rows = None
+    assert {r["id"]: r["card1"] for r in state.transform(new).collect()} == {1: 2.0, 2: 0.0, 3: 0.0}
