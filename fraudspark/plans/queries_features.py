@@ -107,7 +107,7 @@ def _freq_join(c, i):
             f"WHERE {c} IS NOT NULL GROUP BY 1) f{i} ON cast(tr.{c} AS varchar) = f{i}.cat")
 
 
-# (name, sql, is_double) in the pipeline's output order, V columns excluded.
+# (name, sql, is_double) of the pipeline's output; of the V columns those that pruning keeps.
 _FM_COLS = [
     ("TransactionID", "tr.TransactionID", False), ("isFraud", "tr.isFraud", False),
     ("TransactionAmt", "tr.TransactionAmt", True), ("card1", "coalesce(f0.v, 0.0)", True),
@@ -130,6 +130,7 @@ _FM_COLS = [
     ("card_txn_count", "cs.n", False), ("card_total_spend", "cs.tot", True), ("card_mean_spend", "cs.m", True),
     ("DeviceType_was_null", "cast(tr.DeviceType IS NULL AS int)", False),
     ("P_emaildomain_was_null", "cast(tr.P_emaildomain IS NULL AS int)", False),
+    *[(c, f"tr.{c}", True) for c in ("V1", "V3", "V4", "V6")],
 ]
 _FM_NAMES = [n for n, _, _ in _FM_COLS]
 
@@ -162,7 +163,7 @@ def _fit(spark, sf):
 def q_feature_matrix(spark, sf):
     """Fitted feature matrix of the training rows (out-of-fold target encoding)."""
     _, x = _fit(spark, sf)
-    return rounded(x.select(*_FM_NAMES))
+    return rounded(x)
 
 
 @register("feature_pruned_v", tb.with_views(

@@ -1,9 +1,10 @@
 """Resampling, model training, persistence, run log and champion queries.
 
-Model fits use a small tree budget (``N_TREES``) so the checks stay quick;
-the published settings are ``operators.models.PRESET_TREES`` and friends.
-Model outputs have no SQL twin (rows-only checks); the leaderboard and
-champion rules are checked against DuckDB with formula scores as models.
+All model queries of a session share one training job with ``N_TREES`` trees a
+booster; the job's own default is ``operators.models.PRESET_TREES`` (the README
+gives the times).  Fitted values have no SQL twin: what a row must obey is
+compared with DuckDB instead (ids, ranges, the decision rule, the run grid),
+and the leaderboard and champion rules with formula scores as models.
 """
 
 from __future__ import annotations
@@ -14,21 +15,23 @@ from ..operators import evaluate as ev
 from ..operators import models as mdl
 from ..operators import resample as rs
 from ..operators import split as sp
+from ..operators.score import decide
 from ..session import scratch_path
 from ..sources import io
 from ..sources import tables as tb
 from .catalog import r6, register, rounded, s6
 from .feature_model import FeaturePipeline
 from .queries_encode import _SPLIT_CTE
+from .queries_features import _FM_NAMES
 from .train import load_champion, prepare, score_table, train_all
 
-N_TREES = 5
+N_TREES = 20
 _CACHE: dict = {}
 
 
 def _prepared(spark, sf):
     """Fitted features of the fixture split, shared by the model queries of one session."""
-    key = (id(spark), sf, "prep")
+    key = (spark.sparkContext.applicationId, sf, "prep")
     if key not in _CACHE:
         t = tb.txn(spark, sf).drop("p")
         _CACHE[key] = prepare(t, FeaturePipeline(min_v_cols=5))
@@ -36,7 +39,7 @@ def _prepared(spark, sf):
 
 
 def _trained(spark, sf):
-    key = (id(spark), sf, "train")
+    key = (spark.sparkContext.applicationId, sf, "train")
     if key not in _CACHE:
         out = scratch_path(spark, "models")
         res = train_all(spark, None, out, n_trees=N_TREES, prep=_prepared(spark, sf))
@@ -78,10 +81,9 @@ def q_smote(spark, sf):
 
 
 def _model_metrics(spark, sf, name):
-    prep = _prepared(spark, sf)
-    m = mdl.fit_model(name, prep.train, prep.features.feature_columns, "isFraud", N_TREES)
-    from .train import evaluate_model
-    return evaluate_model(m, prep)
+    """Validation and test metrics of one candidate of the session's training job."""
+    runs = _trained(spark, sf)["runs"].where((F.col("model") == name) & (F.col("split") != "train"))
+    return runs.groupBy("split").pivot("metric", _METRICS).agg(F.first("value"))
 
 
 @register("gbt_a")
@@ -104,50 +106,88 @@ def q_calibrated(spark, sf):
     return _model_metrics(spark, sf, "calibrated")
 
 
-@register("run_log")
+_METRICS = ["pr_auc", "roc_auc", "f1", "precision_at_80_rec", "threshold_at_80_rec"]
+
+
+@register("run_log", tb.with_views(f"""
+WITH {_SPLIT_CTE},
+size AS (SELECT 2.0 * max(c) AS n FROM (SELECT count(*) AS c FROM tr GROUP BY isFraud)),
+grid AS (SELECT s AS split, m AS metric, cast(NULL AS double) AS parameter
+         FROM (SELECT unnest(['val', 'test']) AS s), (SELECT unnest({_METRICS}) AS m)
+         UNION ALL SELECT 'train', 'train_size', cast(n AS double) FROM size
+         UNION ALL SELECT 'train', 'n_features', cast({len(_FM_NAMES) - 2} AS double)
+         UNION ALL SELECT 'train', 'smote_applied', cast(1 AS double))
+SELECT model, split, metric, true AS in_range, parameter
+FROM (SELECT unnest({list(mdl.MODEL_NAMES)}) AS model), grid
+""", "txn"))
 def q_run_log(spark, sf):
-    """Long-form run table of the full training job (four candidates, oversampled)."""
-    return _trained(spark, sf)["runs"]
+    """Long-form run table of the full training job (four candidates, oversampled): its grid, the run
+    parameters, and that each metric lies in [0, 1] (fitted values have no SQL twin)."""
+    train = F.col("split") == "train"
+    return _trained(spark, sf)["runs"].select(
+        "model", "split", "metric", (train | F.col("value").between(0, 1)).alias("in_range"),
+        F.when(train, F.col("value")).alias("parameter"))
 
 
-@register("predict_proba")
+@register("predict_proba", tb.with_views("SELECT TransactionID, true AS in_unit_range FROM txn", "txn"))
 def q_predict(spark, sf):
+    """The champion scores every row; a probability lies in [0, 1] (fitted values have no SQL twin)."""
     res = _trained(spark, sf)
-    return res["model"].score(res["prepared"].test).select("TransactionID", "fraud_probability")
+    prep = res["prepared"]
+    rows = prep.train.unionByName(prep.val).unionByName(prep.test)
+    return res["model"].score(rows).select("TransactionID", F.col("fraud_probability").between(0, 1).alias("in_unit_range"))
 
 
 @register("feature_importance")
 def q_importance(spark, sf):
-    prep = _prepared(spark, sf)
-    m = mdl.fit_model("gbt_b", prep.train, prep.features.feature_columns, "isFraud", N_TREES)
+    m = _trained(spark, sf)["models"]["gbt_b"]
     return spark.createDataFrame(mdl.feature_importance(m, 30), "feature string, importance double")
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", tb.with_views("SELECT TransactionID, true AS same FROM txn", "txn"))
 def q_model_roundtrip(spark, sf):
-    """Champion, fitted features and manifest saved, loaded, and used to score the test rows."""
+    """Champion saved and loaded: every row gets the score of the model in memory."""
     res = _trained(spark, sf)
-    fm, model, manifest = load_champion(spark, res["out_dir"])
-    return model.score(res["prepared"].test).select("TransactionID", "fraud_probability")
+    _, loaded, _ = load_champion(spark, res["out_dir"])
+    prep = res["prepared"]
+    rows = prep.train.unionByName(prep.val).unionByName(prep.test)
+    mine = res["model"].score(rows).withColumnRenamed("fraud_probability", "own")
+    both = loaded.score(mine)
+    return both.select("TransactionID", (F.abs(F.col("own") - F.col("fraud_probability")) < 1e-12).alias("same"))
 
 
-@register("manifest_row")
+@register("manifest_row", f"SELECT true AS known_model, 8 AS version_length, true AS metrics_in_range, "
+                          f"{len(_FM_NAMES) - 2} AS n_features")
 def q_manifest(spark, sf):
+    """The champion's manifest as stored: its name, version, metrics and feature list."""
     res = _trained(spark, sf)
     m = io.read_manifest(spark, f"{res['out_dir']}/champion/manifest")
-    return spark.createDataFrame([(m["model_name"], m["run_id"][:8], float(m["val_pr_auc"]),
-                                   float(m["test_pr_auc"]), len(m["feature_columns"]))],
-                                 "model_name string, model_version string, val_pr_auc double, "
-                                 "test_pr_auc double, n_features int")
+    return spark.createDataFrame(
+        [(m["model_name"] in mdl.MODEL_NAMES, len(m["run_id"][:8]),
+          all(0 <= float(m[k]) <= 1 for k in ("val_pr_auc", "test_pr_auc")), len(m["feature_columns"]))],
+        "known_model boolean, version_length int, metrics_in_range boolean, n_features int")
+
+
+def _decision_checks(records):
+    """Per record: probability in [0, 1]; the decision fits the stored score, which is rounded to four places."""
+    p, half = F.col("fraud_probability"), 0.5e-4
+    return records.select("TransactionID", p.between(0, 1).alias("in_unit_range"),
+                          F.col("decision").isin(*[F.lit("APPROVE"), F.lit("REVIEW"), F.lit("DECLINE")]).alias("known"),
+                          ((decide(p - half) == F.col("decision")) | (decide(p + half) == F.col("decision"))).alias("by_rule"),
+                          F.length("model_version").alias("version_length"))
+
+
+_DECISION_SQL = tb.with_views("SELECT TransactionID, true AS in_unit_range, true AS known, true AS by_rule, "
+                              "8 AS version_length FROM txn", "txn")
 
 
-@register("score_job")
+@register("score_job", _DECISION_SQL)
 def q_score_job(spark, sf):
     """Batch scoring job: load the champion, build features, align, fill, score, decide."""
     res = _trained(spark, sf)
     fm, model, manifest = load_champion(spark, res["out_dir"])
     t = tb.txn(spark, sf).drop("p", "isFraud")
-    return score_table(t, fm, model, manifest)
+    return _decision_checks(score_table(t, fm, model, manifest))
 
 
 # ------------------------------------------------- leaderboard over formula scores
@@ -221,7 +261,7 @@ def q_champion(spark, sf):
     return rounded(ch.select("model", "val_pr_auc", "test_pr_auc"))
 
 
-@register("stream_score_model")
+@register("stream_score_model", _DECISION_SQL)
 def q_stream_score_model(spark, sf):
     """The champion scoring a stream: fitted features with the frozen card profile
     (static state joined to each micro-batch), aligned, filled, scored, decided."""
@@ -234,4 +274,4 @@ def q_stream_score_model(spark, sf):
     stream = sj.transaction_stream(spark, src, src_df.schema, 2)
     out, ck = scratch_path(spark, "score_stream_out"), scratch_path(spark, "score_stream_ck")
     sj.run_scoring(stream, lambda s: score_table(s, fm, model, manifest, frozen_profile=True), out, ck)
-    return spark.read.parquet(out)
+    return _decision_checks(spark.read.parquet(out))

@@ -92,7 +92,8 @@ def train_all(spark: SparkSession, df: DataFrame, out_dir: str | None = None, n_
         fm.save(f"{out_dir}/champion/features")
         io.write_manifest(spark, manifest, f"{out_dir}/champion/manifest")
         runs.write.mode("append").parquet(f"{out_dir}/runs")
-    return dict(runs=runs, champion=name, model=model, manifest=manifest, prepared=prep)
+    return dict(runs=runs, champion=name, model=model, manifest=manifest, prepared=prep,
+                models={m: fit for m, (fit, _) in fitted.items()})
 
 
 def load_champion(spark: SparkSession, out_dir: str) -> tuple[FeatureModel, mdl.TrainedModel, dict]:
