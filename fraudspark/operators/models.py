@@ -147,7 +147,9 @@ def fit_model(name: str, train: DataFrame, feature_columns: Sequence[str], label
             if calibrate_on_real_rows:
                 held_rows = held_rows.where(F.col(key) >= 0)
             held = positive_probability(b.transform(held_rows), out="_raw").select("_raw", "label")
-            iso = IsotonicRegression(featuresCol="_raw", labelCol="label").fit(held)
+            # equal scores pooled first: the same fit over far fewer rows
+            pooled = held.groupBy("_raw").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("w"))
+            iso = IsotonicRegression(featuresCol="_raw", labelCol="label", weightCol="w").fit(pooled)
             boosters.append(b)
             isos.append(iso)
         model = CalibratedModel(boosters, isos)

@@ -34,12 +34,12 @@ def decision_records(df: DataFrame, prob: str = "fraud_probability", run_id: str
                      F.lit(float(decline_above)).alias("threshold_decline"))
 
 
-def inject_concept_drift(df: DataFrame, fraction: float = 0.10, seed: int = 42, label: str = "isFraud",
-                         amount: str = "TransactionAmt", key: str = "TransactionID") -> DataFrame:
-    """Multiply the amount by 5 for exactly floor(n_legit * fraction) legitimate rows,
-    chosen by a portable hash of the key; mark them ``_drifted``."""
-    legit = df.where(F.col(label) == 0)
-    others = df.where(~(F.col(label) == 0) | F.col(label).isNull())
-    chosen = seeded_fraction(legit, fraction, seed, key, flag="_drifted")
-    chosen = chosen.withColumn(amount, F.when(F.col("_drifted"), F.col(amount) * 5).otherwise(F.col(amount)))
-    return chosen.unionByName(others.withColumn("_drifted", F.lit(False)))
+def update_sample(df: DataFrame, column: str, value: Column, eligible: Column, fraction: float = 0.10,
+                  seed: int = 42, key: str = "TransactionID", flag: str = "updated") -> DataFrame:
+    """Conditional update of an exact sample: ``column`` becomes ``value`` in
+    floor(n * fraction) of the n eligible rows, chosen by a portable hash of the
+    key and marked by ``flag``; a null condition is not eligible."""
+    yes = F.coalesce(eligible, F.lit(False))
+    chosen = seeded_fraction(df.where(yes), fraction, seed, key, flag=flag)
+    chosen = chosen.withColumn(column, F.when(F.col(flag), value).otherwise(F.col(column)))
+    return chosen.unionByName(df.where(~yes).withColumn(flag, F.lit(False)))

@@ -273,7 +273,7 @@ def q_drift(spark, sf):
     return rounded(mo.drift_alarm(_log(spark, sf)))
 
 
-# ----------------------------------------------------------- drift stress set
+# ------------------------------------------------- conditional update of a sample
 
 @register("perturb_sample", tb.with_views(f"""
 WITH lg AS (SELECT TransactionID, TransactionAmt, row_number() OVER (ORDER BY {portable_hash_sql('TransactionID', 42)}, TransactionID) AS r,
@@ -284,8 +284,10 @@ UNION ALL
 SELECT TransactionID, {s6('TransactionAmt')}, false FROM txn WHERE isFraud <> 0
 """, "txn"))
 def q_perturb(spark, sf):
-    d = sc.inject_concept_drift(tb.txn(spark, sf).select("TransactionID", "TransactionAmt", "isFraud"))
-    return d.select("TransactionID", r6("TransactionAmt").alias("TransactionAmt"), F.col("_drifted").alias("drifted"))
+    """Amounts of an exact tenth of the legitimate rows multiplied by five, the rest unchanged."""
+    t = tb.txn(spark, sf).select("TransactionID", "TransactionAmt", "isFraud")
+    d = sc.update_sample(t, "TransactionAmt", F.col("TransactionAmt") * 5, F.col("isFraud") == 0, flag="drifted")
+    return d.select("TransactionID", r6("TransactionAmt").alias("TransactionAmt"), "drifted")
 
 
 @register("sample_n", tb.with_views(f"""
