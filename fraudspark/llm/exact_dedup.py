@@ -31,12 +31,19 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), ASCII_SPACE, "")
 
 
-def _collided(docs: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Hashes under which different normalised texts meet (none, unless the hash collides)."""
-    # a merge join at every size: whether the repeated hashes fit a broadcast must not decide the plan
-    texts = docs.join(repeated.select("h").hint("merge"), "h", "left_semi")
-    return (texts.groupBy("h").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
-            .filter("lo <> hi").select("h", F.lit(True).alias("collided")))
+def _collided(docs: DataFrame, repeated: DataFrame, limit: float) -> DataFrame:
+    """Hashes under which different normalised texts meet (none, unless the hash collides).
+
+    Groups of more than ``limit`` rows are few; their rows are found by broadcast where they lie and
+    reach the shuffle as one smallest and one largest text a task.  The texts of all other repeated
+    hashes meet in a merge join, at every size: whether they fit a broadcast must not decide the plan.
+    """
+    large = repeated.filter(F.col("n") > limit).select("h")
+    small = repeated.filter(F.col("n") <= limit).select("h")
+    parts = [docs.join(F.broadcast(large), "h", "left_semi"),
+             docs.join(F.broadcast(large), "h", "left_anti").join(small.hint("merge"), "h", "left_semi")]
+    ends = [p.groupBy("h").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi")) for p in parts]
+    return ends[0].unionByName(ends[1]).filter("lo <> hi").select("h", F.lit(True).alias("collided"))
 
 
 def groups(documents: DataFrame, hash_fn=None) -> DataFrame:
@@ -52,7 +59,8 @@ def groups(documents: DataFrame, hash_fn=None) -> DataFrame:
     narrow = materialize(docs.select("doc_id", "chars", "h", F.sha2(F.col("norm").cast("binary"), 256).alias("sha")), "exact")
     per_hash = narrow.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     repeated = materialize(per_hash.filter("n > 1"), "exact_repeated")
-    collided = materialize(_collided(docs, repeated), "exact_collided")
+    limit = max(1.0, narrow.count() * HOT_SHARE)
+    collided = materialize(_collided(docs, repeated, limit), "exact_collided")
     # the text of a row whose hash collides is part of its key; collisions apart, the hash is the key
     if collided.isEmpty():
         keyed = narrow.withColumn("k", F.col("h"))
@@ -63,8 +71,7 @@ def groups(documents: DataFrame, hash_fn=None) -> DataFrame:
     order = F.struct("chars", F.col("doc_id").isNotNull().alias("has_id"), (-F.col("doc_id")).alias("neg_id"))
     best = (keyed.groupBy("k").agg(F.count(F.lit(1)).alias("group_size"), F.max(order).alias("best"))
             .select("k", "group_size", (-F.col("best.neg_id")).alias("keep_id")))
-    total = keyed.count()
-    hot = best.filter(F.col("group_size") > max(1.0, total * HOT_SHARE)).select("k")
+    hot = best.filter(F.col("group_size") > limit).select("k")
     return (lookup(keyed, best, "k", hot)
             .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     F.col("sha").alias("text_sha256")))
