@@ -52,10 +52,12 @@ def exact_expected(rows):
     return out
 
 
+@pytest.mark.parametrize("share", [0.0, 0.2, 1.0])  # every group large, some, none
 @pytest.mark.parametrize("weak", [False, True])
-def test_exact_dedup(spark, edge, weak):
+def test_exact_dedup(spark, edge, weak, share, monkeypatch):
     from pyspark.sql import functions as F
 
+    monkeypatch.setattr(exact_dedup, "HOT_SHARE", share)
     hash_fn = (lambda norm: F.substring(F.md5(norm.cast("binary")), 1, 1)) if weak else None  # weak: collisions
     got = Counter(tuple(r) for r in exact_dedup.groups(edge, hash_fn).collect())
     assert got == exact_expected(EDGE)
