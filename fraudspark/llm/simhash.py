@@ -22,6 +22,7 @@ Defined results
     few words        the whole sequence is the one shingle
     null doc_id      never the smallest id of a component that has another one
     repeated rows    share a fingerprint, so they share a component; each row is returned
+    repeated ids     unlike texts under one id, or without id, are components of their own; ``dedup`` keeps a row of each
     ties             a bit is set in over half of the shingles, so an even split leaves it unset
     empty table      empty result
     extra columns    ignored by ``components_of``, kept by ``dedup`` whatever their names
@@ -246,12 +247,15 @@ def links(prints: DataFrame, budget: int = MAX_BITS) -> DataFrame:
 
 
 def _classes(prints: DataFrame, budget: int) -> tuple[DataFrame, DataFrame]:
-    """(fp, component_id, links) for every fingerprint of ``prints(doc_id, fp)``, and the hot ones."""
+    """(fp, root, component_id) for every fingerprint of ``prints(doc_id, fp)``, and the hot ones.
+
+    The root is a fingerprint and tells the components apart; component_id need not: components share
+    it when they share a repeated id, or when all their ids are null."""
     per = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "prints")
     roots = components(links(per.select("fp"), budget))
     whole = per.join(roots.withColumnRenamed("vertex", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = whole.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = materialize(whole.join(least, "root").select("fp", "component_id"), "classes")
+    named = materialize(whole.join(least, "root").select("fp", "root", "component_id"), "classes")
     total = per.agg(F.sum("n")).first()[0] or 0
     return named, per.filter(F.col("n") > max(1.0, total * HOT_SHARE)).select("fp")
 
@@ -268,10 +272,11 @@ def dedup(documents: DataFrame, words: int = SHINGLE_WORDS, budget: int = MAX_BI
     fp = fresh(documents, "fp")
     prints = materialize(with_fingerprint(documents.select("doc_id", "text"), "fp", words).select("doc_id", "fp"), "fingerprints")
     named, hot = _classes(prints, budget)
-    per = lookup(prints, named, "fp", hot).groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("m"))
+    per = lookup(prints, named, "fp", hot).groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("m"))
     stay = per.select(F.col("m.doc_id").alias("__id"), F.col("m.fp").alias("__fp"))
-    # rows that repeat the id that stays are cut to one of them; the fingerprint is computed for those only
-    mine = documents.join(stay.select("__id").distinct(), documents["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
-    printed = with_fingerprint(mine, fp, words)
+    # rows that repeat the id that stays are cut to one of them; the fingerprint is computed for those
+    # only, and for rows without an id, which need no join by id and so do not meet in one task
+    known = documents.join(stay.select("__id").distinct(), documents["doc_id"] == F.col("__id"), "left_semi")
+    printed = with_fingerprint(known.unionAll(documents.filter("doc_id is null")), fp, words)
     kept = printed.join(stay, printed["doc_id"].eqNullSafe(stay["__id"]) & (printed[fp] == stay["__fp"]), "left_semi")
     return kept.dropDuplicates(["doc_id", fp]).select(*[kept[c] for c in documents.columns])

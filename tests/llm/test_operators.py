@@ -178,6 +178,16 @@ def test_simhash_dedup_and_split_nodes(spark, monkeypatch):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter({c for *_, c in whole})
 
 
+def test_simhash_dedup_keeps_unlike_texts_under_null_and_repeated_ids(spark):
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, prose(2000 + k, 200)) for k in range(30)]
+    rows += [rows[0], rows[1], (500, rows[3][1]), (None, rows[4][1])]  # copies: under null, under 7, of a null row, of a row under 7
+    kept = Counter((r["doc_id"], r["text"]) for r in simhash.dedup(frame(spark, rows)).collect())
+    want = Counter(rows[:30])
+    want[rows[3]] -= 1  # its component has an id, which comes before null
+    want[(500, rows[3][1])] += 1
+    assert kept == +want
+
+
 def test_trie_join_random():
     rng = np.random.default_rng(0)
     keys = rng.integers(0, 2**63, 300, dtype=np.uint64)
