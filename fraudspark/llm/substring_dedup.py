@@ -2,7 +2,9 @@
 
 Whole texts are cut into sentences (after ``.``, ``!`` or ``?`` before white space, and at line
 ends).  Every run of three consecutive sentences, and every run of two, is hashed to 128 bits when it has
-at least ``MIN_WORDS`` words.  All runs meet by hash; the first occurrence (smallest doc_id, then
+at least ``MIN_WORDS`` words; where sentences are short, so is the shortest longer run from each sentence
+on, and back from each sentence, that reaches ``MIN_WORDS``.  So every sentence of a repeated passage of
+two or more sentences and ``MIN_WORDS`` words lies in a hashed run within the passage.  All runs meet by hash; the first occurrence (smallest doc_id, then
 first in its text) stays, and the sentences covered by any other occurrence are removed.
 
 Runs are counted with map-side partial aggregation, one row per document and hash, and joined back
@@ -13,6 +15,9 @@ Defined results
     null doc_id      comes after every other id in the order of occurrences
     repeated rows    rows with one id are one document: what they share with each other stays
     ties             the first occurrence inside a text is the one that starts first
+    one sentence     repeated between differing neighbours is no run and stays, however long it is
+    one line over    an unbroken stretch of one short sentence is no copy of itself; another stretch of it, in the
+    and over         same text or elsewhere, is a copy as far as the first one goes
     very long text   cut whole; memory follows one text
     empty table      empty result
     extra columns    ignored by ``spans`` and ``changed``, kept by ``dedup`` whatever their names
@@ -47,13 +52,34 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return [(m.start(), m.end()) for m in _SENTENCE.finditer(text) if m.end() > m.start() and not m[0].isspace()]
 
 
+def _longer(size: list[int], min_words: int) -> list[tuple[int, int]]:
+    """(first, sentences) of the shortest run from each sentence on, and back from each, that has
+    ``min_words`` words, where it takes more sentences than RUNS."""
+    n = len(size)
+    total = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+    end = np.searchsorted(total, total[:-1] + min_words)  # n + 1 where the text ends before
+    start = np.searchsorted(total, total[1:] - min_words, side="right") - 1  # -1 where it starts after
+    on, back = np.flatnonzero((end <= n) & (end - np.arange(n) > RUNS[-1])), np.flatnonzero((start >= 0) & (np.arange(n) + 1 - start > RUNS[-1]))
+    return sorted({*zip(on.tolist(), (end[on] - on).tolist(), strict=True), *zip(start[back].tolist(), (back + 1 - start[back]).tolist(), strict=True)})
+
+
 def runs(text: str, min_words: int = MIN_WORDS) -> list[tuple[bytes, int, int]]:
     """(hash, first sentence, sentences) of every run that is long enough."""
     words = [text[a:b].split() for a, b in sentences(text)]
     lines = [" ".join(w).encode("utf-8", "surrogatepass") for w in words]
     size = [len(w) for w in words]
     digest = xxhash.xxh3_128_digest
-    return [(digest(b"\n".join(lines[i:i + k])), i, k) for k in RUNS for i in range(len(lines) - k + 1) if sum(size[i:i + k]) >= min_words]
+    out = [(digest(b"\n".join(lines[i:i + k])), i, k) for k in RUNS for i in range(len(lines) - k + 1) if sum(size[i:i + k]) >= min_words]
+    longer = _longer(size, min_words)
+    if longer:
+        stretch = [0] * len(lines)  # where the stretch of equal sentences starts
+        for i in range(1, len(lines)):
+            stretch[i] = stretch[i - 1] if lines[i] == lines[i - 1] else i
+        for i, k in longer:
+            # a run of one sentence over and over is told from its neighbours by its place in the stretch
+            place = b"\n\n%d" % (i - stretch[i]) if stretch[i + k - 1] <= i else b""
+            out.append((digest(b"\n".join(lines[i:i + k]) + place), i, k))
+    return out
 
 
 _KEY = "doc_id long, th long, h1 long, h2 long, first int, n int, again boolean"

@@ -421,6 +421,25 @@ def test_substring_dedup(spark):
     assert texts[1] == rows[1][1] and prose(902, 9) in texts[0] and prose(902, 9) not in texts[3] and prose(3, 20) in texts[3] and texts[51] is None
 
 
+def test_substring_dedup_of_short_sentences(spark):
+    verse = "\n".join(prose(3000 + k, 4) for k in range(13)) + "\nthe end\n"  # the last line only in runs back from it
+    chorus = "sing it once again\n" * 13
+    rows = [(k, f"{prose(3100 + k, 3)}\n{verse}{prose(3200 + k, 3)}\n") for k in (1, 2)]
+    rows += [(k, f"{prose(3300 + k, 3)}\n{chorus * (k - 2)}{prose(3400 + k, 3)}\n") for k in (3, 4)]
+    got = {r["doc_id"]: list(r["removed"]) for r in substring_dedup.changed(frame(spark, rows)).collect()}
+    assert got == {2: list(range(1, 15)), 4: list(range(1, 14))}
+
+
+def test_runs_cover_every_repeated_passage():
+    rng = np.random.default_rng(7)
+    for trial in range(200):
+        size = rng.integers(1, 20 if trial % 2 else 6, rng.integers(2, 25))
+        passage = "".join(" ".join(f"w{trial}x{k}x{j}" for j in range(n)) + "\n" for k, n in enumerate(size))
+        here, there = ({h: (i, k) for h, i, k in substring_dedup.runs(f"{a}\n{passage}{b}\n")} for a, b in (("p q", "r s"), ("t u", "v w")))
+        covered = {x for h, (i, k) in here.items() if h in there for x in range(i, i + k)}
+        assert covered == (set(range(1, len(size) + 1)) if size.sum() >= substring_dedup.MIN_WORDS else set())
+
+
 def test_sentences_cover_the_text():
     for t in ("Hi. a.b c! ? x\n\nq", "", "\n\n", "no end", "End.", "a. b"):
         spans = substring_dedup.sentences(t)
