@@ -106,29 +106,34 @@ FAMILIES: tuple[tuple[str, tuple[str, ...], tuple[str, ...], tuple[str, ...]], .
     ("proprietary", ("proprietary and confidential", "unauthorized copying of this file"), ("licenseref-proprietary",), ()),
 )
 
-#: Single rules beside the families: label, priority, weight, keyword, regex over lower-cased bytes.
+#: Single rules beside the families: label, priority, weight, keyword (within one word), regex over
+#: lower-cased bytes in which a blank stands for whatever stands BETWEEN two words.
 SINGLE: tuple[tuple[str, int, float, bytes, bytes], ...] = (
-    ("mit", 60, 0.95, b"permission is hereby granted", rb"permission is hereby granted, free of charge, to any person obtaining a copy"),
-    ("isc", 60, 0.95, b"permission to use, copy, modify", rb"permission to use, copy, modify,? and(?:/or)? distribute this software for any purpose"),
-    ("bsd", 60, 0.9, b"redistribution and use in source", rb"redistribution and use in source and binary forms, with or without modification"),
-    ("zlib", 60, 0.9, b"provided 'as-is'", rb"this software is provided 'as-is', without any express or implied warranty"),
-    ("gpl", 55, 0.9, b"free software foundation", rb"under the terms of the gnu (?:lesser |affero )?general public licen[sc]e as published by the free software foundation"),
+    ("mit", 60, 0.95, b"permission", rb"permission is hereby granted, free of charge, to any person obtaining a copy"),
+    ("isc", 60, 0.95, b"permission", rb"permission to use, copy, modify,? and(?:/or)? distribute this software for any purpose"),
+    ("bsd", 60, 0.9, b"redistribution", rb"redistribution and use in source and binary forms, with or without modification"),
+    ("zlib", 60, 0.9, b"'as-is'", rb"this software is provided 'as-is', without any express or implied warranty"),
+    ("gpl", 55, 0.9, b"foundation", rb"under the terms of the gnu (?:lesser |affero )?general public licen[sc]e as published by the free software foundation"),
     ("apache", 30, 0.7, b"apache", rb"\bapache licen[sc]e\b"),
     ("bsd", 30, 0.6, b"bsd", rb"\bbsd(?:-style)? licen[sc]e\b"),
     ("gpl", 30, 0.7, b"gnu", rb"\bgnu (?:general public licen[sc]e|gpl)\b"),
-    ("lgpl", 31, 0.7, b"lesser general public", rb"\b(?:gnu )?lesser general public licen[sc]e\b"),
-    ("mpl", 30, 0.7, b"mozilla public", rb"\bmozilla public licen[sc]e\b"),
-    ("epl", 30, 0.7, b"eclipse public", rb"\beclipse public licen[sc]e\b"),
-    ("cc", 25, 0.6, b"creative commons", rb"\bcreative commons licen[sc]e\b"),
+    ("lgpl", 31, 0.7, b"lesser", rb"\b(?:gnu )?lesser general public licen[sc]e\b"),
+    ("mpl", 30, 0.7, b"mozilla", rb"\bmozilla public licen[sc]e\b"),
+    ("epl", 30, 0.7, b"eclipse", rb"\beclipse public licen[sc]e\b"),
+    ("cc", 25, 0.6, b"commons", rb"\bcreative commons licen[sc]e\b"),
     ("copyright", 10, 0.3, b"copyright", rb"\bcopyright (?:\(c\) |\xc2\xa9 )?(?:19|20)[0-9]{2}\b[^\n]{0,80}"),
-    ("warranty", 5, 0.3, b"without warrant", rb"without warrant(?:y|ies) (?:or conditions )?of any kind"),
-    ("eula", 20, 0.5, b"end user license", rb"\bend[ -]user licen[sc]e agreement\b"),
+    ("warranty", 5, 0.3, b"warrant", rb"without warrant(?:y|ies) (?:or conditions )?of any kind"),
+    ("eula", 20, 0.5, b"agreement", rb"\bend(?:-| )user licen[sc]e agreement\b"),
 )
 
-#: Texts without any of these hold no match of any rule; each rule's own keyword contains or implies one.
-GATES = (b"licen", b"copyright", b"spdx", b"public domain", b"warrant", b"permission", b"redistribution", b"provided 'as-is'",
-         b"creative", b"unauthorized", b"proprietary", b"bsd", b"cc by", b"cc0", b"attribution", b"gpl", b"apache", b"gnu", b"cecill",
-         b".org/", b".net/", b".com/", b".dev/", b".co/", b".info/", b".eu/", b"mit no ", b"firstdonoharm", b"unlicense.org", b"wtfpl.net")
+#: Texts without any of these hold no match of any rule: each lies within one word of every match of some rules.
+GATES = (b"licen", b"copyright", b"spdx", b"domain", b"warrant", b"permission", b"redistribution", b"'as-is'",
+         b"creative", b"unauthorized", b"proprietary", b"bsd", b"4.0", b"3.0", b"cc0", b"attribution", b"gpl", b"apache", b"gnu", b"cecill",
+         b".org/", b".net/", b".com/", b".dev/", b".co/", b".info/", b".eu/", b"firstdonoharm", b"unlicense.org", b"wtfpl.net")
+
+#: What stands between two words: white space, and where the line is wrapped the comment marks at its end
+#: and at the next one's start.  Atomic, so that long runs of blanks take linear time.
+BETWEEN = rb"(?>[^\S\n]++(?![\n*#|;/])|[^\S\n]*+[*#|;/]*+[^\S\n]*+\n(?:[\s*#/;%!|>\"\\.]|--|(?:dnl|rem)\s)*+)"
 
 
 @dataclass(frozen=True)
@@ -141,8 +146,8 @@ class Rule:
 
 
 def _loose(name: str) -> bytes:
-    """The name as a regex: runs of blanks may be any white space, licence may be spelt either way."""
-    return rb"\s+".join(re.escape(x).replace(rb"license", rb"licen[sc]e") for x in name.encode().split())
+    """The name as a regex: blanks may be whatever stands BETWEEN words, licence may be spelt either way."""
+    return BETWEEN.join(re.escape(x).replace(rb"license", rb"licen[sc]e") for x in name.encode().split())
 
 
 def _longest_word(name: str) -> bytes:
@@ -154,16 +159,17 @@ def rules() -> tuple[Rule, ...]:
     """Every rule in order: identifiers, addresses, grants, names, then the single ones."""
     out: list[Rule] = []
     edge, end = rb"(?<![" + WORD + rb"])", rb"(?![" + WORD + rb"])"
+    grant = rb"(?:(?:re-?)?licen[sc]ed|released|distributed|published|available|provided) under (?:the )?(?:terms of )?(?:the )?(?:gnu )?".replace(b" ", BETWEEN)
     for label, names, ids, places in FAMILIES:
         for x in ids:
             out.append(Rule(label, 100, 1.0, b"spdx", re.compile(rb"spdx-licen[sc]e-identifier:[ \t]*" + re.escape(x.encode()) + rb"(?![0-9a-z.-]*[0-9a-z])")))
         for x in places:
             out.append(Rule(label, 80, 0.9, x.encode(), re.compile(re.escape(x.encode()) + end)))
         for x in names:
-            out.append(Rule(label, 70, 0.95, _longest_word(x), re.compile(edge + rb"(?:(?:re-?)?licen[sc]ed|released|distributed|published|available|provided)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?(?:gnu\s+)?" + _loose(x) + end)))
+            out.append(Rule(label, 70, 0.95, _longest_word(x), re.compile(edge + grant + _loose(x) + end)))
             out.append(Rule(label, 50, 0.8, _longest_word(x), re.compile(edge + _loose(x) + end)))
     for label, priority, weight, keyword, pattern in SINGLE:
-        out.append(Rule(label, priority, weight, keyword, re.compile(pattern)))
+        out.append(Rule(label, priority, weight, keyword, re.compile(pattern.replace(b" ", BETWEEN))))
     return tuple(out)
 
 

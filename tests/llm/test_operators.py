@@ -97,6 +97,30 @@ def test_license_suppression_is_containment():
     assert [d[4] for d in kept] == ["apache-2.0", "apache"]  # the outer grant hides what lies in it, not the later name
 
 
+def test_license_wrapped_texts():
+    texts = {
+        "bsd": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that",
+        "isc": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee",
+        "zlib": "This software is provided 'as-is', without any express or implied\nwarranty.  In no event",
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software",
+        "gpl": "you can redistribute it under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either"}
+    for label, text in texts.items():
+        marked = [text.replace("\n", x) for x in (" ", "\n", "\r\n", "\n   ", "\n * ", "\n# ", "\n// ", "\n;; ", "\n-- ", "  *\n  * ", "\ndnl ", '\n.\\" ')] + [text.replace(" ", "\n# ")]
+        for t in marked:
+            assert label in licenses.scan(t)[5].split(","), (label, t)
+    for label, text in (("public-domain", "dedicated to the public\ndomain"), ("cc-by-4.0", "CC BY 4.0"), ("cc-by-4.0", "cc\nby 4.0"), ("mit-0", "mit\n# no attribution"),
+                        ("apache-2.0", "Released under the\n * Apache License,\n * Version 2.0"), ("eula", "end\nuser license agreement")):
+        assert label in licenses.scan(text)[5].split(","), text
+    assert not licenses.scan("apache; license, gnu / gpl, bsd | license")[5]
+
+
+def test_license_gates_and_keywords_lie_in_every_match():
+    assert not any(set(g) & set(b" \t\n") for g in (*licenses.GATES, *(r.keyword for r in licenses.rules())))
+    for label, names, ids, places in licenses.FAMILIES:
+        for x in [*names, *(f"SPDX-License-Identifier: {i}" for i in ids), *places]:
+            assert licenses.detections("\n".join(x.split()).lower().encode() if x in names else x.lower().encode()), x
+
+
 def secrets_expected(text):
     text, spans = text or "", []
     for kind, pattern, ok in (("assign", r"""(?a:(?i:(password|passwd|secret|token|api_?key)))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 6),
