@@ -4,7 +4,11 @@ Base kinds are leftmost non-overlapping matches in code points.  Beyond them, st
 characters that stand near a sensitive word are candidates.  A candidate's novelty is what it adds
 to the compressed size of the text around it, when the compressor is primed with a dictionary of
 common code and identifier words: identifiers and prose cost little, random strings nearly their
-entropy.  Incompressible candidates are reported as kind ``novel``.
+entropy.  What random strings add depends on their alphabet, their length and the text around them, so
+a candidate is held against random strings of its own alphabet and length in the same place;
+candidates that are made of words are not held against them.  Incompressible candidates are reported
+as kind ``novel``.  Lines of a key are one context: a candidate parted from a reported one by white space
+only needs no sensitive word of its own.
 
 Defined results
     null text       counts as the empty text: no spans, digest of the empty string
@@ -18,7 +22,11 @@ Defined results
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
+import string
+from collections import Counter
 from functools import cache
 
 import pandas as pd
@@ -38,8 +46,14 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 REACH = 48
 #: Text around a candidate that the compressor has seen before it.
 CONTEXT = 2048
-#: A candidate is reported when it adds at least so many bytes per character (random hex adds 1 and more, identifiers with digits up to 0.9).
+#: A candidate is reported when it adds at least so many bytes per character (random hex adds 1 and more, identifiers with digits up to 0.9) ...
 NOVELTY = 0.95
+#: ... or, unless it is made of words, at least this share of what random strings in its place add.
+RELATIVE = 0.75
+#: Random strings that a candidate is held against.
+RANDOM = 4
+#: A candidate is made of words when its pairs of letters are so much likelier in words than at random (nats per character).
+WORDY = 0.1
 #: Longer strings are measured piece by piece, so a measurement stays small.
 PIECE = 256
 
@@ -73,9 +87,46 @@ def novelty(before: str, candidate: str, after: str) -> float:
     return (size(around + candidate) - size(around)) / max(1, len(candidate))
 
 
+_CLASSES = ((re.compile("[a-z]"), string.ascii_lowercase), (re.compile("[A-Z]"), string.ascii_uppercase), (re.compile("[0-9]"), string.digits))
+
+
+def _alphabet(candidate: str) -> str:
+    """The characters that a random string like this one is drawn from."""
+    marks = "".join(c for c in "+/_=-" if c in candidate)
+    for digits in ("0123456789abcdef", "0123456789ABCDEF"):
+        if not candidate.strip(digits + "+/_=-") and set(candidate) <= set(digits + marks):
+            return digits + marks
+    return "".join(chars for pattern, chars in _CLASSES if pattern.search(candidate)) + marks
+
+
+def random_novelty(before: str, candidate: str, after: str) -> float:
+    """Mean novelty of random strings of the candidate's alphabet and length in its place."""
+    draw, chars = random.Random(candidate), _alphabet(candidate)
+    return sum(novelty(before, "".join(draw.choices(chars, k=len(candidate))), after) for _ in range(RANDOM)) / RANDOM
+
+
+_LETTERS = re.compile("[A-Z]?[a-z]+|[A-Z]+")
+
+
+@cache
+def _pairs() -> dict[str, float]:
+    """Log-odds of the letter pairs of the priming words against letters drawn at random."""
+    pairs = Counter(p for w in set(re.findall("[a-z]+", " ".join(_IDENTIFIERS))) for p in map("".join, zip(w, w[1:], strict=False)))
+    heads = Counter()
+    for p, n in pairs.items():
+        heads[p[0]] += n
+    return {x + y: math.log((pairs[x + y] + 0.25) / (heads[x] + 0.25 * 26) * 26) for x in string.ascii_lowercase for y in string.ascii_lowercase}
+
+
+def wordiness(candidate: str) -> float:
+    """Log-odds per character that its runs of letters are words rather than drawn at random."""
+    odds = _pairs()
+    return sum(odds[a + b] for w in _LETTERS.findall(candidate) for a, b in zip(w.lower(), w.lower()[1:], strict=False)) / len(candidate)
+
+
 def _novel(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Candidates near a sensitive word that share no character with a base span."""
-    out, i = [], 0
+    out, i, last = [], 0, -1
     taken = sorted(taken)
     for m in _CANDIDATE.finditer(text):
         a, b = m.span()
@@ -83,12 +134,15 @@ def _novel(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
             i += 1
         if (i < len(taken) and taken[i][0] < b) or not re.search("[0-9]", m[0]) or not re.search("[A-Za-z]", m[0]):
             continue
-        if not _SENSITIVE.search(text, max(0, a - REACH), min(len(text), b + REACH)):
+        follows = 0 <= last < a and a - last <= REACH and text[last:a].isspace()
+        if not follows and not _SENSITIVE.search(text, max(0, a - REACH), min(len(text), b + REACH)):
             continue
         before, after = text[max(0, a - CONTEXT):a], text[b:b + CONTEXT]
         pieces = [m[0][k:k + PIECE] for k in range(0, b - a, PIECE)]
-        if sum(novelty(before, p, after) * len(p) for p in pieces) >= NOVELTY * (b - a):
+        added = sum(novelty(before, p, after) * len(p) for p in pieces)
+        if added >= NOVELTY * (b - a) or (wordiness(m[0]) < WORDY and added >= RELATIVE * sum(random_novelty(before, p, after) * len(p) for p in pieces)):
             out.append((a, b))
+            last = b
     return out
 
 
