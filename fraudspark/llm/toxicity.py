@@ -5,13 +5,16 @@ id; the bound is a parameter):
 
 * A token's log-odds compare the share of toxic and of other documents that hold it, with Dirichlet
   priors: a token's prior counts follow the class shares of its stem (first letters), whose own
-  prior is the corpus share.  Tokens whose log-odds are not significantly positive, and repeats of
-  a token in a document, are background and cost ``DRIFT``; a word that was never seen takes the log-odds of its stem.
+  prior is the corpus share.  Tokens whose log-odds are not significantly positive are background and
+  cost ``DRIFT``, and so are repeats of a token as long as the drift since it last counted has not used up
+  its score; after that it counts again.  A word that was never seen takes the log-odds of its stem.
 * Segment scores of background text follow an extreme-value law P(S >= x) ~ K n exp(-lambda x).
   lambda solves the Karlin-Altschul equation over the clean documents' token frequencies, K is
   fitted to the largest segments of clean documents in the held-back part of the sample.
-* A document's evidence is the sum over its significant segments of lambda S - ln(K n); a logistic
-  curve fitted on the held-back part turns evidence into a probability.
+* A document's evidence is the sum over its significant segments of lambda S - ln(K n), from the
+  strongest on, each by the share of its score from words that no stronger one has: the odds compare
+  documents that hold a word, so a second passage of the same words is found and adds nothing.  A
+  logistic curve fitted on the held-back part turns evidence into a probability.
 
 Scoring reads whole texts: a linear-time scan (Ruzzo and Tompa) finds every maximal segment.  Only the
 text is an input of the score.  The model is a bounded table (``MAX_TERMS``), sent to the tasks.
@@ -29,6 +32,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -101,25 +105,36 @@ def segments(scores: list[tuple[int, float]], drift: float = DRIFT) -> list[tupl
 
 
 def _positive(words: list[str], terms: dict[str, float]) -> list[tuple[int, float]]:
-    """Positions and scores of tokens with positive log-odds.  The odds compare documents that hold a
-    token, so a token counts where it first stands, and its repeats are background."""
-    out, seen = [], set()
+    """Positions and scores of tokens with positive log-odds.  A repeat is background until the drift
+    since the token last counted has used up its score, so that a passage counts whatever came before it."""
+    out, counted = [], {}
     for i, w in enumerate(words):
         s = terms.get(w)
         if s is None and len(w) > STEM:
             s = terms.get(w[:STEM] + "*")
-        if s is not None and s > 0 and w not in seen:
-            seen.add(w)
+        if s is not None and s > 0 and (w not in counted or DRIFT * (i - counted[w]) >= s):
+            counted[w] = i
             out.append((i, s))
     return out
 
 
+def passages(words: list[str], terms: dict[str, float]) -> list[tuple[float, float]]:
+    """(score, share of it from words that no stronger one has) of the maximal segments, strongest first."""
+    scores = _positive(words, terms)
+    at, seen, out = [i for i, _ in scores], set(), []
+    for a, b, s in sorted(segments(scores), key=lambda x: (-x[2], x[0])):
+        inside = scores[bisect_left(at, a):bisect_right(at, b)]
+        out.append((s, sum(x for i, x in inside if words[i] not in seen) / sum(x for _, x in inside)))
+        seen.update(words[i] for i, _ in inside)
+    return out
+
+
 def evidence(text: str | None, model: Model) -> tuple[float, int, float]:
-    """Sum over significant segments of lambda S - ln(K n), their number, and the largest S."""
+    """Sum over significant segments of lambda S - ln(K n) by their share of new words, their number, and the largest S."""
     words = tokens(text)
-    found = segments(_positive(words, model.terms))
-    x = [model.lam * s - math.log(max(model.k * len(words), 1e-9)) for *_, s in found]
-    return sum(v for v in x if v > 0), sum(v > 0 for v in x), max((s for *_, s in found), default=0.0)
+    found = passages(words, model.terms)
+    x = [(model.lam * s - math.log(max(model.k * len(words), 1e-9)), share) for s, share in found]
+    return sum(v * share for v, share in x if v > 0), sum(v > 0 for v, _ in x), max((s for s, _ in found), default=0.0)
 
 
 def probability(e: float, model: Model) -> float:
@@ -248,18 +263,19 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Mod
 
     def largest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [(int(y), len(tokens(t)), [s for *_, s in segments(_positive(tokens(t), model.terms))]) for t, y in zip(b["text"], b["y"], strict=True)]
-            yield pd.DataFrame({"y": [o[0] for o in out], "n": [o[1] for o in out], "s": [o[2] for o in out]})
+            out = [(int(y), w := tokens(t), [p for p in passages(w, model.terms) if p[1] > 0]) for t, y in zip(b["text"], b["y"], strict=True)]
+            yield pd.DataFrame({"y": [y for y, *_ in out], "n": [len(w) for _, w, _ in out],
+                                "s": [[s for s, _ in found] for *_, found in out], "share": [[x for _, x in found] for *_, found in out]})
 
-    # one row for each held-back row of the sample, so at most 2 * rows
-    back = sample.filter("back").select("text", "y").mapInPandas(largest, "y int, n long, s array<double>").collect()
+    # one row for each held-back row of the sample, so at most 2 * rows; no more segments than the row has terms
+    back = sample.filter("back").select("text", "y").mapInPandas(largest, "y int, n long, s array<double>, share array<double>").collect()
     if not back or len({r["y"] for r in back}) < 2:
-        back = sample.select("text", "y").mapInPandas(largest, "y int, n long, s array<double>").collect()
+        back = sample.select("text", "y").mapInPandas(largest, "y int, n long, s array<double>, share array<double>").collect()
     # K: clean documents with a segment of at least the median term's score, against what the law expects
     x = float(np.median([s for _, s, _ in terms if s > 0]))
     over = sum(max(r["s"], default=0.0) >= x for r in back if r["y"] == 0)
     model.k = (over + 0.5) / max(sum(r["n"] for r in back if r["y"] == 0) * math.exp(-model.lam * x), 1e-9)
-    e = np.array([min(200.0, sum(max(0.0, model.lam * s - math.log(max(model.k * r["n"], 1e-9))) for s in r["s"])) for r in back])
+    e = np.array([min(200.0, sum(max(0.0, model.lam * s - math.log(max(model.k * r["n"], 1e-9))) * x for s, x in zip(r["s"], r["share"], strict=True))) for r in back])
     y = np.array([r["y"] for r in back])
     w = np.array([size[int(v)] / max(1, int((y == v).sum())) for v in y]) * len(y) / sum(size.values())
     model.a, model.b = _logistic(e, y, w)

@@ -281,6 +281,24 @@ def test_segments():
         assert np.allclose([x for *_, x in got], [x for *_, x in want])
 
 
+def test_toxic_passage_after_scattered_words():
+    bad = "nasty vile rotten filthy wretched".split()
+    terms = [(w, 4.0, 20) for w in bad]  # 1 in 10,000 clean tokens
+    model = toxicity.Model({w: s for w, s, _ in terms}, lam=toxicity._solve_lambda(terms, 1_000_000, toxicity.DRIFT), constant=None)
+    plain = ["word"] * 20_000
+    alone, scattered, twice = plain.copy(), plain.copy(), plain.copy()
+    for words, at in ((alone, 15_000), (scattered, 15_000), (twice, 15_000), (twice, 5_000)):
+        words[at:at + 5] = bad
+    for k, w in enumerate(bad):
+        scattered[1_000 + 20 * k] = w
+    score = lambda words: toxicity.evidence(" ".join(words), model)
+    assert score(alone)[0] > 10 and score(alone)[1] == 1
+    assert score(scattered) == score(alone)
+    assert score(twice) == (score(alone)[0], 2, score(alone)[2])  # found twice, the odds of its words count once
+    near = toxicity._positive("nasty nasty x nasty".split(), model.terms)
+    assert near == [(0, 4.0)]
+
+
 def test_toxicity(spark):
     rows = [(i, prose(i, 60) + (" you horrible vermin" if i % 4 == 0 else "")) for i in range(400)] + [(1000, None), (1001, ""), (None, "horrible vermin"), (3, prose(3, 60))]
     docs = frame(spark, rows)
