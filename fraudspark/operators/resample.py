@@ -146,13 +146,13 @@ def _node_neighbours(nodes: DataFrame, k: int, n_directions: int) -> DataFrame:
 
 
 def smote(train: DataFrame, feature_columns: Sequence[str], label: str = "isFraud", key: str = "TransactionID",
-          k: int = K_NEIGHBOURS, seed: int = 42) -> DataFrame:
+          k: int = K_NEIGHBOURS, seed: int = 42, marker: str | None = None) -> DataFrame:
     """Add synthetic minority rows until both classes have the same count.
 
     Each synthetic row j picks (base row, neighbour rank) and a step in [0, 1)
     from two independent 64-bit hashes of j, and lies on the segment base -> neighbour:
-    ``x + step * (x_nn - x)``.  Synthetic keys are negative.  A table with one
-    class, or with no more than ``k`` minority rows, is refused.
+    ``x + step * (x_nn - x)``.  Synthetic keys are negative; ``marker`` adds a
+    boolean column that is true for synthetic rows.  A table with one class, or with no more than ``k`` minority rows, is refused.
     """
     counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
@@ -160,8 +160,9 @@ def smote(train: DataFrame, feature_columns: Sequence[str], label: str = "isFrau
     minority = min(counts, key=lambda c: (counts[c], c))
     n_min, n_maj = counts[minority], max(counts.values())
     n_new = n_maj - n_min
+    marked = (lambda rows, made: rows.withColumn(marker, F.lit(made))) if marker else (lambda rows, made: rows)
     if n_new == 0:
-        return train
+        return marked(train, False)
     if n_min <= k:
         raise ValueError(f"oversampling with {k} neighbours needs more than {k} minority rows, found {n_min}")
     cols = list(feature_columns)
@@ -188,4 +189,4 @@ def smote(train: DataFrame, feature_columns: Sequence[str], label: str = "isFrau
                            *[F.col("_v")[i].cast(train.schema[c].dataType).alias(c) for i, c in enumerate(cols)])
     new_rows = new_rows.select(*[F.col(c) if c in new_rows.columns else F.lit(None).cast(train.schema[c].dataType)
                                  .alias(c) for c in train.columns])
-    return train.unionByName(new_rows)
+    return marked(train, False).unionByName(marked(new_rows, True))

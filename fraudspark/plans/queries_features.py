@@ -135,6 +135,11 @@ _FM_COLS = [
 _FM_NAMES = [n for n, _, _ in _FM_COLS]
 
 
+def _feature_joins(target: list[str], freq: list[str]) -> str:
+    """Joins of training rows with their out-of-fold label means and category shares."""
+    return "\n".join([_oof_join(c, i) for i, c in enumerate(target)] + [_freq_join(c, i) for i, c in enumerate(freq)])
+
+
 def _feature_matrix_sql() -> str:
     sel = ",\n  ".join((s6(e) if d else e) + f" AS {n}" for n, e, d in _FM_COLS)
     return tb.with_views(f"""
@@ -143,11 +148,7 @@ cs AS (SELECT card1, avg(TransactionAmt) AS m, stddev_samp(TransactionAmt) AS sd
               coalesce(sum(TransactionAmt), 0.0) AS tot FROM tr WHERE card1 IS NOT NULL GROUP BY card1)
 SELECT {sel}
 FROM tr LEFT JOIN cs ON tr.card1 = cs.card1
-{_oof_join('P_emaildomain', 0)}
-{_oof_join('R_emaildomain', 1)}
-{_freq_join('card1', 0)}
-{_freq_join('card2', 1)}
-{_freq_join('card3', 2)}
+{_feature_joins(["P_emaildomain", "R_emaildomain"], ["card1", "card2", "card3"])}
 """, "txn")
 
 

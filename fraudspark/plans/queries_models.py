@@ -1,28 +1,31 @@
 """Resampling, model training, persistence, run log and champion queries.
 
-All model queries of a session share one training job with ``N_TREES`` trees a
-booster; the job's own default is ``operators.models.PRESET_TREES`` (the README
-gives the times).  Fitted values have no SQL twin: what a row must obey is
-compared with DuckDB instead (ids, ranges, the decision rule, the run grid),
-and the leaderboard and champion rules with formula scores as models.
+The queries of the training job's values (coefficients, run table, manifest, probabilities, decision
+records, stream scores) run it with the discriminant, whose values DuckDB can state; the queries of
+boosted trees score a table of trees made of the data.  The four candidates share one training job a
+session with ``N_TREES`` trees a booster; its own default is ``operators.models.PRESET_TREES``
+(the README gives the times).  Their metrics, scores and importances have no SQL twin.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
+from ..operators import boosting as bo
 from ..operators import evaluate as ev
 from ..operators import models as mdl
 from ..operators import resample as rs
 from ..operators import split as sp
-from ..operators.score import decide
+from ..operators.linear import LinearScorer
 from ..session import scratch_path
 from ..sources import io
 from ..sources import tables as tb
 from .catalog import r6, register, rounded, s6
 from .feature_model import FeaturePipeline
 from .queries_encode import _SPLIT_CTE
-from .queries_features import _FM_NAMES
+from .queries_features import _FM_COLS, _feature_joins, _freq_join
 from .train import load_champion, prepare, score_table, train_all
 
 N_TREES = 20
@@ -109,39 +112,24 @@ def q_calibrated(spark, sf):
 _METRICS = ["pr_auc", "roc_auc", "f1", "precision_at_80_rec", "threshold_at_80_rec"]
 
 
-@register("run_log", tb.with_views(f"""
-WITH {_SPLIT_CTE},
-size AS (SELECT 2.0 * max(c) AS n FROM (SELECT count(*) AS c FROM tr GROUP BY isFraud)),
-grid AS (SELECT s AS split, m AS metric, cast(NULL AS double) AS parameter
-         FROM (SELECT unnest(['val', 'test']) AS s), (SELECT unnest({_METRICS}) AS m)
-         UNION ALL SELECT 'train', 'train_size', cast(n AS double) FROM size
-         UNION ALL SELECT 'train', 'n_features', cast({len(_FM_NAMES) - 2} AS double)
-         UNION ALL SELECT 'train', 'smote_applied', cast(1 AS double))
-SELECT model, split, metric, true AS in_range, parameter
-FROM (SELECT unnest({list(mdl.MODEL_NAMES)}) AS model), grid
-""", "txn"))
-def q_run_log(spark, sf):
-    """Long-form run table of the full training job (four candidates, oversampled): its grid, the run
-    parameters, and that each metric lies in [0, 1] (fitted values have no SQL twin)."""
-    train = F.col("split") == "train"
-    return _trained(spark, sf)["runs"].select(
-        "model", "split", "metric", (train | F.col("value").between(0, 1)).alias("in_range"),
-        F.when(train, F.col("value")).alias("parameter"))
+@register("run_log_candidates")
+def q_run_log_candidates(spark, sf):
+    """Long-form run table of the full training job (four candidates, oversampled)."""
+    return _trained(spark, sf)["runs"].select("model", "split", "metric", "value")
 
 
-@register("predict_proba", tb.with_views("SELECT TransactionID, true AS in_unit_range FROM txn", "txn"))
-def q_predict(spark, sf):
-    """The champion scores every row; a probability lies in [0, 1] (fitted values have no SQL twin)."""
+@register("score_candidates")
+def q_score_candidates(spark, sf):
+    """Decision records of the fitted champion for every row."""
     res = _trained(spark, sf)
-    prep = res["prepared"]
-    rows = prep.train.unionByName(prep.val).unionByName(prep.test)
-    return res["model"].score(rows).select("TransactionID", F.col("fraud_probability").between(0, 1).alias("in_unit_range"))
+    fm, model, manifest = load_champion(spark, res["out_dir"])
+    return score_table(tb.txn(spark, sf).drop("p", "isFraud"), fm, model, manifest)
 
 
 @register("feature_importance")
 def q_importance(spark, sf):
-    m = _trained(spark, sf)["models"]["gbt_b"]
-    return spark.createDataFrame(mdl.feature_importance(m, 30), "feature string, importance double")
+    """Splits and gain of the 30 features that the fitted booster splits most."""
+    return mdl.feature_importance(_trained(spark, sf)["models"]["gbt_b"], spark, 30)
 
 
 @register("model_roundtrip", tb.with_views("SELECT TransactionID, true AS same FROM txn", "txn"))
@@ -156,40 +144,6 @@ def q_model_roundtrip(spark, sf):
     return both.select("TransactionID", (F.abs(F.col("own") - F.col("fraud_probability")) < 1e-12).alias("same"))
 
 
-@register("manifest_row", f"SELECT true AS known_model, 8 AS version_length, true AS metrics_in_range, "
-                          f"{len(_FM_NAMES) - 2} AS n_features")
-def q_manifest(spark, sf):
-    """The champion's manifest as stored: its name, version, metrics and feature list."""
-    res = _trained(spark, sf)
-    m = io.read_manifest(spark, f"{res['out_dir']}/champion/manifest")
-    return spark.createDataFrame(
-        [(m["model_name"] in mdl.MODEL_NAMES, len(m["run_id"][:8]),
-          all(0 <= float(m[k]) <= 1 for k in ("val_pr_auc", "test_pr_auc")), len(m["feature_columns"]))],
-        "known_model boolean, version_length int, metrics_in_range boolean, n_features int")
-
-
-def _decision_checks(records):
-    """Per record: probability in [0, 1]; the decision fits the stored score, which is rounded to four places."""
-    p, half = F.col("fraud_probability"), 0.5e-4
-    return records.select("TransactionID", p.between(0, 1).alias("in_unit_range"),
-                          F.col("decision").isin(*[F.lit("APPROVE"), F.lit("REVIEW"), F.lit("DECLINE")]).alias("known"),
-                          ((decide(p - half) == F.col("decision")) | (decide(p + half) == F.col("decision"))).alias("by_rule"),
-                          F.length("model_version").alias("version_length"))
-
-
-_DECISION_SQL = tb.with_views("SELECT TransactionID, true AS in_unit_range, true AS known, true AS by_rule, "
-                              "8 AS version_length FROM txn", "txn")
-
-
-@register("score_job", _DECISION_SQL)
-def q_score_job(spark, sf):
-    """Batch scoring job: load the champion, build features, align, fill, score, decide."""
-    res = _trained(spark, sf)
-    fm, model, manifest = load_champion(spark, res["out_dir"])
-    t = tb.txn(spark, sf).drop("p", "isFraud")
-    return _decision_checks(score_table(t, fm, model, manifest))
-
-
 # ------------------------------------------------- leaderboard over formula scores
 # Three "models" whose scores are formulas of the row, evaluated on the time split.
 _FORMULAS = {"score_p": "p", "score_inverse": "1 - p", "score_amount": "least(TransactionAmt / 500.0, 1.0)"}
@@ -210,14 +164,8 @@ def _formula_runs(spark, sf):
         "'threshold_at_80_rec', threshold_at_80_rec) AS (metric, value)"))
 
 
-def _formula_sql(select: str) -> str:
-    scores = " UNION ALL ".join(
-        f"SELECT '{m}' AS model, split, isFraud, {e} AS score FROM s0" for m, e in _FORMULAS.items())
-    return tb.with_views(f"""
-WITH {_SPLIT_CTE},
-s0 AS (SELECT *, CASE WHEN rn <= floor(n * 0.85::double) THEN 'val' ELSE 'test' END AS split
-       FROM sp WHERE rn > floor(n * 0.7::double)),
-s AS ({scores}),
+#: Metrics of the scores s(model, split, isFraud, score), as in the evaluation operator.
+_METRIC_CTES = """
 cg AS (SELECT model, split, score AS threshold, sum(isFraud) AS pos, count(*) - sum(isFraud) AS neg
        FROM s GROUP BY model, split, score),
 cv AS (SELECT *, sum(pos) OVER (PARTITION BY model, split ORDER BY threshold DESC) AS tp,
@@ -232,7 +180,17 @@ mt AS (SELECT cr.model, cr.split, sum(pos / P * precision) AS pr_auc,
               max(CASE WHEN 2 * cf.tp + cf.fp + cf.fn > 0 THEN 2 * cf.tp / (2 * cf.tp + cf.fp + cf.fn) ELSE 0.0 END) AS f1,
               coalesce(max(CASE WHEN recall >= 0.8 THEN precision END), 0.0) AS precision_at_80_rec,
               coalesce(min(CASE WHEN recall >= 0.8 THEN threshold END), 1.0) AS threshold_at_80_rec
-       FROM cr JOIN cf ON cr.model = cf.model AND cr.split = cf.split GROUP BY cr.model, cr.split),
+       FROM cr JOIN cf ON cr.model = cf.model AND cr.split = cf.split GROUP BY cr.model, cr.split)"""
+
+
+def _formula_sql(select: str) -> str:
+    scores = " UNION ALL ".join(
+        f"SELECT '{m}' AS model, split, isFraud, {e} AS score FROM s0" for m, e in _FORMULAS.items())
+    return tb.with_views(f"""
+WITH {_SPLIT_CTE},
+s0 AS (SELECT *, CASE WHEN rn <= floor(n * 0.85::double) THEN 'val' ELSE 'test' END AS split
+       FROM sp WHERE rn > floor(n * 0.7::double)),
+s AS ({scores}),{_METRIC_CTES},
 lb AS (SELECT model,
               max(CASE WHEN split = 'val' THEN pr_auc END) AS val_pr_auc, max(CASE WHEN split = 'test' THEN pr_auc END) AS test_pr_auc,
               max(CASE WHEN split = 'val' THEN roc_auc END) AS val_roc_auc, max(CASE WHEN split = 'val' THEN f1 END) AS val_f1
@@ -261,17 +219,181 @@ def q_champion(spark, sf):
     return rounded(ch.select("model", "val_pr_auc", "test_pr_auc"))
 
 
-@register("stream_score_model", _DECISION_SQL)
+# ------------------------------------------------- the training job with a closed form
+# The discriminant of these features, fitted, evaluated, stored, loaded and applied like any candidate.
+_KNOWN = ["TransactionAmt", "log_amount", "hour_sin", "is_night", "card4", "card1", "P_emaildomain",
+          "P_emaildomain_was_null", "dist1", "addr2", "C1", "V3"]
+_KNOWN_RUN = hashlib.md5(",".join(_KNOWN).encode()).hexdigest()
+#: Its thresholds, as shares of the training rows' fraud rate.
+_LOW, _HIGH = 0.98, 1.02
+
+_train_expr = {n: e for n, e, _ in _FM_COLS}
+# fitted encoders applied to a row: smoothed label mean and share of the category
+_apply_expr = {**_train_expr, "card1": "coalesce(f0.v, 0.0)", "P_emaildomain": "coalesce(te.v, (SELECT g FROM g))"}
+
+
+def _known_columns(expr: dict) -> str:
+    return ", ".join(f"coalesce(cast({expr[c]} AS double), -999.0) AS {c}" for c in _KNOWN)
+
+
+_KNOWN_CTES = f"""
+WITH {_SPLIT_CTE},
+xt AS (SELECT tr.TransactionID, tr.isFraud, 'train' AS split, {_known_columns(_train_expr)}
+       FROM tr {_feature_joins(["P_emaildomain"], ["card1"])}),
+xa AS (SELECT tr.TransactionID, tr.isFraud, CASE WHEN rn <= floor(n * 0.7::double) THEN 'train' WHEN rn <= floor(n * 0.85::double) THEN 'val' ELSE 'test' END AS split,
+              {_known_columns(_apply_expr)}
+       FROM sp tr {_freq_join("card1", 0)}
+       LEFT JOIN (SELECT P_emaildomain AS cat, (sum(isFraud) + (SELECT g FROM g)) / (count(isFraud) + 1.0) AS v
+                  FROM tr WHERE P_emaildomain IS NOT NULL GROUP BY 1) te ON tr.P_emaildomain = te.cat),
+ms AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, avg({c}) FILTER (WHERE isFraud = 0) AS m0, avg({c}) FILTER (WHERE isFraud = 1) AS m1, var_pop({c}) AS v FROM xt" for c in _KNOWN)}),
+ws AS (SELECT feature, CASE WHEN v > 0 THEN (m1 - m0) / v ELSE 0.0 END AS w, m0, m1 FROM ms),
+co AS (SELECT feature, w AS coefficient FROM ws UNION ALL
+       SELECT NULL, (SELECT ln(count(*) FILTER (WHERE isFraud = 1) / count(*) FILTER (WHERE isFraud = 0)) FROM tr) - sum(w * (m0 + m1) / 2) FROM ws)"""
+_KNOWN_RAW = " + ".join([f"(SELECT coefficient FROM co WHERE feature = '{c}') * {c}" for c in _KNOWN] + ["(SELECT coefficient FROM co WHERE feature IS NULL)"])
+_KNOWN_SCORES = f"SELECT TransactionID, isFraud, split, 1 / (1 + exp(-({_KNOWN_RAW}))) AS score"
+
+
+def _known_sql(select: str, more: str = "") -> str:
+    return tb.with_views(f"{_KNOWN_CTES}{more}\n{select}", "txn")
+
+
+def _known(spark, sf):
+    key = (spark.sparkContext.applicationId, sf, "known")
+    if key not in _CACHE:
+        prep, out = _prepared(spark, sf), scratch_path(spark, "known_model")
+        rate = prep.train.agg(F.avg("isFraud")).first()[0]
+        res = train_all(spark, None, out, models=["discriminant"], oversample=False, prep=prep, feature_columns=_KNOWN,
+                        run_ids={"discriminant": _KNOWN_RUN}, thresholds=(_LOW * rate, _HIGH * rate))
+        res["out_dir"] = out
+        _CACHE[key] = res
+    return _CACHE[key]
+
+
+@register("known_model", _known_sql(f"SELECT coalesce(feature, '(intercept)') AS feature, {s6('coefficient')} AS coefficient FROM co"))
+def q_known_model(spark, sf):
+    """The stored champion's coefficients as a table, written and read once more as the scorer's table."""
+    scorer = load_champion(spark, _known(spark, sf)["out_dir"])[1].model.stages[-1]
+    path = scratch_path(spark, "coefficients")
+    scorer.to_table(spark).write.parquet(path)
+    again = LinearScorer.from_table(spark.read.parquet(path)).to_table(spark)
+    return again.select(F.coalesce("feature", F.lit("(intercept)")).alias("feature"), r6("coefficient").alias("coefficient"))
+
+
+_KNOWN_METRICS = f""",
+s AS (SELECT 'discriminant' AS model, split, isFraud, score FROM ({_KNOWN_SCORES} FROM xa) WHERE split <> 'train'),{_METRIC_CTES}"""
+
+
+@register("run_log", _known_sql(
+    " UNION ALL ".join(f"SELECT model, split, '{m}' AS metric, {s6(m, 4)} AS value FROM mt" for m in _METRICS)
+    + " UNION ALL SELECT 'discriminant', 'train', 'train_size', cast(count(*) AS double) FROM tr"
+    + " UNION ALL SELECT 'discriminant', 'train', 'smote_applied', 0.0::double"
+    + f" UNION ALL SELECT 'discriminant', 'train', 'n_features', {len(_KNOWN)}::double", _KNOWN_METRICS))
+def q_run_log(spark, sf):
+    """Long-form run table of the training job: metrics by split, and the run's parameters."""
+    return _known(spark, sf)["runs"].select("model", "split", "metric", r6("value").alias("value"))
+
+
+@register("manifest_row", _known_sql(f"""
+SELECT 'discriminant' AS model_name, '{_KNOWN_RUN[:8]}' AS model_version, {len(_KNOWN)} AS n_features, '{",".join(_KNOWN)}' AS feature_columns,
+       (SELECT {s6('pr_auc', 4)} FROM mt WHERE split = 'val') AS val_pr_auc, (SELECT {s6('pr_auc', 4)} FROM mt WHERE split = 'test') AS test_pr_auc,
+       (SELECT {s6(f'{_LOW} * g')} FROM g) AS threshold_approve, (SELECT {s6(f'{_HIGH} * g')} FROM g) AS threshold_decline""", _KNOWN_METRICS))
+def q_manifest(spark, sf):
+    """The champion's manifest as stored: name, version, features, metrics, thresholds."""
+    m = io.read_manifest(spark, f"{_known(spark, sf)['out_dir']}/champion/manifest")
+    row = (m["model_name"], m["run_id"][:8], len(m["feature_columns"]), ",".join(m["feature_columns"]),
+           *[float(m[k]) for k in ("val_pr_auc", "test_pr_auc", "threshold_approve", "threshold_decline")])
+    return rounded(spark.createDataFrame([row], "model_name string, model_version string, n_features int, feature_columns string, "
+                                                "val_pr_auc double, test_pr_auc double, threshold_approve double, threshold_decline double"))
+
+
+@register("predict_proba", _known_sql(f"""
+SELECT TransactionID, {s6('score')} AS fraud_probability FROM (
+  {_KNOWN_SCORES} FROM xt UNION ALL SELECT * FROM ({_KNOWN_SCORES} FROM xa) WHERE split <> 'train')"""))
+def q_predict(spark, sf):
+    """The loaded champion scores the feature tables of the training job."""
+    res = _known(spark, sf)
+    prep, (_, model, _) = res["prepared"], load_champion(spark, res["out_dir"])
+    rows = prep.train.unionByName(prep.val).unionByName(prep.test)
+    return model.score(rows).select("TransactionID", r6("fraud_probability").alias("fraud_probability"))
+
+
+_RECORDS_SQL = _known_sql(f"""
+SELECT TransactionID, round(score, 4) AS fraud_probability,
+       CASE WHEN score < lo THEN 'APPROVE' WHEN score > hi THEN 'DECLINE' ELSE 'REVIEW' END AS decision,
+       '{_KNOWN_RUN[:8]}' AS model_version, {s6('lo')} AS threshold_approve, {s6('hi')} AS threshold_decline
+FROM ({_KNOWN_SCORES} FROM xa), (SELECT {_LOW} * g AS lo, {_HIGH} * g AS hi FROM g)""")
+
+
+def _records(df):
+    return df.select("TransactionID", "fraud_probability", "decision", "model_version",
+                     r6("threshold_approve").alias("threshold_approve"), r6("threshold_decline").alias("threshold_decline"))
+
+
+@register("score_job", _RECORDS_SQL)
+def q_score_job(spark, sf):
+    """Batch scoring job: load the champion, build features, align, fill, score, decide."""
+    fm, model, manifest = load_champion(spark, _known(spark, sf)["out_dir"])
+    return _records(score_table(tb.txn(spark, sf).drop("p", "isFraud"), fm, model, manifest))
+
+
+@register("stream_score_model", _RECORDS_SQL)
 def q_stream_score_model(spark, sf):
     """The champion scoring a stream: fitted features with the frozen card profile
     (static state joined to each micro-batch), aligned, filled, scored, decided."""
     from ..streaming import jobs as sj
-    res = _trained(spark, sf)
-    fm, model, manifest = load_champion(spark, res["out_dir"])
+    fm, model, manifest = load_champion(spark, _known(spark, sf)["out_dir"])
     src_df = tb.txn(spark, sf).drop("p", "isFraud")
     src = scratch_path(spark, "score_stream_src")
     src_df.repartitionByRange(6, "TransactionDT").write.mode("overwrite").parquet(src)
     stream = sj.transaction_stream(spark, src, src_df.schema, 2)
     out, ck = scratch_path(spark, "score_stream_out"), scratch_path(spark, "score_stream_ck")
     sj.run_scoring(stream, lambda s: score_table(s, fm, model, manifest, frozen_profile=True), out, ck)
-    return _decision_checks(spark.read.parquet(out))
+    return _records(spark.read.parquet(out))
+
+
+# ------------------------------------------------- boosted trees as a table
+# Three trees of two levels, split at feature means; a leaf's value is its rows' fraud rate less the whole rate.
+_TREES = [("V3", "C1", "TransactionAmt"), ("C1", "addr1", "V3"), ("TransactionAmt", "C4", "V3")]
+
+
+def _tree_table(spark, sf):
+    """The node table, made of the rows by two aggregations, stored and read again."""
+    t = tb.txn(spark, sf)
+    names = sorted({c for tree in _TREES for c in tree})
+    seen = t.agg(F.avg("isFraud").alias("g"), *[F.avg(c).alias(c) for c in names]).first()
+    leaf = [F.when(F.col(a) <= seen[a], F.when(F.col(b) <= seen[b], 3).otherwise(4)).otherwise(F.when(F.col(c) <= seen[c], 5).otherwise(6)) for a, b, c in _TREES]
+    at = t.select("isFraud", F.posexplode(F.array(*leaf)).alias("tree", "node"))
+    sums = {(r["tree"], r["node"]): (r["n"], r["m"]) for r in at.groupBy("tree", "node").agg(F.count(F.lit(1)).alias("n"), F.avg("isFraud").alias("m")).collect()}
+    rows = []
+    for k, (a, b, c) in enumerate(_TREES):
+        n = {i: sums.get((k, i), (0, seen["g"]))[0] for i in (3, 4, 5, 6)}
+        for node, f, left, right, m in ((0, a, 1, 2, sum(n.values())), (1, b, 3, 4, n[3] + n[4]), (2, c, 5, 6, n[5] + n[6])):
+            rows.append((k, node, f, float(seen[f]), left, right, 0.0, float(m), float(m)))
+        rows += [(k, i, None, None, None, None, float(sums.get((k, i), (0, seen["g"]))[1] - seen["g"]), 0.0, float(n[i])) for i in n]
+    path = scratch_path(spark, "trees")
+    spark.createDataFrame(rows, bo._NODES).write.parquet(path)
+    return spark.read.parquet(path), names
+
+
+_TREE_CTES = "WITH mm AS (SELECT avg(isFraud) AS g, " + ", ".join(f"avg({c}) AS {c}" for c in sorted({c for t in _TREES for c in t})) + """ FROM txn),
+lf AS (""" + " UNION ALL ".join(f"""SELECT {k} AS tree, TransactionID, isFraud,
+  CASE WHEN txn.{a} <= mm.{a} THEN CASE WHEN txn.{b} <= mm.{b} THEN 3 ELSE 4 END ELSE CASE WHEN txn.{c} <= mm.{c} THEN 5 ELSE 6 END END AS node
+  FROM txn, mm""" for k, (a, b, c) in enumerate(_TREES)) + "),\nlv AS (SELECT tree, node, avg(isFraud) - (SELECT g FROM mm) AS v FROM lf GROUP BY tree, node)"
+
+
+@register("tree_score", tb.with_views(f"""{_TREE_CTES}
+SELECT TransactionID, {s6('1 / (1 + exp(-sum(v)))')} AS fraud_probability
+FROM lf JOIN lv ON lf.tree = lv.tree AND lf.node = lv.node GROUP BY TransactionID""", "txn"))
+def q_tree_score(spark, sf):
+    """Boosted trees stored as a node table, read and applied to every row."""
+    nodes, names = _tree_table(spark, sf)
+    return bo.TreeEnsemble.from_nodes(nodes, names).transform(tb.txn(spark, sf)).select("TransactionID", r6("fraud_probability").alias("fraud_probability"))
+
+
+@register("split_counts", tb.with_views("WITH i(feature, tree, nodes) AS (VALUES " + ", ".join(
+    f"('{f}', {k}, [{', '.join(map(str, leaves))}])" for k, t in enumerate(_TREES) for f, leaves in zip(t, ([3, 4, 5, 6], [3, 4], [5, 6]))) + f"), {_TREE_CTES[5:]}" + """
+SELECT feature, count(*) AS splits, cast(sum(n) AS double) AS gain FROM (
+  SELECT i.feature, i.tree, (SELECT count(*) FROM lf WHERE lf.tree = i.tree AND list_contains(i.nodes, lf.node)) AS n FROM i) GROUP BY feature""", "txn"))
+def q_split_counts(spark, sf):
+    """Splits of each feature in the stored trees, beside their summed gain (here the rows they split)."""
+    return bo.importance(_tree_table(spark, sf)[0])

@@ -25,9 +25,13 @@ from ..operators import models as mdl
 from ..operators import score as sc
 from ..operators.resample import smote
 from ..operators.split import time_split
+from ..session import materialize
 from ..sources import io
 from .feature_model import FeatureModel, FeaturePipeline
 
+#: Marks the rows that oversampling adds.
+SYNTHETIC = "_synthetic"
+
 
 @dataclass
 class Prepared:
@@ -62,31 +66,37 @@ def evaluate_model(model: mdl.TrainedModel, prep: Prepared, label: str = "isFrau
 
 def train_all(spark: SparkSession, df: DataFrame, out_dir: str | None = None, n_trees: int = mdl.PRESET_TREES,
               models: Sequence[str] = mdl.MODEL_NAMES, oversample: bool = True,
-              pipeline: FeaturePipeline | None = None, prep: Prepared | None = None) -> dict:
+              pipeline: FeaturePipeline | None = None, prep: Prepared | None = None,
+              feature_columns: Sequence[str] | None = None, run_ids: dict[str, str] | None = None,
+              thresholds: tuple[float, float] = (sc.THRESHOLD_APPROVE, sc.THRESHOLD_DECLINE)) -> dict:
+    """``feature_columns`` restricts the features, ``run_ids`` names the runs, ``thresholds`` are stored
+    with the champion."""
     prep = prep or prepare(df, pipeline)
     fm = prep.features
     train = prep.train
     if oversample:
-        train = smote(train, fm.feature_columns, label=fm.label, key=fm.key).persist(StorageLevel.MEMORY_AND_DISK)
+        train = materialize(smote(train, fm.feature_columns, label=fm.label, key=fm.key, marker=SYNTHETIC), "oversampled")
     n_train = float(train.count())
     rows, fitted = [], {}
-    for name in models:        # the model column of the run table is the model type
-        m = mdl.fit_model(name, train, fm.feature_columns, fm.label, n_trees, fm.key)
-        run_id = mdl.new_run_id()
+    found = mdl.fit_models(models, train, feature_columns or fm.feature_columns, fm.label, n_trees, fm.key,
+                           synthetic=SYNTHETIC if oversample else None)
+    for name, m in found.items():        # the model column of the run table is the model type
+        run_id = run_ids[name] if run_ids else mdl.new_run_id()
         metrics = evaluate_model(m, prep, fm.label).collect()   # two rows: val, test
         for r in metrics:
             for k in ("pr_auc", "roc_auc", "f1", "precision_at_80_rec", "threshold_at_80_rec"):
                 rows.append((run_id, name, r["split"], k, float(r[k]) if r[k] is not None else None))
         rows.append((run_id, name, "train", "train_size", n_train))
         rows.append((run_id, name, "train", "smote_applied", float(oversample)))
-        rows.append((run_id, name, "train", "n_features", float(len(fm.feature_columns))))
+        rows.append((run_id, name, "train", "n_features", float(len(m.feature_columns))))
         fitted[name] = (m, run_id)
     runs = mdl.runs_long(spark, rows)
     best = mdl.champion(runs.where(F.col("split") != "train"), list(models)).first()
     name = best["model"]
     model, run_id = fitted[name]
     manifest = dict(model_name=name, run_id=run_id, val_pr_auc=best["val_pr_auc"],
-                    test_pr_auc=best["test_pr_auc"], feature_columns=fm.feature_columns)
+                    test_pr_auc=best["test_pr_auc"], feature_columns=model.feature_columns,
+                    threshold_approve=thresholds[0], threshold_decline=thresholds[1])
     if out_dir:
         model.save(f"{out_dir}/champion/model")
         fm.save(f"{out_dir}/champion/features")
@@ -104,8 +114,13 @@ def load_champion(spark: SparkSession, out_dir: str) -> tuple[FeatureModel, mdl.
 
 
 def score_table(df: DataFrame, fm: FeatureModel, model: mdl.TrainedModel, manifest: dict,
-                approve_below: float = sc.THRESHOLD_APPROVE, decline_above: float = sc.THRESHOLD_DECLINE,
+                approve_below: float | None = None, decline_above: float | None = None,
                 frozen_profile: bool = False, keep: Sequence[str] = ("TransactionID",)) -> DataFrame:
+    """Decision records of ``df``; thresholds are the manifest's unless given."""
+    if approve_below is None:
+        approve_below = float(manifest.get("threshold_approve", sc.THRESHOLD_APPROVE))
+    if decline_above is None:
+        decline_above = float(manifest.get("threshold_decline", sc.THRESHOLD_DECLINE))
     x = fm.transform(df, frozen_profile=frozen_profile)
     keep = [k for k in keep if k in x.columns]
     x = fe.fill_sentinel(fe.align_features(x, manifest["feature_columns"], keep), manifest["feature_columns"])
