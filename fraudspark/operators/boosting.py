@@ -9,7 +9,9 @@ A tree grows best first: the leaf whose split gains most is split next, until ``
 (a depth limit instead gives a tree level by level).  A pass looks one step ahead for every leaf that
 may still be split, so a tree takes about as many passes as it is deep, and replaying the order of
 gains afterwards gives exactly the tree that one split at a time gives.  Only the child with fewer rows
-is summed, the other one is its parent less its sibling.  Leaves hold Newton steps.
+is summed, the other one is its parent less its sibling.  A node of at most ``LOCAL_ROWS`` rows goes to
+one task with its rows, which grows all that best-first order can still take below it, so many nodes
+of a deep tree cost one pass.  Leaves hold Newton steps.
 
 Boosters that share their rows (the candidates, the folds of a calibration) grow in the same passes.
 Raw scores are brought up to date every ``WRITE_EVERY`` trees by writing the table anew, which also cuts
@@ -32,6 +34,8 @@ from ..session import materialize
 
 MAX_BINS = 255
 WRITE_EVERY = 5
+#: Rows of a node that one task may hold (one byte a feature, and two doubles) to grow what lies below it.
+LOCAL_ROWS = 1 << 16
 #: Rows that a task bins or sums at a time.
 CHUNK_ROWS = 65_536
 _QUANTILE_ACCURACY = 10_000
@@ -163,9 +167,71 @@ class Tree:
         return node
 
 
+def best_split(hist: np.ndarray, b: Booster, depth: int) -> tuple[np.ndarray, float, int, int]:
+    """Sums of a node (gradient, hessian, rows), and gain, feature and bin of its best split (-1: none)."""
+    total = hist[:, 0, :].sum(axis=1) if hist.shape[1] else np.zeros(3)
+    if hist.shape[2] < 2 or not hist.shape[1] or (b.max_depth is not None and depth >= b.max_depth):
+        return total, 0.0, -1, -1
+    left = np.cumsum(hist, axis=2)[:, :, :-1]
+    right = total[:, None, None] - left
+    least = max(b.min_rows, 1)
+    enough = (left[2] >= least) & (right[2] >= least) & (left[1] >= b.min_hessian) & (right[1] >= b.min_hessian)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = left[0] ** 2 / (left[1] + b.l2) + right[0] ** 2 / (right[1] + b.l2) - total[0] ** 2 / (total[1] + b.l2)
+    gain = np.where(enough, gain, -np.inf)
+    k = int(gain.argmax())
+    best = float(gain.flat[k])
+    return (total, best, *divmod(k, gain.shape[1])) if best > 1e-12 else (total, 0.0, -1, -1)
+
+
+def histogram(bins: np.ndarray, g: np.ndarray, h: np.ndarray, size: int, slot: np.ndarray | None = None, slots: int = 1) -> np.ndarray:
+    """Sums of gradient, hessian and rows by (slot and) feature and bin: 3 x slots x features x size."""
+    n, width = bins.shape
+    at = np.arange(width, dtype=np.int64) * size + bins
+    if slot is not None:
+        at += (slot * (width * size))[:, None]
+    at, cells = at.ravel(), slots * width * size
+    out = np.array([np.bincount(at, weights=np.repeat(g, width), minlength=cells), np.bincount(at, weights=np.repeat(h, width), minlength=cells),
+                    np.bincount(at, minlength=cells)], dtype=np.float64)
+    return out.reshape(3, slots, width, size)
+
+
+def grow_rows(bins: np.ndarray, g: np.ndarray, h: np.ndarray, b: Booster, depth: int, size: int) -> np.ndarray:
+    """The nodes that best-first order can take below a node with these rows, the node itself first: rows of
+    feature, bin, left, right, gain, gradient, hessian, rows."""
+    limit = b.max_leaves - 1 if b.max_leaves else 1 << 30
+    nodes: list[list[float]] = []
+    held: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
+    heap: list[tuple[float, int]] = []
+
+    def put(rows: np.ndarray, hist: np.ndarray, depth: int) -> int:
+        total, gain, feature, bin_ = best_split(hist, b, depth)
+        nodes.append([feature, bin_, -1, -1, gain, *total])
+        if feature >= 0:
+            held[len(nodes) - 1] = (rows, hist, depth)
+            heapq.heappush(heap, (-gain, len(nodes) - 1))
+        return len(nodes) - 1
+
+    put(np.arange(len(bins)), histogram(bins, g, h, size)[:, 0], depth)
+    while heap and limit > 0:
+        k = heapq.heappop(heap)[1]
+        rows, hist, at = held.pop(k)
+        left = bins[rows, int(nodes[k][0])] <= nodes[k][1]
+        parts = [rows[left], rows[~left]]
+        small = int(len(parts[1]) < len(parts[0]))
+        r = parts[small]
+        part = histogram(bins[r], g[r], h[r], size)[:, 0]
+        sums = [part, hist - part] if small == 0 else [hist - part, part]
+        nodes[k][2] = put(parts[0], sums[0], at + 1)
+        nodes[k][3] = put(parts[1], sums[1], at + 1)
+        limit -= 1
+    return np.array(nodes, dtype=np.float64)
+
+
 @dataclass
 class _Node:
     depth: int
+    count: float                        # its rows
     hist: np.ndarray | None = None      # gradient, hessian and rows by feature and bin
     total: np.ndarray | None = None
     gain: float = 0.0
@@ -176,48 +242,47 @@ class _Node:
 
 
 class Grower:
-    """One tree on its way: which nodes to sum next, and the finished tree."""
+    """One tree on its way: which nodes to sum or to grow in one task next, and the finished tree."""
 
-    def __init__(self, booster: Booster, cuts: list[np.ndarray]):
-        self.b, self.cuts = booster, cuts
+    def __init__(self, booster: Booster, cuts: list[np.ndarray], rows: int, local_rows: int = LOCAL_ROWS):
+        self.b, self.cuts, self.local_rows = booster, cuts, local_rows
         self.limit = booster.max_leaves or 1 << 30
-        self.nodes = [_Node(0)]
-        self.wanted = [0]
+        self.nodes = [_Node(0, rows)]
+        self.split: list[tuple[int, int, int]] = []     # nodes whose larger child is the rest of the smaller
+        self.summed, self.grown = ([], [0]) if rows <= local_rows else ([0], [])
         self.accepted: set[int] = set()
 
-    def _best(self, node: _Node) -> None:
-        b = self.b
-        node.total = node.hist[:, 0, :].sum(axis=1) if node.hist.shape[1] else np.zeros(3)
-        if node.hist.shape[2] < 2 or not node.hist.shape[1] or (b.max_depth is not None and node.depth >= b.max_depth):
-            return
-        left = np.cumsum(node.hist, axis=2)[:, :, :-1]
-        right = node.total[:, None, None] - left
-        enough = (left[2] >= b.min_rows) & (right[2] >= b.min_rows) & (left[1] >= b.min_hessian) & (right[1] >= b.min_hessian)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain = left[0] ** 2 / (left[1] + b.l2) + right[0] ** 2 / (right[1] + b.l2) - node.total[0] ** 2 / (node.total[1] + b.l2)
-        gain = np.where(enough & (left[2] > 0) & (right[2] > 0), gain, -np.inf)
-        k = int(gain.argmax())
-        node.gain = float(gain.flat[k])
-        if node.gain > 1e-12:
-            node.feature, node.bin = divmod(k, gain.shape[1])
-
-    def absorb(self, sums: dict[int, np.ndarray]) -> bool:
-        """Take the wanted nodes' histograms; whether the tree is finished, else ``wanted`` is set anew."""
-        for k in self.wanted:
+    def _attach(self, k: int, found: np.ndarray) -> None:
+        place = [k] + [len(self.nodes) + i for i in range(len(found) - 1)]
+        depth = {0: self.nodes[k].depth}
+        self.nodes += [_Node(0, 0) for _ in range(len(found) - 1)]
+        for i, (feature, bin_, left, right, gain, *total) in enumerate(found):
+            node = self.nodes[place[i]]
+            node.depth, node.feature, node.bin, node.gain, node.total, node.count = depth[i], int(feature), int(bin_), float(gain), np.array(total), total[2]
+            if left >= 0:
+                node.left, node.right = place[int(left)], place[int(right)]
+                depth[int(left)] = depth[int(right)] = depth[i] + 1
+
+    def absorb(self, sums: dict[int, np.ndarray], grown: dict[int, np.ndarray]) -> bool:
+        """Take what was asked for; whether the tree is finished, else ``summed`` and ``grown`` are set anew."""
+        for k in self.summed:
             self.nodes[k].hist = sums[k]
-        for node in self.nodes:
-            if node.left >= 0 and node.hist is not None:  # its children were asked for
-                small, big = sorted((self.nodes[node.left], self.nodes[node.right]), key=lambda c: c.hist is None)
-                big.hist = node.hist - small.hist
-                node.hist = None
+        for k, small, big in self.split:
+            if self.nodes[big].count > self.local_rows:
+                self.nodes[big].hist = self.nodes[k].hist - self.nodes[small].hist
+            self.nodes[k].hist = None
+        for k in self.grown:
+            self.nodes[k].hist = None
+            self._attach(k, grown[k])
         for node in self.nodes:
             if node.hist is not None and node.total is None:
-                self._best(node)
-        self.wanted = self._replay()
-        return not self.wanted
+                node.total, node.gain, node.feature, node.bin = best_split(node.hist, self.b, node.depth)
+        self.split, self.summed, self.grown = [], [], []
+        self._replay()
+        return not (self.summed or self.grown)
 
-    def _replay(self) -> list[int]:
-        """Split in order of gain as far as the children are known; the nodes to sum to get further."""
+    def _replay(self) -> None:
+        """Split in order of gain as far as the children are known, and ask for what leads further."""
         self.accepted, leaves = set(), 1
         heap = [(-self.nodes[0].gain, 0)] if self.nodes[0].feature >= 0 else []
         while heap and leaves < self.limit:
@@ -231,17 +296,21 @@ class Grower:
                 if self.nodes[c].feature >= 0:
                     heapq.heappush(heap, (-self.nodes[c].gain, c))
         if not heap or leaves >= self.limit:
-            return []
+            return
         # no more than the open number of splits can still be taken, so only the best so many matter
-        ahead = [k for _, k in heapq.nsmallest(min(len(heap), self.limit - leaves), heap) if self.nodes[k].left < 0]
-        wanted = []
-        for k in ahead:
+        for _, k in heapq.nsmallest(min(len(heap), self.limit - leaves), heap):
             node = self.nodes[k]
+            if node.left >= 0 or node.hist is None:
+                continue
             node.left, node.right = len(self.nodes), len(self.nodes) + 1
-            self.nodes += [_Node(node.depth + 1), _Node(node.depth + 1)]
-            rows = node.hist[2, node.feature]
-            wanted.append(node.left if 2 * rows[:node.bin + 1].sum() <= rows.sum() else node.right)
-        return wanted
+            by_bin = node.hist[2, node.feature]
+            below = float(by_bin[:node.bin + 1].sum())
+            self.nodes += [_Node(node.depth + 1, below), _Node(node.depth + 1, float(by_bin.sum()) - below)]
+            small, big = sorted((node.left, node.right), key=lambda c: self.nodes[c].count)
+            self.split.append((k, small, big))
+            if self.nodes[big].count > self.local_rows:
+                self.summed.append(small)
+            self.grown += [c for c in (small, big) if self.nodes[c].count <= self.local_rows]
 
     def shape(self) -> Tree:
         """The tree as far as it is split, for dealing rows to nodes."""
@@ -270,54 +339,89 @@ class Grower:
                     np.array(c[4], dtype=np.int32), *[np.array(v, dtype=np.float64) for v in c[5:]])
 
 
-def _histograms(rows: DataFrame, boosters: Sequence[Booster], fresh: list[list[Tree]], growers: dict[int, Grower], width: int, size: int) -> dict[int, dict[int, np.ndarray]]:
-    """Sums of gradient, hessian and rows by feature and bin of the wanted nodes of every growing tree."""
-    slots = {i: {k: s for s, k in enumerate(g.wanted)} for i, g in growers.items()}
-    first = dict(zip(slots, np.cumsum([0, *map(len, slots.values())]).tolist(), strict=False))
+_PART = "slot int, sums binary, bins binary, steps binary"
+
+
+def _pass(rows: DataFrame, boosters: Sequence[Booster], fresh: list[list[Tree]], growers: dict[int, Grower], width: int, size: int) -> dict[int, tuple[dict, dict]]:
+    """Histograms and grown nodes that every growing tree has asked for.
+
+    Tasks send each node's histogram of their rows, or the rows themselves, to the task that adds or grows
+    it; the driver gets a histogram or the grown nodes of each.
+    """
+    slots, plan = {}, []
+    for i, g in growers.items():
+        for k, grow in [*((k, False) for k in g.summed), *((k, True) for k in g.grown)]:
+            slots[i, k, grow] = len(plan)
+            plan.append((i, k, grow, g.nodes[k].depth))
     shapes = {i: g.shape() for i, g in growers.items()}
-    shared = rows.sparkSession.sparkContext.broadcast((fresh, shapes, slots))
-    cells, many = width * size, len(boosters)
+    many = len(boosters)
+    shared = rows.sparkSession.sparkContext.broadcast((fresh, shapes, plan, list(boosters)))
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fresh, shapes, slots = shared.value
-        sums = {i: np.zeros((3, len(s) * cells)) for i, s in slots.items()}
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh, shapes, plan, _ = shared.value
+        asked = {i: [(s, k) for s, (j, k, grow, _) in enumerate(plan) if j == i and not grow] for i in shapes}
+        sums = {i: np.zeros((3, len(a), width, size)) for i, a in asked.items()}
         for t in _batches(batches):
             label, bins = t["label"].to_numpy(), _bytes(t["bins"], width)
             weights, scores = _lists(t["weights"], many), _lists(t["scores"], many)
-            offset = np.arange(width, dtype=np.int64) * size
+            out = []
             for i, shape in shapes.items():
-                slot_of = np.full(len(shape.left), -1, dtype=np.int64)
-                slot_of[list(slots[i])] = list(slots[i].values())
-                slot = slot_of[shape.leaves(bins, shape.bin)]
-                use = np.flatnonzero((slot >= 0) & (weights[:, i] > 0))
-                if not len(use):
-                    continue
+                use = np.flatnonzero(weights[:, i] > 0)
+                node = shape.leaves(bins[use], shape.bin)
+                mine = [(s, k, grow) for s, (j, k, grow, _) in enumerate(plan) if j == i]
+                keep = np.isin(node, [k for _, k, _ in mine])
+                use, node = use[keep], node[keep]
                 x, y, w, raw = bins[use], label[use], weights[use, i], scores[use, i].copy()
                 for tree in fresh[i]:
                     raw += tree.value[tree.leaves(x, tree.bin)]
                 p = 1 / (1 + np.exp(-raw))
-                at = (slot[use][:, None] * cells + offset + x).ravel()
-                n = sums[i].shape[1]
-                sums[i][0] += np.bincount(at, weights=np.repeat(w * (p - y), width), minlength=n)
-                sums[i][1] += np.bincount(at, weights=np.repeat(w * p * (1 - p), width), minlength=n)
-                sums[i][2] += np.bincount(at, minlength=n)
-        out = [(first[i] + s, sums[i][:, s * cells:(s + 1) * cells].tobytes()) for i in sums for s in range(len(slots[i]))]
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([v for _, v in out], pa.binary())], names=["slot", "sums"])
-
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                g, h = w * (p - y), w * p * (1 - p)
+                if asked[i]:
+                    slot_of = np.full(len(shape.left), -1, dtype=np.int64)
+                    slot_of[[k for _, k in asked[i]]] = np.arange(len(asked[i]))
+                    at = slot_of[node]
+                    r = np.flatnonzero(at >= 0)
+                    sums[i] += histogram(x[r], g[r], h[r], size, at[r], len(asked[i]))
+                for s, k, grow in mine:
+                    if grow and len(r := np.flatnonzero(node == k)):
+                        out.append((s, None, x[r].tobytes(), np.concatenate([g[r], h[r]]).tobytes()))
+            if out:
+                yield _rows(out)
+        yield _rows([(s, sums[i][:, a].tobytes(), None, None) for i, asked_ in asked.items() for a, (s, _) in enumerate(asked_)])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, _, plan, boosters = shared.value
         sums: dict[int, np.ndarray] = {}
+        held: dict[int, list] = {}
         for b in batches:
-            for k, v in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                part = np.frombuffer(v.as_buffer(), dtype=np.float64)
-                sums[k] = sums[k] + part if k in sums else part
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["slot", "sums"])
+            for s, total, bins, steps in zip(b.column(0).to_pylist(), *(b.column(c).to_pylist() for c in (1, 2, 3)), strict=True):
+                if total is None:
+                    held.setdefault(s, []).append((np.frombuffer(bins, dtype=np.uint8).reshape(-1, width), np.frombuffer(steps, dtype=np.float64).reshape(2, -1)))
+                else:
+                    part = np.frombuffer(total, dtype=np.float64)
+                    sums[s] = sums[s] + part if s in sums else part
+        out = [(s, v.tobytes(), None, None) for s, v in sums.items()]
+        for s, parts in held.items():
+            i, _, _, depth = plan[s]
+            bins, steps = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts], axis=1)
+            out.append((s, grow_rows(bins, steps[0], steps[1], boosters[i], depth, size).tobytes(), None, None))
+        yield _rows(out)
+
+    deal = min(len(plan), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = rows.mapInArrow(send, _PART).repartition(deal, "slot").mapInArrow(finish, _PART)
+    got = {r["slot"]: np.frombuffer(r["sums"], dtype=np.float64) for r in parts.select("slot", "sums").collect()}
+    answers: dict[int, tuple[dict, dict]] = {i: ({}, {}) for i in growers}
+    for s, (i, k, grow, _) in enumerate(plan):
+        if grow:
+            answers[i][1][k] = got[s].reshape(-1, 8) if s in got else np.array([[-1, -1, -1, -1, 0, 0, 0, 0]], dtype=np.float64)
+        else:
+            answers[i][0][k] = got[s].reshape(3, width, size) if s in got else np.zeros((3, width, size))
+    return answers
+
 
-    parts = rows.mapInArrow(add, "slot int, sums binary")
-    n = sum(map(len, slots.values()))
-    deal = min(n, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    got = {r["slot"]: np.frombuffer(r["sums"], dtype=np.float64).reshape(3, width, size) for r in parts.repartition(deal, "slot").mapInArrow(total, "slot int, sums binary").collect()}
-    none = np.zeros((3, width, size))
-    return {i: {k: got.get(first[i] + s, none) for k, s in slots[i].items()} for i in slots}
+def _rows(out: list[tuple]) -> pa.RecordBatch:
+    column = lambda c, kind: pa.array([r[c] for r in out], kind)
+    return pa.RecordBatch.from_arrays([column(0, pa.int32()), *(column(c, pa.binary()) for c in (1, 2, 3))], names=["slot", "sums", "bins", "steps"])
 
 
 def _rescored(rows: DataFrame, many: int, width: int, fresh: list[list[Tree]]) -> DataFrame:
@@ -408,11 +512,12 @@ def importance(nodes: DataFrame) -> DataFrame:
 # -------------------------------------------------------------------- fit
 
 def fit_boosters(train: DataFrame, feature_columns: Sequence[str], label: str, boosters: Sequence[Booster], bins: int = MAX_BINS,
-                 write_every: int = WRITE_EVERY) -> dict[str, TreeEnsemble]:
+                 write_every: int = WRITE_EVERY, local_rows: int = LOCAL_ROWS) -> dict[str, TreeEnsemble]:
     """Fit several boosters in the same passes over ``train``; rows without a label take no part."""
     columns, many, width = list(feature_columns), len(boosters), len(feature_columns)
     weights = [F.when(F.col(label).isNotNull(), F.coalesce(F.col(b.weight).cast("double"), F.lit(0.0))).otherwise(0.0) for b in boosters]
-    seen = train.agg(*[F.struct(F.sum(w).alias("w"), F.sum(w * F.col(label).cast("double")).alias("y")) for w in weights]).first()
+    seen = train.agg(*[F.struct(F.sum(w).alias("w"), F.sum(w * F.col(label).cast("double")).alias("y"), F.count_if(w > 0).alias("n")).alias(f"b{i}")
+                       for i, w in enumerate(weights)]).first()
     starts = []
     for b, s in zip(boosters, seen, strict=True):
         mean = min(max((s["y"] or 0.0) / s["w"], 1e-12), 1 - 1e-12) if s["w"] else 0.5
@@ -422,15 +527,15 @@ def fit_boosters(train: DataFrame, feature_columns: Sequence[str], label: str, b
     rows = materialize(_binned(train, columns, label, boosters, cuts, starts), "boost_rows")
     fitted: list[list[Tree]] = [[] for _ in boosters]
     written = [0] * many
-    growers = {i: Grower(b, cuts) for i, b in enumerate(boosters) if b.trees > 0 and width}
+    begin = lambda i: Grower(boosters[i], cuts, seen[i]["n"], local_rows)
+    growers = {i: begin(i) for i, b in enumerate(boosters) if b.trees > 0 and width}
     while growers:
-        fresh = [trees[w:] for trees, w in zip(fitted, written, strict=True)]
-        sums = _histograms(rows, boosters, fresh, growers, width, size)
+        answers = _pass(rows, boosters, [trees[w:] for trees, w in zip(fitted, written, strict=True)], growers, width, size)
         for i in list(growers):
-            if growers[i].absorb(sums[i]):
+            if growers[i].absorb(*answers[i]):
                 fitted[i].append(growers[i].tree())
                 if len(fitted[i]) < boosters[i].trees:
-                    growers[i] = Grower(boosters[i], cuts)
+                    growers[i] = begin(i)
                 else:
                     del growers[i]
         if growers and max(len(fitted[i]) - written[i] for i in growers) >= write_every:

@@ -70,12 +70,12 @@ SPECS = [bo.Booster("leafwise", "w", 4, learning_rate=0.3, max_leaves=9, min_row
          bo.Booster("levels", "w", 2, learning_rate=0.5, max_leaves=None, max_depth=3, min_rows=1, min_hessian=1.0, l2=1.0, start=0.0)]
 
 
-@pytest.fixture(scope="module")
-def fitted(spark):
+@pytest.fixture(scope="module", params=[0, 150, 100_000], ids=["summed", "mixed", "in one task"])
+def fitted(spark, request):
     x, y, w, part = table()
     df = spark.createDataFrame([(*map(float, a), float(b), float(c), float(d)) for a, b, c, d in zip(x, y, w, part)],
                                "f0 double, f1 double, f2 double, f3 double, y double, w double, part double").repartition(5)
-    return df, bo.fit_boosters(df, ["f0", "f1", "f2", "f3"], "y", SPECS, write_every=2)
+    return df, bo.fit_boosters(df, ["f0", "f1", "f2", "f3"], "y", SPECS, write_every=2, local_rows=request.param)
 
 
 @pytest.mark.parametrize("spec", SPECS, ids=lambda s: s.name)
