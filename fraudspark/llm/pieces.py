@@ -170,6 +170,7 @@ class Vocabulary:
         # decoding
         data = [b"" if kinds[i] else bytes([int(model.id_to_piece(i)[3:5], 16)]) if byte[i] else model.id_to_piece(i).replace(BLANK, " ").encode() for i in range(n)]
         data[model.unk_id()] = " ⁇ ".encode()
+        self.led = np.array([not kinds[i] and not byte[i] and model.id_to_piece(i).startswith(BLANK) for i in range(n)] + [False])
         self.data = np.frombuffer(b"".join(data), dtype=np.uint8)
         self.size_of = np.array([*map(len, data), 0], dtype=np.int64)  # the last place serves ids outside the vocabulary
         self.start_of = np.r_[0, np.cumsum(self.size_of[:-1])][:n + 1]
@@ -400,7 +401,7 @@ def decode(rows: DataFrame, vocabulary_path: str = VOCABULARY, ids: str = "ids",
             # the blank put before a text goes from its first id that is not empty
             full = np.flatnonzero(size)
             first = full[np.searchsorted(full, offsets[:-1])[np.searchsorted(full, offsets[:-1]) < np.searchsorted(full, offsets[1:])]]
-            led = first[(v.data[start[first]] == 0x20) & (flat[first] != v.byte_id[0x20])]
+            led = first[v.led[flat[first]]]
             size[led] -= 1
             start[led] += 1
             end = np.cumsum(size)
