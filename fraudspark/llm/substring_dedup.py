@@ -7,12 +7,18 @@ on, and back from each sentence, that reaches ``MIN_WORDS``.  So every sentence
 two or more sentences and ``MIN_WORDS`` words lies in a hashed run within the passage.  All runs meet by hash; the first occurrence (smallest doc_id, then
 first in its text) stays, and the sentences covered by any other occurrence are removed.
 
-Runs are counted with map-side partial aggregation, one row per document and hash, and joined back
-by hash; a hash that a fixed share of the documents has is joined by broadcast, so no task holds it.
+Runs are counted with map-side partial aggregation, one row per document and hash.  The most frequent
+runs (at most ``MAX_HOT``, above a number of documents chosen by counting) are broadcast with their first
+documents as sorted arrays, and the tasks that cut the texts decide on them at once; every other run of
+a document meets the repeated ones in one join on the hash, in groups of at most that number.
+
+The method takes every run of several sentences; here runs below ``min_words`` words are left out, which
+would remove phrases such as "Thank you. Goodbye." everywhere; ``min_words=1`` takes all of them.
 
 Defined results
     null text        counts as the empty text: no sentences
-    null doc_id      comes after every other id in the order of occurrences
+    null doc_id      comes after every other id in the order of occurrences; rows without an id are told apart
+                     by their texts, equal ones count as repeated rows; as a first document it is null
     repeated rows    rows with one id are one document: what they share with each other stays
     ties             the first occurrence inside a text is the one that starts first
     one sentence     repeated between differing neighbours is no run and stays, however long it is
@@ -34,15 +40,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, lookup, materialize
+from .common import fresh, materialize
 
 RUNS = (2, 3)
 MIN_WORDS = 16
-#: A run that more than this share of the documents has is joined by broadcast; there are at most
-#: (runs per document) / share of them.
-HOT_SHARE = 1 / 200
-#: Stands for a null id in the order of occurrences.
-LAST_ID = (1 << 63) - 1
+#: Runs that are broadcast (24 bytes each): those that most documents have, and LEAST_HOT at least.
+MAX_HOT, LEAST_HOT = 500_000, 8
+#: Null ids stand from here on in the order of occurrences, by a hash of their text.
+LAST_ID = 1 << 62
 
 _SENTENCE = re.compile(r"[^\n.!?]*(?:[.!?]+(?![\s.!?])[^\n.!?]*)*(?:[.!?]+|\n|$)")
 
@@ -82,58 +87,117 @@ def runs(text: str, min_words: int = MIN_WORDS) -> list[tuple[bytes, int, int]]:
     return out
 
 
-_KEY = "doc_id long, th long, h1 long, h2 long, first int, n int, again boolean"
-
-
-def _emit(min_words: int, positions: bool):
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+_RUN = "doc_id long, th long, h1 long, h2 long, first int, n int, again boolean, removed array<int>, first_doc_ids array<long>"
+
+
+class Hot:
+    """First documents of the most frequent runs, looked up for many hashes at once."""
+
+    def __init__(self, h1: np.ndarray, h2: np.ndarray, first: np.ndarray):
+        order = np.lexsort((h2, h1))
+        self.h1, self.h2, self.first = h1[order], h2[order], first[order]
+
+    def find(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+        """Place of each hash, -1 where it is not among them."""
+        if not len(self.h1):
+            return np.full(len(h1), -1)
+        at = np.searchsorted(self.h1, h1)
+        place = np.full(len(h1), -1)
+        open_ = np.flatnonzero(at < len(self.h1))
+        while len(open_):  # more than one step only where first halves collide
+            open_ = open_[self.h1[at[open_]] == h1[open_]]
+            hit = self.h2[at[open_]] == h2[open_]
+            place[open_[hit]] = at[open_[hit]]
+            open_ = open_[~hit]
+            at[open_] += 1
+            open_ = open_[at[open_] < len(self.h1)]
+        return place
+
+
+def _listed(batch: pd.DataFrame, min_words: int, all_places: bool):
+    """Row, hash halves, first sentence, sentences of the runs of a batch, and whether the text had the run before."""
+    at, digests, first, n, again = [], [], [], [], []
+    for row, text in enumerate(batch["text"]):
+        seen: set[bytes] = set()
+        for h, i, k in runs(text or "", min_words):
+            known = h in seen
+            seen.add(h)
+            if all_places or not known:
+                at.append(row)
+                digests.append(h)
+                first.append(i)
+                n.append(k)
+                again.append(known)
+    h = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
+    return np.array(at, dtype=np.int64), h[:, 0], h[:, 1], np.array(first, dtype=np.int32), np.array(n, dtype=np.int32), np.array(again, dtype=bool)
+
+
+def _repeated(docs: DataFrame, min_words: int) -> tuple[DataFrame, int]:
+    """(h1, h2, first_doc_id, docs) of runs that several documents have, and the number of documents above
+    which a run is a hot one."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            at, digests, first, n, again = [], [], [], [], []
-            for row, text in enumerate(batch["text"]):
-                seen: dict[bytes, int] = {}
-                for h, i, k in runs(text or "", min_words):
-                    known = h in seen
-                    seen[h] = i
-                    if positions or not known:
-                        at.append(row)
-                        digests.append(h)
-                        first.append(i)
-                        n.append(k)
-                        again.append(known)
-            h = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
-            frame = {"doc_id": batch["doc_id"].to_numpy()[at] if at else np.zeros(0, np.int64), "h1": h[:, 0], "h2": h[:, 1]}
-            if positions:
-                frame |= {"th": batch["th"].to_numpy()[at] if at else np.zeros(0, np.int64), "first": first, "n": n, "again": again}
-            yield pd.DataFrame(frame).astype({"first": "int32", "n": "int32", "again": "bool"} if positions else {})
-    return emit
-
-
-def _repeated(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
-    """(h1, h2, first_doc_id) of runs that several documents have, and the frequent ones of them."""
-    met = (docs.select("doc_id", "text").mapInPandas(_emit(min_words, False), "doc_id long, h1 long, h2 long")
+            at, h1, h2, *_ = _listed(batch, min_words, False)
+            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(dtype=np.int64)[at], "h1": h1, "h2": h2})
+
+    met = (docs.select("doc_id", "text").mapInPandas(count, "doc_id long, h1 long, h2 long")
            .groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("docs"))
            .filter("first_doc_id < last"))
     met = materialize(met.select("h1", "h2", "first_doc_id", "docs"), "repeated_runs")
-    total = docs.count()
-    return met, met.filter(F.col("docs") > max(2.0, total * HOT_SHARE)).select("h1", "h2")
+    limits = [LEAST_HOT << k for k in range(48)]
+    above = met.agg(*[F.count_if(F.col("docs") > limit).alias(str(limit)) for limit in limits]).first()
+    return met, next(limit for limit in limits if above[str(limit)] <= MAX_HOT)
 
 
 def _identified(documents: DataFrame) -> DataFrame:
-    return documents.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    return documents.select(_order(F.col("doc_id"), text).alias("doc_id"), text.alias("text"))
+
+
+def _order(doc_id, text):
+    """The id, or for a null one a number behind all ids, told by the text."""
+    return F.coalesce(doc_id.cast("long"), F.shiftrightunsigned(F.xxhash64(text), 2).bitwiseOR(F.lit(LAST_ID)))
 
 
 def spans(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, th (hash of the text), first sentence, sentences and first_doc_id of every run to remove."""
+    """What every document loses: doc_id, th (hash of the text), removed (sentence numbers) and first_doc_ids
+    (documents that keep them), in one or more rows a document."""
     docs = _identified(documents)
-    met, hot = _repeated(docs, min_words)
-    here = docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInPandas(_emit(min_words, True), _KEY)
-    found = lookup(here, met.select("h1", "h2", "first_doc_id"), ["h1", "h2"], hot)
-    first = F.coalesce("first_doc_id", "doc_id")
-    return found.filter((first < F.col("doc_id")) | F.col("again")).select("doc_id", "th", "first", "n", first.alias("first_doc_id"))
-
+    met, limit = _repeated(docs, min_words)
+    frequent = met.filter(F.col("docs") > limit).select("h1", "h2", "first_doc_id").toPandas()  # at most MAX_HOT
+    shared = documents.sparkSession.sparkContext.broadcast(Hot(*(frequent[c].to_numpy(dtype=np.int64) for c in ("h1", "h2", "first_doc_id"))))
 
-def _covered(first: np.ndarray, n: np.ndarray) -> list[int]:
-    return sorted({i for a, k in zip(first, n, strict=True) for i in range(a, a + k)})
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            at, h1, h2, first, n, again = _listed(batch, min_words, True)
+            ids, th = batch["doc_id"].to_numpy(dtype=np.int64), batch["th"].to_numpy(dtype=np.int64)
+            place = shared.value.find(h1, h2)
+            rest = np.flatnonzero(place < 0)
+            out = pd.DataFrame({"doc_id": ids[at[rest]], "th": th[at[rest]], "h1": h1[rest], "h2": h2[rest], "first": first[rest], "n": n[rest], "again": again[rest]})
+            out["removed"] = out["first_doc_ids"] = pd.Series([None] * len(out), dtype=object)
+            yield out
+            hot = np.flatnonzero(place >= 0)
+            keeper = shared.value.first[place[hot]]
+            gone = hot[(keeper < ids[at[hot]]) | again[hot]]
+            by_row: dict[int, tuple[set, set]] = {}
+            for k in gone.tolist():
+                sentences_, keepers = by_row.setdefault(int(at[k]), (set(), set()))
+                sentences_.update(range(first[k], first[k] + n[k]))
+                keepers.add(int(shared.value.first[place[k]]))
+            rows = list(by_row)
+            # decided rows have no hash; their text's hash deals them out
+            yield pd.DataFrame({"doc_id": ids[rows], "th": th[rows], "h1": th[rows], "h2": pd.array([None] * len(rows), dtype="Int64"), "first": 0, "n": 0, "again": False,
+                                "removed": pd.Series([sorted(by_row[r][0]) for r in rows], dtype=object),
+                                "first_doc_ids": pd.Series([sorted(by_row[r][1]) for r in rows], dtype=object)}).astype({"first": "int32", "n": "int32"})
+
+    here = docs.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInPandas(decide, _RUN)
+    rest = met.filter(F.col("docs") <= limit).select("h1", "h2", "first_doc_id")
+    found = here.join(rest.hint("merge"), ["h1", "h2"], "left")
+    first = F.coalesce("first_doc_id", "doc_id")
+    decided = F.col("removed").isNotNull()
+    return found.filter(decided | (first < F.col("doc_id")) | F.col("again")).select(
+        "doc_id", "th", F.when(decided, F.col("removed")).otherwise(F.sequence("first", F.col("first") + F.col("n") - 1)).alias("removed"),
+        F.when(decided, F.col("first_doc_ids")).otherwise(F.array(first)).alias("first_doc_ids"))
 
 
 def without(text: str, removed: list[int]) -> str:
@@ -149,9 +213,9 @@ def without(text: str, removed: list[int]) -> str:
 
 def _by_document(documents: DataFrame, min_words: int) -> DataFrame:
     """doc_id, th, removed (sentence numbers), first_doc_ids of every changed document."""
-    return (spans(documents, min_words).groupBy("doc_id", "th")
-            .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.sequence("first", F.col("first") + F.col("n") - 1))))).alias("removed"),
-                 F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids")))
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
+    return spans(documents, min_words).groupBy("doc_id", "th").agg(union("removed").alias("removed"), F.transform(
+        union("first_doc_ids"), lambda i: F.when(i < LAST_ID, i)).alias("first_doc_ids"))
 
 
 def _clean(texts: pd.Series, removed: pd.Series) -> pd.Series:
@@ -163,7 +227,7 @@ def _joined(documents: DataFrame, min_words: int) -> tuple[DataFrame, str, str,
     removed, first, th = fresh(documents, "removed"), fresh(documents, "first_doc_ids"), fresh(documents, "th")
     marks = _by_document(documents, min_words).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("removed").alias(removed), F.col("first_doc_ids").alias(first))
     tagged = documents.withColumn(th, F.xxhash64(F.coalesce("text", F.lit(""))))
-    both = (F.coalesce(tagged["doc_id"], F.lit(LAST_ID)) == marks["__id"]) & (tagged[th] == marks["__th"])
+    both = (_order(tagged["doc_id"], F.coalesce(tagged["text"], F.lit(""))) == marks["__id"]) & (tagged[th] == marks["__th"])
     return tagged.join(marks, both, "left").drop("__id", "__th", th), removed, first, th
 
 

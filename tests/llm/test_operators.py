@@ -449,36 +449,61 @@ def test_revisits(spark):
 
 # substring dedup
 
-def substring_expected(rows):
-    order = sorted({i for i, _ in rows}, key=lambda i: (i is None, i or 0))
+def plain_runs(text, min_words):
+    """(words of its sentences, first sentence, sentences) of every run, for texts whose sentences end in ". " or a line end."""
+    lines = [tuple(part.split()) for part in re.split(r"(?<=[.!?]) |\n", text) if part.strip()]
+    out, n = [], len(lines)
+    words = lambda i, k: sum(map(len, lines[i:i + k]))
+    for i in range(n):
+        reach = next((k for k in range(1, n - i + 1) if words(i, k) >= min_words), None)
+        back = next((k for k in range(1, i + 2) if words(i + 1 - k, k) >= min_words), None)
+        out += [(i, k) for k in (2, 3) if i + k <= n and words(i, k) >= min_words]
+        out += [(i, reach)] if reach and reach > 3 else []
+        out += [(i + 1 - back, back)] if back and back > 3 else []
+    # a longer run of one sentence over and over is told by its place in the unbroken stretch of it
+    start = lambda i: next(j for j in range(i, -1, -1) if j == 0 or lines[j - 1] != lines[i])
+    place = lambda i, k: (i - start(i),) if k > 3 and len(set(lines[i:i + k])) == 1 else ()
+    return [(tuple(lines[i:i + k]) + place(i, k), i, k) for i, k in sorted(set(out))]
+
+
+def substring_expected(rows, min_words=substring_dedup.MIN_WORDS):
+    # rows without an id are documents of their own, after all others
+    key = lambda d, t: (d is None, d or 0, (substring_dedup.xxhash.xxh64(t.encode(), seed=42).intdigest() >> 2) if d is None else 0)
     first = {}
-    for i in order:
-        for d, t in rows:
-            if d == i:
-                for h, s, k in substring_dedup.runs(t or ""):
-                    first.setdefault(h, i)
+    for d, t in sorted(rows, key=lambda r: key(r[0], r[1] or "")):
+        for h, s, k in plain_runs(t or "", min_words):
+            first.setdefault(h, key(d, t))
     out = {}
     for d, t in rows:
         seen, gone = set(), set()
-        for h, s, k in substring_dedup.runs(t or ""):
-            if first[h] != d or h in seen:
+        for h, s, k in plain_runs(t or "", min_words):
+            if first[h] != key(d, t) or h in seen:
                 gone |= set(range(s, s + k))
             seen.add(h)
         if gone:
-            out[d] = sorted(gone)
+            out[d, t] = sorted(gone)
     return out
 
 
-def test_substring_dedup(spark):
+@pytest.mark.parametrize("hot", [(500_000, 8), (500_000, 1), (1, 1)], ids=["joined", "decided at once", "most joined"])
+@pytest.mark.parametrize("min_words", [substring_dedup.MIN_WORDS, 1])
+def test_substring_dedup(spark, hot, min_words, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "MAX_HOT", hot[0])
+    monkeypatch.setattr(substring_dedup, "LEAST_HOT", hot[1])
     passage = ". ".join(prose(900 + k, 9) for k in range(6)) + "."
+    other = "\n".join(prose(700 + k, 9) for k in range(4)) + "\n"
     rows = [(k, f"{prose(k, 20)}. {prose(k + 50, 8)} {passage if k % 3 == 0 else ''} {prose(k + 99, 12)}.\n{prose(k + 150, 5)}") for k in range(12)]
-    rows += [(50, passage + " " + passage), (51, None), (52, ""), (None, passage), (0, rows[0][1]), (60, "a.\n" * 5000)]
-    want = substring_expected(rows)
+    rows += [(50, passage + " " + passage), (51, None), (52, ""), (None, passage), (0, rows[0][1]), (None, other + "tail one two."), (None, other + "tail three four."), (53, "a. b. a. b. c")]
+    if min_words > 1:
+        rows.append((60, "a.\n" * 400))
+    want = substring_expected(rows, min_words)
     docs = frame(spark, rows)
-    got = {r["doc_id"]: r for r in substring_dedup.changed(docs).collect()}
-    assert {(-1 if k == substring_dedup.LAST_ID else k): list(r["removed"]) for k, r in got.items()} == want
-    assert 0 not in got and set(got) == {3, 6, 9, 50, None}
-    clean = substring_dedup.dedup(docs)
+    changed = substring_dedup.changed(docs, min_words).collect()
+    assert Counter((r["doc_id"], tuple(r["removed"])) for r in changed) == Counter((d, tuple(v)) for (d, _), v in want.items())
+    got = {r["doc_id"] for r in changed}
+    assert 0 not in got and got == {3, 6, 9, 50, None} | ({53} if min_words == 1 else set())
+    assert sum(r["doc_id"] is None for r in changed) == 2  # the passage, and one of the two that share four lines
+    clean = substring_dedup.dedup(docs, min_words)
     assert clean.columns == docs.columns and clean.count() == len(rows)
     texts = {r["doc_id"]: r["text"] for r in clean.collect()}
     assert texts[1] == rows[1][1] and prose(902, 9) in texts[0] and prose(902, 9) not in texts[3] and prose(3, 20) in texts[3] and texts[51] is None
