@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import materialize
+from .neighbours import CHUNK_BYTES, node_neighbours
 from .ordering import with_row_index
 
 # Fixed value: the fixed positive-class weight of the second booster preset.
@@ -41,25 +40,7 @@ def add_class_weight(df: DataFrame, label: str = "isFraud", mode: str = "balance
 K_NEIGHBOURS = 5
 
 
-def _dist(a, b):
-    sq = F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
-    return F.sqrt(sq)
-
-
-def _directions(points: DataFrame, vec: str, dim: int, m: int) -> list[list[float]]:
-    """Up to ``m`` orthonormal directions: the leading principal components of
-    the points (a distributed covariance, p x p on the driver)."""
-    model = PCA(k=min(m, dim), inputCol="_v", outputCol="_p").fit(points.select(array_to_vector(F.col(vec)).alias("_v")))
-    pcs = model.pc.toArray()            # dim x m, orthonormal columns
-    return [list(map(float, pcs[:, j])) for j in range(pcs.shape[1])]
-
-
-def _dot(x, u: list[float]):
-    return F.aggregate(F.zip_with(x, F.array(*[F.lit(v) for v in u]), lambda a, b: a * b),
-                       F.lit(0.0), lambda acc, v: acc + v)
-
-
-def knn(points: DataFrame, key: str, vec: str, k: int = K_NEIGHBOURS, n_directions: int = 8) -> DataFrame:
+def knn(points: DataFrame, key: str, vec: str, k: int = K_NEIGHBOURS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Exact k nearest neighbours (Euclidean) of every point among the others:
     ``(key, neighbour, rank, distance)``, ties broken by neighbour key; fewer
     than k where there are not that many other points, none for a null vector.
@@ -78,7 +59,7 @@ def knn(points: DataFrame, key: str, vec: str, k: int = K_NEIGHBOURS, n_directio
     nodes = materialize(base.withColumn("_c", F.row_number().over(copy)).where(F.col("_c") <= k + 1)
                         .groupBy("_x").agg(F.min("_id").alias("_node"), F.sort_array(F.collect_list("_id")).alias("_ids")),
                         "knn_nodes")
-    found = _node_neighbours(nodes.select("_node", "_x"), k, n_directions)
+    found = node_neighbours(nodes.select("_node", "_x"), k, chunk_bytes)
     members = nodes.select("_node", "_ids")
     near = found.join(members.select(F.col("_node").alias("_other"), "_ids"), "_other").select("_node", "_dd", "_ids") \
         .unionByName(members.select("_node", F.lit(0.0).alias("_dd"), "_ids"))
@@ -93,58 +74,6 @@ def knn(points: DataFrame, key: str, vec: str, k: int = K_NEIGHBOURS, n_directio
         F.col("_e._dd").alias("distance"))
 
 
-def _node_neighbours(nodes: DataFrame, k: int, n_directions: int) -> DataFrame:
-    """The k nearest other vectors of every distinct vector: ``(_node, _other, _dd)``.
-
-    No all-pairs product.  Vectors are projected on orthonormal principal
-    directions; the distance between projections is a lower bound of the true
-    distance.  Round 1 orders them along the first direction and measures the
-    2k predecessors and 2k successors, which bounds each k-th distance r.
-    Round 2 joins each vector with those whose first projection lies within r:
-    every vector has its own bucket width, the power of two at or above 2r, so
-    it looks into two buckets whatever the spread of radii; the others are
-    listed once for each width in use.  The projected distance is checked
-    before the full one.  Every true neighbour passes both, so the result is
-    exact.
-    """
-    dim = nodes.select(F.max(F.size("_x"))).first()[0]
-    several = nodes.limit(2).count() == 2
-    dirs = _directions(nodes, "_x", dim, n_directions) if several else [[1.0] * (dim or 1)]
-    norm = F.sqrt(F.aggregate("_x", F.lit(0.0), lambda acc, v: acc + v * v))
-    based = nodes.select("_node", "_x", F.array(*[_dot(F.col("_x"), u) for u in dirs]).alias("_p"), norm.alias("_norm"))
-    based = based.withColumn("_s", F.col("_p")[0])
-    idx, _ = with_row_index(based, ["_s", "_node"], name="_rn")
-    idx = materialize(idx, "knn_index")
-    longest = float(idx.agg(F.max("_norm")).first()[0] or 0.0)
-    offs = [d for d in range(-2 * k, 2 * k + 1) if d != 0]
-    near = idx.select("_node", "_x", "_rn", F.explode(F.array(*[F.lit(d) for d in offs])).alias("_d")) \
-        .withColumn("_prn", F.col("_rn") + F.col("_d"))
-    other = idx.select(F.col("_rn").alias("_prn"), F.col("_x").alias("_y"))
-    d1 = near.join(other, "_prn").select("_node", _dist(F.col("_x"), F.col("_y")).alias("_dd"))
-    # at most 4k values per vector are collected here: bounded
-    bound = d1.groupBy("_node").agg(F.sort_array(F.collect_list("_dd")).alias("_ds"))
-    # with fewer than k others every distance counts: none is above twice the longest vector
-    r = F.when(F.size("_ds") >= k, F.get("_ds", F.lit(k - 1))).otherwise(F.lit(2.0 * longest))
-    # projections carry rounding error: a small slack, relative to the data
-    reach = r * (1 + 1e-9) + F.lit(1e-9 * (longest + 1e-300))
-    level = F.ceil(F.log2(2 * F.greatest(F.col("_r"), F.lit(1e-300)))).cast("int")
-    q = materialize(idx.join(bound.select("_node", reach.alias("_r")), "_node").select(
-        "_node", "_x", "_p", "_s", "_r", level.alias("_level")), "knn_queries")
-    # widths between the slack and twice the longest vector: some tens of powers of two
-    levels = sorted(row["_level"] for row in q.select("_level").distinct().collect())
-    cell = lambda s: F.floor(s / F.pow(F.lit(2.0), F.col("_level")))
-    looks = q.select(F.col("_node").alias("_q"), F.col("_x").alias("_qx"), F.col("_p").alias("_qp"), "_r", "_level",
-                     F.explode(F.sequence(cell(F.col("_s") - F.col("_r")), cell(F.col("_s") + F.col("_r")))).alias("_b"))
-    listed = idx.select("_node", "_x", "_p", "_s", F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>"))
-                        .alias("_level")).withColumn("_b", cell(F.col("_s")))
-    cand = (looks.join(listed, ["_level", "_b"])
-            .where((F.col("_node") != F.col("_q")) & (_dist(F.col("_qp"), F.col("_p")) <= F.col("_r")))
-            .select("_q", "_node", _dist(F.col("_qx"), F.col("_x")).alias("_dd")))
-    order = Window.partitionBy("_q").orderBy("_dd", "_node")
-    top = cand.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
-    return top.select(F.col("_q").alias("_node"), F.col("_node").alias("_other"), "_dd")
-
-
 def smote(train: DataFrame, feature_columns: Sequence[str], label: str = "isFraud", key: str = "TransactionID",
           k: int = K_NEIGHBOURS, seed: int = 42, marker: str | None = None) -> DataFrame:
     """Add synthetic minority rows until both classes have the same count.

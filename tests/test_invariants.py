@@ -154,10 +154,31 @@ def test_smote_balances_and_stays_on_segments(spark):
     assert counts[0] == counts[1]
     syn = out[out.TransactionID < 0]
     mino = out[(out.TransactionID >= 0) & (out.isFraud == 1)][["a", "b"]].to_numpy()
-    # every synthetic point lies on a segment between two minority points
-    lo, hi = mino.min(0), mino.max(0)
-    assert ((syn[["a", "b"]].to_numpy() >= lo - 1e-9) & (syn[["a", "b"]].to_numpy() <= hi + 1e-9)).all()
+    # every synthetic point lies on the segment from a minority row to one of its three neighbours
+    near = _knn_by_hand(list(range(len(mino))), mino, 3)
+    ends = np.array([(mino[i], mino[j]) for i, js in near.items() for j in js])
+    base, step = ends[:, 0], ends[:, 1] - ends[:, 0]
+    for p in syn[["a", "b"]].to_numpy():
+        long = (step * step).sum(axis=1)
+        t = np.clip(np.where(long > 0, ((p - base) * step).sum(axis=1) / np.where(long > 0, long, 1), 0), 0, 1)
+        assert np.abs(base + t[:, None] * step - p).max(axis=1).min() < 1e-9
     assert len(pd.unique(syn.TransactionID)) == len(syn)
+    marked = rs.smote(df, ["a", "b"], "isFraud", "TransactionID", k=3, marker="made").where("made <> (TransactionID < 0)")
+    assert marked.count() == 0
+
+
+def test_knn_of_a_dense_cluster_and_far_points_in_200_dimensions(spark, monkeypatch):
+    from fraudspark.operators import neighbours as nb
+    rng = np.random.default_rng(11)
+    x = np.vstack([100 + rng.normal(0, 1e-3, (300, 200)), rng.normal(0, 50, (80, 200)), np.round(rng.normal(0, 1, (60, 200)))])
+    x[5] = x[6]
+    df = spark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in enumerate(x)], "i long, v array<double>")
+    _same_neighbours(df, "i", "v", 5)
+    nodes = df.where("i <> 6").select(F.col("i").alias("_node"), F.col("v").alias("_x"))
+    whole = {(r["_node"], r["_other"]): r["_dd"] for r in nb.node_neighbours(nodes, 4).collect()}
+    monkeypatch.setattr(nb, "TILE", 3000)
+    small = {(r["_node"], r["_other"]): r["_dd"] for r in nb.node_neighbours(nodes, 4, chunk_bytes=400_000, max_pivots=7).collect()}
+    assert whole == small and len(whole) == 4 * 439
 
 
 def _velocity_by_hand(pdf, seconds):
