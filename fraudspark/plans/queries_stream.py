@@ -7,7 +7,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import features as fe
-from ..operators import monitor as mo
 from ..operators import split as sp
 from ..operators.encoders import materialize
 from ..operators.score import decide
@@ -15,6 +14,7 @@ from ..session import scratch_path
 from ..sources import tables as tb
 from ..functions.time import event_time
 from ..streaming import jobs as sj
+from ..streaming import velocity as sv
 from .catalog import r6, register, rounded, s6
 from .queries_encode import _SPLIT_CTE
 from .queries_eval import _LOG_CTE, _METRIC_NAMES, _METRICS_SQL, _log
@@ -156,14 +156,33 @@ SELECT batch, {s6('mean_score')} AS mean_score, {s6('baseline')} AS baseline, {s
 FROM rs, bl
 """, "txn"))
 def q_stream_alarm(spark, sf):
-    """Replay of the test tail: per-micro-batch score sums, then the drift rule."""
+    """Replay of the whole log: the drift rule while the stream runs; the rows are those that the
+    micro-batches wrote."""
     log = _log(spark, sf)
     src = _write_source(log, "batch", 6, "alarm_src", spark)
     stream = sj.transaction_stream(spark, src, log.schema, 1)
     out, ck = scratch_path(spark, "alarm_out"), scratch_path(spark, "alarm_ck")
-    sj.run_batch_means(stream, out, ck)
-    sums = spark.read.parquet(out).groupBy("batch").agg((F.sum("s") / F.sum("n")).alias("mean_score"))
-    return rounded(mo.drift_alarm_from_means(sums))
+    sj.run_drift_alarm(stream, out, ck)
+    return rounded(sj.read_drift_alarm(spark, out).drop("closed"))
+
+
+# every third transaction belongs to one card
+_HOT_CARD = "CASE WHEN TransactionID % 3 = 0 THEN 1 ELSE card1 END"
+
+
+@register("stream_velocity", tb.with_views(f"""
+SELECT TransactionID, card1, """ + ", ".join(f"count(*) OVER w{n} AS card_count_{n}, {s6(f'coalesce(sum(TransactionAmt) OVER w{n}, 0.0)')} AS card_spend_{n}" for n in ("1h", "24h")) + f""", false AS out_of_order
+FROM (SELECT TransactionID, TransactionDT, TransactionAmt, {_HOT_CARD} AS card1 FROM txn)
+WINDOW w1h AS (PARTITION BY card1 ORDER BY TransactionDT RANGE BETWEEN 3600 PRECEDING AND 1 PRECEDING),
+       w24h AS (PARTITION BY card1 ORDER BY TransactionDT RANGE BETWEEN 86400 PRECEDING AND 1 PRECEDING)
+""", "txn"))
+def q_stream_velocity(spark, sf):
+    """Velocity of both windows from keyed state, with a card that a third of the rows belong to."""
+    def build(stream, out, ck):
+        hot = stream.withColumn("card1", F.expr(_HOT_CARD))
+        sj.run_to_parquet(sv.add_velocity(hot, {"1h": 3600, "24h": 86400}), out, ck)
+    out = _run_stream(spark, sf, "stream_velocity", build)
+    return rounded(out.select("TransactionID", "card1", *[f"card_{v}_{n}" for n in ("1h", "24h") for v in ("count", "spend")], "out_of_order"))
 
 
 @register("stream_glob_source", tb.with_views(

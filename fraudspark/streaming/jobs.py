@@ -12,8 +12,9 @@
   exact 95th percentile of these scores.  Every micro-batch writes the counts
   it changed, so the last windows appear too; ``read_window_metrics`` takes the
   newest ones.
-* ``run_batch_means``: per micro-batch means keyed by the replay batch
-  number; the drift rule is then evaluated over that small table.
+* ``run_drift_alarm``: the drift rule evaluated while the stream runs, over
+  versioned running moments; alarm rows come with the micro-batch.
+* ``velocity.add_velocity``: point-in-time velocity from state keyed by card.
 
 Every job runs with ``trigger(availableNow=True)`` here (process what is
 there, then stop); the same code runs continuously with a processing-time
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import quality as dq
+from ..operators.monitor import BASELINE_BATCHES, SIGMAS
 from ..operators.ordering import exact_quantiles
 from ..operators.score import decide
 from ..sources import io
@@ -133,11 +135,75 @@ def read_window_metrics(spark: SparkSession, out: str) -> DataFrame:
     return metrics.join(p95.select(*window, F.col("quantile").alias("score_p95")), window, "left")
 
 
-def run_batch_means(stream: DataFrame, out: str, checkpoint: str, prob: str = "fraud_probability",
-                    batch: str = "batch") -> None:
-    """Sum and count of the score per replay batch, one folder per micro-batch."""
+_ALARM = "batch long, mean_score double, baseline double, running_sd double, alert_line double, alarm boolean, closed boolean"
+_ALARM_STATE = "n_batches long, k long, mean double, m2 double, first array<double>, open_batch long, open_sum double, open_n long"
+
+
+def _with_mean(state: dict, mean: float | None) -> dict:
+    """The running moments with one more batch mean (a null mean counts as a batch without a value).
+
+    Two sets of moments merge by their sizes, means and squared deviations; here one set is the new mean.
+    """
+    out = dict(state, n_batches=state["n_batches"] + 1)
+    if len(out["first"]) < BASELINE_BATCHES:
+        out["first"] = [*out["first"], mean]
+    if mean is not None:
+        k, d = state["k"] + 1, mean - state["mean"]
+        out |= {"k": k, "mean": state["mean"] + d / k, "m2": state["m2"] + d * d * state["k"] / k}
+    return out
+
+
+def _alarm_row(batch: int, mean: float | None, state: dict, closed: bool) -> tuple:
+    """The drift rule for a batch whose mean is the last one in ``state``."""
+    known = [m for m in state["first"] if m is not None]
+    baseline = sum(known) / len(known) if len(state["first"]) == BASELINE_BATCHES and known else None
+    sd = max(state["m2"] / (state["k"] - 1), 0.0) ** 0.5 if state["k"] > 1 else None
+    line = baseline + SIGMAS * sd if baseline is not None and sd is not None else None
+    alarm = bool(state["n_batches"] > BASELINE_BATCHES and line is not None and mean is not None and mean > line)
+    return batch, mean, baseline, sd, line, alarm, closed
+
+
+def run_drift_alarm(stream: DataFrame, out: str, checkpoint: str, prob: str = "fraud_probability", batch: str = "batch") -> None:
+    """The drift rule inside the stream: every micro-batch writes the alarm rows of the replay batches it holds.
+
+    The running moments are a one-row table written anew by each micro-batch from its predecessor's, so a
+    replayed micro-batch starts from the same row and overwrites what it wrote.  The last replay batch stays
+    open, since the next micro-batch may bring more of it: its row is written with the moments so far and
+    written again when it grows or closes.  Rows of a batch that has closed are late; their sums go
+    to ``out/late`` and leave alarms as they are.  One row a replay batch comes to the driver.
+    """
+    spark = stream.sparkSession
+
     def per_batch(df: DataFrame, epoch: int) -> None:
-        (df.groupBy(batch).agg(F.sum(prob).alias("s"), F.count(F.lit(1)).alias("n"))
-         .write.mode("overwrite").parquet(f"{out}/epoch={epoch}"))
+        state = dict(n_batches=0, k=0, mean=0.0, m2=0.0, first=[], open_batch=None, open_sum=0.0, open_n=0)
+        if epoch > 0:
+            state = spark.read.schema(_ALARM_STATE).parquet(f"{out}/state/epoch={epoch - 1}").first().asDict()
+        rows, late = [], []
+        sums = df.groupBy(batch).agg(F.sum(prob).alias("s"), F.count(prob).alias("n")).orderBy(batch)
+        for r in sums.where(F.col(batch).isNotNull()).collect():
+            if state["open_batch"] is not None and r[batch] < state["open_batch"]:
+                late.append((r[batch], r["s"], r["n"]))
+                continue
+            if state["open_batch"] is not None and r[batch] > state["open_batch"]:
+                mean = state["open_sum"] / state["open_n"] if state["open_n"] else None
+                state = _with_mean(state, mean)
+                rows.append(_alarm_row(state["open_batch"], mean, state, True))
+                state |= {"open_batch": None, "open_sum": 0.0, "open_n": 0}
+            state |= {"open_batch": r[batch], "open_sum": state["open_sum"] + (r["s"] or 0.0), "open_n": state["open_n"] + r["n"]}
+        if state["open_batch"] is not None:
+            mean = state["open_sum"] / state["open_n"] if state["open_n"] else None
+            rows.append(_alarm_row(state["open_batch"], mean, _with_mean(state, mean), False))
+        one = lambda data, schema, name: spark.createDataFrame(data, schema).coalesce(1).write.mode("overwrite").parquet(f"{out}/{name}/epoch={epoch}")
+        one(rows, _ALARM, "alarms")
+        one(late, "batch long, s double, n long", "late")
+        names = [c.split()[0] for c in _ALARM_STATE.split(", ")]
+        one([tuple(state[c] for c in names)], _ALARM_STATE, "state")
 
     _run(stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint))
+
+
+def read_drift_alarm(spark: SparkSession, out: str) -> DataFrame:
+    """The newest alarm row of every replay batch, as the micro-batches wrote them."""
+    rows = spark.read.parquet(f"{out}/alarms")
+    values = [c for c in rows.columns if c not in ("batch", "epoch")]
+    return rows.groupBy("batch").agg(F.max_by(F.struct(*values), "epoch").alias("v")).select("batch", "v.*")
