@@ -76,20 +76,27 @@ def op8_decontaminate(spark, sf_dir):
 
 
 def page_captures(pages):
-    """A capture log over the pages: every page is a full response; a page whose id is no multiple of
-    three is asked for again later under another spelling of its URL and answered with a 304, every
-    seventh of them with another entity tag."""
+    """A capture log over the pages: every page is a full response, one in five is then missing for a
+    moment (404), one in eleven has a record without a status; a page whose id is no multiple of three is
+    asked for again later under another spelling of its URL and answered with a 304, every seventh of
+    them with another entity tag.  Two neighbouring pages share the id and the instant of their 304s, and a
+    404 has the id of its page's response."""
     n = F.col("page_id")
+    m = n - n % 2
+    again = 10 * m + 10 * (1 + m % 50) + 5
+    none = F.create_map().cast("map<string,string>")
     # ids follow each other in time, a repeat comes when the next pages have been fetched
     response = pages.select(
         (2 * n).alias("record_id"), "url", (10 * n).alias("captured_at"), F.lit(200).alias("status"),
         F.create_map(F.lit("ETag"), F.md5("html"), F.lit("Content-Length"), F.length("html").cast("string"), F.lit("Date"), (10 * n).cast("string"),
                      F.lit("Cache-Control"), F.lit("max-age=60")).alias("headers"))
+    missing = pages.filter(n % 5 == 0).select((2 * n).alias("record_id"), "url", (10 * n + 3).alias("captured_at"), F.lit(404).alias("status"), F.create_map(F.lit("ETag"), F.lit("gone")).alias("headers"))
+    unknown = pages.filter(n % 11 == 0).select((2 * n).alias("record_id"), "url", (10 * n + 4).alias("captured_at"), F.lit(None).cast("int").alias("status"), none.alias("headers"))
     revisit = pages.filter(n % 3 != 0).select(
-        (2 * n + 1).alias("record_id"), F.concat(F.col("url"), F.lit("#again")).alias("url"), (10 * n + 10 * (1 + n % 50) + 5).alias("captured_at"), F.lit(304).alias("status"),
-        F.create_map(F.lit("etag"), F.when(n % 7 == 0, F.lit("other")).otherwise(F.md5("html")), F.lit("content-length"), F.lit("0"),
-                     F.lit("date"), (10 * n + 10 * (1 + n % 50) + 5).cast("string")).alias("headers"))
-    return response.unionByName(revisit)
+        (2 * m + 1).alias("record_id"), F.concat(F.col("url"), F.lit("#again")).alias("url"), again.alias("captured_at"), F.lit(304).alias("status"),
+        F.create_map(F.lit("etag"), F.when(n % 7 == 0, F.lit("other")).otherwise(F.md5("html")), F.lit("content-length"), F.lit("0"), F.lit("set-cookie"), F.lit("a=b"),
+                     F.lit("date"), again.cast("string")).alias("headers"))
+    return response.unionByName(missing).unionByName(unknown).unionByName(revisit)
 
 
 @query
@@ -109,9 +116,9 @@ c AS (
       '([?&])(utm_[a-z]+|ref|fbclid|gclid)=[^&]*', '\1', 'g'), '&+', '&', 'g'), '\?&', '?', 'g'), '[?&]+$', ''), '/+$', '') AS canon
   FROM u),
 r AS (
-  SELECT 2 * page_id + 1 AS record_id, canon, 10 * page_id + 10 * (1 + page_id % 50) + 5 AS t,
+  SELECT 2 * m + 1 AS record_id, canon, 10 * m + 10 * (1 + m % 50) + 5 AS t,
          CASE WHEN page_id % 7 = 0 THEN 'other' ELSE md5(html) END AS etag
-  FROM c WHERE page_id % 3 <> 0),
+  FROM (SELECT *, page_id - page_id % 2 AS m FROM c) WHERE page_id % 3 <> 0),
 f AS (SELECT 2 * page_id AS response_id, canon, 10 * page_id AS t, md5(html) AS etag, length(html) AS n FROM c),
 m AS (SELECT r.*, f.response_id AS stored, f.etag AS stored_etag, f.n FROM r ASOF LEFT JOIN f ON r.canon = f.canon AND r.t > f.t)
 SELECT record_id, canon AS canonical_url, CASE WHEN etag = stored_etag THEN stored END AS response_id,
