@@ -147,11 +147,14 @@ def _labelled(documents: DataFrame, labels: DataFrame, rows: int) -> tuple[DataF
     """(text, y, back) of the sampled training rows, and the number of training labels of each class."""
     y = (labels.select("doc_id", F.col("toxic").cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)")
          .groupBy("doc_id").agg(F.max("y").alias("y")).filter(~held_out("doc_id", FOLDS)))
+    # labels of other documents take no place in the sample, and none in the sizes of the classes
+    y = materialize(y.join(documents.select("doc_id").distinct(), "doc_id", "left_semi"), "toxic_labels")
     size = {int(r["y"]): int(r["n"]) for r in y.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     part = lambda c: y.filter(F.col("y") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     sample = materialize(part(0).unionByName(part(1)), "toxic_sample")
-    # at most 2 * rows ids of 12 bytes
-    text = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    # at most 2 * rows ids of 12 bytes; of rows that share an id the smallest text is learnt from
+    text = (documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+            .groupBy("doc_id", "y").agg(F.min("text").alias("text")))
     back = F.pmod(F.xxhash64("doc_id", F.lit("back")), F.lit(4)) == 0
     return materialize(text.select("text", "y", back.alias("back")), "toxic_text"), size
 
@@ -200,17 +203,31 @@ def _log_odds(train: DataFrame) -> tuple[list, dict[int, int], int]:
     c1, c0 = F.lit(CORPUS_PRIOR * t1 / (t1 + t0)), F.lit(CORPUS_PRIOR * t0 / (t1 + t0))
     ds, zs = odds(F.col("s1"), F.col("s0"), c1, c0, F.lit(CORPUS_PRIOR))
     stems = stems.select(F.col("stem"), "s1", "s0", "n0", ds.alias("delta"), zs.alias("z"))
-    joined = words.withColumn("stem", F.when(F.length("term") > STEM, F.substring("term", 1, STEM))).join(stems.select("stem", "s1", "s0"), "stem", "left")
-    dw, zw = odds(F.col("d1"), F.col("d0"), F.coalesce("s1", F.lit(0)) + c1, F.coalesce("s0", F.lit(0)) + c0, F.lit(STEM_PRIOR))
-    both = (joined.select("term", dw.alias("delta"), zw.alias("z"), "n0")
-            .unionByName(stems.select(F.concat("stem", F.lit("*")).alias("term"), "delta", "z", "n0")))
-    # a word that is known and not significant must hide its stem: it stays in the table with score 0
-    stem_on = stems.filter((F.col("z") >= SIGNIFICANT) & (F.col("delta") > LEAST)).select("stem")
-    hidden = joined.join(stem_on, "stem", "left_semi").select("term").withColumn("hides", F.lit(True))
-    rows = (both.join(hidden, "term", "left").filter(((F.col("z") >= SIGNIFICANT) & (F.col("delta") > LEAST)) | F.col("hides"))
-            .withColumn("s", F.when((F.col("z") >= SIGNIFICANT) & (F.col("delta") > LEAST), F.col("delta")).otherwise(0.0))
-            .orderBy(F.col("z").desc(), "term").limit(MAX_TERMS).select("term", "s", "n0").collect())
-    return [tuple(r) for r in rows], size, clean
+    # short words have no stem: they pass by the join
+    long_, short = words.filter(F.length("term") > STEM), words.filter(F.length("term") <= STEM)
+    with_stem = long_.withColumn("stem", F.substring("term", 1, STEM)).join(stems.select("stem", "s1", "s0"), "stem")
+    alone = short.select(F.lit(None).cast("string").alias("stem"), *short.columns, F.lit(0).cast("long").alias("s1"), F.lit(0).cast("long").alias("s0"))
+    dw, zw = odds(F.col("d1"), F.col("d0"), F.col("s1") + c1, F.col("s0") + c0, F.lit(STEM_PRIOR))
+    scored = with_stem.unionByName(alone).select("term", "stem", dw.alias("delta"), zw.alias("z"), "n0")
+    toxic = (F.col("z") >= SIGNIFICANT) & (F.col("delta") > LEAST)
+    found = scored.select("term", "delta", "z", "n0").unionByName(stems.select(F.concat("stem", F.lit("*")).alias("term"), "delta", "z", "n0")).filter(toxic)
+    terms = [(r["term"], r["delta"], r["n0"]) for r in found.orderBy(F.col("z").desc(), "term").limit(MAX_TERMS).collect()]
+    # a word that is known and not significant must hide its stem: it stays in the table with score 0; a
+    # stem whose hiding words do not all fit goes
+    hiding = scored.filter(~toxic).join(F.broadcast(stems.filter(toxic).select("stem")), "stem", "left_semi")
+    many = {r["stem"]: r["n"] for r in hiding.groupBy("stem").agg(F.count(F.lit(1)).alias("n")).orderBy("n", "stem").limit(MAX_TERMS).collect()}
+    fits, left = set(), MAX_TERMS
+    known = {t[:-1] for t, _, _ in terms if t.endswith("*")}
+    unhidden = known - many.keys() if len(many) < MAX_TERMS else set()
+    for t, _, _ in terms:
+        if t.endswith("*") and t[:-1] in many and many[t[:-1]] <= left:
+            fits.add(t[:-1])
+            left -= many[t[:-1]]
+    terms = [t for t in terms if not t[0].endswith("*") or t[0][:-1] in fits or t[0][:-1] in unhidden]
+    if fits:
+        kept = F.broadcast(words.sparkSession.createDataFrame([(s,) for s in sorted(fits)], "stem string"))
+        terms += [(r["term"], 0.0, r["n0"]) for r in hiding.join(kept, "stem", "left_semi").select("term", "n0").collect()]  # at most MAX_TERMS
+    return terms, size, clean
 
 
 def _solve_lambda(terms: list, clean: int, drift: float) -> float:
