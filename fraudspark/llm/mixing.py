@@ -51,6 +51,8 @@ FEATURES = 1 << 14
 RIDGE = 1e-4
 #: The iteration ends when no residual moves by more than this, or after so many steps.
 TOLERANCE, STEPS = 1e-5, 300
+#: Relative distance from the targets up to which they count as reached.
+REACHED = 0.01
 #: Partitions of the bounded sample that the classifier is fitted on.
 PARTS = 12
 #: Least eigenvalue that the momentum counts on, as a share of the largest.
@@ -80,7 +82,7 @@ def _posteriors(documents: DataFrame, labels: DataFrame, rows: int) -> tuple[Dat
     y = materialize(domains(labels).join(documents.select("doc_id").distinct(), "doc_id", "left_semi"), "mix_labels")
     size = {int(r["y"]): int(r["n"]) for r in y.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     there = sorted(size)
-    tokens = F.when(F.length(F.trim("text")) > 0, F.size(F.split(F.trim(F.col("text")), r"[ \t\n\x0B\f\r]+"))).otherwise(0)
+    tokens = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
     if len(there) < 2:
         return documents.select("doc_id", tokens.cast("long").alias("n"), F.array(F.lit(1.0)).alias("p")), there[:1] or [0]
     parts = [y.filter(F.col("y") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for c in there]
@@ -114,12 +116,13 @@ def _matrix(p: pd.Series, k: int) -> np.ndarray:
     return np.array([np.asarray(x, dtype=float) for x in p], dtype=float).reshape(-1, k)
 
 
-def solve(table: DataFrame, targets: np.ndarray) -> tuple[np.ndarray, float, float]:
-    """(history of residuals, step, momentum) for ``table`` (n, p) and target shares."""
+def solve(table: DataFrame, targets: np.ndarray) -> tuple[np.ndarray, float, float, float]:
+    """(history of residuals, step, momentum, last residual) for ``table`` (n, p) and target shares; the last
+    residual is the largest relative distance of a domain's expected share from its target."""
     k = len(targets)
     total = float(table.agg(F.sum("n")).first()[0] or 0)
     if not total:
-        return np.zeros((0, k)), 0.0, 0.0
+        return np.zeros((0, k)), 0.0, 0.0, 0.0
     # second moments of the scaled posteriors: k * k sums
     pairs = table.agg(*[F.sum(F.col("n") * F.col("p")[i] * F.col("p")[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(k)]).first()
     eigen = np.linalg.eigvalsh(np.array([float(v) for v in pairs]).reshape(k, k) / total / np.sqrt(np.outer(targets, targets)))
@@ -127,12 +130,12 @@ def solve(table: DataFrame, targets: np.ndarray) -> tuple[np.ndarray, float, flo
     root = float(np.sqrt(max(eigen.min() + RIDGE, LEAST_EIGENVALUE * eigen.max()) * eta))
     momentum = (1 - root) / (1 + root)
 
-    def residuals(history: np.ndarray) -> np.ndarray:
+    def residuals(history: np.ndarray, ahead: bool = True) -> np.ndarray:
         def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sums = np.zeros(k)
             for b in batches:
                 p = _matrix(b["p"], k)
-                sums += (b["n"].to_numpy(dtype=float) * _rates(p, history, eta, momentum, ahead=True)) @ p
+                sums += (b["n"].to_numpy(dtype=float) * _rates(p, history, eta, momentum, ahead)) @ p
             yield pd.DataFrame({"k": np.arange(k), "x": sums})
         sums = np.zeros(k)
         for r in table.mapInPandas(add, "k int, x double").groupBy("k").agg(F.sum("x").alias("x")).collect():
@@ -145,7 +148,8 @@ def solve(table: DataFrame, targets: np.ndarray) -> tuple[np.ndarray, float, flo
         history = np.vstack((history, r))
         if len(history) > 2 and np.abs(history[-3:] - r).max() < TOLERANCE:
             break
-    return history, eta, momentum
+    # of the rates as they are given out, without the look ahead
+    return history, eta, momentum, float(np.abs(residuals(history, False)).max())
 
 
 def _shares(there: list[int], targets: dict[str, float]) -> np.ndarray:
@@ -157,12 +161,15 @@ def rates(documents: DataFrame, labels: DataFrame, targets: dict[str, float] | N
     """doc_id, n_tokens, the posterior of each domain, and the rate of every row.
 
     ``copies`` is the rate made whole: its integer part, and one more with the probability of the rest
-    (drawn from the id).
+    (drawn from the id).  ``residual`` is the largest relative distance of a domain's expected share of tokens
+    from its target, and ``reached`` whether it is at most ``REACHED``: the same in every row.  Targets that no
+    rates can meet (a domain without documents, or posteriors that never favour it), and a descent cut
+    off after ``STEPS`` steps, are told by it.
     """
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     scored, there = _posteriors(docs, labels, rows)
     scored = materialize(scored, "posteriors")
-    history, eta, momentum = solve(scored.select("n", "p"), _shares(there, targets or TARGETS))
+    history, eta, momentum, residual = solve(scored.select("n", "p"), _shares(there, targets or TARGETS))
     k = len(there)
 
     def rate(ps: pd.Series) -> pd.Series:
@@ -171,7 +178,8 @@ def rates(documents: DataFrame, labels: DataFrame, targets: dict[str, float] | N
     out = scored.withColumn("rate", F.pandas_udf(rate, "double")("p"))
     place = {d: there.index(i) for i, d in enumerate(DOMAINS) if i in there}
     posterior = [(F.col("p")[place[d]] if d in place else F.lit(0.0)).alias(f"p_{d}") for d in DOMAINS]
-    return out.select("doc_id", F.col("n").alias("n_tokens"), *posterior, "rate", copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+    return out.select("doc_id", F.col("n").alias("n_tokens"), *posterior, "rate", copies(F.col("rate"), F.col("doc_id")).alias("copies"),
+                      F.lit(residual).alias("residual"), F.lit(residual <= REACHED).alias("reached"))
 
 
 def copies(rate, doc_id):
