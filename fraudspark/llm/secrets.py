@@ -42,7 +42,9 @@ _HEX = re.compile(r"[0-9a-f]{24,}")  # a run is maximal, so this is the run of [
 #: Words that make a context sensitive, and how far around a candidate they count.
 _SENSITIVE = re.compile(r"(?ai)passw|secret|token|api_?key|credential|auth|private|bearer|access|signature|akia")
 _SENSITIVE_WORDS = ("passw", "secret", "token", "apikey", "api_key", "credential", "auth", "private", "bearer", "access", "signature", "akia")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: Characters of a candidate, and how many different ones it has at least (rules and paddings are no keys).
+SHORTEST, DIFFERENT = 16, 6
+_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}")
 REACH = 48
 #: Text around a candidate that the compressor has seen before it.
 CONTEXT = 2048
@@ -132,7 +134,7 @@ def _novel(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
         a, b = m.span()
         while i < len(taken) and taken[i][1] <= a:
             i += 1
-        if (i < len(taken) and taken[i][0] < b) or not re.search("[0-9]", m[0]) or not re.search("[A-Za-z]", m[0]):
+        if (i < len(taken) and taken[i][0] < b) or len(set(m[0])) < DIFFERENT:
             continue
         follows = 0 <= last < a and a - last <= REACH and text[last:a].isspace()
         if not follows and not _SENSITIVE.search(text, max(0, a - REACH), min(len(text), b + REACH)):
