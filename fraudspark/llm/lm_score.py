@@ -17,6 +17,9 @@ Defined results
     null doc_id            counts as the empty text in the fold, so it is held out
     empty training set     N = V = 0: base terms are log10(0.1 / 0.1); the prior alone scores
     repeated rows          each row is scored by itself (and counted, if in training)
+    very long texts        counted whole; a word of n characters takes no memory beside itself to score, and 24 n bytes
+                           to count its pieces
+    ties                   of equally frequent words the smaller bytes are looked up in the tasks; no score depends on it
     empty table            empty result
     extra columns          ignored
 """
@@ -24,6 +27,7 @@ Defined results
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -76,37 +80,49 @@ def vocabulary(path: str = VOCABULARY) -> dict[str, float]:
 TINY = 1e-200
 
 
+#: Characters of a word above which its recursion keeps no arcs and no values that it can do without.
+LONG_WORD = 4_096
+
+
 class Lattice:
     """Recursions over the segmentations of a word.
 
     The forward value of a position is kept as a mantissa and a count of raises, that is in log space
     with one logarithm at the end, whatever the word's length.  It depends on the letters before the
-    position only, so words that come in order share the values of their common start.
+    position only, so words that come in order share the values of their common start.  A longer word than
+    ``LONG_WORD`` shares nothing: its score needs the values of the longest piece only, and its expected
+    counts two doubles a character, with the arcs found once more on the way back.
     """
 
     def __init__(self, probability: dict[str, float]):
         self.p = {p: w for p, w in probability.items() if p != END}
         self.suffixes = {p[k:] for p in self.p for k in range(len(p))}
+        self.longest = max(map(len, self.p), default=1)
         self.last, self.f, self.raised, self.arcs = "", [1.0], [0], [[]]
 
+    def ending(self, s: str, j: int) -> list[tuple[int, str, float]]:
+        """Arcs (from, piece, probability) that end at position ``j``."""
+        here, i, get, suffixes = [], j - 1, self.p.get, self.suffixes
+        while i >= 0 and (piece := s[i:j]) in suffixes:
+            if (w := get(piece)) is not None:
+                here.append((i, piece, w))
+            i -= 1
+        if not here or here[0][0] != j - 1:  # the character is no piece: spell it
+            here.append((j - 1, s[j - 1], math.prod(self.p[f"<0x{b:02X}>"] for b in s[j - 1].encode("utf-8", "replace"))))
+        return here
+
     def forward(self, s: str) -> None:
-        """Fill f, raised and arcs, the arcs (from, piece, probability) that end at a position."""
+        """Fill f, raised and arcs of every position."""
         common, last = 0, self.last
         while common < len(s) and common < len(last) and s[common] == last[common]:
             common += 1
-        f, raised, arcs, get, suffixes = self.f, self.raised, self.arcs, self.p.get, self.suffixes
+        f, raised, arcs = self.f, self.raised, self.arcs
         del f[common + 1:], raised[common + 1:], arcs[common + 1:]
         for j in range(common + 1, len(s) + 1):
-            total, up, here, i = 0.0, raised[-1], [], j - 1
-            while i >= 0 and (piece := s[i:j]) in suffixes:
-                if (w := get(piece)) is not None:
-                    here.append((i, piece, w))
-                    total += f[i] * w if raised[i] == up else f[i] * w / TINY ** (up - raised[i])
-                i -= 1
-            if not here or here[0][0] != j - 1:  # the character is no piece: spell it
-                w = math.prod(self.p[f"<0x{b:02X}>"] for b in s[j - 1].encode("utf-8", "replace"))
-                here.append((j - 1, s[j - 1], w))
-                total += f[j - 1] * w
+            total, up = 0.0, raised[-1]
+            here = self.ending(s, j)
+            for i, _, w in here:
+                total += f[i] * w if raised[i] == up else f[i] * w / TINY ** (up - raised[i])
             if total < TINY:
                 total, up = total / TINY, up + 1
             f.append(total)
@@ -114,10 +130,34 @@ class Lattice:
             arcs.append(here)
         self.last = s
 
+    def _long(self, s: str, keep: bool) -> tuple[array, array]:
+        """Forward values and raises of a long word; without ``keep`` those of the last positions only."""
+        f, raised = array("d", [1.0]), array("q", [0])
+        base = 0  # position of the first value held
+        for j in range(1, len(s) + 1):
+            total, up = 0.0, raised[-1]
+            for i, _, w in self.ending(s, j):
+                x = f[i - base] * w
+                total += x if raised[i - base] == up else x / TINY ** (up - raised[i - base])
+            if total < TINY:
+                total, up = total / TINY, up + 1
+            f.append(total)
+            raised.append(up)
+            if not keep and len(f) > 64 * self.longest:
+                cut = len(f) - self.longest - 1
+                del f[:cut], raised[:cut]
+                base += cut
+        return f, raised
+
     def score(self, word: bytes) -> float:
         """Natural log of the word's marginal probability."""
-        self.forward(MARK + word.decode("utf-8", "replace"))
-        return math.log(self.f[-1]) + self.raised[-1] * math.log(TINY)
+        s = MARK + word.decode("utf-8", "replace")
+        if len(s) > LONG_WORD:
+            f, raised = self._long(s, False)
+        else:
+            self.forward(s)
+            f, raised = self.f, self.raised
+        return math.log(f[-1]) + raised[-1] * math.log(TINY)
 
     def expect(self, word: bytes, weight: float, into: dict[str, float]) -> None:
         """Add the expected piece counts of ``weight`` occurrences of the word.
@@ -125,14 +165,18 @@ class Lattice:
         Backwards from the end, a position's posterior mass is dealt to the arcs that end there in
         proportion to what they brought to its forward value.
         """
-        self.forward(MARK + word.decode("utf-8", "replace"))
-        f, raised, mass = self.f, self.raised, [0.0] * len(self.f)
+        s = MARK + word.decode("utf-8", "replace")
+        if len(s) > LONG_WORD:
+            (f, raised), arcs, mass = self._long(s, True), None, array("d", bytes(8 * (len(s) + 1)))
+        else:
+            self.forward(s)
+            f, raised, arcs, mass = self.f, self.raised, self.arcs, [0.0] * len(self.f)
         mass[-1] = weight
         for j in range(len(f) - 1, 0, -1):
             if not mass[j]:
                 continue
             m = mass[j] / f[j]
-            for i, piece, w in self.arcs[j]:
+            for i, piece, w in arcs[j] if arcs is not None else self.ending(s, j):
                 x = m * f[i] * w
                 if raised[i] != raised[j]:
                     x /= TINY ** (raised[j] - raised[i])
