@@ -1,15 +1,19 @@
-"""Ingest job: validate both tables, profile them, write them, join them.
+"""Ingest job: validate both tables, profile them, write them, join them, in one pass over each input.
 
-Checks run before any write, so a hard failure leaves nothing half-written.
-They read only the key, label and amount columns (Parquet/CSV column
-pruning), so the extra pass is narrow; the writes are the one full pass.
+Columns are checked before anything is read.  Each input is then read once: it is written to a staging
+folder, and the row rules, null counts and class counts are metrics observed during that write.
+Keys are counted in the written copies (one narrow column), and the join reads the copies too.
+Only when every hard rule holds are the staged folders renamed to their places; else they are removed, so
+a failure leaves nothing behind.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import quality as dq
 from ..sources import io
@@ -35,18 +39,85 @@ def left_join_identity(transactions: DataFrame, identity: DataFrame, key: str =
     return transactions.join(identity, key, "left")
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def _publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a staged folder in its place; an earlier one goes."""
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target.getParent())
+    fs.delete(target, True)
+    if not fs.rename(_file_system(spark, staged)[1], target):
+        raise OSError(f"cannot rename {staged} to {path}")
+
+
+def _observed(df: DataFrame, label: str | None, amount: str) -> tuple[DataFrame, Observation]:
+    """``df`` that counts rows, nulls and broken rules while it is written."""
+    metrics = [F.count(F.lit(1)).alias("n")]
+    for i, f in enumerate(df.schema.fields):
+        miss = F.col(f.name).isNull()
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            miss = miss | F.isnan(f.name)
+        metrics.append(F.count_if(miss).alias(f"null_{i}"))
+    if label in df.columns and amount in df.columns:
+        lab, amt = F.col(label), F.col(amount)
+        metrics += [F.count_if(lab.isNotNull() & ~lab.isin(0, 1)).alias("bad_labels"), F.sum(lab.cast("double")).alias("positives"), F.count(lab).alias("labelled"),
+                    F.count_if(amt < dq.AMOUNT_MIN).alias("negative"), F.count_if(amt > dq.AMOUNT_MAX).alias("extreme")]
+    seen = Observation()
+    return df.observe(seen, *metrics), seen
+
+
+def _row_rules(m: dict, table: str) -> list[tuple]:
+    """The row rules' report rows from observed metrics."""
+    if "bad_labels" not in m:
+        return []
+    rate = m["positives"] / m["labelled"] if m["labelled"] else None
+    out_of_band = int(rate is None or rate < dq.LABEL_RATE_MIN or rate > dq.LABEL_RATE_MAX)
+    return [dq._row(table, "label_domain", "hard", m["bad_labels"], ""),
+            dq._row(table, "label_rate", "soft", out_of_band, "" if rate is None else str(round(rate, 6))),
+            dq._row(table, "negative_amount", "soft", m["negative"], ""), dq._row(table, "extreme_amount", "soft", m["extreme"], "")]
+
+
 def ingest(spark: SparkSession, transactions: DataFrame, identity: DataFrame, out_dir: str,
-           key: str = "TransactionID", label: str = "isFraud") -> IngestResult:
-    report = dq.transaction_report(spark, transactions, key=key, label=label).unionByName(
-        dq.identity_report(spark, identity, key=key))
-    report = report.cache()
-    dq.enforce(report)
-    t_path, i_path, m_path = (f"{out_dir}/transactions", f"{out_dir}/identity", f"{out_dir}/merged")
-    io.write_parquet(transactions, t_path)
-    io.write_parquet(identity, i_path)
-    # Join the written copies: the join re-reads compact Parquet instead of
-    # recomputing the upstream plan.
-    merged = left_join_identity(spark.read.parquet(t_path), spark.read.parquet(i_path), key)
-    io.write_parquet(merged, m_path)
-    return IngestResult(t_path, i_path, m_path, report,
-                        dq.null_rates(spark.read.parquet(t_path)), dq.class_rate(spark.read.parquet(t_path), label))
+           key: str = "TransactionID", label: str = "isFraud", amount: str = "TransactionAmt") -> IngestResult:
+    """Write ``transactions``, ``identity`` and ``merged`` under ``out_dir``; a broken hard rule raises and
+    leaves nothing there."""
+    tables = {"transactions": transactions, "identity": identity}
+    required = {"transactions": dq.TRANSACTION_REQUIRED, "identity": dq.IDENTITY_REQUIRED}
+    schema = dq._schema_rows(spark, transactions, "transactions", required["transactions"]).unionByName(
+        dq._schema_rows(spark, identity, "identity", required["identity"]))
+    dq.enforce(schema)
+    staging = f"{out_dir.rstrip('/')}__staging"
+    path = lambda name: f"{staging}/{name}"
+    try:
+        seen = {}
+        for name, df in tables.items():
+            counted, seen[name] = _observed(df, label if name == "transactions" else None, amount)
+            io.write_parquet(counted, path(name))
+        metrics = {name: s.get for name, s in seen.items()}
+        rows = _row_rules(metrics["transactions"], "transactions")
+        for name in tables:  # one narrow column of the written copy
+            twice = dq.duplicate_key_count(spark.read.parquet(path(name)).select(key), key).first()["n_duplicates"]
+            rows.append(dq._row(name, "duplicate_keys", "hard", twice, ""))
+        report = schema.unionByName(spark.createDataFrame(rows, dq.REPORT_SCHEMA))
+        dq.enforce(report)
+        # the join reads compact Parquet instead of the inputs
+        merged = left_join_identity(spark.read.parquet(path("transactions")), spark.read.parquet(path("identity")), key)
+        io.write_parquet(merged, path("merged"))
+        for name in ("transactions", "identity", "merged"):
+            _publish(spark, path(name), f"{out_dir}/{name}")
+    finally:
+        _remove(spark, staging)
+    m = metrics["transactions"]
+    nulls = [(f.name, m[f"null_{i}"] / m["n"] if m["n"] else None) for i, f in enumerate(transactions.schema.fields)]
+    rate = m["positives"] / m["labelled"] if m.get("labelled") else None
+    return IngestResult(f"{out_dir}/transactions", f"{out_dir}/identity", f"{out_dir}/merged", report,
+                        spark.createDataFrame(nulls, "column_name string, null_rate double"),
+                        spark.createDataFrame([(rate, None if rate is None else 1 - rate, m.get("labelled"))], "positive_rate double, negative_rate double, n_labelled long"))

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from ..operators import features as fe
 from ..operators import prune
 from ..operators import split as sp
+from ..operators.stages import CardProfiler, CorrelationPruner, FrequencyEncoder, NullIndicator, OrdinalEncoder, TargetEncoder
+from ..session import scratch_path
 from ..sources import tables as tb
 from .catalog import r6, register, rounded, s6
 from .feature_model import FeaturePipeline
+from .ingest import left_join_identity
 from .queries_encode import _SPLIT_CTE
 
 _V = tb.V_COLUMNS
@@ -173,3 +177,64 @@ def q_feature_pruned(spark, sf):
     """V columns the fitted pipeline drops (correlation measured on the training rows)."""
     model, _ = _fit(spark, sf)
     return spark.createDataFrame([(c,) for c in model.dropped_v], "column_name string")
+
+
+# ------------------------------------------------- features of the merged table
+def _merged(spark, sf):
+    return left_join_identity(tb.transactions(spark, sf), tb.identity(spark, sf))
+
+
+_MERGED_SPLIT = "mg AS (SELECT t.*, i.* EXCLUDE (TransactionID) FROM transactions t LEFT JOIN identity i ON t.TransactionID = i.TransactionID)," \
+    + _SPLIT_CTE.replace("FROM txn", "FROM mg")
+_CARD_CTE = """cs AS (SELECT card1, avg(TransactionAmt) AS m, stddev_samp(TransactionAmt) AS sd, count(TransactionID) AS n,
+              coalesce(sum(TransactionAmt), 0.0) AS tot FROM tr WHERE card1 IS NOT NULL GROUP BY card1)"""
+_MERGED_COLS = [*_FM_COLS, ("DeviceInfo", "coalesce(t2.v, (SELECT g FROM g))", True), ("id_31", "coalesce(t3.v, (SELECT g FROM g))", True),
+                ("DeviceInfo_was_null", "cast(tr.DeviceInfo IS NULL AS int)", False), ("id_31_was_null", "cast(tr.id_31 IS NULL AS int)", False)]
+
+
+@register("feature_matrix_merged", tb.with_views(f"""
+WITH {_MERGED_SPLIT}, {_CARD_CTE}
+SELECT {", ".join((s6(e) if d else e) + f" AS {n}" for n, e, d in _MERGED_COLS)}
+FROM tr LEFT JOIN cs ON tr.card1 = cs.card1
+{_feature_joins(["P_emaildomain", "R_emaildomain", "DeviceInfo", "id_31"], ["card1", "card2", "card3"])}
+""", "transactions", "identity"))
+def q_feature_matrix_merged(spark, sf):
+    """Fitted feature matrix of the training rows of transactions joined with identity."""
+    s, _ = sp.time_split(_merged(spark, sf).drop("p"), folds=5)
+    train = s.where(F.col("split") == "train").drop("split")
+    return rounded(FeaturePipeline(min_v_cols=5).fit_transform(train, fold="fold")[1])
+
+
+_STAGE_TARGETS, _STAGE_SHARES = ["P_emaildomain", "R_emaildomain", "DeviceInfo", "id_31"], ["card1", "card2"]
+
+
+def _smoothed_join(c, i):
+    return f"""LEFT JOIN (SELECT {c} AS cat, (sum(isFraud) + (SELECT g FROM g)) / (count(isFraud) + 1.0) AS v
+  FROM tr WHERE {c} IS NOT NULL GROUP BY 1) e{i} ON a.{c} = e{i}.cat"""
+
+
+@register("feature_stages", tb.with_views(f"""
+WITH {_MERGED_SPLIT}, {_CARD_CTE}
+SELECT a.TransactionID, {", ".join(_ord(c).replace("tr.", "a.") + f" AS {c}" for c in ("card4", "DeviceType"))},
+       {", ".join(f"cast(a.{c} IS NULL AS int) AS {c}_was_null" for c in ("DeviceInfo", "id_31"))},
+       {", ".join(s6(f"coalesce(e{i}.v, (SELECT g FROM g))") + f" AS {c}" for i, c in enumerate(_STAGE_TARGETS))},
+       {", ".join(s6(f"coalesce(f{i}.v, 0.0)") + f" AS {c}" for i, c in enumerate(_STAGE_SHARES))},
+       {s6("(a.TransactionAmt - cs.m) / (cs.sd + 1e-8)")} AS amount_zscore, cs.n AS card_txn_count,
+       {", ".join(s6(f"a.{c}") + f" AS {c}" for c in ("V1", "V3", "V4", "V6"))}
+FROM sp a LEFT JOIN cs ON a.card1 = cs.card1
+{" ".join(_smoothed_join(c, i) for i, c in enumerate(_STAGE_TARGETS))}
+{" ".join(_freq_join(c, i).replace("cast(tr.", "cast(a.") for i, c in enumerate(_STAGE_SHARES))}
+""", "transactions", "identity"))
+def q_feature_stages(spark, sf):
+    """One ML pipeline of all feature stages, fitted on the merged training rows, saved, loaded, and
+    applied to every merged row."""
+    merged = _merged(spark, sf).drop("p")
+    s, _ = sp.time_split(merged)
+    stages = [CardProfiler(), NullIndicator(inputCols=["DeviceInfo", "id_31"]), OrdinalEncoder(), TargetEncoder(inputCols=_STAGE_TARGETS),
+              FrequencyEncoder(inputCols=_STAGE_SHARES), CorrelationPruner(minCols=5)]
+    path = scratch_path(spark, "feature_stages")
+    Pipeline(stages=stages).fit(s.where(F.col("split") == "train").drop("split")).write().overwrite().save(path)
+    out = PipelineModel.load(path).transform(merged)
+    kept = [c for c in out.columns if c.startswith("V")]
+    return rounded(out.select("TransactionID", "card4", "DeviceType", "DeviceInfo_was_null", "id_31_was_null", *_STAGE_TARGETS, *_STAGE_SHARES,
+                              "amount_zscore", "card_txn_count", *kept))

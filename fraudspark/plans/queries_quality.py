@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..operators import quality as dq
@@ -298,6 +301,41 @@ def q_csv_findings(spark, sf):
     return io.csv_type_findings(spark, path)
 
 
+# Lines of a file with a quoted column that holds commas and quotes: by id some are cut short, some have a
+# field more, some never close their quote.
+_NOTE = "concat('a, ', chr(34), chr(34), ProductCD, chr(34), chr(34))"
+_LINE = f"""CASE TransactionID % 10
+  WHEN 1 THEN concat(TransactionID, ',', chr(34), {_NOTE}, chr(34))
+  WHEN 2 THEN concat(TransactionID, ',', chr(34), {_NOTE}, chr(34), ',', isFraud, ',', ProductCD, ',x,y')
+  WHEN 3 THEN concat(TransactionID, ',', chr(34), {_NOTE}, ',', isFraud, ',', ProductCD)
+  ELSE concat(TransactionID, ',', chr(34), {_NOTE}, chr(34), ',', isFraud, ',', ProductCD) END"""
+
+
+def _char(sql: str) -> str:
+    return sql.replace("chr(34)", "char(34)")
+
+
+@register("csv_quarantine", tb.with_views(f"""
+SELECT {_LINE} AS line, CASE TransactionID % 10 WHEN 1 THEN 'too few fields: 2' WHEN 2 THEN 'too many fields: 6' WHEN 3 THEN 'unclosed quote' END AS reason,
+       NULL::BIGINT AS TransactionID, NULL::INTEGER AS isFraud, NULL::VARCHAR AS note
+FROM txn WHERE TransactionID % 10 IN (1, 2, 3)
+UNION ALL SELECT NULL, NULL, TransactionID, isFraud, concat('a, "', ProductCD, '"') FROM txn WHERE TransactionID % 10 NOT IN (1, 2, 3)""", "txn"))
+def q_csv_quarantine(spark, sf):
+    """A CSV file with short, long and unclosed lines: typed rows on one side, quarantined lines with their
+    reasons on the other."""
+    path, out, bad = (scratch_path(spark, n) for n in ("csv_lines", "csv_rows", "csv_quarantine"))
+    lines = tb.txn(spark, sf).selectExpr(f"{_char(_LINE)} AS value")
+    parts = lines.repartition(3).sortWithinPartitions("value")
+    header = "TransactionID,note,isFraud,ProductCD"
+    # every file begins with the header
+    parts.mapInPandas(lambda batches: itertools.chain([pd.DataFrame({"value": [header]})], batches), "value string").write.text(path)
+    io.quarantine_csv(spark, path, out, bad)
+    rows = spark.read.parquet(out).select(F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("reason"), "TransactionID", "isFraud", "note")
+    held = spark.read.parquet(bad).select("line", "reason", F.lit(None).cast("bigint").alias("TransactionID"), F.lit(None).cast("int").alias("isFraud"),
+                                          F.lit(None).cast("string").alias("note"))
+    return rows.unionByName(held)
+
+
 @register("parquet_roundtrip", _RT_SQL)
 def q_parquet(spark, sf):
     path = scratch_path(spark, "parquet")

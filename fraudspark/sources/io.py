@@ -3,6 +3,7 @@ one-row manifests."""
 
 from __future__ import annotations
 
+import csv
 import json
 from collections.abc import Sequence
 
@@ -131,3 +132,47 @@ def read_manifest(spark: SparkSession, path: str) -> dict:
             except ValueError:
                 pass
     return out
+
+
+# ------------------------------------------------------------ malformed lines
+
+_QUOTED = r'"(?:[^"]|"")*"'
+
+
+def csv_lines(spark: SparkSession, path: str, declared: dict[str, T.DataType] = DECLARED_TYPES) -> tuple[DataFrame, DataFrame]:
+    """CSV read line by line: ``(rows, bad lines)``.
+
+    ``rows`` has the typed columns of the well-formed lines, as ``read_csv`` gives them.  A line is malformed
+    when a quote is never closed, or when it has fewer or more fields than the header; the second table
+    gives each with its file, text and reason.  The first line of every file is the header, which all files
+    share; records do not span lines.
+    """
+    text = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
+    first = text.where(F.length("line") > 0).first()
+    if first is None:
+        raise ValueError(f"no header in {path}")
+    header = first["line"]
+    names = next(csv.reader([header]))
+    # commas and quotes that count are those outside of quoted fields
+    bare = F.regexp_replace("line", _QUOTED, "")
+    fields = F.length(bare) - F.length(F.translate(bare, ",", "")) + 1
+    reason = (F.when(F.contains(bare, F.lit('"')), "unclosed quote")
+              .when(fields < len(names), F.concat(F.lit("too few fields: "), fields.cast("string")))
+              .when(fields > len(names), F.concat(F.lit("too many fields: "), fields.cast("string"))))
+    marked = text.where((F.col("line") != header) & (F.length("line") > 0)).withColumn("reason", reason)
+    parsed = marked.where("reason is null").select(
+        F.from_csv("line", ", ".join(f"c{i} string" for i in range(len(names))), {"quote": '"', "escape": '"'}).alias("r"))
+    raw = parsed.select(*[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)])
+    typed = _typed(raw, declared)
+    rows = raw.select(*[typed[c].alias(c) if c in typed else F.col(f"`{c}`") for c in raw.columns])
+    return rows, marked.where("reason is not null").select("file", "line", "reason")
+
+
+def quarantine_csv(spark: SparkSession, path: str, out: str, quarantine: str, declared: dict[str, T.DataType] = DECLARED_TYPES) -> DataFrame:
+    """Write the well-formed rows to ``out`` and the malformed lines to ``quarantine`` (Parquet); returns the
+    number of lines by reason, well-formed ones as null."""
+    rows, bad = csv_lines(spark, path, declared)
+    write_parquet(rows, out)
+    write_parquet(bad, quarantine)
+    found = spark.read.parquet(quarantine).groupBy(F.regexp_extract("reason", "^[^:]*", 0).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    return found.unionByName(spark.read.parquet(out).agg(F.lit(None).cast("string").alias("reason"), F.count(F.lit(1)).alias("n")))
