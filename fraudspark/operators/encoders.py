@@ -3,9 +3,11 @@
 State layout ``(col, category, n, s, value)``: one row per (column, category),
 categories compared as strings (the same cast at fit and apply).  Fitting is
 ONE aggregation over the unpivoted columns, so a hot category is combined
-map-side before the shuffle.  Applying is one left join per column; the state
-is broadcast only when its row count (counted at fit time) is below the
-broadcast limit, otherwise AQE plans a skew-aware shuffle join.
+map-side before the shuffle.  Applying looks every column up: a state whose bytes
+(measured at fit time) are below the broadcast limit is broadcast to the rows;
+a larger one meets narrow (row, column, category) entries of all columns in
+one skew-aware join, and the rows themselves are shuffled once, to get their
+values back, however many columns there are.
 """
 
 from __future__ import annotations
@@ -55,10 +57,13 @@ def _unpivot(df: DataFrame, cols: Sequence[str], extra: Sequence[str]) -> DataFr
 
 def _apply_state(df: DataFrame, state: DataFrame, cols: Sequence[str], default: float,
                  state_rows: int | None, value_col: str = "value",
-                 key_cols: Sequence[str] = ()) -> DataFrame:
+                 key_cols: Sequence[str] = (), state_bytes: int | None = None) -> DataFrame:
     """Replace each column by its state value; unseen / null -> default; absent -> default."""
+    bc = can_broadcast(state_rows, known_bytes=state_bytes)
+    there = [c for c in cols if c in df.columns]
+    if not bc and len(there) > 1 and not df.isStreaming:
+        return _apply_large_state(df, state, cols, default, value_col, key_cols)
     out = df
-    bc = can_broadcast(state_rows)
     ids = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType) and f.name not in cols] or list(cols)
     for c in cols:
         if c not in df.columns:
@@ -81,6 +86,22 @@ def _apply_state(df: DataFrame, state: DataFrame, cols: Sequence[str], default:
     return out
 
 
+def _apply_large_state(df: DataFrame, state: DataFrame, cols: Sequence[str], default: float, value_col: str,
+                       key_cols: Sequence[str]) -> DataFrame:
+    """All columns at once: the rows are written with a number, their (number, column, category) entries meet
+    the state in one join, and each row gets its values back by its number."""
+    there = [c for c in cols if c in df.columns]
+    rows = _write_back(df.withColumn("_rid", F.monotonically_increasing_id()), "numbered")
+    long = _unpivot(rows, there, ["_rid", *key_cols])
+    keys = ["col", "category", *key_cols]
+    met = long.join(state.select(*keys, F.col(value_col).alias("_val")), keys)
+    values = met.groupBy("_rid").agg(*[F.max(F.when(F.col("col") == c, F.col("_val"))).alias(f"_v{i}") for i, c in enumerate(there)])
+    out = rows.join(values, "_rid", "left")
+    found = {c: F.col(f"_v{there.index(c)}") if c in there else F.lit(None).cast("double") for c in cols}
+    names = [*df.columns, *[c for c in cols if c not in df.columns]]
+    return out.select(*[F.coalesce(found[c], F.lit(float(default))).alias(c) if c in found else F.col(c) for c in names])
+
+
 @dataclass
 class TargetEncoding:
     """Fitted label-mean encoding: smoothed per-category means + global mean."""
@@ -89,21 +110,22 @@ class TargetEncoding:
     smoothing: float
     state: DataFrame          # col, category, n, s, value
     state_rows: int
+    state_bytes: int | None = None
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return _apply_state(df, self.state, self.cols, self.global_mean, self.state_rows)
+        return _apply_state(df, self.state, self.cols, self.global_mean, self.state_rows, state_bytes=self.state_bytes)
 
     def save(self, path: str) -> None:
         self.state.write.mode("overwrite").parquet(f"{path}/state")
         meta = dict(cols=self.cols, global_mean=self.global_mean, smoothing=self.smoothing,
-                    state_rows=self.state_rows)
+                    state_rows=self.state_rows, state_bytes=self.state_bytes)
         _write_meta(self.state.sparkSession, meta, f"{path}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "TargetEncoding":
         meta = _read_meta(spark, f"{path}/meta")
         return cls(meta["cols"], meta["global_mean"], meta["smoothing"],
-                   spark.read.parquet(f"{path}/state"), meta["state_rows"])
+                   spark.read.parquet(f"{path}/state"), meta["state_rows"], meta.get("state_bytes"))
 
 
 def _write_meta(spark: SparkSession, meta: dict, path: str) -> None:
@@ -126,6 +148,12 @@ def category_label_stats(df: DataFrame, cols: Sequence[str], label: str,
 _ALL = "__all_rows__"
 
 
+def _state_size(state: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a fitted state."""
+    r = state.agg(F.count(F.lit(1)), F.sum(F.octet_length("col") + F.octet_length("category") + 24)).first()
+    return int(r[0]), int(r[1] or 0)
+
+
 def fit_target_encoding(df: DataFrame, cols: Sequence[str], label: str = "isFraud",
                         smoothing: float = 1.0) -> TargetEncoding:
     """Smoothed mean: (n * mean + smoothing * g) / (n + smoothing), g = label mean.
@@ -150,7 +178,7 @@ def fit_target_encoding(df: DataFrame, cols: Sequence[str], label: str = "isFrau
     state = materialize(stats.where(F.col("col") != _ALL).select(
         "col", "category", "n", "s",
         ((F.col("n") * mean + F.lit(smoothing * g)) / (F.col("n") + F.lit(smoothing))).alias("value")))
-    return TargetEncoding(list(cols), g, smoothing, state, state.count())
+    return TargetEncoding(list(cols), g, smoothing, state, *_state_size(state))
 
 
 def target_encode_out_of_fold(df: DataFrame, enc: TargetEncoding, label: str, fold: str) -> DataFrame:
@@ -167,8 +195,8 @@ def target_encode_out_of_fold(df: DataFrame, enc: TargetEncoding, label: str, fo
     other = (per_fold.join(tot, ["col", "category"])
              .select("col", "category", fold, F.when(n_other > 0, s_other / n_other).alias("value")))
     other = materialize(other)
-    rows = other.count()
-    return _apply_state(df, other, enc.cols, enc.global_mean, rows, key_cols=[fold])
+    rows, size = _state_size(other)
+    return _apply_state(df, other, enc.cols, enc.global_mean, rows, key_cols=[fold], state_bytes=size)
 
 
 @dataclass
@@ -177,19 +205,20 @@ class FrequencyEncoding:
     normalize: bool
     state: DataFrame          # col, category, n, value
     state_rows: int
+    state_bytes: int | None = None
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return _apply_state(df, self.state, self.cols, 0.0, self.state_rows)
+        return _apply_state(df, self.state, self.cols, 0.0, self.state_rows, state_bytes=self.state_bytes)
 
     def save(self, path: str) -> None:
         self.state.write.mode("overwrite").parquet(f"{path}/state")
         _write_meta(self.state.sparkSession,
-                    dict(cols=self.cols, normalize=self.normalize, state_rows=self.state_rows), f"{path}/meta")
+                    dict(cols=self.cols, normalize=self.normalize, state_rows=self.state_rows, state_bytes=self.state_bytes), f"{path}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "FrequencyEncoding":
         meta = _read_meta(spark, f"{path}/meta")
-        return cls(meta["cols"], meta["normalize"], spark.read.parquet(f"{path}/state"), meta["state_rows"])
+        return cls(meta["cols"], meta["normalize"], spark.read.parquet(f"{path}/state"), meta["state_rows"], meta.get("state_bytes"))
 
 
 def fit_frequency_encoding(df: DataFrame, cols: Sequence[str], normalize: bool = True) -> FrequencyEncoding:
@@ -204,7 +233,7 @@ def fit_frequency_encoding(df: DataFrame, cols: Sequence[str], normalize: bool =
     else:
         value = counts.select("col", "category", "n", F.col("n").cast("double").alias("value"))
     state = materialize(value)
-    return FrequencyEncoding(list(cols), normalize, state, state.count())
+    return FrequencyEncoding(list(cols), normalize, state, *_state_size(state))
 
 
 __all__ = [

@@ -1,8 +1,8 @@
 """Join helpers with an explicit broadcast rule.
 
-A side is broadcast only when its row count is known (it was counted when the
+A side is broadcast only when its size is known (it was measured when the
 state was fitted, or it is bounded by construction) and below
-``MAX_BROADCAST_ROWS``.  Otherwise the plan is left to AQE, which measures
+``MAX_BROADCAST_BYTES``, or, where only rows were counted, ``MAX_BROADCAST_ROWS``.  Otherwise the plan is left to AQE, which measures
 the shuffled side at run time, broadcasts it when it is small and splits
 skewed partitions of a sort-merge join when it is not.
 """
@@ -19,7 +19,14 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def can_broadcast(known_rows: int | None, limit: int = MAX_BROADCAST_ROWS) -> bool:
+# Bytes of keys and values of a state that may be shipped to every executor (its hash table there takes
+# about three times as much).
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def can_broadcast(known_rows: int | None, limit: int = MAX_BROADCAST_ROWS, known_bytes: int | None = None) -> bool:
+    if known_bytes is not None:
+        return known_bytes <= MAX_BROADCAST_BYTES
     return known_rows is not None and known_rows <= limit
 
 

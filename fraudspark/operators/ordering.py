@@ -26,6 +26,8 @@ from ..functions.scalar import portable_hash
 from ..session import materialize
 from .joins import null_safe_join
 
+#: Wanted quantiles (groups x quantiles, a few numbers each) that are broadcast.
+MAX_WANTED = 100_000
 _LOCAL_BITS = 33
 _LOCAL_MASK = (1 << _LOCAL_BITS) - 1
 
@@ -225,7 +227,8 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float],
               .groupBy(*g, F.col(value).cast("double").alias("_v")).agg(one.cast("double").alias("_c"))
               .where(F.col("_c") > 0))
     cum = prefix_sums(counts, ["_v"], ["_c"], partition_by=g)
-    total = cum.groupBy(*g).agg(F.max("_c_cum").alias("_n"))
+    total = materialize(cum.groupBy(*g).agg(F.max("_c_cum").alias("_n")), "quantile_groups")
+    small = total.count() * len(quantiles) <= MAX_WANTED
     h = (F.col("_n") - 1) * F.col("q")
     want = (total.select(*g, "_n", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("q"))
             .select(*g, "q", F.floor(h).alias("_lo"), F.least(F.floor(h) + 1, F.col("_n") - 1).alias("_hi"),
@@ -233,7 +236,8 @@ def exact_quantiles(df: DataFrame, value: str, quantiles: Sequence[float],
     first, end = F.col("_c_cum") - F.col("_c"), F.col("_c_cum")
     at_lo = (F.col("_lo") >= first) & (F.col("_lo") < end)
     at_hi = (F.col("_hi") >= first) & (F.col("_hi") < end)
-    picked = null_safe_join(cum, want, g).where(at_lo | at_hi)
+    # few wanted positions go to the values, so that a group of most rows is no join key
+    picked = null_safe_join(cum, F.broadcast(want) if small else want, g).where(at_lo | at_hi)
     agg = picked.groupBy(*g, "q", "_frac").agg(F.max(F.when(at_lo, F.col("_v"))).alias("_a"),
                                                F.max(F.when(at_hi, F.col("_v"))).alias("_b"))
     # no interpolation between equal values: infinities stay what they are

@@ -33,6 +33,14 @@ def time_split(df: DataFrame, dt: str = "TransactionDT", key: str = "Transaction
     return out, n
 
 
+def time_split_positions(df: DataFrame, dt: str = "TransactionDT", key: str = "TransactionID",
+                         train_frac: float = TRAIN_FRAC, val_frac: float = VAL_FRAC) -> tuple[DataFrame, int]:
+    """The split with each row's position ``rn``, both from one index of the rows."""
+    at, n = with_row_index(df, [dt, key])
+    rn = F.col("rn")
+    return at.withColumn("split", F.when(rn <= int(n * train_frac), "train").when(rn <= int(n * (train_frac + val_frac)), "val").otherwise("test")), n
+
+
 def test_tail(df: DataFrame, dt: str = "TransactionDT", key: str = "TransactionID",
               start_frac: float = TRAIN_FRAC + VAL_FRAC) -> tuple[DataFrame, int]:
     """``(tail, start)``: the last part of the time order, the rows after position

@@ -68,6 +68,7 @@ class _TableModel(Model, _Shared, DefaultParamsReadable, DefaultParamsWritable):
     """A model whose state is a table (``table``) and its number of rows (``tableRows``)."""
 
     tableRows = Param(Params._dummy(), "tableRows", "rows of the fitted table", TypeConverters.toInt)
+    tableBytes = Param(Params._dummy(), "tableBytes", "bytes of its keys and values", TypeConverters.toInt)
     table: DataFrame | None = None
 
     def write(self):
@@ -95,7 +96,7 @@ class TargetEncoder(Estimator, _Shared, DefaultParamsReadable, DefaultParamsWrit
     def _fit(self, df: DataFrame) -> TargetEncoderModel:
         fitted = enc.fit_target_encoding(df, self._get("inputCols"), self._get("labelCol"), self._get("smoothing"))
         model = self._copyValues(TargetEncoderModel())
-        model._set(inputCols=fitted.cols, globalMean=fitted.global_mean, tableRows=fitted.state_rows)
+        model._set(inputCols=fitted.cols, globalMean=fitted.global_mean, tableRows=fitted.state_rows, tableBytes=fitted.state_bytes)
         model.table = fitted.state
         return model
 
@@ -104,7 +105,7 @@ class TargetEncoderModel(_TableModel):
     globalMean = Param(Params._dummy(), "globalMean", "value of unseen and null categories", TypeConverters.toFloat)
 
     def encoding(self) -> enc.TargetEncoding:
-        return enc.TargetEncoding(self._get("inputCols"), self._get("globalMean"), self._get("smoothing"), self.table, self._get("tableRows"))
+        return enc.TargetEncoding(self._get("inputCols"), self._get("globalMean"), self._get("smoothing"), self.table, self._get("tableRows"), self._get("tableBytes"))
 
     def _transform(self, df: DataFrame) -> DataFrame:
         return self.encoding().transform(df)
@@ -126,14 +127,14 @@ class FrequencyEncoder(Estimator, _Shared, DefaultParamsReadable, DefaultParamsW
     def _fit(self, df: DataFrame) -> FrequencyEncoderModel:
         fitted = enc.fit_frequency_encoding(df, self._get("inputCols"), self._get("normalize"))
         model = self._copyValues(FrequencyEncoderModel())
-        model._set(inputCols=fitted.cols, tableRows=fitted.state_rows)
+        model._set(inputCols=fitted.cols, tableRows=fitted.state_rows, tableBytes=fitted.state_bytes)
         model.table = fitted.state
         return model
 
 
 class FrequencyEncoderModel(_TableModel):
     def _transform(self, df: DataFrame) -> DataFrame:
-        return enc.FrequencyEncoding(self._get("inputCols"), self._get("normalize"), self.table, self._get("tableRows")).transform(df)
+        return enc.FrequencyEncoding(self._get("inputCols"), self._get("normalize"), self.table, self._get("tableRows"), self._get("tableBytes")).transform(df)
 
 
 class CardProfiler(Estimator, _Shared, DefaultParamsReadable, DefaultParamsWritable):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ..operators import encoders as enc
@@ -40,9 +42,7 @@ FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS
 def q_time_split(spark, sf):
     """Orders by date (2,399 distinct days for 15,000 rows at sf0.01: heavy ties, key breaks them)."""
     o = tb.read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    at, _ = od.with_row_index(o, ["o_orderdate", "o_orderkey"])
-    s, _ = sp.time_split(at, dt="o_orderdate", key="o_orderkey")
-    return s.select("o_orderkey", "rn", "split")
+    return sp.time_split_positions(o, dt="o_orderdate", key="o_orderkey")[0].select("o_orderkey", "rn", "split")
 
 
 @register("split_rates", tb.with_views(f"""
@@ -142,6 +142,14 @@ def q_te_apply(spark, sf):
     return out.select("TransactionID", *[r6(c).alias(c) for c in _TE_COLS])
 
 
+@register("target_encode_joined", tb.with_views(f"WITH {_SPLIT_CTE}\n{_te_apply_sql(_TE_COLS, 'ap', False)}", "txn"))
+def q_te_joined(spark, sf):
+    """The same values by the way of a state too large to broadcast."""
+    e, _, rest = _te_fit(spark, sf)
+    out = replace(e, state_bytes=1 << 60).transform(rest.select("TransactionID", *_TE_COLS))
+    return out.select("TransactionID", *[r6(c).alias(c) for c in _TE_COLS])
+
+
 @register("target_encode_oof", tb.with_views(f"WITH {_SPLIT_CTE}\n{_te_apply_sql(_TE_COLS, 'tr', True)}",
                                              "txn"))
 def q_te_oof(spark, sf):
@@ -190,6 +198,15 @@ def q_fe_apply(spark, sf):
         "TransactionID", *[r6(c).alias(c) for c in _FE_COLS])
 
 
+@register("freq_encode_joined", tb.with_views(f"WITH {_SPLIT_CTE}\n{_fe_apply_sql(_FE_COLS)}", "txn"))
+def q_fe_joined(spark, sf):
+    """The same values by the way of a state too large to broadcast."""
+    train, rest = _train_apply(spark, sf)
+    e = replace(enc.fit_frequency_encoding(train, _FE_COLS), state_bytes=1 << 60)
+    return e.transform(rest.select("TransactionID", *_FE_COLS)).select(
+        "TransactionID", *[r6(c).alias(c) for c in _FE_COLS])
+
+
 @register("freq_encode_raw", tb.with_views(f"WITH {_SPLIT_CTE}\n{_fe_apply_sql(_FE_COLS, False)}", "txn"))
 def q_fe_raw(spark, sf):
     train, rest = _train_apply(spark, sf)

@@ -141,6 +141,24 @@ def q_stream_sliding(spark, sf):
     return _window_stream(spark, sf, "stream_sliding", "1 hour", "15 minutes")
 
 
+@register("stream_sketch", tb.with_views(f"""
+SELECT strftime(timestamp '2017-11-30 00:00:00' + to_seconds(cast(ws AS bigint)), '%Y-%m-%d %H:%M:%S') AS window_start, max(n) AS n_transactions,
+       {s6('count(*) FILTER (WHERE p > 0.7) / max(n)')} AS pct_decline, {s6('avg(p)')} AS score_mean, {s6('avg(isFraud)')} AS actual_fraud_rate,
+       {s6('max(CASE WHEN k = ceil(0.5 * n) THEN p END)')} AS score_p50, {s6('max(CASE WHEN k = ceil(0.95 * n) THEN p END)')} AS score_p95
+FROM (SELECT *, row_number() OVER (PARTITION BY ws ORDER BY p) AS k, count(*) OVER (PARTITION BY ws) AS n
+      FROM (SELECT *, floor(TransactionDT / 3600) * 3600 AS ws FROM txn)) GROUP BY ws
+""", "txn"))
+def q_stream_sketch(spark, sf):
+    """Tumbling 1 h windows with quantile sketches as state (exact while a window has fewer rows than the sketch
+    keeps, as here)."""
+    def build(stream, out, ck):
+        sj.run_window_sketches(stream.withColumnRenamed("p", "fraud_probability"), out, ck)
+    out = _run_stream(spark, sf, "stream_sketch", build, read=sj.read_window_sketches)
+    start = event_time(F.unix_seconds(F.col("window_start")) - F.lit(sj.REFERENCE_EPOCH))
+    return rounded(out.select(F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n_transactions", "pct_decline", "score_mean",
+                              "actual_fraud_rate", "score_p50", "score_p95"))
+
+
 @register("stream_alarm", tb.with_views(f"""
 WITH {_SPLIT_CTE}, {_LOG_CTE},
 bm AS (SELECT batch, avg(fraud_probability) AS mean_score FROM lg GROUP BY batch),

@@ -135,6 +135,46 @@ def read_window_metrics(spark: SparkSession, out: str) -> DataFrame:
     return metrics.join(p95.select(*window, F.col("quantile").alias("score_p95")), window, "left")
 
 
+#: Size parameter of the quantile sketches: at most 1.4 % of the ranks off for a quantile (99 % of the time),
+#: exact for windows of fewer rows, some 3 k bytes of state for a window of any size.
+SKETCH_K = 200
+
+
+def window_sketches(stream: DataFrame, ts: str, duration: str, slide: str | None = None, watermark: str = "1 hour",
+                    prob: str = "fraud_probability", label: str = "isFraud", k: int = SKETCH_K) -> DataFrame:
+    """Counts and sums per window, and a mergeable sketch of its scores, whatever their type and number."""
+    w = F.window(F.col(ts), duration, slide) if slide else F.window(F.col(ts), duration)
+    score, d, y = F.col(prob).cast("double"), decide(F.col(prob)), F.col(label)
+    return (stream.withWatermark(ts, watermark).groupBy(w.alias("w"))
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(d == "DECLINE").alias("n_decline"), F.sum(score).alias("s"), F.count(score).alias("n_score"),
+                 F.sum(y.cast("double")).alias("y"), F.count(y).alias("n_label"), F.kll_sketch_agg_double(score, F.lit(k)).alias("sketch"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "*").drop("w"))
+
+
+def run_window_sketches(stream: DataFrame, out: str, checkpoint: str, ts: str = "event_time", duration: str = "1 hour", slide: str | None = None,
+                        watermark: str = "1 hour", k: int = SKETCH_K) -> None:
+    """Update mode with one row of state a window, beside ``run_window_metrics``, which is exact for scores of
+    four places and holds a row for each of them."""
+    def per_batch(changed: DataFrame, epoch: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    _run(window_sketches(stream, ts, duration, slide, watermark, k=k).writeStream.outputMode("update")
+         .foreachBatch(per_batch).option("checkpointLocation", checkpoint))
+
+
+def read_window_sketches(spark: SparkSession, out: str, quantiles: tuple[float, ...] = (0.5, 0.95)) -> DataFrame:
+    """Counts, means and quantiles (a score of the window at least that share of its scores lie at or below) of
+    every window, from its newest sketch; null where a window has no score."""
+    window = ["window_start", "window_end"]
+    changed = spark.read.parquet(out)
+    values = [c for c in changed.columns if c not in (*window, "epoch")]
+    newest = changed.groupBy(*window).agg(F.max_by(F.struct(*values), "epoch").alias("v")).select(*window, "v.*")
+    share = lambda c, n: F.try_divide(F.col(c), F.col(n))
+    points = [F.when(F.col("n_score") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(q))).alias(f"score_p{round(100 * q)}") for q in quantiles]
+    return newest.select(*window, F.col("n").alias("n_transactions"), share("n_decline", "n").alias("pct_decline"), share("s", "n_score").alias("score_mean"),
+                         share("y", "n_label").alias("actual_fraud_rate"), *points, F.length("sketch").alias("sketch_bytes"))
+
+
 _ALARM = "batch long, mean_score double, baseline double, running_sd double, alert_line double, alarm boolean, closed boolean"
 _ALARM_STATE = "n_batches long, k long, mean double, m2 double, first array<double>, open_batch long, open_sum double, open_n long"
 

@@ -70,3 +70,24 @@ def test_large_state_gets_no_broadcast_hint(spark):
     assert "strategy=broadcast" in small._jdf.queryExecution().analyzed().toString()
     # above the limit the choice is left to AQE's run-time size check
     assert "strategy=broadcast" not in big._jdf.queryExecution().analyzed().toString()
+
+
+def test_large_states_shuffle_the_rows_once(spark):
+    from dataclasses import replace
+    t = tb.txn(spark, SMALL).select("TransactionID", "P_emaildomain", "R_emaildomain", "card4", "isFraud")
+    e = enc.fit_target_encoding(t, ["P_emaildomain", "R_emaildomain", "card4"], "isFraud")
+    assert e.state_bytes and e.state_bytes < 10_000
+    large = replace(e, state_bytes=1 << 60)
+    a, b = e.transform(t), large.transform(t)
+    assert a.columns == b.columns and a.exceptAll(b).count() == 0
+    plan = _initial(b.hint("merge"))
+    wide = [line for line in plan.split("\n") if "TransactionID" in line and "Scan" in line]
+    assert len(wide) == 1      # the rows are read, and shuffled, once, however many columns
+
+
+def test_wanted_quantiles_are_broadcast(spark):
+    from fraudspark.operators import ordering as od
+    t = tb.txn(spark, SMALL).select("isFraud", "TransactionAmt")
+    plan = _initial(od.exact_quantiles(t, "TransactionAmt", [0.5, 0.95], ["isFraud"]))
+    assert "BroadcastHashJoin" in plan or "BroadcastNestedLoopJoin" in plan
+    assert "SortMergeJoin" not in plan

@@ -106,3 +106,20 @@ def test_running_moments_equal_pandas():
         if len(known) > 1:
             assert np.isclose((state["m2"] / (state["k"] - 1)) ** 0.5, known.std())
     assert state["first"] == [0.2, None, 0.25]
+
+
+def test_sketches_keep_their_rank_error_and_size(spark):
+    rng = np.random.default_rng(8)
+    scores = rng.beta(0.5, 5, 60_000)
+    rows = [(int(i * 3600 / 30_000), float(p), int(i % 50 == 0)) for i, p in enumerate(scores)]          # two windows of 30,000 rows
+    rows += [(9_000, None, None), (9_001, None, 1)]                                                         # a window without scores
+    path = _files(spark, [rows[k::3] for k in range(3)], "TransactionDT long, fraud_probability double, isFraud int")
+    stream = sj.transaction_stream(spark, path, spark.read.parquet(path).schema, 1).withColumn("event_time", sj.event_timestamp(F.col("TransactionDT")))
+    out, ck = scratch_path(spark, "sketch_out"), scratch_path(spark, "sketch_ck")
+    sj.run_window_sketches(stream, out, ck, watermark="3 hours")
+    got = sj.read_window_sketches(spark, out).orderBy("window_start").collect()
+    assert [r["n_transactions"] for r in got] == [30_000, 30_000, 2] and got[2]["score_p95"] is None
+    for r, part in zip(got, (scores[:30_000], scores[30_000:])):
+        for q, c in ((0.5, "score_p50"), (0.95, "score_p95")):
+            assert abs((part <= r[c]).mean() - q) < 0.02
+        assert np.isclose(r["score_mean"], part.mean()) and r["sketch_bytes"] < 40 * sj.SKETCH_K
