@@ -1,9 +1,10 @@
 """Ingest job: validate both tables, profile them, write them, join them, in one pass over each input.
 
 Columns are checked before anything is read.  Each input is then read once: it is written to a staging
-folder, and the row rules, null counts and class counts are metrics observed during that write.
-Keys are counted in the written copies (one narrow column), and the join reads the copies too.
-Only when every hard rule holds are the staged folders renamed to their places; else they are removed, so
+folder.  Row rules, null counts and class counts are one aggregation over the written copy (compact
+columns instead of the source), keys are counted in one narrow column of it, and the join reads the
+copies too.  (Metrics observed during the write would save that aggregation, but once a session has an
+observation Spark cannot ship a freshly fitted logistic model to its tasks any more.)  Only when every hard rule holds are the staged folders renamed to their places; else they are removed, so
 a failure leaves nothing behind.
 """
 
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,8 +59,8 @@ def _publish(spark: SparkSession, staged: str, path: str) -> None:
         raise OSError(f"cannot rename {staged} to {path}")
 
 
-def _observed(df: DataFrame, label: str | None, amount: str) -> tuple[DataFrame, Observation]:
-    """``df`` that counts rows, nulls and broken rules while it is written."""
+def _measured(df: DataFrame, label: str | None, amount: str) -> dict:
+    """Rows, nulls of every column and broken rules of a written copy, in one aggregation."""
     metrics = [F.count(F.lit(1)).alias("n")]
     for i, f in enumerate(df.schema.fields):
         miss = F.col(f.name).isNull()
@@ -70,12 +71,11 @@ def _observed(df: DataFrame, label: str | None, amount: str) -> tuple[DataFrame,
         lab, amt = F.col(label), F.col(amount)
         metrics += [F.count_if(lab.isNotNull() & ~lab.isin(0, 1)).alias("bad_labels"), F.sum(lab.cast("double")).alias("positives"), F.count(lab).alias("labelled"),
                     F.count_if(amt < dq.AMOUNT_MIN).alias("negative"), F.count_if(amt > dq.AMOUNT_MAX).alias("extreme")]
-    seen = Observation()
-    return df.observe(seen, *metrics), seen
+    return df.agg(*metrics).first().asDict()
 
 
 def _row_rules(m: dict, table: str) -> list[tuple]:
-    """The row rules' report rows from observed metrics."""
+    """The row rules' report rows from the metrics."""
     if "bad_labels" not in m:
         return []
     rate = m["positives"] / m["labelled"] if m["labelled"] else None
@@ -97,12 +97,10 @@ def ingest(spark: SparkSession, transactions: DataFrame, identity: DataFrame, ou
     staging = f"{out_dir.rstrip('/')}__staging"
     path = lambda name: f"{staging}/{name}"
     try:
-        seen = {}
         for name, df in tables.items():
-            counted, seen[name] = _observed(df, label if name == "transactions" else None, amount)
-            io.write_parquet(counted, path(name))
-        metrics = {name: s.get for name, s in seen.items()}
-        rows = _row_rules(metrics["transactions"], "transactions")
+            io.write_parquet(df, path(name))
+        m = _measured(spark.read.parquet(path("transactions")), label, amount)
+        rows = _row_rules(m, "transactions")
         for name in tables:  # one narrow column of the written copy
             twice = dq.duplicate_key_count(spark.read.parquet(path(name)).select(key), key).first()["n_duplicates"]
             rows.append(dq._row(name, "duplicate_keys", "hard", twice, ""))
@@ -115,7 +113,6 @@ def ingest(spark: SparkSession, transactions: DataFrame, identity: DataFrame, ou
             _publish(spark, path(name), f"{out_dir}/{name}")
     finally:
         _remove(spark, staging)
-    m = metrics["transactions"]
     nulls = [(f.name, m[f"null_{i}"] / m["n"] if m["n"] else None) for i, f in enumerate(transactions.schema.fields)]
     rate = m["positives"] / m["labelled"] if m.get("labelled") else None
     return IngestResult(f"{out_dir}/transactions", f"{out_dir}/identity", f"{out_dir}/merged", report,

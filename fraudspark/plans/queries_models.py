@@ -28,7 +28,7 @@ from .queries_encode import _SPLIT_CTE
 from .queries_features import _FM_COLS, _feature_joins, _freq_join
 from .train import load_champion, prepare, score_table, train_all
 
-N_TREES = 100
+N_TREES = 50
 _CACHE: dict = {}
 
 
