@@ -176,7 +176,7 @@ def read_window_sketches(spark: SparkSession, out: str, quantiles: tuple[float,
 
 
 _ALARM = "batch long, mean_score double, baseline double, running_sd double, alert_line double, alarm boolean, closed boolean"
-_ALARM_STATE = "n_batches long, k long, mean double, m2 double, first array<double>, open_batch long, open_sum double, open_n long"
+_ALARM_STATE = "n_batches long, k long, mean double, m2 double, first array<double>, early array<struct<batch:long,mean:double,sd:double>>, open_batch long, open_sum double, open_n long"
 
 
 def _with_mean(state: dict, mean: float | None) -> dict:
@@ -210,15 +210,16 @@ def run_drift_alarm(stream: DataFrame, out: str, checkpoint: str, prob: str = "f
     replayed micro-batch starts from the same row and overwrites what it wrote.  The last replay batch stays
     open, since the next micro-batch may bring more of it: its row is written with the moments so far and
     written again when it grows or closes.  Rows of a batch that has closed are late; their sums go
-    to ``out/late`` and leave alarms as they are.  One row a replay batch comes to the driver.
+    to ``out/late`` and leave alarms as they are.  Until the baseline is known, rows have none, and the
+    micro-batch that brings it writes them again.  One row a replay batch comes to the driver.
     """
     spark = stream.sparkSession
 
     def per_batch(df: DataFrame, epoch: int) -> None:
-        state = dict(n_batches=0, k=0, mean=0.0, m2=0.0, first=[], open_batch=None, open_sum=0.0, open_n=0)
+        state = dict(n_batches=0, k=0, mean=0.0, m2=0.0, first=[], early=[], open_batch=None, open_sum=0.0, open_n=0)
         if epoch > 0:
             state = spark.read.schema(_ALARM_STATE).parquet(f"{out}/state/epoch={epoch - 1}").first().asDict()
-        rows, late = [], []
+        rows, late, settled = [], [], state["n_batches"] >= BASELINE_BATCHES
         sums = df.groupBy(batch).agg(F.sum(prob).alias("s"), F.count(prob).alias("n")).orderBy(batch)
         for r in sums.where(F.col(batch).isNotNull()).collect():
             if state["open_batch"] is not None and r[batch] < state["open_batch"]:
@@ -228,11 +229,17 @@ def run_drift_alarm(stream: DataFrame, out: str, checkpoint: str, prob: str = "f
                 mean = state["open_sum"] / state["open_n"] if state["open_n"] else None
                 state = _with_mean(state, mean)
                 rows.append(_alarm_row(state["open_batch"], mean, state, True))
+                if state["n_batches"] < BASELINE_BATCHES:
+                    state["early"] = [*state["early"], (state["open_batch"], mean, rows[-1][3])]
                 state |= {"open_batch": None, "open_sum": 0.0, "open_n": 0}
             state |= {"open_batch": r[batch], "open_sum": state["open_sum"] + (r["s"] or 0.0), "open_n": state["open_n"] + r["n"]}
         if state["open_batch"] is not None:
             mean = state["open_sum"] / state["open_n"] if state["open_n"] else None
             rows.append(_alarm_row(state["open_batch"], mean, _with_mean(state, mean), False))
+        if not settled:  # the batches before the baseline was known get it now; none of them can raise an alarm
+            baseline = rows[-1][2] if rows else None
+            early = [(b, m, baseline, sd, baseline + SIGMAS * sd if baseline is not None and sd is not None else None, False, True) for b, m, sd in state["early"]]
+            rows = list({r[0]: r for r in [*rows, *early]}.values())
         one = lambda data, schema, name: spark.createDataFrame(data, schema).coalesce(1).write.mode("overwrite").parquet(f"{out}/{name}/epoch={epoch}")
         one(rows, _ALARM, "alarms")
         one(late, "batch long, s double, n long", "late")

@@ -78,13 +78,13 @@ def test_alarm_rows_come_with_the_micro_batch(spark):
     assert got.keys() == want.keys()
     for b, w in want.items():
         for c in ("mean_score", "baseline", "running_sd", "alert_line"):
-            # a batch that had closed before the third one has no baseline yet
-            if got[b][c] is not None:
-                assert np.isclose(got[b][c], w[c])
+            assert (got[b][c] is None) == (w[c] is None) and (w[c] is None or np.isclose(got[b][c], w[c]))
         assert got[b]["alarm"] == w["alarm"]
     assert [b for b in got if got[b]["alarm"]] == [7, 11] or got[7]["alarm"]
     first = {e: {r["batch"] for r in spark.read.parquet(f"{out}/alarms/epoch={e}").collect()} for e in (0, 1)}
-    assert first[0] == {0, 1} and first[1] == {1, 2, 3}
+    assert first[0] == {0, 1} and first[1] == {0, 1, 2, 3}   # the second brings the baseline
+    first[2] = {r["batch"] for r in spark.read.parquet(f"{out}/alarms/epoch=2").collect()}
+    assert first[2] == {3, 4}
 
 
 def test_rows_of_closed_batches_are_late(spark):
