@@ -136,3 +136,28 @@ def test_fixture_is_learnt_better_than_chance(spark):
     s = m.transform(t).groupBy("isFraud").agg(F.avg("fraud_probability").alias("p")).collect()
     by = {r["isFraud"]: r["p"] for r in s}
     assert by[1] > by[0] + 0.05
+
+
+def test_long_chains_of_small_splits_take_one_pass_a_tree(spark, monkeypatch):
+    """Labels without a pattern grow chains that cut off few rows at a time (a pass for each split before)."""
+    df = spark.range(70_000).select((F.xxhash64("id", F.lit(7)) % 5 == 0).cast("double").alias("y"), F.lit(1.0).alias("w"),
+                                    *[(F.xxhash64("id", F.lit(c)) % 1000).alias(f"f{c}") for c in range(3)])
+    passes, one_pass = [], bo._pass
+    monkeypatch.setattr(bo, "_pass", lambda *a: (passes.append(1), one_pass(*a))[1])
+    m = bo.fit_boosters(df, ["f0", "f1", "f2"], "y", [bo.Booster("m", "w", 2)])["m"]
+    assert len(passes) == 2 and all((t.left < 0).sum() == 63 for t in m.trees)
+
+
+def test_path_of_a_node_holds_the_rows_that_reach_it(spark):
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, 9, (400, 3)).astype(np.uint8)
+    g = rng.normal(size=400)
+    nodes = bo.grow_rows(bins, g, np.ones(400), bo.Booster("m", "w", 1, max_leaves=20, min_rows=3), 0, 9)
+    c = nodes.T
+    tree = bo.Tree(np.maximum(c[0], 0).astype(int), c[1].astype(int), np.zeros(0), c[2].astype(int), c[3].astype(int), np.zeros(0), c[4], c[7])
+    at = tree.leaves(bins, tree.bin)
+    for k in np.flatnonzero(tree.left < 0):
+        inside = np.ones(400, dtype=bool)
+        for f, low, high in tree.path(int(k)):
+            inside &= (bins[:, f] > low) & (bins[:, f] <= high)
+        assert (inside == (at == k)).all() and inside.sum() == nodes[k][7]
