@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from fraudspark.plans import queries_models as qm
 from fraudspark.plans.feature_model import FeaturePipeline
 from fraudspark.sources import tables as tb
+from fraudspark.streaming import jobs as sj
 
 from .conftest import SMALL
 
@@ -15,3 +17,12 @@ def test_fitting_keeps_one_full_width_copy(spark, monkeypatch):
     model, x = FeaturePipeline(min_v_cols=5).fit_transform(t)
     assert len(kept) == 1
     assert model.dropped_v == ["V2", "V5"] and x.count() == 500
+
+
+def test_scored_stream_files_follow_the_rows(spark, monkeypatch):
+    asked, stream = [], sj.transaction_stream
+    monkeypatch.setattr(sj, "transaction_stream", lambda s, src, schema, files, **k: (asked.append(files), stream(s, src, schema, files, **k))[1])
+    monkeypatch.setattr(qm, "STREAM_FILE_ROWS", 200)
+    n = tb.txn(spark, SMALL).count()
+    assert qm.q_stream_score_model(spark, SMALL).count() == n
+    assert asked == [2 * -(-n // 1200)]
