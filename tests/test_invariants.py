@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from fraudspark.operators import neighbours as nb
 from fraudspark.operators import ordering as od
 from fraudspark.operators import prune
 from fraudspark.operators import resample as rs
@@ -146,6 +147,17 @@ def test_knn_of_uneven_and_equal_points(spark):
     assert rs.knn(few.where("false"), "i", "v").count() == 0
 
 
+def test_knn_chunks_hold_what_their_vectors_fill(spark, monkeypatch):
+    """600 queries of 4 numbers are one chunk (pivots counted as bytes of each query before: several)."""
+    rng = np.random.default_rng(11)
+    df = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=4)]) for i in range(600)], "i long, v array<double>")
+    scans, scan = [], nb._scan
+    monkeypatch.setattr(nb, "_scan", lambda *a: (scans.append(1), scan(*a))[1])
+    knn = rs.knn(df, "i", "v", 5, 600 * 8 * (4 + 8)).collect()
+    assert len(knn) == 3000 and len(scans) == 2
+    _same_neighbours(df, "i", "v", 5)
+
+
 def test_smote_balances_and_stays_on_segments(spark):
     rows = [(i, int(i % 5 == 0), float(i % 13), float((i * 7) % 11)) for i in range(200)]
     df = spark.createDataFrame(rows, "TransactionID long, isFraud int, a double, b double")
