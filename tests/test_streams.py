@@ -60,6 +60,27 @@ def test_late_rows_null_cards_and_nulls(spark):
     assert got[1]["note"] == big and got[2]["note"] is None and got[3]["note"] == big
 
 
+def test_many_cards_share_few_state_keys(spark):
+    """One state and one Python call a bucket (a card each before), with the answers of the cards apart."""
+    rng = np.random.default_rng(3)
+    rows = [(i, int(c), int(t), float(a)) for i, (c, t, a) in enumerate(zip(rng.integers(0, 900, 3000), np.sort(rng.integers(0, 4000, 3000)), rng.integers(1, 99, 3000), strict=True))]
+    rows[0] = (0, 5, rows[0][2], float("inf"))      # another card's sums stay finite
+    path = _files(spark, [rows[:1500], rows[1500:]], "TransactionID long, card1 long, TransactionDT long, TransactionAmt double")
+    stream = sj.transaction_stream(spark, path, spark.read.parquet(path).schema, 1).withColumn("event_time", sj.event_timestamp(F.col("TransactionDT")))
+    out, ck = scratch_path(spark, "velocity_out"), scratch_path(spark, "velocity_ck")
+    query = sv.add_velocity(stream, {"s": 700}, lateness=5000, buckets=6).writeStream.format("parquet").option("path", out) \
+        .option("checkpointLocation", ck).trigger(availableNow=True).start()
+    assert query.awaitTermination(120)
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 6
+    got = {r["TransactionID"]: (r["card_count_s"], r["card_spend_s"]) for r in spark.read.parquet(out).collect()}
+    card, t, a = (np.array([r[i] for r in rows]) for i in (1, 2, 3))
+    first = np.arange(3000) < 1500
+    assert len(got) == 3000
+    for i, c, at, _ in rows:
+        inside = (card == c) & (t >= at - 700) & (t < at) & (first | (not first[i]))
+        assert got[i] == (inside.sum(), a[inside].sum())
+
+
 def _alarms(spark, parts):
     path = _files(spark, parts, "batch long, fraud_probability double")
     stream = sj.transaction_stream(spark, path, spark.read.parquet(path).schema, 1)
