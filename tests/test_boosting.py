@@ -148,6 +148,22 @@ def test_long_chains_of_small_splits_take_one_pass_a_tree(spark, monkeypatch):
     assert len(passes) == 2 and all((t.left < 0).sum() == 63 for t in m.trees)
 
 
+def test_trees_of_a_root_in_one_task_share_passes(spark, monkeypatch):
+    """Eight trees take two passes (the first tree, then seven; eight before) and are those grown a pass each."""
+    df = spark.range(3_000).select((F.xxhash64("id", F.lit(7)) % 5 == 0).cast("double").alias("y"), F.lit(1.0).alias("w"),
+                                   *[(F.xxhash64("id", F.lit(c)) % 90).alias(f"f{c}") for c in range(3)]).coalesce(1)
+    passes, one_pass = [], bo._pass
+    monkeypatch.setattr(bo, "_pass", lambda *a: (passes.append(1), one_pass(*a))[1])
+    spec = bo.Booster("m", "w", 8, max_leaves=12)
+    together = bo.fit_boosters(df, ["f0", "f1", "f2"], "y", [spec])["m"]
+    assert len(passes) == 2 and len(together.trees) == 8
+    monkeypatch.setattr(bo, "LOCAL_TREES", 1)
+    apart = bo.fit_boosters(df, ["f0", "f1", "f2"], "y", [spec])["m"]
+    assert len(passes) == 10
+    for a, b in zip(together.trees, apart.trees, strict=True):
+        assert (a.feature == b.feature).all() and (a.threshold == b.threshold).all() and np.allclose(a.value, b.value)
+
+
 def test_path_of_a_node_holds_the_rows_that_reach_it(spark):
     rng = np.random.default_rng(5)
     bins = rng.integers(0, 9, (400, 3)).astype(np.uint8)
