@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import threading
+
+import numpy as np
+
+from fraudspark.operators import models as mdl
+from fraudspark.operators import neighbours as nb
 from fraudspark.plans import queries_models as qm
 from fraudspark.plans.feature_model import FeaturePipeline
+from fraudspark.session import together
 from fraudspark.sources import tables as tb
 from fraudspark.streaming import jobs as sj
 
@@ -26,3 +33,29 @@ def test_scored_stream_files_follow_the_rows(spark, monkeypatch):
     n = tb.txn(spark, SMALL).count()
     assert qm.q_stream_score_model(spark, SMALL).count() == n
     assert asked == [2 * -(-n // 1200)]
+
+
+def test_independent_fits_run_side_by_side(spark, monkeypatch):
+    both = threading.Barrier(2, timeout=60)     # broken unless both fits are under way at once
+    monkeypatch.setattr(mdl, "_fit_boosted", lambda *a: (both.wait(), {"gbt_a": "trees"})[1])
+    monkeypatch.setattr(mdl, "_fit_pipeline", lambda *a: (both.wait(), "line")[1])
+    rows = spark.createDataFrame([(1, 0.5)], "isFraud int, x double")
+    found = mdl.fit_models(["logreg", "gbt_a"], rows, ["x"])
+    assert list(found) == ["logreg", "gbt_a"] and found["logreg"].model == "line" and found["gbt_a"].model == "trees"
+    assert together([lambda: 1, spark.range(3).count, lambda: 2]) == [1, 3, 2]
+
+
+def test_a_chunk_of_queries_reads_few_cells(spark, monkeypatch):
+    # 40 groups far from each other: a chunk's queries have neighbours in their own groups only
+    r = np.random.default_rng(5)
+    x = np.repeat(np.arange(40) * 1000.0, 100)[:, None] + r.normal(size=(4_000, 2))
+    nodes = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x[r.permutation(4_000)])], "_node long, _x array<double>")
+    read, scan = [], nb._scan
+
+    def counted(points, *a):
+        read.append(points.count())
+        return scan(points, *a)
+
+    monkeypatch.setattr(nb, "_scan", counted)
+    got = {(k["_node"], k["_other"]): k["_dd"] for k in nb.node_neighbours(nodes, 3, chunk_bytes=8 * 10 * 400).collect()}
+    assert len(got) == 12_000 and max(read) < 1_200 and max(got.values()) < 100
