@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import threading
+from types import SimpleNamespace
 
 import numpy as np
+import pytest
 
 from fraudspark.operators import models as mdl
 from fraudspark.operators import neighbours as nb
 from fraudspark.plans import queries_models as qm
 from fraudspark.plans.feature_model import FeaturePipeline
+from fraudspark.plans.train import Prepared
 from fraudspark.session import together
 from fraudspark.sources import tables as tb
 from fraudspark.streaming import jobs as sj
@@ -59,3 +62,22 @@ def test_a_chunk_of_queries_reads_few_cells(spark, monkeypatch):
     monkeypatch.setattr(nb, "_scan", counted)
     got = {(k["_node"], k["_other"]): k["_dd"] for k in nb.node_neighbours(nodes, 3, chunk_bytes=8 * 10 * 400).collect()}
     assert len(got) == 12_000 and max(read) < 1_200 and max(got.values()) < 100
+
+
+def test_model_queries_train_the_published_number_of_trees(spark, monkeypatch):
+    """Every booster of the session's training job gets all of its trees (50 of 500 before)."""
+    class Asked(Exception):
+        pass
+
+    def asked(rows, columns, label, boosters, **k):
+        raise Asked({b.name: b.trees for b in boosters})
+
+    rows = spark.createDataFrame([(i, int(i % 3 == 0), float(i)) for i in range(60)], "TransactionID long, isFraud int, x double")
+    names = SimpleNamespace(feature_columns=["x"], label="isFraud", key="TransactionID")
+    monkeypatch.setattr(qm, "_prepared", lambda *a: Prepared(names, rows, rows, rows))
+    monkeypatch.setattr(qm, "_CACHE", {})
+    monkeypatch.setattr(mdl, "fit_boosters", asked)
+    monkeypatch.setattr(mdl, "_fit_pipeline", lambda *a: None)
+    with pytest.raises(Asked) as found:
+        qm.q_gbt_a(spark, SMALL)
+    assert found.value.args[0] == dict.fromkeys(["gbt_a", "gbt_b", "fold_0", "fold_1", "fold_2"], 500)
