@@ -185,3 +185,22 @@ def test_cuts_sketch_only_features_of_many_values(spark, monkeypatch):
     monkeypatch.setattr(bo.F, "percentile_approx", lambda *a: (asked.append(a), sketch(*a))[1])
     cuts = bo.bin_cuts(df, ["b", "a"], 64)
     assert len(asked) == 1 and cuts[0].tolist() == [0.5, 1.5, 2.5, 3.5] and len(cuts[1]) == 63
+
+
+def test_last_children_are_summed_in_one_feature(monkeypatch):
+    """Nodes that are not split any more need their totals only (all features were summed before)."""
+    rng = np.random.default_rng(3)
+    bins, g, h = rng.integers(0, 9, (300, 3)).astype(np.uint8), rng.normal(size=300), rng.random(300)
+    whole = bo.histogram(bins, g, h, 9)
+    for f in range(3):
+        for part, weights in enumerate((g, h, None)):
+            assert (whole[part, 0, f] == np.bincount(bins[:, f], weights=weights, minlength=9)).all()
+    monkeypatch.setattr(bo, "HISTOGRAM_CELLS", 1)       # a feature at a time
+    assert (bo.histogram(bins, g, h, 9) == whole).all()
+    seen, summed = [], bo.histogram
+    monkeypatch.setattr(bo, "histogram", lambda x, *a: (seen.append(x.shape[1]), summed(x, *a))[1])
+    for b, want in ((bo.Booster("m", "w", 1, max_leaves=None, max_depth=2, min_rows=1), [3, 3, 1, 1]),
+                    (bo.Booster("m", "w", 1, max_leaves=4, min_rows=1), [3, 3, 3, 1])):
+        seen.clear()
+        nodes = bo.grow_rows(bins, g, h, b, 0, 9)
+        assert seen == want and nodes[nodes[:, 2] < 0, 7].sum() == 300
