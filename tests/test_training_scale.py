@@ -81,3 +81,14 @@ def test_model_queries_train_the_published_number_of_trees(spark, monkeypatch):
     with pytest.raises(Asked) as found:
         qm.q_gbt_a(spark, SMALL)
     assert found.value.args[0] == dict.fromkeys(["gbt_a", "gbt_b", "fold_0", "fold_1", "fold_2"], 500)
+
+
+def test_chunks_of_queries_are_answered_side_by_side(spark, monkeypatch):
+    both, write = threading.Barrier(2, timeout=60), nb.materialize      # broken unless both chunks are under way at once
+    monkeypatch.setattr(nb, "materialize", lambda df, name: (both.wait() if name == "knn_found" else 0, write(df, name))[1])
+    x = np.random.default_rng(6).normal(size=(400, 2))
+    nodes = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "_node long, _x array<double>")
+    got = {(r["_node"], r["_other"]): r["_dd"] for r in nb.node_neighbours(nodes, 3, chunk_bytes=8 * 10 * 200).collect()}
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2)) + np.diag(np.full(400, np.inf))
+    want = {(i, int(j)): far[i, j] for i in range(400) for j in np.argsort(far[i])[:3]}
+    assert got.keys() == want.keys() and all(np.isclose(got[k], d) for k, d in want.items())
